@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from snapstats import schemas as S
 from snapstats.functions import columns as C
-from snapstats.operators import quantiles
+from snapstats.operators import joins, quantiles
 
 
 def clock(as_of: dt.datetime | str | Column | None) -> Column:
@@ -210,15 +210,15 @@ def ensure_columns(df: DataFrame, columns, value=0) -> DataFrame:
 def map_values(df: DataFrame, column: str, mapping: dict | DataFrame) -> DataFrame:
     """Replace exact matches in ``column``.
 
-    A dict becomes a literal map. A two-column DataFrame (from, to) is joined;
-    whether it is broadcast is left to its measured size.
+    A dict becomes a literal map. A two-column DataFrame (from, to) is joined, with
+    frequent values spread over several tasks.
     """
     if isinstance(mapping, dict):
         return df.withColumn(column, C.mapped(column, mapping))
     old, new = mapping.columns
-    table = mapping.select(F.col(old).alias("__from"), F.col(new).alias("__to")).dropDuplicates(["__from"])
-    joined = df.join(table, F.col(column) == F.col("__from"), "left")
-    return joined.withColumn(column, F.coalesce("__to", column)).drop("__from", "__to")
+    table = mapping.select(F.col(old).alias(column), F.col(new).alias("__to")).dropDuplicates([column])
+    joined = joins.join_unique(df, table, column)
+    return joined.withColumn(column, F.coalesce("__to", column)).select(*df.columns)
 
 
 def standardize_places(df: DataFrame, column: str = "country", mapping: dict | None = None) -> DataFrame:

@@ -12,32 +12,33 @@ BUCKET_ROWS = 100_000
 
 def _bucket(value: Column, bounds: list[float]) -> Column:
     """Number of bounds below ``value``, found in two steps of about sqrt(n) tests."""
-    if not bounds:
-        return F.lit(0)
     step = math.isqrt(len(bounds)) + 1
     chunks = [bounds[i:i + step] for i in range(0, len(bounds), step)]
-    full = F.size(F.filter(F.array(*[F.lit(c[-1]) for c in chunks]), lambda b: b < value))
-    chunk = F.try_element_at(F.array(*[F.array(*map(F.lit, c)) for c in chunks]), full + 1)
+    full = F.size(F.filter(_numbers(c[-1] for c in chunks), lambda b: b < value))
+    chunk = F.try_element_at(F.array(*map(_numbers, chunks)), full + 1)
     return full * step + F.coalesce(F.size(F.filter(chunk, lambda b: b < value)), F.lit(0))
 
 
+def _numbers(values) -> Column:
+    """Array literal, parsed at once: a call per number would cost more than the query."""
+    texts = (f"{v!r}D" if math.isfinite(v) else f"CAST('{v!r}' AS DOUBLE)" for v in map(float, values))
+    return F.expr(f"array({', '.join(texts)})")
+
+
 def range_bounds(df: DataFrame, columns) -> dict[str, list[float]]:
-    """Cut points that split each column into ranges of about equal row count.
+    """Cut points that split each column into ranges of about ``BUCKET_ROWS`` rows.
 
-    One job; at most ``MAX_BUCKETS`` numbers per column reach the driver.
+    Small sets need none. At most ``MAX_BUCKETS`` numbers per column reach the driver.
     """
-    shares = [i / MAX_BUCKETS for i in range(1, MAX_BUCKETS)]
-    sketches = [
-        F.percentile_approx(F.col(c).cast("double"), F.array(*map(F.lit, shares)), F.lit(10 * MAX_BUCKETS)).alias(f"b{i}")
-        for i, c in enumerate(columns)
-    ]
-    row = df.agg(F.count(F.lit(1)).alias("n"), *sketches).first()
-    buckets = min(MAX_BUCKETS, max(1, row["n"] // BUCKET_ROWS))
-    picks = sorted({round(k * MAX_BUCKETS / buckets) - 1 for k in range(1, buckets)})
-    return {
-        c: sorted({row[f"b{i}"][p] for p in picks}) if row[f"b{i}"] else []
+    buckets = min(MAX_BUCKETS, df.count() // BUCKET_ROWS)
+    if buckets < 2:
+        return {c: [] for c in columns}
+    shares = _numbers(i / buckets for i in range(1, buckets))
+    row = df.agg(*[
+        F.percentile_approx(F.col(c).cast("double"), shares, F.lit(10 * buckets)).alias(f"b{i}")
         for i, c in enumerate(columns)
-    }
+    ]).first()
+    return {c: sorted(set(row[f"b{i}"] or [])) for i, c in enumerate(columns)}
 
 
 def value_ranks(df: DataFrame, column: str, bounds: list[float] | None = None) -> DataFrame:
@@ -52,9 +53,12 @@ def value_ranks(df: DataFrame, column: str, bounds: list[float] | None = None) -
     counts = (
         df.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("value"))
         .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("bucket", _bucket(F.col("value").cast("double"), bounds))
     )
     before = Window.unboundedPreceding, -1
+    if not bounds:      # few rows: one range
+        ahead = F.sum("n").over(Window.orderBy(F.desc("value")).rowsBetween(*before))
+        return counts.select("value", (F.coalesce(ahead, F.lit(0)) + 1).alias("rank"))
+    counts = counts.withColumn("bucket", _bucket(F.col("value").cast("double"), bounds))
     totals = counts.groupBy("bucket").agg(F.sum("n").alias("in_bucket"))
     higher = Window.orderBy(F.desc("bucket")).rowsBetween(*before)      # at most MAX_BUCKETS rows
     offsets = totals.select("bucket", F.coalesce(F.sum("in_bucket").over(higher), F.lit(0)).alias("above"))
@@ -92,28 +96,31 @@ def top_ranked(df: DataFrame, by: str, ranked: dict[str, str], n: int, tiebreak=
     order = [F.desc_nulls_last(by), *[F.asc(c) for c in tiebreak]]
     columns = list(ranked)
     top = df.orderBy(*order).limit(n)
-    cuts = top.agg(F.struct(*[F.array_sort(F.collect_set(c)).alias(c) for c in columns]).alias("c")).scalar()
+    best = top.agg(F.struct(
+        F.collect_list(F.struct(*df.columns)).alias("rows"),
+        *[F.array_sort(F.collect_set(c)).alias(f"cut_{c}") for c in columns],
+    ).alias("best")).scalar()
 
-    measured = df.select(*columns).withColumn("cuts", cuts).select(F.explode(F.array(*[
+    measured = df.select(*columns).withColumn("best", best).select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("metric"), F.when(F.col(c).isNotNull(), _passed(c)).alias("passed"))
         for c in columns
     ])).alias("p")).select("p.*").filter(F.col("passed").isNotNull())
     counters = measured.groupBy("metric", "passed").agg(F.count(F.lit(1)).alias("rows"))
-    table = counters.groupBy("metric").agg(F.collect_list(F.struct("passed", "rows")).alias("places")).agg(
-        F.map_from_entries(F.collect_list(F.struct("metric", "places")))).scalar()
+    places = counters.groupBy("metric").agg(F.collect_list(F.struct("passed", "rows")).alias("places")).agg(
+        F.map_from_entries(F.collect_list(F.struct("metric", "places"))).alias("places"))
 
-    out = top.withColumn("cuts", cuts).withColumn("places", table)
-    return out.withColumns({ranked[c]: _rank(c) for c in columns}).drop("cuts", "places").orderBy(*order)
+    out = places.withColumn("best", best).select("best", "places", F.explode("best.rows").alias("row"))
+    return out.select("row.*", *[_rank(c).alias(ranked[c]) for c in columns]).orderBy(*order)
 
 
 def _passed(column: str) -> Column:
     """How many cuts the row's value exceeds."""
-    return F.size(F.filter(F.col("cuts")[column], lambda cut: cut < F.col(column)))
+    return F.size(F.filter(F.col(f"best.cut_{column}"), lambda cut: cut < F.col(column)))
 
 
 def _rank(column: str) -> Column:
     # Greater than the k-th cut means having passed at least k cuts; a null value
     # (k = 0) ranks after all others.
-    k = F.coalesce(F.array_position(F.col("cuts")[column], F.col(column)).cast("int"), F.lit(0))
+    k = F.coalesce(F.array_position(F.col(f"best.cut_{column}"), F.col(f"row.{column}")).cast("int"), F.lit(0))
     ahead = F.filter(F.col("places")[column], lambda p: p["passed"] >= k)
     return F.aggregate(ahead, F.lit(0).cast("bigint"), lambda total, p: total + p["rows"]) + 1

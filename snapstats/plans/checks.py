@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from snapstats import schemas as S
 from snapstats.functions import columns as C
-from snapstats.operators import clean, dedup, series
+from snapstats.operators import clean, dedup, joins, series
 
 COLUMNS = ("table_name", "check_type", "count", "status")
 
@@ -127,7 +127,7 @@ def historical_vs_current(countries: DataFrame, history: DataFrame, as_of, min_c
     """Current totals beside the latest series values, with absolute differences."""
     current = countries.filter(F.col("cases") > min_cases).select(
         "country", F.col("cases").alias("current_cases"), F.col("deaths").alias("current_deaths"))
-    return current.join(latest_metrics(history, as_of), "country").withColumns({
+    return joins.join_unique(current, latest_metrics(history, as_of), "country", "inner").withColumns({
         "cases_diff": F.abs(F.col("current_cases") - F.col("hist_cases")),
         "deaths_diff": F.abs(F.col("current_deaths") - F.col("hist_deaths")),
     })
