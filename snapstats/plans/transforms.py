@@ -14,12 +14,15 @@ log = logging.getLogger(__name__)
 
 
 def dedup_order(df: DataFrame, dataset: str) -> list[str]:
-    """What "last row" means: newest extraction, then update, then the remaining columns.
+    """What "last row" means: newest extraction, then the position in its landing file.
 
-    Rows carry no position in Spark, so every sortable column takes part to make the
-    choice the same on each run.
+    Rows without a recorded position are ordered by update time and then by every other
+    sortable column, which makes the choice the same on each run.
     """
-    first = [c for c in ("extraction_date", "updated") if c in df.columns]
+    first = [c for c in ("extraction_date", S.SEQUENCE_COLUMN) if c in df.columns]
+    if S.SEQUENCE_COLUMN in df.columns:
+        return first
+    first += [c for c in ("updated",) if c in df.columns]
     keys = {"countries": ["country"], "historical": ["date", "country", "metric"]}.get(dataset, [])
     rest = sorted(
         f.name for f in df.schema.fields
@@ -72,7 +75,7 @@ def transform(df: DataFrame, dataset: str, as_of=None, exact: bool = True, order
         df = clean.ensure_columns(df, S.REQUIRED_COLUMNS["global"])
     elif dataset == "historical":
         df = transform_series(df)
-    return df
+    return df.drop(S.SEQUENCE_COLUMN)
 
 
 def transform_all(bundle: dict[str, DataFrame], as_of=None, strict: bool = False, validate: bool = True,

@@ -150,6 +150,7 @@ PARTITION_SOURCE = {
     "pipeline_log": "execution_date",
 }
 PARTITION_COLUMN = "snapshot_date"
+SEQUENCE_COLUMN = "ingest_seq"      # position of a row in its landing file
 
 # First match wins.
 _TYPE_RULES = (

@@ -28,11 +28,18 @@ def read_snapshot(spark: SparkSession, path, dataset: str, as_of=None, source: s
 
 
 def from_payload(raw: DataFrame, dataset: str, as_of=None, source: str = "api") -> DataFrame:
-    """Lineage, time conversion and flattening of payload rows (batch or stream)."""
+    """Lineage, time conversion and flattening of payload rows (batch or stream).
+
+    Countries keep their position in the document, since the last of several rows of one
+    country is the one that counts.
+    """
     if dataset in SERIES_DATASETS:
         return clean.with_lineage(_series(raw, dataset), as_of, source, dataset)
     df = clean.epoch_ms_to_ts(clean.with_lineage(raw, as_of, source, dataset))
-    return clean.flatten_struct(df, "countryInfo", "country_") if dataset == "countries" else df
+    if dataset != "countries":
+        return df
+    return clean.flatten_struct(df, "countryInfo", "country_").withColumn(
+        S.SEQUENCE_COLUMN, F.monotonically_increasing_id())
 
 
 def _series(raw: DataFrame, dataset: str) -> DataFrame:
