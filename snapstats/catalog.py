@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from snapstats import bind
 from snapstats.functions import columns as C
 from snapstats.operators import clean, dedup, quantiles, ranks, series
-from snapstats.plans import checks, completeness, quality, reports, transforms
+from snapstats.plans import checks, completeness, quality, reports, runs, transforms
 from snapstats.sources import readers, writers
 from snapstats.streaming import ingest
 
@@ -108,7 +108,11 @@ def rounded(df: DataFrame, *names: str, digits: int = 6) -> DataFrame:
 def scratch(spark: SparkSession) -> str:
     """A fresh folder: in the cluster's shared folder, or a temporary one in local tests."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    return f"{shared.rstrip('/')}/{uuid.uuid4().hex}" if shared else tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    if shared:
+        return f"{shared.rstrip('/')}/{uuid.uuid4().hex}"
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
+    return tempfile.mkdtemp(prefix="run-", dir="/tmp")
 
 
 def query(sql: str | None = None, name: str | None = None):
@@ -336,6 +340,12 @@ def lineage(spark, sf):
     return reports.lineage(clean.with_freshness(bind.snapshot(spark, sf), bind.SNAPSHOT_AS_OF))
 
 
+@query("""SELECT o_orderstatus, count(*) AS n FROM orders WHERE o_totalprice > 100000 GROUP BY o_orderstatus""")
+def run_sql(spark, sf):
+    return writers.run_sql(spark, "SELECT o_orderstatus, count(*) AS n FROM {orders} WHERE o_totalprice > :least "
+                           "GROUP BY o_orderstatus", {"least": 100000}, orders=bind.table(spark, sf, "orders"))
+
+
 # --- nested sources ---------------------------------------------------------------
 
 
@@ -956,9 +966,18 @@ def validation_report(spark, sf):
         "level", "dataset", "record_count", "column_count", "valid_datasets", "invalid_datasets")
 
 
-@query()
+_ITEM_TYPES = {"l_orderkey": "bigint", "l_partkey": "bigint", "l_suppkey": "bigint", "l_linenumber": "int",
+               "l_quantity": "double", "l_extendedprice": "double", "l_discount": "double", "l_tax": "double",
+               "l_returnflag": "string", "l_linestatus": "string", "l_shipdate": "timestamp_ntz"}
+_ITEM_NUMBERS = tuple(c for c, t in _ITEM_TYPES.items() if t in ("bigint", "int", "double"))
+
+
+@query("WITH o AS (" + _iqr_sql("lineitem", _ITEM_NUMBERS) + "), n AS (" + " UNION ALL ".join(
+    f"""SELECT '{c}' AS column_name, count(*) - count({c}) AS null_count, 1 - count({c}) / count(*) AS null_percentage,
+    1 - count({c}) / count(*) > 0.1 AS is_high, '{t}' AS data_type FROM lineitem""" for c, t in _ITEM_TYPES.items())
+    + ") SELECT n.*, outlier_count, outlier_percentage, lower_bound, upper_bound FROM n LEFT JOIN o USING (column_name)")
 def profile(spark, sf):
-    return quality.profile(bind.table(spark, sf, "lineitem"))
+    return rounded(quality.profile(bind.table(spark, sf, "lineitem")), "lower_bound", "upper_bound")
 
 
 # --- reports ----------------------------------------------------------------------------
@@ -1086,6 +1105,20 @@ def reconcile_load(spark, sf):
     return writers.reconcile_load(stored, expected).select("table_name", "expected_count", "actual_count", "count_match")
 
 
+@query(ORACLE["transform_countries"])
+def full_run(spark, sf):
+    """Regions written as landing documents, then extracted and transformed by a whole run."""
+    work = scratch(spark)
+    payload = bind.snapshot(spark, sf).withColumn("updated", F.unix_millis(F.col("updated").cast("timestamp")))
+    writers.write_dataset(payload.drop("extraction_date", "data_source", "data_type"), f"{work}/landing/countries", "json")
+    result = runs.run_steps(spark, f"{work}/landing", f"{work}/out", bind.SNAPSHOT_AS_OF, skip=("store", "load"),
+                            include_history=False, datasets=("countries",), lines=True)
+    written, = result["transform"]
+    return readers.read_dataset(spark, written["uri"]).select(
+        "country", "region_type", "cases", "deaths", "recovered", "active", "population", "mortality_rate",
+        "recovery_rate", "active_rate", "cases_per_million", "deaths_per_million", "processed_at")
+
+
 _ROUND_TRIP = "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS o_orderdate, o_orderpriority FROM orders"
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from snapstats.functions import columns as C
 from snapstats.operators.dedup import dedup_last
+from snapstats.schemas import PARTITION_COLUMN
 
 SERIES = ("country", "metric")
 
@@ -93,14 +94,18 @@ def last_days(df: DataFrame, n: int | str, column: str = "date") -> DataFrame:
 
 def snapshot_as_of(df: DataFrame, as_of, yesterday: bool = False, two_days_ago: bool = False,
                    day: str = "snapshot_date", key: str | None = None, value: str | None = None,
-                   order=None) -> DataFrame:
+                   order=None, within: int | None = None) -> DataFrame:
     """Latest snapshot per region no newer than the wanted day.
 
-    Both flags together mean yesterday. ``day`` is the partition column, so older
-    partitions are read but newer ones are pruned. ``value`` restricts to one region.
+    Both flags together mean yesterday. ``day`` is the partition column: newer partitions
+    are pruned, and with ``within`` also those more than that many days older, so that
+    only a few partitions of a long table are read. ``value`` restricts to one region.
     """
     back = 1 if yesterday else 2 if two_days_ago else 0
-    wanted = df.filter(F.col(day) <= F.date_sub(F.lit(str(as_of)).cast("date"), back))
+    asked = F.date_sub(F.lit(str(as_of)).cast("date"), back)
+    wanted = df.filter(F.col(day) <= asked)
+    if within is not None:
+        wanted = wanted.filter(F.col(day) >= F.date_sub(asked, within))
     if value is not None:
         wanted = wanted.filter(F.col(key) == value)
     if key is None:
@@ -108,8 +113,14 @@ def snapshot_as_of(df: DataFrame, as_of, yesterday: bool = False, two_days_ago:
     return dedup_last(wanted, [key], order or [day])
 
 
-def latest_only(df: DataFrame, column: str = "extraction_date") -> DataFrame:
-    """Rows that carry the greatest value of ``column``, e.g. the newest file or extraction."""
+def latest_only(df: DataFrame, column: str = "extraction_date", partition: str | None = PARTITION_COLUMN) -> DataFrame:
+    """Rows that carry the greatest value of ``column``, e.g. the newest file or extraction.
+
+    A table partitioned by the day of ``column`` is cut to its newest partition first, so
+    older days are never read.
+    """
+    if partition in df.columns and partition != column:
+        df = df.filter(F.col(partition) == df.agg(F.max(partition)).scalar())
     return df.filter(F.col(column) == df.agg(F.max(column)).scalar())
 
 

@@ -17,7 +17,7 @@ CORE_STEPS = ("extract", "transform")
 
 def run_steps(spark: SparkSession, landing: str, out: str, as_of, step: str = "all", skip=(),
               prefix: str = "stats_", include_history: bool = True, days: int | str | None = 30,
-              execution_id: str | None = None, lines: bool = False, log_table: str | None = None) -> dict:
+              datasets=S.SNAPSHOT_DATASETS + ("vaccines",), execution_id: str | None = None, lines: bool = False, log_table: str | None = None) -> dict:
     """Run all steps, or one.
 
     Steps hand data on through the files they wrote, so each can also run alone and a
@@ -31,7 +31,7 @@ def run_steps(spark: SparkSession, landing: str, out: str, as_of, step: str = "a
         raise ValueError(f"unknown step: {step}")
     result: dict = {"execution_id": run_id, "status": "success", "steps": []}
     jobs = {
-        "extract": lambda: _extract(spark, landing, out, as_of, run_id, include_history, days, lines),
+        "extract": lambda: _extract(spark, landing, out, as_of, run_id, include_history, days, datasets, lines),
         "transform": lambda: _transform(spark, out, as_of, run_id),
         "store": lambda: _store(spark, out, run_id),
         "load": lambda: _load(spark, out, run_id, prefix),
@@ -74,8 +74,9 @@ def _keep(spark: SparkSession, bundle: dict[str, DataFrame], out: str, stage: st
     return manifest, sum(m["record_count"] for m in manifest)
 
 
-def _extract(spark, landing, out, as_of, run_id, include_history, days, lines):
-    bundle = readers.read_all(spark, landing, as_of, include_history=include_history, days=days, lines=lines)
+def _extract(spark, landing, out, as_of, run_id, include_history, days, datasets, lines):
+    bundle = readers.read_all(
+        spark, landing, as_of, include_history=include_history, days=days, datasets=datasets, lines=lines)
     manifest, records = _keep(spark, bundle, out, "raw", run_id)
     if not any(m["status"] == "written" for m in manifest):
         raise ValueError("no data sets were extracted")
@@ -111,13 +112,15 @@ def reconcile(spark: SparkSession, manifest: list[dict], prefix: str, stamp) ->
     Only rows with this run's ``extraction_date`` count, so appending to a table that
     already holds earlier runs still reconciles.
     """
-    day = F.lit(str(stamp)).cast("timestamp")
+    at = F.lit(str(stamp)).cast("timestamp")
     written = [m for m in manifest if m["status"] == "written"]
     actual = None
     for m in written:
         table = f"{prefix}{m['data_type']}"
-        rows = spark.table(table).filter(
-            (F.col("extraction_date") == day)).select(F.lit(table).alias("table_name"))
+        rows = spark.table(table).filter(F.col("extraction_date") == at)
+        if m["data_type"] not in S.PARTITION_SOURCE:      # partitioned by extraction day: prune
+            rows = rows.filter(F.col(S.PARTITION_COLUMN) == at.cast("date"))
+        rows = rows.select(F.lit(table).alias("table_name"))
         actual = rows if actual is None else actual.unionByName(rows)
     expected = spark.createDataFrame(
         [(f"{prefix}{m['data_type']}", m["record_count"]) for m in written], "table_name STRING, expected_count BIGINT")

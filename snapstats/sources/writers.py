@@ -232,9 +232,12 @@ def table_info(spark: SparkSession, name: str) -> DataFrame:
         F.lit(name).alias("table_name"), "record_count", size.alias("size_bytes"))
 
 
-def run_sql(spark: SparkSession, sql: str, params: dict | None = None) -> DataFrame:
-    """Run SQL with named parameters (``:name``); every statement returns its result."""
-    return spark.sql(sql, args=params or {})
+def run_sql(spark: SparkSession, sql: str, params: dict | None = None, **tables: DataFrame) -> DataFrame:
+    """Run SQL with named parameters (``:name``); every statement returns its result.
+
+    DataFrames given by keyword can be used in the text as ``{keyword}``.
+    """
+    return spark.sql(sql, args=params or {}, **tables)
 
 
 def upsert_table(spark: SparkSession, path: str, new: DataFrame, keys, order,

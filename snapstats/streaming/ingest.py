@@ -43,9 +43,13 @@ def write_batches(stream: DataFrame, out: str, checkpoint: str, step, partition_
     holds every batch exactly once.
     """
     def store(batch: DataFrame, batch_id: int) -> None:
-        rows = step(batch).withColumn(BATCH_COLUMN, F.lit(batch_id))
-        (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(BATCH_COLUMN, *partition_by).parquet(out))
+        batch.persist()      # a step may pass over the batch more than once (medians, then rows)
+        try:
+            rows = step(batch).withColumn(BATCH_COLUMN, F.lit(batch_id))
+            (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy(BATCH_COLUMN, *partition_by).parquet(out))
+        finally:
+            batch.unpersist()
 
     return (
         stream.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
