@@ -16,6 +16,7 @@ from snapstats import bind
 from snapstats.functions import columns as C
 from snapstats.operators import clean, dedup, quantiles, ranks, series
 from snapstats.plans import checks, completeness, quality, reports, runs, transforms
+from snapstats.session import ensure_checkpoint_dir
 from snapstats.sources import readers, writers
 from snapstats.streaming import ingest
 
@@ -384,13 +385,11 @@ def vaccines_long(spark, sf):
     return readers.vaccines_long(timelines(spark, sf).select("country", F.col("timeline.recovered").alias("timeline")))
 
 
-@query(f"""WITH {HISTORY}, newest AS (SELECT max(date) AS d FROM history WHERE country <= 'Customer#000000009' AND metric IN ('cases', 'deaths', 'recovered'))
+@query(f"""WITH {HISTORY}, newest AS (SELECT max(date) AS d FROM history WHERE metric IN ('cases', 'deaths', 'recovered'))
   SELECT CAST(date AS VARCHAR) AS date, metric, value, country FROM history
-  WHERE metric IN ('cases', 'deaths', 'recovered') AND country <= 'Customer#000000009'
-  AND date > (SELECT d FROM newest) - INTERVAL 5 DAY""")
-def country_history_some(spark, sf):
-    names = [f"Customer#{i:09d}" for i in range(10)]
-    return readers.country_history_long(timelines(spark, sf), names, 5)
+  WHERE metric IN ('cases', 'deaths', 'recovered') AND date > (SELECT d FROM newest) - INTERVAL 15 DAY""")
+def country_history_days(spark, sf):
+    return readers.country_history_long(timelines(spark, sf), days=15)
 
 
 # --- duplicates ----------------------------------------------------------------------
@@ -444,6 +443,20 @@ def upsert_latest(spark, sf):
     return merged.select("l_orderkey", "l_linenumber", "l_partkey", "l_returnflag")
 
 
+@query("""SELECT CAST(CAST(date_trunc('quarter', o_orderdate) AS DATE) AS VARCHAR) AS snapshot_date, o_orderkey, o_orderstatus,
+  CASE WHEN o_orderstatus = 'P' THEN -o_totalprice ELSE o_totalprice END AS o_totalprice FROM orders""")
+def upsert_partitions(spark, sf):
+    """Pending orders change in a stored, partitioned table."""
+    work = scratch(spark)
+    ensure_checkpoint_dir(spark, f"{work}/checkpoint")
+    orders = bind.table(spark, sf, "orders").select(
+        F.date_trunc("quarter", "o_orderdate").cast("date").alias("snapshot_date"), "o_orderkey", "o_orderstatus", "o_totalprice")
+    path = writers.write_dataset(orders, f"{work}/orders", partition_by=("snapshot_date",))
+    changed = orders.filter("o_orderstatus = 'P'").withColumn("o_totalprice", -F.col("o_totalprice"))
+    writers.upsert_table(spark, path, changed, ["snapshot_date", "o_orderkey"], [])
+    return spark.read.parquet(path).select("snapshot_date", "o_orderkey", "o_orderstatus", "o_totalprice")
+
+
 # --- series ------------------------------------------------------------------------
 
 

@@ -17,13 +17,15 @@ CORE_STEPS = ("extract", "transform")
 
 def run_steps(spark: SparkSession, landing: str, out: str, as_of, step: str = "all", skip=(),
               prefix: str = "stats_", include_history: bool = True, days: int | str | None = 30,
-              datasets=S.SNAPSHOT_DATASETS + ("vaccines",), execution_id: str | None = None, lines: bool = False, log_table: str | None = None) -> dict:
+              datasets=S.SNAPSHOT_DATASETS + ("vaccines",), execution_id: str | None = None, lines: bool = False, log_table: str | None = None,
+              quality_table: str | None = None) -> dict:
     """Run all steps, or one.
 
     Steps hand data on through the files they wrote, so each can also run alone and a
     lost executor never forces an earlier step to run again. A failed core step stops
     the run; ``skip`` leaves out 'store' or 'load'. Returns status, manifests, load
-    results and step records; the records are also written to ``out/run_log``.
+    results and step records; the records are also written to ``out/run_log``, and step
+    records and validation results to ``log_table`` and ``quality_table`` if named.
     """
     run_id = execution_id or f"manual_{uuid.uuid4().hex[:12]}"
     wanted = STEPS if step == "all" else (step,)
@@ -32,7 +34,7 @@ def run_steps(spark: SparkSession, landing: str, out: str, as_of, step: str = "a
     result: dict = {"execution_id": run_id, "status": "success", "steps": []}
     jobs = {
         "extract": lambda: _extract(spark, landing, out, as_of, run_id, include_history, days, datasets, lines),
-        "transform": lambda: _transform(spark, out, as_of, run_id),
+        "transform": lambda: _transform(spark, out, as_of, run_id, quality_table),
         "store": lambda: _store(spark, out, run_id),
         "load": lambda: _load(spark, out, run_id, prefix),
     }
@@ -83,13 +85,15 @@ def _extract(spark, landing, out, as_of, run_id, include_history, days, datasets
     return manifest, records
 
 
-def _transform(spark, out, as_of, run_id):
+def _transform(spark, out, as_of, run_id, quality_table):
     data, _ = transforms.transform_all(_stage(spark, out, "raw", run_id), as_of, validate=False)
     manifest, records = _keep(spark, data, out, "processed", run_id)
     # Validation reads the stored result: one computation, and exactly what was kept.
     for dataset, df in _stage(spark, out, "processed", run_id).items():
         row = quality.validate(df, dataset, as_of)
         row.coalesce(1).write.mode("append").json(f"{out}/quality/run={run_id}")
+        if quality_table:
+            writers.write_quality(row, quality_table, as_of)
     return manifest, records
 
 

@@ -63,6 +63,7 @@ def transform(df: DataFrame, dataset: str, as_of=None, exact: bool = True, order
     Countries are deduplicated before name variants are mapped, so two variants of one
     country both survive; ``unique_after_mapping`` keeps the last of them.
     """
+    dataset = "historical" if dataset in S.SERIES_DATASETS else dataset
     df = common_transform(df, dataset, as_of, exact, order)
     if dataset == "countries":
         df = clean.standardize_places(df)

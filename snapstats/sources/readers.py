@@ -13,7 +13,6 @@ from snapstats.operators import clean
 from snapstats.operators.series import last_days
 
 FORMATS = ("parquet", "csv", "json")
-SERIES_DATASETS = ("historical", "country_historical")
 
 
 def read_snapshot(spark: SparkSession, path, dataset: str, as_of=None, source: str = "api",
@@ -33,7 +32,7 @@ def from_payload(raw: DataFrame, dataset: str, as_of=None, source: str = "api")
     Countries keep their position in the document, since the last of several rows of one
     country is the one that counts.
     """
-    if dataset in SERIES_DATASETS:
+    if dataset in S.SERIES_DATASETS:
         return clean.with_lineage(_series(raw, dataset), as_of, source, dataset)
     df = clean.epoch_ms_to_ts(clean.with_lineage(raw, as_of, source, dataset))
     if dataset != "countries":

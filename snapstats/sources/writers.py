@@ -8,14 +8,17 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from snapstats import schemas as S
 from snapstats.operators import dedup
+from snapstats.session import ensure_checkpoint_dir
 from snapstats.sources import readers
 
 JDBC_BATCH = 10_000
+PARALLEL_WRITES = 4
 _MODES = {"append": "append", "replace": "overwrite", "fail": "errorifexists"}
 MANIFEST_SCHEMA = (
     "data_type STRING, uri STRING, file_format STRING, record_count BIGINT, column_count INT, "
@@ -68,8 +71,9 @@ def write_bundle(bundle: dict[str, DataFrame], directory: str, fmt: str = "parqu
     With ``strict=False`` a failing data set is recorded and the others still written.
     """
     stamp = stamp or dt.datetime.now(dt.timezone.utc).strftime("%Y%m%d_%H%M%S")
-    manifest = []
-    for name, df in bundle.items():
+
+    def write_one(item: tuple[str, DataFrame]) -> dict:
+        name, df = item
         uri = f"{directory.rstrip('/')}/{name}/run={stamp}"
         entry = {"data_type": name, "uri": uri, "file_format": fmt, "record_count": 0,
                  "column_count": len(df.columns), "status": "written", "error": None}
@@ -83,8 +87,10 @@ def write_bundle(bundle: dict[str, DataFrame], directory: str, fmt: str = "parqu
             if strict:
                 raise
             entry["status"], entry["error"] = "failed", str(problem).splitlines()[0]
-        manifest.append(entry)
-    return manifest
+        return entry
+
+    with ThreadPoolExecutor(PARALLEL_WRITES) as pool:      # small data sets share the cluster
+        return list(pool.map(write_one, bundle.items()))
 
 
 def _stored(df: DataFrame, fmt: str) -> T.StructType:
@@ -248,6 +254,7 @@ def upsert_table(spark: SparkSession, path: str, new: DataFrame, keys, order,
     replaced, so neither a lost executor nor a failed commit can lose them. Rows that
     repeat one key must carry the same partition value. Returns the touched partitions.
     """
+    ensure_checkpoint_dir(spark)
     touched = [r[0] for r in new.select(partition).distinct().collect()]     # one value per day
     existing = spark.read.parquet(path).filter(F.col(partition).isin(touched))
     merged = dedup.upsert_latest(existing, new, keys, order).select(*existing.columns).checkpoint()

@@ -121,6 +121,26 @@ def test_join_unique_spreads_hot_keys(spark):
         assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
 
 
+def test_join_unique_balances_tasks(spark):
+    """A third of the rows under one key, all alike, and a third without a key."""
+    left = spark.range(0, 60_000, 1, 8).select(F.when(F.col("id") % 3 == 0, "hot").when(
+        F.col("id") % 3 == 1, F.lit(None)).otherwise(F.col("id").cast("string")).alias("k"))
+    right = spark.createDataFrame([("hot", 7)], "k STRING, v INT")
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false",
+                "spark.sql.shuffle.partitions": "16"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        largest = {
+            name: df.groupBy(F.spark_partition_id().alias("p")).count().agg(F.max("count")).first()[0]
+            for name, df in (("salted", joins.join_unique(left, right, "k")), ("plain", left.join(right, "k", "left")))}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert largest["plain"] >= 20_000 and largest["salted"] < 10_000
+
+
 # --- series ------------------------------------------------------------------
 
 

@@ -19,7 +19,8 @@ def landing(tmp_path_factory):
 
 def test_full_run(spark, landing, tmp_path):
     out = str(tmp_path)
-    result = runs.run_steps(spark, landing, out, NOW, prefix="r_", execution_id="one", log_table="r_log")
+    result = runs.run_steps(spark, landing, out, NOW, prefix="r_", execution_id="one", log_table="r_log",
+                            quality_table="r_quality")
     assert result["status"] == "success"
     assert [(s["task_name"], s["status"]) for s in result["steps"]] == [
         ("extract", "success"), ("transform", "success"), ("store", "success"), ("load", "success")]
@@ -34,6 +35,7 @@ def test_full_run(spark, landing, tmp_path):
         assert len(checked) == 6 and all(r["is_valid"] for r in checked)
     assert spark.read.json(f"{out}/quality/run=one").count() == 6
     assert spark.table("r_log").count() == 4
+    assert {r["table_name"] for r in spark.table("r_quality").collect()} == set(counts)
     log = spark.read.schema(writers.RUN_LOG_SCHEMA).json(f"{out}/run_log").filter("execution_id = 'one'")
     summary = runs.run_summary(writers.manifest_frame(spark, result["transform"]), log).first()
     assert (summary["datasets"], summary["total_records"], summary["steps_succeeded"], summary["steps_failed"]) == (6, 14, 4, 0)
