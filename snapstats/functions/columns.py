@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, functions as F, types as T
 
 MILLION = 1_000_000
@@ -121,6 +123,20 @@ def mapped(column: Column | str, mapping: dict) -> Column:
     return F.coalesce(F.try_element_at(table, c), c)
 
 
+def numbers(values) -> Column:
+    """Array literal, parsed at once: a call per number would cost more than the query."""
+    texts = (f"{v!r}D" if math.isfinite(v) else f"CAST('{v!r}' AS DOUBLE)" for v in map(float, values))
+    return F.expr(f"array({', '.join(texts)})")
+
+
+def task_group(groups: int) -> Column:
+    """One of ``groups`` numbers, the same for all rows of a task.
+
+    Grouping by it first merges bulky partial results (sketches) in several tasks.
+    """
+    return F.pmod(F.spark_partition_id(), F.lit(groups))
+
+
 def is_number(kind: T.DataType) -> bool:
     return isinstance(kind, T.NumericType)
 

@@ -4,17 +4,30 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from snapstats.functions import columns as C
+
 HOT_SHARE = 0.01      # keys above this share of the rows are spread; at most 1 / HOT_SHARE of them
 SALTS = 64
+TRACKED = 2000        # keys a sketch keeps; its error is about 3.5 / TRACKED of the rows
+SKETCH_GROUPS = 64
 
 
 def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> list:
-    """Keys that may hold more than ``share`` of the rows (no such key is missed).
+    """Keys that hold more than ``share`` of the rows; at most ``2 / share`` come back.
 
-    One aggregation pass without a shuffle of rows; at most ``1 / share`` keys come back.
+    One pass of frequent-item sketches per group of tasks, so that no single task receives
+    a sketch from every other. A key with ``share`` of all rows is among the top of its
+    groups with at least half of that. Only the balance of a join depends on the answer.
     """
-    row = df.select(key).freqItems([key], share).first()
-    return [value for value in (row[0] or []) if value is not None]
+    most = round(2 / share)
+    tops = df.select(F.col(key).alias("k")).groupBy(C.task_group(SKETCH_GROUPS).alias("g")).agg(
+        F.expr(f"approx_top_k(k, {most}, {TRACKED})").alias("items"), F.count(F.lit(1)).alias("n"))
+    named = F.filter("items", lambda i: i["item"].isNotNull())
+    total = F.struct(F.lit(None).alias("item"), F.col("n").alias("count"))      # the key None: all rows
+    listed = tops.select(F.explode(F.concat(named, F.array(total))).alias("i")).groupBy("i.item").agg(
+        F.sum("i.count").alias("rows"))
+    rows = {r["item"]: r["rows"] for r in listed.orderBy(F.desc("rows")).limit(most + 1).collect()}
+    return [k for k, n in rows.items() if k is not None and n > share / 2 * rows[None]]
 
 
 def join_unique(left: DataFrame, right: DataFrame, key: str, how: str = "left", hot: list | None = None) -> DataFrame:

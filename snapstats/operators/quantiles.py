@@ -1,11 +1,11 @@
 """Exact quantiles without gathering a column in one task.
 
 Spark's ``percentile`` keeps every distinct value of the column in a single
-aggregation buffer. Here a sketch (``percentile_approx``, bounded size) brackets
-each wanted order statistic first; a second pass counts what lies outside the
-brackets and the distinct values inside them, combined map-side. Only the few
-wanted values reach the driver. Brackets that would still hold too many distinct
-values are narrowed by sketching their inside again.
+aggregation buffer. Here sketches of bounded size bracket each wanted order statistic
+first; a second pass counts what lies outside the brackets and the distinct values
+inside them, combined map-side. Only the few wanted values reach the driver. Brackets
+that would still hold too many distinct values are narrowed by sketching their inside
+again.
 """
 
 from __future__ import annotations
@@ -16,8 +16,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from snapstats.functions import columns as C
 
-SKETCH_ACCURACY = 10_000      # rank error of the sketch is 1 / accuracy
-SLACK = 3.0 / SKETCH_ACCURACY
+POINTS = 400                  # equally spaced quantiles kept of each group of tasks
+GROUPS = 128                  # groups of tasks whose sketches are merged together
+SLACK = 2.0 / POINTS          # half the width of a bracket, as a share of the rows
 GROUP_LIMIT = 1_000_000       # most distinct values ordered in one group
 
 Spans = dict[int, list[tuple[float, float]]]
@@ -26,24 +27,20 @@ Spans = dict[int, list[tuple[float, float]]]
 def quantiles(df: DataFrame, columns, probabilities, exact: bool = True) -> dict[str, list[float | None]]:
     """Quantiles per column with linear interpolation; missing values are ignored.
 
-    ``exact=False`` answers from the sketch alone (one pass).
+    ``exact=False`` answers from the sketches alone (one pass, about 0.5 % rank error).
     """
     columns, probabilities = list(columns), list(probabilities)
     if not columns:
         return {}
     values = df.select(*[_present(df, c).alias(f"c{i}") for i, c in enumerate(columns)])
     asked = _around(probabilities, SLACK) if exact else probabilities
-    row = values.agg(
-        *[F.count(f"c{i}").alias(f"n{i}") for i in range(len(columns))],
-        *[_sketch(F.col(f"c{i}"), asked).alias(f"q{i}") for i in range(len(columns))],
-    ).first()
-    counts = {i: row[f"n{i}"] for i in range(len(columns)) if row[f"n{i}"]}
+    counts, near = sketch(values, {f"c{i}": asked for i in range(len(columns))})
     if not exact:
-        return {c: list(row[f"q{i}"]) if i in counts else [None] * len(probabilities)
-                for i, c in enumerate(columns)}
+        return {c: near[f"c{i}"] or [None] * len(probabilities) for i, c in enumerate(columns)}
 
+    counts = {i: counts[f"c{i}"] for i in range(len(columns)) if counts[f"c{i}"]}
     ranks = {i: {k for p in probabilities for k in _neighbours(n, p)} for i, n in counts.items()}
-    spans = {i: _merge(zip(row[f"q{i}"][0::2], row[f"q{i}"][1::2])) for i in counts}
+    spans = {i: _pairs(near[f"c{i}"]) for i in counts}
     found = _at_ranks(values, ranks, counts, spans, SLACK)
     return {
         c: [_interpolate(found[i], counts[i], p) if i in counts else None for p in probabilities]
@@ -51,12 +48,31 @@ def quantiles(df: DataFrame, columns, probabilities, exact: bool = True) -> dict
     }
 
 
-def _present(df: DataFrame, name: str) -> Column:
-    return F.when(~C.is_missing(f"`{name}`", df.schema[name].dataType), F.col(f"`{name}`").cast("double"))
+def sketch(values: DataFrame, wanted: dict[str, list[float]], points: int | None = None,
+           groups: int = GROUPS) -> tuple[dict[str, int], dict[str, list[float]]]:
+    """Approximate quantiles per column in one pass: (value counts, quantiles).
+
+    Every group of tasks is reduced to ``points`` quantiles on its own; these, weighted by
+    the group's size, give the answer. So no task merges the sketches of all others, and
+    the last one sees ``points * groups`` numbers per column whatever the table's size.
+    """
+    points = points or POINTS
+    even = C.numbers(i / points for i in range(points + 1))
+    parts = values.groupBy(C.task_group(groups).alias("g")).agg(
+        *[F.count(c).alias(f"n_{c}") for c in wanted],
+        *[F.percentile_approx(F.col(f"`{c}`"), even, F.lit(10 * points)).alias(f"q_{c}") for c in wanted])
+    exploded = parts.select(*[f"n_{c}" for c in wanted], F.explode(F.arrays_zip(*[
+        F.coalesce(f"q_{c}", F.array().cast("array<double>")).alias(c) for c in wanted])).alias("q"))
+    row = exploded.agg(
+        *[F.sum(f"n_{c}").alias(f"n_{c}") for c in wanted],
+        *[F.percentile(F.col(f"q.{c}"), C.numbers(probs), F.col(f"n_{c}")).alias(f"q_{c}") for c, probs in wanted.items()],
+    ).first()
+    # Every group of tasks with any value has points + 1 rows, each carrying its counts.
+    return ({c: (row[f"n_{c}"] or 0) // (points + 1) for c in wanted}, {c: row[f"q_{c}"] or [] for c in wanted})
 
 
-def _sketch(column: Column, probabilities) -> Column:
-    return F.percentile_approx(column, F.array(*map(F.lit, probabilities)), F.lit(SKETCH_ACCURACY))
+def _present(df: DataFrame, name: str) -> Column:
+    return F.when(~C.is_missing(f"`{name}`", df.schema[name].dataType), F.col(f"`{name}`").cast("double"))
 
 
 def _around(probabilities, slack: float) -> list[float]:
@@ -74,6 +90,10 @@ def _interpolate(at_rank: dict[int, float], n: int, p: float) -> float:
     return a if a == b else a + (b - a) * ((n - 1) * p - low)
 
 
+def _pairs(edges: list[float]) -> list[tuple[float, float]]:
+    return _merge(zip(edges[0::2], edges[1::2]))
+
+
 def _merge(pairs) -> list[tuple[float, float]]:
     merged: list[tuple[float, float]] = []
     for low, high in sorted(pairs):
@@ -135,11 +155,8 @@ def _at_ranks(values: DataFrame, ranks, counts, spans: Spans, slack: float) -> d
         if slack >= 1.0:
             raise RuntimeError("column changed while its quantiles were computed")
         wider = min(1.0, slack * 30)
-        row = values.agg(*[
-            _sketch(F.col(f"c{i}"), _around([k / counts[i] for k in ks], wider)).alias(f"q{i}")
-            for i, ks in missed.items()
-        ]).first()
-        spans = {i: _merge(zip(row[f"q{i}"][0::2], row[f"q{i}"][1::2])) for i in missed}
+        _, near = sketch(values, {f"c{i}": _around([k / counts[i] for k in ks], wider) for i, ks in missed.items()})
+        spans = {i: _pairs(near[f"c{i}"]) for i in missed}
         again = _at_ranks(values, missed, {i: counts[i] for i in missed}, spans, wider)
         for i, answers in again.items():
             found[i].update(answers)
@@ -162,15 +179,17 @@ def _narrow(values: DataFrame, ranks, spans: Spans, slack: float) -> tuple[Spans
             if shares:
                 requests.append((i, low, high, size, shares))
             below += size
-    row = values.agg(*[
-        _sketch(F.when(F.col(f"c{i}").between(low, high), F.col(f"c{i}")), _around(shares, slack)).alias(f"r{k}")
-        for k, (i, low, high, _, shares) in enumerate(requests)
-    ]).first() if requests else {}
+    near: dict[str, list[float]] = {}
+    if requests:
+        within = values.select(*[
+            F.when(F.col(f"c{i}").between(low, high), F.col(f"c{i}")).alias(f"r{k}")
+            for k, (i, low, high, _, _) in enumerate(requests)])
+        _, near = sketch(within, {f"r{k}": _around(shares, slack) for k, (*_, shares) in enumerate(requests)})
     asked = {i for i, *_ in requests}
     narrowed: Spans = {i: list(pairs) for i, pairs in spans.items() if i not in asked}
     inside: dict[int, float] = dict.fromkeys(narrowed, 0.0)
     for k, (i, _, _, size, shares) in enumerate(requests):
-        edges = list(zip(row[f"r{k}"][0::2], row[f"r{k}"][1::2]))
+        edges = list(zip(near[f"r{k}"][0::2], near[f"r{k}"][1::2]))
         narrowed.setdefault(i, []).extend(edges)
         wide = sum(1 for low, high in edges if low < high)      # a single value is one group row
         inside[i] = inside.get(i, 0.0) + size * min(1.0, 2 * slack) * wide

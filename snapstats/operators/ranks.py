@@ -6,6 +6,9 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from snapstats.functions import columns as C
+from snapstats.operators import quantiles
+
 MAX_BUCKETS = 4096
 BUCKET_ROWS = 100_000
 
@@ -14,17 +17,11 @@ def _bucket(value: Column, bounds: list[float]) -> Column:
     """Number of bounds below ``value``, found in two steps of about sqrt(n) tests."""
     step = math.isqrt(len(bounds)) + 1
     chunks = [bounds[i:i + step] for i in range(0, len(bounds), step)]
-    full = F.size(F.filter(_numbers(c[-1] for c in chunks), lambda b: b < value))
-    chunk = F.try_element_at(F.array(*map(_numbers, chunks)), full + 1)
+    full = F.size(F.filter(C.numbers(c[-1] for c in chunks), lambda b: b < value))
+    chunk = F.try_element_at(F.array(*map(C.numbers, chunks)), full + 1)
     return full * step + F.coalesce(F.size(F.filter(chunk, lambda b: b < value)), F.lit(0))
 
 
-def _numbers(values) -> Column:
-    """Array literal, parsed at once: a call per number would cost more than the query."""
-    texts = (f"{v!r}D" if math.isfinite(v) else f"CAST('{v!r}' AS DOUBLE)" for v in map(float, values))
-    return F.expr(f"array({', '.join(texts)})")
-
-
 def range_bounds(df: DataFrame, columns) -> dict[str, list[float]]:
     """Cut points that split each column into ranges of about ``BUCKET_ROWS`` rows.
 
@@ -33,12 +30,10 @@ def range_bounds(df: DataFrame, columns) -> dict[str, list[float]]:
     buckets = min(MAX_BUCKETS, df.count() // BUCKET_ROWS)
     if buckets < 2:
         return {c: [] for c in columns}
-    shares = _numbers(i / buckets for i in range(1, buckets))
-    row = df.agg(*[
-        F.percentile_approx(F.col(c).cast("double"), shares, F.lit(10 * buckets)).alias(f"b{i}")
-        for i, c in enumerate(columns)
-    ]).first()
-    return {c: sorted(set(row[f"b{i}"] or [])) for i, c in enumerate(columns)}
+    values = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(columns)])
+    shares = [i / buckets for i in range(1, buckets)]
+    _, cuts = quantiles.sketch(values, {f"c{i}": shares for i in range(len(columns))}, points=buckets)
+    return {c: sorted(set(cuts[f"c{i}"])) for i, c in enumerate(columns)}
 
 
 def value_ranks(df: DataFrame, column: str, bounds: list[float] | None = None) -> DataFrame:

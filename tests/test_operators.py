@@ -25,12 +25,12 @@ def expected_quantiles(data, column, probabilities):
     return list(np.quantile(values, probabilities))
 
 
-@pytest.mark.parametrize("limit, accuracy, slack", [
-    (1_000_000, 10_000, 3e-4), (20, 10_000, 3e-4), (1_000_000, 50, 1e-6), (30, 200, 1e-3)])
-def test_quantiles_match_numpy(numbers, monkeypatch, limit, accuracy, slack):
+@pytest.mark.parametrize("limit, points, slack", [
+    (1_000_000, 400, 5e-3), (20, 400, 5e-3), (1_000_000, 10, 1e-6), (30, 40, 1e-3)])
+def test_quantiles_match_numpy(numbers, monkeypatch, limit, points, slack):
     df, data = numbers
     monkeypatch.setattr(quantiles, "GROUP_LIMIT", limit)
-    monkeypatch.setattr(quantiles, "SKETCH_ACCURACY", accuracy)
+    monkeypatch.setattr(quantiles, "POINTS", points)
     monkeypatch.setattr(quantiles, "SLACK", slack)
     probabilities = (0.0, 0.25, 0.5, 0.99, 1.0)
     got = quantiles.quantiles(df, ["hot", "rare", "small"], probabilities)
@@ -38,6 +38,15 @@ def test_quantiles_match_numpy(numbers, monkeypatch, limit, accuracy, slack):
         assert got[c] == pytest.approx(expected_quantiles(data, i, probabilities), abs=1e-12)
 
 
+def test_sketch_counts_exactly_and_is_near(numbers):
+    df, data = numbers
+    counts, near = quantiles.sketch(df.select("hot", F.when(~F.isnan("rare"), F.col("rare")).alias("rare")),
+                                    {"hot": [0.0, 0.9, 1.0], "rare": [0.5]}, groups=3)
+    assert counts == {"hot": 4000, "rare": sum(r[2] is not None and not math.isnan(r[2]) for r in data)}
+    assert near["hot"][0] == min(r[1] for r in data) and near["hot"][-1] == max(r[1] for r in data)
+    assert near["rare"][0] == pytest.approx(expected_quantiles(data, 2, [0.5])[0], abs=0.02)
+
+
 def test_quantiles_of_nothing(spark):
     empty = spark.createDataFrame([(None,), (None,)], "x DOUBLE")
     assert quantiles.quantiles(empty, ["x"], (0.5,)) == {"x": [None]}
