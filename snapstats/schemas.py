@@ -150,6 +150,16 @@ PARTITION_SOURCE = {
     "data_quality": "validation_timestamp",
     "pipeline_log": "execution_date",
 }
+# The columns each table is sorted by within a day.
+CLUSTER_COLUMNS = {
+    "countries": ("country",),
+    "continents": ("continent",),
+    "states": ("state",),
+    "vaccines": ("country",),
+    "historical": ("country", "metric"),
+    "data_quality": ("table_name",),
+    "pipeline_log": ("task_name", "status"),
+}
 PARTITION_COLUMN = "snapshot_date"
 SEQUENCE_COLUMN = "ingest_seq"      # position of a row in its landing file
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from snapstats import schemas as S
@@ -39,15 +39,14 @@ def parquet_stream(spark: SparkSession, directory: str, like: DataFrame, max_fil
 def write_batches(stream: DataFrame, out: str, checkpoint: str, step, partition_by=()) -> StreamingQuery:
     """Apply ``step`` to every micro-batch and store it under its batch id.
 
-    A batch that is retried after a failure replaces its own partition, so the sink
-    holds every batch exactly once.
+    A batch that is retried after a failure replaces its own folder, so the sink holds
+    every batch exactly once.
     """
     def store(batch: DataFrame, batch_id: int) -> None:
         batch.persist()      # a step may pass over the batch more than once (medians, then rows)
         try:
-            rows = step(batch).withColumn(BATCH_COLUMN, F.lit(batch_id))
-            (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy(BATCH_COLUMN, *partition_by).parquet(out))
+            writers.write_dataset(
+                step(batch), f"{out}/{BATCH_COLUMN}={batch_id}", mode="overwrite", partition_by=partition_by)
         finally:
             batch.unpersist()
 
