@@ -109,8 +109,10 @@ def top_ranked(df: DataFrame, by: str, ranked: dict[str, str], n: int, tiebreak=
 
 
 def _passed(column: str) -> Column:
-    """How many cuts the row's value exceeds."""
-    return F.size(F.filter(F.col(f"best.cut_{column}"), lambda cut: cut < F.col(column)))
+    """How many cuts the row's value exceeds; most rows are done after the lowest one."""
+    cuts = F.col(f"best.cut_{column}")
+    return F.when(F.col(column) <= F.get(cuts, F.lit(0)), F.lit(0)).otherwise(
+        F.size(F.filter(cuts, lambda cut: cut < F.col(column))))
 
 
 def _rank(column: str) -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import logging
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -11,14 +12,17 @@ from snapstats import schemas as S
 from snapstats.plans import quality, transforms
 from snapstats.sources import readers, writers
 
+log = logging.getLogger(__name__)
+
+FEW_RECORDS = 10
 STEPS = ("extract", "transform", "store", "load")
 CORE_STEPS = ("extract", "transform")
 
 
 def run_steps(spark: SparkSession, landing: str, out: str, as_of, step: str = "all", skip=(),
               prefix: str = "stats_", include_history: bool = True, days: int | str | None = 30,
-              datasets=S.SNAPSHOT_DATASETS + ("vaccines",), execution_id: str | None = None, lines: bool = False, log_table: str | None = None,
-              quality_table: str | None = None) -> dict:
+              datasets=S.SNAPSHOT_DATASETS + ("vaccines",), execution_id: str | None = None, lines: bool = False,
+              log_table: str | None = None, quality_table: str | None = None) -> dict:
     """Run all steps, or one.
 
     Steps hand data on through the files they wrote, so each can also run alone and a
@@ -63,10 +67,14 @@ def run_steps(spark: SparkSession, landing: str, out: str, as_of, step: str = "a
     return result
 
 
+def _manifest(spark: SparkSession, out: str, stage: str, run_id: str) -> list[dict]:
+    listed = spark.read.schema(writers.MANIFEST_SCHEMA).json(f"{out}/manifests/{stage}/run={run_id}")
+    return [r.asDict() for r in listed.collect()]      # one row per data set
+
+
 def _stage(spark: SparkSession, out: str, stage: str, run_id: str) -> dict[str, DataFrame]:
     """Data sets a stage of this run has written."""
-    listed = spark.read.schema(writers.MANIFEST_SCHEMA).json(f"{out}/manifests/{stage}/run={run_id}")
-    return writers.read_bundle(spark, [r.asDict() for r in listed.collect()])
+    return writers.read_bundle(spark, _manifest(spark, out, stage, run_id))
 
 
 def _keep(spark: SparkSession, bundle: dict[str, DataFrame], out: str, stage: str, run_id: str):
@@ -80,6 +88,9 @@ def _extract(spark, landing, out, as_of, run_id, include_history, days, datasets
     bundle = readers.read_all(
         spark, landing, as_of, include_history=include_history, days=days, datasets=datasets, lines=lines)
     manifest, records = _keep(spark, bundle, out, "raw", run_id)
+    for entry in manifest:
+        if entry["record_count"] < FEW_RECORDS:
+            log.warning("data set %s has %d records", entry["data_type"], entry["record_count"])
     if not any(m["status"] == "written" for m in manifest):
         raise ValueError("no data sets were extracted")
     return manifest, records
@@ -104,10 +115,9 @@ def _store(spark, out, run_id):
 
 
 def _load(spark, out, run_id, prefix):
-    data = _stage(spark, out, "processed", run_id)
-    loaded = writers.load_tables(data, prefix, "append")
-    counts = quality.bundle_summary({f"{prefix}{k}": df for k, df in data.items()})
-    return loaded, sum(r["record_count"] for r in counts.select("record_count").collect())
+    manifest = _manifest(spark, out, "processed", run_id)
+    loaded = writers.load_tables(writers.read_bundle(spark, manifest), prefix, "append")
+    return loaded, sum(m["record_count"] for m in manifest if loaded.get(f"{prefix}{m['data_type']}"))
 
 
 def reconcile(spark: SparkSession, manifest: list[dict], prefix: str, stamp) -> DataFrame:

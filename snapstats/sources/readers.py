@@ -140,5 +140,8 @@ def latest_file(df: DataFrame) -> DataFrame:
 
 
 def parse_literal(column: Column | str, ddl: str) -> Column:
-    """Struct or array text as written by Python (single quotes) to a typed column."""
-    return F.from_json(C.as_col(column), ddl, {"allowSingleQuotes": "true"})
+    """Struct or array text as written by Python (single quotes, ``None``) to a typed column."""
+    text = C.as_col(column)
+    for word, json in (("None", "null"), ("True", "true"), ("False", "false")):
+        text = F.regexp_replace(text, rf"([:\[,] ?){word}(?=[,\]}}])", f"$1{json}")
+    return F.from_json(text, ddl, {"allowSingleQuotes": "true"})

@@ -19,6 +19,11 @@ from snapstats.sources import readers
 
 JDBC_BATCH = 10_000
 PARALLEL_WRITES = 4
+# Times in text files keep their microseconds.
+TEXT_TIMES = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
 _MODES = {"append": "append", "replace": "overwrite", "fail": "errorifexists"}
 MANIFEST_SCHEMA = (
     "data_type STRING, uri STRING, file_format STRING, record_count BIGINT, column_count INT, "
@@ -37,7 +42,7 @@ def write_dataset(df: DataFrame, uri: str, fmt: str = "parquet", mode: str = "ap
     if fmt not in readers.FORMATS:
         raise ValueError(f"unsupported file format: {fmt}")
     out = nested_to_json(df) if fmt == "csv" else df
-    writer = out.write.mode(mode)
+    writer = out.write.mode(mode).options(**TEXT_TIMES)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if fmt == "csv":
@@ -259,11 +264,13 @@ def upsert_table(spark: SparkSession, path: str, new: DataFrame, keys, order,
                  partition: str = S.PARTITION_COLUMN) -> list:
     """Merge ``new`` into partitioned Parquet: only partitions ``new`` touches are rewritten.
 
-    The merged rows are checkpointed in the shared folder before the old partitions are
-    replaced, so neither a lost executor nor a failed commit can lose them. Rows that
-    repeat one key must carry the same partition value. Returns the touched partitions.
+    The batch and the merged rows are checkpointed in the shared folder first: the batch so
+    that the touched partitions and the merge see the same rows, the result so that a lost
+    executor cannot lead back to partitions that are already replaced. Rows that repeat one
+    key must carry the same partition value. Returns the touched partitions.
     """
     ensure_checkpoint_dir(spark)
+    new = new.checkpoint()
     touched = [r[0] for r in new.select(partition).distinct().collect()]     # one value per day
     existing = spark.read.parquet(path).filter(F.col(partition).isin(touched))
     merged = dedup.upsert_latest(existing, new, keys, order).select(*existing.columns).checkpoint()

@@ -56,7 +56,11 @@ def test_vaccines_long(spark, landing):
 
 
 def test_python_literals(spark):
-    df = spark.createDataFrame([("{'_id': 4, 'iso2': 'AF', 'lat': 33}", "['a', 'b']")], "i STRING, c STRING")
+    df = spark.createDataFrame([("{'_id': 4, 'iso2': 'AF', 'lat': 33}", "['a', 'b']"),
+                                ("{'_id': None, 'iso2': 'None', 'lat': None}", """['None', "d'I", None]""")], "i STRING, c STRING")
+    last = df.select(readers.parse_literal("i", "_id INT, iso2 STRING, lat DOUBLE").alias("i"),
+                     readers.parse_literal("c", "ARRAY<STRING>").alias("c")).tail(1)[0]
+    assert (tuple(last["i"]), last["c"]) == ((None, "None", None), ["None", "d'I", None])
     row = df.select(readers.parse_literal("i", "_id INT, iso2 STRING, lat DOUBLE").alias("i"),
                     readers.parse_literal("c", "ARRAY<STRING>").alias("c")).first()
     assert (row["i"]["_id"], row["i"]["lat"], row["c"]) == (4, 33.0, ["a", "b"])
@@ -65,7 +69,7 @@ def test_python_literals(spark):
 @pytest.fixture
 def sample(spark):
     return spark.createDataFrame(
-        [(1, 'say "hi", you', dt.datetime(2024, 5, 1, 1, 2, 3), None), (2, None, None, 2.5)],
+        [(1, 'say "hi", you', dt.datetime(2024, 5, 1, 1, 2, 3, 456789), None), (2, None, None, 2.5)],
         "id BIGINT, text STRING, updated TIMESTAMP, x DOUBLE")
 
 
