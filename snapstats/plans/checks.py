@@ -47,15 +47,25 @@ def row_check_tests(as_of, freshness_hours: int = 48, max_mortality: float = 0.2
     }
 
 
-def row_checks(df: DataFrame, tests: dict[str, tuple[Column, int]], table: str = "countries", only=None) -> DataFrame:
-    """Evaluate row tests in one pass; ``only`` picks some by name."""
-    picked = {k: v for k, v in tests.items() if only is None or k in only}
-    rows = F.array(*[
-        F.struct(F.lit(table).alias("table_name"), F.lit(name).alias("check_type"),
-                 F.count_if(test).alias("count"), C.status(F.count_if(test) > allowed).alias("status"))
-        for name, (test, allowed) in picked.items()
+def row_checks(df: DataFrame, tests: dict[str, tuple[Column, int]], table: str = "countries", only=None,
+               min_records: int | None = None) -> DataFrame:
+    """Evaluate row tests in one pass; ``only`` picks some by name.
+
+    ``min_records`` adds the check that the table has at least that many rows.
+    """
+    counts = {
+        name: (F.count_if(test), F.count_if(test) > allowed)
+        for name, (test, allowed) in tests.items() if only is None or name in only
+    }
+    if min_records is not None:
+        rows = F.count(F.lit(1))
+        counts["minimum_record_count"] = (rows, rows < min_records)
+    results = F.array(*[
+        F.struct(F.lit(table).alias("table_name"), F.lit(name).alias("check_type"), count.alias("count"),
+                 C.status(failed).alias("status"))
+        for name, (count, failed) in counts.items()
     ])
-    return df.agg(rows.alias("r")).select(F.explode("r").alias("r")).select("r.*")
+    return df.agg(results.alias("r")).select(F.explode("r").alias("r")).select("r.*")
 
 
 def q_duplicate_countries(df: DataFrame, keys=("country", "extraction_date"), table: str = "countries",
@@ -177,11 +187,8 @@ def q_summary(checks: DataFrame) -> DataFrame:
 def all_checks(countries: DataFrame, history: DataFrame | None, as_of, min_records: int = 190, **limits) -> DataFrame:
     """Every check of this module that the given tables allow, as one set of check rows."""
     parts = [
-        row_checks(countries, row_check_tests(as_of, **limits)),
+        row_checks(countries, row_check_tests(as_of, **limits), min_records=min_records),
         q_duplicate_countries(countries),
-        q_min_record_counts({"countries": countries}, {"countries": min_records}).select(
-            "table_name", F.lit("minimum_record_count").alias("check_type"),
-            F.col("record_count").alias("count"), "status"),
     ]
     if history is not None:
         parts += [q_date_gaps(history), q_completeness_major(countries, history),

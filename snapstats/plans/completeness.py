@@ -175,19 +175,20 @@ def m_scores(countries: DataFrame, history: DataFrame, as_of, days: int = 7) ->
 def m_summary(countries: DataFrame, history: DataFrame, as_of, days: int = 30) -> DataFrame:
     """Dashboard row with a JSON object of totals.
 
-    Distinct counts run as count over distinct rows, so no distinct set gathers.
+    Each table is reduced to one row per member first, in a single pass; members are
+    counted on that.
     """
     recent = _recent(history, as_of, days)
 
-    def side(df: DataFrame, members: list[str]) -> DataFrame:
-        row = df.agg(F.max("extraction_date").alias("latest_data"), F.count(F.lit(1)).alias("records"))
-        return row.withColumns({
-            f"total_{alias}": df.filter(F.col(c).isNotNull()).select(c).distinct().agg(F.count(c)).scalar()
-            if c in members else F.lit(0).cast("bigint")
-            for c, alias in (("country", "countries"), ("continent", "continents"))
-        })
+    def side(df: DataFrame, members: list[str], continents: Column) -> DataFrame:
+        per_member = df.groupBy(*members).agg(
+            F.max("extraction_date").alias("latest"), F.count(F.lit(1)).alias("n"))
+        return per_member.agg(
+            F.max("latest").alias("latest_data"), F.coalesce(F.sum("n"), F.lit(0)).alias("records"),
+            F.count_distinct("country").alias("total_countries"), continents.alias("total_continents"))
 
-    both = side(countries, ["country", "continent"]).unionByName(side(recent, ["country"]))
+    both = side(countries, ["country", "continent"], F.count_distinct("continent")).unionByName(
+        side(recent, ["country"], F.lit(0).cast("bigint")))
     totals = both.agg(
         F.max("total_countries").alias("total_countries"), F.max("total_continents").alias("total_continents"),
         F.max("latest_data").alias("latest_data"), F.sum("records").alias("total_records"))

@@ -84,7 +84,7 @@ def rollup_by(df: DataFrame, key: str = "continent", columns=("cases", "deaths",
 def share_of_total(df: DataFrame, key: str = "continent", column: str = "cases") -> DataFrame:
     """Sum per group and its percentage of the whole."""
     sums = df.groupBy(key).agg(F.sum(column).alias(column))
-    whole = df.agg(F.sum(column)).scalar()
+    whole = sums.agg(F.sum(column)).scalar()      # from the group sums: no second scan
     return sums.withColumn("share_pct", F.try_divide(F.col(column) * F.lit(100.0), whole)).orderBy(
         F.desc(column), F.asc(key))
 
