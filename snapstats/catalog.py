@@ -248,10 +248,9 @@ def map_values(spark, sf):
 
 
 @query("""SELECT c_custkey, coalesce(n_name, CAST(c_nationkey AS VARCHAR)) AS place FROM customer
-  LEFT JOIN nation ON c_nationkey = n_nationkey AND n_regionkey < 3""")
+  LEFT JOIN nation ON c_nationkey = n_nationkey""")
 def map_values_table(spark, sf):
-    names = bind.table(spark, sf, "nation").filter("n_regionkey < 3").select(
-        F.col("n_nationkey").cast("string").alias("old"), "n_name")
+    names = bind.table(spark, sf, "nation").select(F.col("n_nationkey").cast("string").alias("old"), "n_name")
     rows = bind.table(spark, sf, "customer").select("c_custkey", F.col("c_nationkey").cast("string").alias("place"))
     return clean.map_values(rows, "place", names)
 
@@ -289,8 +288,8 @@ def clip_lower(spark, sf):
     return clean.clip_lower(rows)
 
 
-@query("""SELECT o_orderkey, year(o_orderdate) AS year, month(o_orderdate) AS month,
-  isodow(o_orderdate) - 1 AS day_of_week, weekofyear(o_orderdate) AS week_of_year FROM orders""")
+@query("""SELECT o_orderkey, CAST(year(o_orderdate) AS INT) AS year, CAST(month(o_orderdate) AS INT) AS month,
+  CAST(isodow(o_orderdate) - 1 AS INT) AS day_of_week, CAST(weekofyear(o_orderdate) AS INT) AS week_of_year FROM orders""")
 def calendar(spark, sf):
     rows = bind.table(spark, sf, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("date"))
     return clean.with_calendar(rows).drop("date")
@@ -420,7 +419,7 @@ def dedup_nested(spark, sf):
     return dedup.dedup_rows(doubled).filter(some).agg(F.count(F.lit(1)).alias("documents"))
 
 
-@query("""SELECT sum(n) AS row_count, CAST(sum(n - 1) AS BIGINT) AS duplicate_count,
+@query("""SELECT CAST(sum(n) AS BIGINT) AS row_count, CAST(sum(n - 1) AS BIGINT) AS duplicate_count,
   sum(n - 1) / sum(n) AS duplicate_percentage FROM (SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber)""")
 def duplicate_stats(spark, sf):
     return dedup.duplicate_stats(bind.table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])
@@ -500,7 +499,7 @@ def doubling_time(spark, sf):
 @query(f"""WITH {HISTORY}, g AS (SELECT country, metric, date, lag(date) OVER (PARTITION BY country, metric ORDER BY date)
   AS prev_date FROM history WHERE country <> 'Global')
   SELECT country, metric, CAST(date AS VARCHAR) AS date, CAST(prev_date AS VARCHAR) AS prev_date,
-  datediff('day', prev_date, date) AS gap_days FROM g WHERE datediff('day', prev_date, date) > 1""")
+  CAST(datediff('day', prev_date, date) AS INT) AS gap_days FROM g WHERE datediff('day', prev_date, date) > 1""")
 def date_gaps(spark, sf):
     return series.date_gaps(bind.history(spark, sf))
 
@@ -969,7 +968,7 @@ def file_quality(spark, sf):
 
 @query(f"""WITH {_OBSERVED}, v AS (SELECT 'history' AS dataset, n, 4 AS k FROM facts UNION ALL SELECT 'nation', count(*), 3 FROM nation)
   SELECT 'total' AS level, CAST(NULL AS VARCHAR) AS dataset, CAST(sum(n) AS BIGINT) AS record_count, CAST(NULL AS INT) AS column_count,
-    count(*) AS valid_datasets, 0 AS invalid_datasets FROM v
+    count(*) AS valid_datasets, CAST(0 AS BIGINT) AS invalid_datasets FROM v
   UNION ALL SELECT 'dataset', dataset, n, k, 1, 0 FROM v""")
 def validation_report(spark, sf):
     results = quality.validate(observations(spark, sf), "historical", bind.HISTORY_AS_OF).withColumn(
