@@ -121,14 +121,18 @@ def format_of(path: str) -> str:
 
 
 def read_dataset(spark: SparkSession, path: str, fmt: str | None = None,
-                 schema: T.StructType | str | None = None) -> DataFrame:
-    """Read back Parquet, CSV (header, quotes doubled) or JSON lines on any Hadoop file system."""
+                 schema: T.StructType | str | None = None, multiline: bool = False) -> DataFrame:
+    """Read back Parquet, CSV (header, quotes doubled) or JSON lines on any Hadoop file system.
+
+    ``multiline`` reads CSV cells that hold line breaks; each file is then one task's work,
+    which suits files this engine wrote but not one huge file.
+    """
     fmt = (fmt or format_of(path)).lower()
     if fmt not in FORMATS:
         raise ValueError(f"unsupported file format: {fmt}")
     reader = spark.read if schema is None else spark.read.schema(schema)
     if fmt == "csv":
-        return reader.option("header", True).option("escape", '"').csv(path)
+        return reader.option("header", True).option("escape", '"').option("multiLine", multiline).csv(path)
     return reader.parquet(path) if fmt == "parquet" else reader.json(path)
 
 

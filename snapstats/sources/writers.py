@@ -87,7 +87,8 @@ def write_bundle(bundle: dict[str, DataFrame], directory: str, fmt: str = "parqu
                 entry["status"] = "empty"
             else:
                 write_dataset(df, uri, fmt, mode="overwrite")
-                entry["record_count"] = readers.read_dataset(df.sparkSession, uri, fmt, _stored(df, fmt)).count()
+                entry["record_count"] = readers.read_dataset(
+                    df.sparkSession, uri, fmt, _stored(df, fmt), multiline=True).count()
         except Exception as problem:
             if strict:
                 raise
@@ -105,7 +106,8 @@ def _stored(df: DataFrame, fmt: str) -> T.StructType:
 def read_bundle(spark: SparkSession, manifest: list[dict], schemas: dict[str, T.StructType] | None = None) -> dict[str, DataFrame]:
     """Read back what a manifest lists as written."""
     return {
-        m["data_type"]: readers.read_dataset(spark, m["uri"], m["file_format"], (schemas or {}).get(m["data_type"]))
+        m["data_type"]: readers.read_dataset(
+            spark, m["uri"], m["file_format"], (schemas or {}).get(m["data_type"]), multiline=True)
         for m in manifest if m["status"] == "written"
     }
 

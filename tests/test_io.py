@@ -80,6 +80,15 @@ def test_round_trip(spark, sample, tmp_path, fmt):
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, sample.collect()))
 
 
+def test_line_breaks_in_csv_cells(spark, tmp_path):
+    df = spark.createDataFrame([(i, 'a\n"b"\r\nc') for i in range(20)], "id INT, text STRING")
+    manifest = writers.write_bundle({"notes": df}, str(tmp_path), "csv", "s")
+    assert manifest[0]["record_count"] == 20
+    back = writers.read_bundle(spark, manifest, {"notes": df.schema})["notes"]
+    assert {r["id"] for r in back.collect()} == set(range(20))
+    assert {r["text"].replace("\r\n", "\n") for r in back.collect()} == {'a\n"b"\nc'}
+
+
 def test_unknown_format(spark, sample, tmp_path):
     with pytest.raises(ValueError):
         writers.write_dataset(sample, str(tmp_path), "xml")
