@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapstats.llm import decontaminate, language
+from snapstats.llm import decontaminate, language, packing
 from snapstats.llm.common import table
 
+WORD_TOKENIZER = "word_bpe_49k.json"
 HELD_OUT = "pmod(crc32(cast(cast(doc_id as string) as binary)), 5) = 0"
 
 
@@ -16,6 +18,11 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces and their places in sequences of at most 2048 tokens."""
+    return packing.pack(packing.pieces(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_TOKENIZER)))
+
+
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document, learned from four fifths of the labelled ones."""
     docs = table(spark, sf_dir, "documents")
@@ -26,6 +33,7 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
+    "op5_packing": op5_packing,
     "op8_language": op8_language,
 }
 

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import re
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -14,8 +17,23 @@ from pyspark.sql.types import StructType
 BATCH_ROWS = 256
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once a context: they need not share the driver's folders."""
+    context = spark.sparkContext
+    if hasattr(context, "_snapstats_sent"):
+        return
+    top = Path(__file__).resolve().parents[1]
+    context._snapstats_sent = folder = tempfile.TemporaryDirectory()  # kept as long as the context
+    packed = Path(folder.name, "snapstats_package.zip")
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as out:
+        for file in sorted(top.rglob("*.py")):
+            out.write(file, file.relative_to(top.parent))
+    context.addPyFile(str(packed))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table of the data set; batches that reach Python stay small."""
+    ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -28,8 +46,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         if not folder:
             if not context.master.startswith("local["):
                 raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-            import tempfile
-
             folder = tempfile.mkdtemp(prefix="run-checkpoint-")
         context.setCheckpointDir(folder)
 
