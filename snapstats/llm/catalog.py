@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapstats.llm import decontaminate, language, packing
+from snapstats.llm import decontaminate, language, packing, token_counts
 from snapstats.llm.common import table
 
 WORD_TOKENIZER = "word_bpe_49k.json"
@@ -18,6 +18,17 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document before and after four edits: one half way, an insertion, a deletion, an ending."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.length("text").alias("n")).select(
+        "doc_id", "text", F.expr("""array(
+            named_struct('start', n div 2, 'end', n div 2 + 20, 'new', upper(substr(text, 1, 20))),
+            named_struct('start', n div 4, 'end', n div 4, 'new', ' it\\'s 42 '),
+            named_struct('start', 3 * n div 4, 'end', 3 * n div 4 + 10, 'new', ''),
+            named_struct('start', n + 100, 'end', n + 100, 'new', substr(text, n div 2, 30)))""").alias("edits"))
+    return token_counts.count(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, edits="edits")
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's pieces and their places in sequences of at most 2048 tokens."""
     return packing.pack(packing.pieces(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_TOKENIZER)))
@@ -33,6 +44,7 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
+    "op2_token_counts": op2_token_counts,
     "op5_packing": op5_packing,
     "op8_language": op8_language,
 }
