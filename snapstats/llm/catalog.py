@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapstats.llm import decontaminate, language, packing, token_counts
+from snapstats.llm import decontaminate, language, minhash, packing, token_counts
 from snapstats.llm.common import table
 
 WORD_TOKENIZER = "word_bpe_49k.json"
@@ -34,6 +34,11 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.pieces(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_TOKENIZER)))
 
 
+def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of documents at a similarity of 0.85."""
+    return minhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), percent=85)
+
+
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document, learned from four fifths of the labelled ones."""
     docs = table(spark, sf_dir, "documents")
@@ -46,6 +51,7 @@ QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_token_counts": op2_token_counts,
     "op5_packing": op5_packing,
+    "op7_minhash": op7_minhash,
     "op8_language": op8_language,
 }
 
