@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapstats.llm import decontaminate, language, minhash, packing, token_counts
+from snapstats.llm import decontaminate, language, minhash, packing, substrings, token_counts
 from snapstats.llm.common import table
 
 WORD_TOKENIZER = "word_bpe_49k.json"
@@ -29,6 +29,11 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, edits="edits")
 
 
+def op3_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without its repeated strings of 400 bytes."""
+    return substrings.remove(table(spark, sf_dir, "documents")).drop("kept_text")
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's pieces and their places in sequences of at most 2048 tokens."""
     return packing.pack(packing.pieces(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_TOKENIZER)))
@@ -50,6 +55,7 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_token_counts": op2_token_counts,
+    "op3_substrings": op3_substrings,
     "op5_packing": op5_packing,
     "op7_minhash": op7_minhash,
     "op8_language": op8_language,
