@@ -2,20 +2,22 @@
 
 from __future__ import annotations
 
+import uuid
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapstats.llm import decontaminate, language, minhash, packing, substrings, token_counts
-from snapstats.llm.common import table
+from snapstats.llm import decontaminate, language, licenses, minhash, packing, paragraph_sketch, sentences, substrings, token_counts, warc
+from snapstats.llm.common import ensure_checkpoint_dir, table
 
 WORD_TOKENIZER = "word_bpe_49k.json"
 HELD_OUT = "pmod(crc32(cast(cast(doc_id as string) as binary)), 5) = 0"
 
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Benchmark passages in documents, by the contract's columns and their places in the text."""
-    return decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    """How much of every document is benchmark passages, and of which items."""
+    return decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("items", "spans")
 
 
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,11 +36,24 @@ def op3_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove(table(spark, sf_dir, "documents")).drop("kept_text")
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to WARC files in the shared folder, and what reading them back finds."""
+    ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/warc-{uuid.uuid4()}"
+    warc.write(table(spark, sf_dir, "pages"), path)
+    return warc.records(warc.read_chunks(spark, path))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's pieces and their places in sequences of at most 2048 tokens."""
     return packing.pack(packing.pieces(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_TOKENIZER)))
 
 
+def op6_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without sentences of passages that occur before it or earlier in it."""
+    return sentences.remove(table(spark, sf_dir, "documents")).drop("removed_at")
+
+
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of documents at a similarity of 0.85."""
     return minhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), percent=85)
@@ -52,15 +67,36 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.expr(HELD_OUT).alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents, or lines of them, that are known licence texts by their canonical digests."""
+    return licenses.scan(table(spark, sf_dir, "documents"), licenses.known_digests(spark))
+
+
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketch fingerprints of every document and its edited text, and their likeness."""
+    return paragraph_sketch.fingerprints(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_token_counts": op2_token_counts,
     "op3_substrings": op3_substrings,
+    "op4_warc": op4_warc,
     "op5_packing": op5_packing,
+    "op6_sentences": op6_sentences,
     "op7_minhash": op7_minhash,
     "op8_language": op8_language,
+    "op9_licenses": op9_licenses,
+    "op10_fingerprints": op10_fingerprints,
 }
 
+_CANONICAL = f"regexp_replace(lower(regexp_replace(text, '{licenses.COPYRIGHT}', chr(10), 'g')), '{licenses.DASHES}', ' ', 'g')"
+_CANONICAL = f"' ' || regexp_replace({_CANONICAL}, '{licenses.MARKS}', '  ', 'g') || ' '"
+for _one, _other in licenses.SPELLINGS:
+    _CANONICAL = f"replace({_CANONICAL}, ' {_one.replace(' ', '  ')} ', ' {_other.replace(' ', '  ')} ')"
+_CANONICAL = f"trim(regexp_replace({_CANONICAL}, ' +', ' ', 'g'))"
+_KNOWN = ", ".join("('{}', '{}')".format(a, b.replace("'", "''")) for a, b in licenses.KNOWN)
+
 ORACLE = {
     "op1_decontaminate": r"""
         WITH i AS (SELECT DISTINCT CAST(item_id AS VARCHAR) AS item,
@@ -84,4 +120,75 @@ ORACLE = {
                sha256(coalesce(items, '')) AS items_sha256,
                coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
         FROM d LEFT JOIN h USING (doc_id) LEFT JOIN o USING (doc_id)""",
+    "op4_warc": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS data FROM pages),
+             d AS (SELECT page_id, CAST(strlen(data) AS BIGINT) AS n, sha1(data) AS hex FROM p),
+             t AS (SELECT *, max(page_id) OVER (PARTITION BY hex, n) AS top FROM d)
+        SELECT page_id, n AS payload_bytes,
+               array_to_string([array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                   CAST((CAST('0x' || substr(hex, 5 * i + 1, 5) AS INTEGER) // k) % 32 + 1 AS INTEGER), 1) FOR k IN [32768, 1024, 32, 1]], '')
+                   FOR i IN range(0, 8)], '')
+                   AS payload_digest,
+               CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id = top THEN NULL ELSE top END AS refers_to
+        FROM t""",
+    "op6_sentences": f"""
+        WITH d AS (SELECT doc_id, text, coalesce(regexp_extract_all(text, '{sentences.SENTENCE}'), []) AS s FROM documents),
+             f AS (SELECT doc_id, [lower(trim(regexp_replace(x, '[ \\t\\r\\n]+', ' ', 'g'), ' ')) FOR x IN s] AS s FROM d),
+             r AS (SELECT doc_id, pos, array_to_string(s[pos:pos + 2], chr(10)) AS run
+                   FROM (SELECT doc_id, s, unnest(range(1, len(s) - 1)) AS pos FROM f)),
+             w AS (SELECT * FROM r WHERE len([x FOR x IN regexp_split_to_array(run, '[ \\n]+') IF x <> '']) >= {sentences.SPAN_WORDS}),
+             c AS (SELECT *, row_number() OVER (PARTITION BY run ORDER BY doc_id, pos) AS n FROM w),
+             g AS (SELECT doc_id, list_sort(list(DISTINCT gone)) AS gone
+                   FROM (SELECT doc_id, unnest(range(pos, pos + 3)) AS gone FROM c WHERE n > 1) GROUP BY doc_id)
+        SELECT doc_id, CAST(len(s) AS BIGINT) AS n_sentences, CAST(coalesce(len(gone), 0) AS BIGINT) AS n_removed,
+               CASE WHEN gone IS NULL THEN text
+                    ELSE array_to_string([s[n] FOR n IN range(1, len(s) + 1) IF NOT list_contains(gone, n)], '') END AS kept_text
+        FROM d LEFT JOIN g USING (doc_id)""",
+    "op7_minhash": r"""
+        WITH RECURSIVE d AS (SELECT doc_id, coalesce(regexp_extract_all(
+                       translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+             s AS (SELECT DISTINCT doc_id, array_to_string(w[pos + 1:pos + 5], ' ') AS shingle
+                   FROM (SELECT doc_id, w, unnest(range(0, greatest(len(w) - 4, 1))) AS pos FROM d WHERE len(w) > 0)),
+             n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+             c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM s a JOIN s b USING (shingle) WHERE a.doc_id <> b.doc_id GROUP BY 1, 2),
+             l AS (SELECT a, b FROM c JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id WHERE 100 * shared >= 85 * (x.n + y.n - shared)),
+             reach AS (SELECT a, b FROM l UNION SELECT reach.a, l.b FROM reach JOIN l ON reach.b = l.a),
+             m AS (SELECT a, min(b) AS least FROM reach GROUP BY a)
+        SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(m.least, d.doc_id)) AS component_id,
+               d.doc_id <= coalesce(m.least, d.doc_id) AS kept
+        FROM d LEFT JOIN n USING (doc_id) LEFT JOIN m ON m.a = d.doc_id""",
+    "op9_licenses": f"""
+        WITH k AS (SELECT DISTINCT sha256({_CANONICAL}) AS digest, license FROM (VALUES {_KNOWN}) AS t(license, text)),
+             u AS (SELECT doc_id, TRUE AS whole, text FROM documents
+                   UNION ALL SELECT doc_id, FALSE, line FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents) WHERE line <> ''),
+             f AS (SELECT doc_id, whole, CASE WHEN form <> '' THEN sha256(form) END AS digest FROM (SELECT doc_id, whole, {_CANONICAL} AS form FROM u)),
+             m AS (SELECT f.doc_id, f.whole, f.digest, k.license FROM f LEFT JOIN k USING (digest))
+        SELECT doc_id, max(CASE WHEN whole THEN digest END) AS digest, min(CASE WHEN whole THEN license END) AS license,
+               count(CASE WHEN NOT whole AND license IS NOT NULL THEN 1 END) AS n_notices,
+               coalesce(string_agg(DISTINCT license, ',' ORDER BY license), '') AS licenses
+        FROM m GROUP BY doc_id""",
+    "op10_fingerprints": r"""
+        WITH o AS (SELECT doc_id, coalesce(text, '') AS text, coalesce(lead(coalesce(text, '')) OVER (ORDER BY doc_id DESC),
+                          first_value(coalesce(text, '')) OVER (ORDER BY doc_id DESC)) AS following FROM documents),
+             e AS (SELECT *, length(text) AS n, substr(text, 1, length(text) - length(text) // 2) || substr(following, 1, length(text) // 2) AS edited FROM o),
+             t AS (SELECT doc_id, 0 AS side, text AS body FROM e UNION ALL SELECT doc_id, 1, edited FROM e UNION ALL SELECT doc_id, 2, following FROM e),
+             k AS (SELECT DISTINCT doc_id, side, CAST('0x' || substr(md5(p), 1, 15) AS BIGINT) AS x
+                   FROM (SELECT doc_id, side, unnest(regexp_extract_all(body, '[^\n]{PARAGRAPH}[^\n.!?]*[.!?]+|[^\n]+')) AS p FROM t)),
+             c AS (SELECT doc_id, side, 8 * h + ((x >> (10 * h)) & 7) AS place, count(*) AS n, bit_xor(x) AS key,
+                          bit_xor(((x % 1000003) * 999983 + x // 1000003) % 2147483647) AS chk
+                   FROM k, (SELECT unnest([0, 1, 2]) AS h) GROUP BY 1, 2, 3),
+             f AS (SELECT doc_id, side, string_agg(coalesce(n || ':' || lower(to_hex(key)) || ':' || lower(to_hex(chk)), '-'), ' ' ORDER BY place) AS printed
+                   FROM (SELECT doc_id, side, place FROM t, (SELECT unnest(range(0, 24)) AS place)) LEFT JOIN c USING (doc_id, side, place) GROUP BY 1, 2),
+             s AS (SELECT doc_id, side, count(*) AS n FROM k GROUP BY 1, 2),
+             b AS (SELECT y.doc_id, y.side, count(*) AS shared FROM k y JOIN k z ON y.doc_id = z.doc_id AND y.x = z.x AND z.side = 0 WHERE y.side > 0 GROUP BY 1, 2),
+             j AS (SELECT e.doc_id, q.side, CASE WHEN coalesce(s.n, 0) + coalesce(own.n, 0) = 0 THEN 1.0
+                          ELSE CAST(coalesce(shared, 0) AS DOUBLE) / (coalesce(s.n, 0) + coalesce(own.n, 0) - coalesce(shared, 0)) END AS near
+                   FROM e CROSS JOIN (SELECT unnest([1, 2]) AS side) q LEFT JOIN s ON s.doc_id = e.doc_id AND s.side = q.side
+                   LEFT JOIN s own ON own.doc_id = e.doc_id AND own.side = 0 LEFT JOIN b ON b.doc_id = e.doc_id AND b.side = q.side)
+        SELECT e.doc_id, CAST(e.n AS BIGINT) AS n_chars, sha256(edited) AS edited_sha256, f0.printed AS fingerprint, f1.printed AS edited_fingerprint,
+               j1.near AS near_edited, j2.near AS near_next
+        FROM e JOIN f f0 ON f0.doc_id = e.doc_id AND f0.side = 0 JOIN f f1 ON f1.doc_id = e.doc_id AND f1.side = 1
+        JOIN j j1 ON j1.doc_id = e.doc_id AND j1.side = 1 JOIN j j2 ON j2.doc_id = e.doc_id AND j2.side = 2""".replace(
+            "{PARAGRAPH}", f"{{{paragraph_sketch.PARAGRAPH}}}"),
 }
