@@ -2,16 +2,63 @@
 
 from __future__ import annotations
 
+import uuid
+
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from snapstats.llm import decontaminate, language, minhash, packing, substrings
+from snapstats.llm.common import ensure_checkpoint_dir, ready, table
+
+TOKENIZER = "word_bpe_49k.json"
+
+
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language the classifier names by more than a narrow margin; a missing label is filled in."""
+    model = language.fit(docs, key="doc_id", text="text", lang="lang")
+    found = language.predict(docs, model).where("not rejected")
+    return found.select(*(F.coalesce("lang", "lang_pred").alias(c) if c == "lang" else F.col(f"`{c}`") for c in docs.columns))
+
+
+def near_unique(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of a similarity of 0.8 or more."""
+    return minhash.clean(docs, percent=80)
+
+
+def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document, without strings of 400 bytes that also start elsewhere."""
+    return substrings.clean(docs)
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of which less than a twentieth are passages of the benchmark."""
+    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents, and their places in sequences of 2048 tokens."""
+    return packing.pack(packing.pieces(docs, public_tokenizers.path(TOKENIZER)))
+
+
+def _stage(work):
+    return lambda spark, docs, sf_dir: work(ready(spark), docs, sf_dir)
+
 
-from snapstats.llm.common import table
+STAGES = [(f.__name__, _stage(f)) for f in (known_language, near_unique, without_repeats, decontaminated, packed)]
 
-STAGES: list = []
+#: A compression classifier and a packing search are beyond SQL; tests/llm compares the rows with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages over the table of documents; what each leaves is stored in the shared folder for the next."""
+    ensure_checkpoint_dir(spark)
+    folder = f"{spark.sparkContext.getCheckpointDir()}/pipeline-{uuid.uuid4()}"
     docs = table(spark, sf_dir, "documents")
-    for _, stage in STAGES:
+    for n, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        if n + 1 < len(STAGES):
+            docs.write.parquet(f"{folder}/{n}-{name}")
+            docs = spark.read.parquet(f"{folder}/{n}-{name}")
     return docs

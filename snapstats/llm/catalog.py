@@ -56,7 +56,7 @@ def op6_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of documents at a similarity of 0.85."""
-    return minhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), percent=85)
+    return minhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), percent=85).drop("text_hash")
 
 
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,6 +10,7 @@ from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
@@ -31,11 +32,16 @@ def ship(spark: SparkSession) -> None:
     context.addPyFile(str(packed))
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table of the data set; batches that reach Python stay small."""
+def ready(spark: SparkSession) -> SparkSession:
+    """Executors have the package, and batches that reach Python stay small."""
     ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of the data set."""
+    return ready(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
@@ -72,6 +78,16 @@ def map_rows(df: DataFrame, schema: str | StructType,
     return df.mapInArrow(run, wanted)
 
 
+def beside(docs: DataFrame, *used: str) -> F.Column:
+    """The columns that an operator does not use itself, in one struct that it hands through."""
+    rest = [c for c in docs.columns if c not in used]
+    return F.struct(*(F.col(f"`{c}`") for c in rest)) if rest else F.struct(F.lit(None).cast("string").alias("none"))
+
+
+def kind_of(docs: DataFrame, column: F.Column) -> str:
+    return docs.select(column).schema[0].dataType.simpleString()
+
+
 # ASCII letters and digits stay (letters folded), other ASCII parts words, the rest of Unicode is kept.
 _ALNUM = bytes(
     b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))

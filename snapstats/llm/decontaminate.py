@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snapstats.llm.common import WORD_IN_TEXT, alnum_words, map_rows, runs
+from snapstats.llm.common import WORD_IN_TEXT, alnum_words, beside, kind_of, map_rows, runs
 
 WINDOW = 13
 #: Item text per automaton: about a hundred bytes of automaton for each byte, in every Python worker.
@@ -80,7 +80,7 @@ def _scan(shared, window: int):
                             found[old["start"]:old["end"]] = True
                         hits[row] = [{"start": a, "end": b} for a, b in runs(found)]
                         items[row] = sorted(owners.union(items[row]))
-            return {"key": batch.column("key"), "text": batch.column("text"), "hits": hits, "items": items}
+            return {c: batch.column(c) for c in ("key", "text", "rest")} | {"hits": hits, "items": items}
 
         return work
 
@@ -97,36 +97,48 @@ def _finish():
             out["items_sha256"].append(hashlib.sha256(",".join(items).encode()).hexdigest())
             at = [m.span() for m in WORD_IN_TEXT.finditer(text)] if hits else []
             out["spans"].append([{"start": at[x["start"]][0], "end": at[x["end"] - 1][1]} for x in hits])
-        return out | {"doc_id": batch.column("key"), "items": batch.column("items")}
+        return out | {"doc_id": batch.column("key"), "items": batch.column("items"), "text": batch.column("text"), "rest": batch.column("rest")}
 
     return work
 
 
-def find(docs: DataFrame, benchmark: DataFrame, *, key: str = "doc_id", text: str = "text", item: str = "item_id",
-         item_text: str = "text", window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def find(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_words, n_hit, n_items, items_sha256, items (ids as sorted
     strings), spans (character offsets of hit passages in the original text), contaminated.
 
     A null or wordless text has no words, no hits and is not contaminated. Items without words never match;
     windows of an item without id count as hits but name no item. Repeated rows are judged one by one; other
-    columns of either table are not touched. With an empty benchmark nothing is hit.
+    columns of either table are not touched. With an empty benchmark nothing is hit. Options: those of ``_found``.
     """
+    return _found(docs, benchmark, **options).drop("text", "rest")
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, *, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` that are not contaminated, as they are; rules as in ``find``."""
+    found = _found(docs, benchmark, key=key, text=text, **options).where("not contaminated")
+    back = {key: "doc_id", text: "text"}
+    return found.select(*(F.col(back[c]).alias(c) if c in back else F.col(f"rest.`{c}`") for c in docs.columns))
+
+
+def _found(docs: DataFrame, benchmark: DataFrame, *, key: str = "doc_id", text: str = "text", item: str = "item_id",
+           item_text: str = "text", window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     spark = docs.sparkSession
     items = benchmark.select(F.col(item).cast("string").alias("item"), F.col(item_text).alias("text")) \
         .where("text is not null").distinct()
     size = items.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     blocks = max(1, math.ceil(size / block_bytes))
     block = F.pmod(F.xxhash64("item", "text"), F.lit(blocks))
-    kind = dict(docs.dtypes)[key]
-    rows = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"),
+    kind, rest = dict(docs.dtypes)[key], beside(docs, key, text)
+    rest_kind = kind_of(docs, rest)
+    rows = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"), rest.alias("rest"),
                        F.expr("cast(array() as array<struct<start:int,end:int>>) as hits"),
                        F.expr("cast(array() as array<string>) as items"))
     for n in range(blocks):
         part = [(r["item"], r["text"]) for r in items.where(block == n).collect()]
         digest = hashlib.sha256(repr(sorted(part, key=repr)).encode()).hexdigest()
         shared = spark.sparkContext.broadcast((digest, part))
-        rows = map_rows(rows, f"key {kind}, text string, {_HITS}", _scan(shared, window))
+        rows = map_rows(rows, f"key {kind}, text string, rest {rest_kind}, {_HITS}", _scan(shared, window))
     return map_rows(
         rows, f"doc_id {kind}, n_words bigint, n_hit bigint, n_items bigint, items_sha256 string, "
-        "items array<string>, spans array<struct<start:int,end:int>>", lambda: _finish()) \
+        f"items array<string>, spans array<struct<start:int,end:int>>, text string, rest {rest_kind}", lambda: _finish()) \
         .withColumn("contaminated", F.expr("n_hit > 0 and 20 * n_hit >= n_words"))

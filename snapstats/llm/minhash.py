@@ -148,7 +148,7 @@ def links(sets: list[np.ndarray], side: list[int], percent: int) -> list[tuple[i
 
 def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text", percent: int = 85,
                     size: int = SHINGLE, group_bytes: int = GROUP_BYTES) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_shingles, component_id, kept.
+    """One row per row of ``docs``: doc_id, n_shingles, component_id, kept, text_hash.
 
     Documents are linked when 100 * intersection >= ``percent`` * union of their sets of distinct shingles;
     component_id is the smallest doc_id reachable. Documents without words, or with a null text, are linked with
@@ -158,17 +158,18 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     """
     kind, bands = dict(docs.dtypes)[key], bands_for(percent)
     rows = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
+    rows = rows.withColumn("text_hash", F.xxhash64("text"))
 
     def make():
         def work(batch: pa.RecordBatch) -> dict:
             sets = [shingles(x, size) for x in batch.column("text").to_pylist()]
-            return {"key": batch.column("key"), "n": [len(s) for s in sets],
+            return {"key": batch.column("key"), "text_hash": batch.column("text_hash"), "n": [len(s) for s in sets],
                     "set": [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets],
                     "bands": signatures(sets, bands)}
 
         return work
 
-    hashed = cut(map_rows(rows, f"key {kind}, n bigint, set binary, bands array<bigint>", make))
+    hashed = cut(map_rows(rows, f"key {kind}, text_hash bigint, n bigint, set binary, bands array<bigint>", make))
     classes = hashed.where("set is not null and key is not null").groupBy("set").agg(F.min("key").alias("node"))
     # One row of each class, the one of its smallest id, brings its bands.
     banded = hashed.where("set is not null").join(classes.withColumnRenamed("node", "key"), ["set", "key"]) \
@@ -182,7 +183,13 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     return hashed.join(found, "set", "left").select(
         F.col("key").alias("doc_id"), F.col("n").alias("n_shingles"),
         F.coalesce("component", "key").alias("component_id"),
-        F.coalesce(F.col("key") == F.coalesce("component", "key"), F.col("component").isNull()).alias("kept"))
+        F.coalesce(F.col("key") == F.coalesce("component", "key"), F.col("component").isNull()).alias("kept"), "text_hash")
+
+
+def clean(docs: DataFrame, *, key: str = "doc_id", text: str = "text", percent: int = 80) -> DataFrame:
+    """The rows of ``docs`` that ``near_duplicates`` keeps, as they are: one document of each group."""
+    kept = near_duplicates(docs, key=key, text=text, percent=percent).where("kept").select("doc_id", "text_hash").distinct()
+    return docs.join(kept, docs[key].eqNullSafe(kept["doc_id"]) & (F.xxhash64(docs[text].cast("string")) == kept["text_hash"]), "left_semi")
 
 
 def confirmed(rows: DataFrame, hashed: DataFrame, clusters: DataFrame, *, percent: int, size: int, group_bytes: int) -> DataFrame:

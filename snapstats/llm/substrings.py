@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snapstats.llm.common import cut, map_rows, runs
+from snapstats.llm.common import beside, cut, kind_of, map_rows, runs
 
 LENGTH = 400
 GRAM = 32
@@ -235,7 +235,6 @@ def find(docs: DataFrame, *, key: str = "doc_id", text: str = "text", length: in
 
         return work
 
-    spark = docs.sparkSession
     kind = dict(docs.dtypes)[key]
     row = f"row struct<id:{kind},hash:bigint>"
     rows = with_row(docs, key, text)
@@ -291,9 +290,10 @@ def find(docs: DataFrame, *, key: str = "doc_id", text: str = "text", length: in
         .groupBy("row").agg(F.sort_array(F.collect_list("x")).alias("starts"))
 
 
-def with_row(docs: DataFrame, key: str, text: str) -> DataFrame:
+def with_row(docs: DataFrame, key: str, text: str, *more: F.Column) -> DataFrame:
     data = F.col(text).cast("string").cast("binary")
-    return docs.select(F.struct(F.col(key).alias("id"), F.xxhash64(data).alias("hash")).alias("row"), data.alias("data"))
+    return docs.select(F.struct(F.col(key).alias("id"), F.xxhash64(data).alias("hash")).alias("row"), data.alias("data"),
+                       *(c.alias("rest") for c in more))
 
 
 def spans(starts: list[dict] | None, length: int) -> list[tuple[int, int]]:
@@ -313,14 +313,26 @@ def kept_bytes(data: bytes, gone: list[tuple[int, int]]) -> bytes:
     return b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
 
 
-def remove(docs: DataFrame, *, key: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
+def remove(docs: DataFrame, **options) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans, and kept_text.
 
     Spans are judged on the input, as ``find`` says. kept_sha256 is of the remaining bytes; kept_text also leaves
     out the bytes of a character of which only a part remains. A null text is empty, and its kept_text null.
+    Options: key, text and length.
     """
-    kind = dict(docs.dtypes)[key]
-    joined = with_row(docs, key, text).join(find(docs, key=key, text=text, length=length), "row", "left")
+    return _removed(docs, **options).drop("rest")
+
+
+def clean(docs: DataFrame, *, key: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
+    """``docs`` with what is left of the texts; n_chars, if there is such a column, is counted anew."""
+    left = _removed(docs, key=key, text=text, length=length)
+    new = {key: F.col("doc_id"), text: F.col("kept_text"), "n_chars": F.length("kept_text").cast("bigint")}
+    return left.select(*((new[c] if c in new else F.col(f"rest.`{c}`")).alias(c) for c in docs.columns))
+
+
+def _removed(docs: DataFrame, *, key: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
+    kind, rest = dict(docs.dtypes)[key], beside(docs, key, text)
+    joined = with_row(docs, key, text, rest).join(find(docs, key=key, text=text, length=length), "row", "left")
 
     def make():
         def work(batch: pa.RecordBatch) -> dict:
@@ -334,10 +346,10 @@ def remove(docs: DataFrame, *, key: str = "doc_id", text: str = "text", length:
                 out["kept_sha256"].append(hashlib.sha256(left).hexdigest())
                 out["spans"].append([{"start": a, "end": b} for a, b in gone])
                 out["kept_text"].append(None if data is None else left.decode(errors="ignore"))
-            return out | {"doc_id": batch.column("doc_id")}
+            return out | {"doc_id": batch.column("doc_id"), "rest": batch.column("rest")}
 
         return work
 
-    return map_rows(joined.select(F.col("row.id").alias("doc_id"), "data", "starts"),
+    return map_rows(joined.select(F.col("row.id").alias("doc_id"), "data", "starts", "rest"),
                     f"doc_id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, "
-                    "spans array<struct<start:bigint,end:bigint>>, kept_text string", make)
+                    f"spans array<struct<start:bigint,end:bigint>>, kept_text string, rest {kind_of(docs, rest)}", make)
