@@ -32,43 +32,67 @@ ISLANDS, EPOCHS, POPULATION, GENERATIONS = 2, 2, 4, 6
 #: A sequence filled to this share is final; others are opened again on the next level, where the gap that is
 #: allowed is four times as large, so that every sequence is final on the fifth level at the latest.
 WELL_FILLED = 0.995
-#: Words whose ids are remembered in a Python worker, and the longest such word.
-CACHE_WORDS, CACHE_CHARS = 200_000, 64
+#: Words, and parts of words, whose ids are remembered in a Python worker, and the longest such word.
+CACHE_WORDS, CACHE_PARTS, CACHE_CHARS = 600_000, 400_000, 64
 
 # White space that Python splits at, but for which the tokenizer's rule is not relied on.
 _ODD_SPACE = re.compile(r"[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 _PLAIN_SPACE = re.compile("[ \t\n\r]+")
+# Words of Latin letters in one code point and common marks: Python folds and splits them as the tokenizer does.
+_LATIN = re.compile("[!-~\xa1-\u012f\u0131-\u017f]+")
+# Fixed value: the tokenizer's own rule for parts of a word.
+_PARTS = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"
+# The byte-level alphabet: a printable character stands for its own byte, the others for the rest in order.
+_PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_ALPHABET = dict(zip([b for b in range(256) if b not in _PRINTABLE], range(256, 512)))
 _encoders: dict = {}
 
 
+class _Known(dict):
+    """Remembers what a function returns; forgets all when there are too many keys."""
+
+    def __init__(self, make, most: int):
+        super().__init__()
+        self.make, self.most = make, most
+
+    def __missing__(self, key: str) -> bytes:
+        value = self.make(key)
+        if len(key) <= CACHE_CHARS:
+            if len(self) >= self.most:
+                self.clear()
+            self[key] = value
+        return value
+
+
 class Encoder:
     """Ids of a text as little-endian uint32 bytes.
 
     The tokenizer never joins anything across white space and drops it, so the ids of a text are those of its
-    blank-separated words one after another; the ids of frequent words are remembered.
+    words one after another, and the ids of a word are those of its parts; frequent words and parts are remembered.
     """
 
     def __init__(self, path: str):
+        import regex
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
+        self.tokenizer, self.pattern = Tokenizer.from_file(path), regex.compile(_PARTS)
+        self.words, self.parts = _Known(self._word, CACHE_WORDS), _Known(self._part, CACHE_PARTS)
+
+    def _plain(self, word: str) -> bytes:
+        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _part(self, part: str) -> bytes:
+        letters = part if part.isascii() else part.encode().decode("latin-1").translate(_ALPHABET)
+        return b"".join([x.id.to_bytes(4, "little") for x in self.tokenizer.model.tokenize(letters)])
+
+    def _word(self, word: str) -> bytes:
+        if _LATIN.fullmatch(word) and "<|" not in word:  # special tokens begin so
+            return b"".join(map(self.parts.__getitem__, self.pattern.findall(word.lower())))
+        return self._plain(word)
 
     def ids(self, text: str) -> bytes:
         words = _PLAIN_SPACE.split(text) if _ODD_SPACE.search(text) else text.split()
-        known = self.known
-        new = [w for w in dict.fromkeys(words) if w not in known]
-        if new:
-            if len(known) + len(new) > CACHE_WORDS:
-                known.clear()
-                new = list(dict.fromkeys(words))
-            for word, coded in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
-                known[word] = np.array(coded.ids, "<u4").tobytes()
-        out = b"".join(map(known.__getitem__, words))
-        for word in new:
-            if len(word) > CACHE_CHARS:
-                del known[word]
-        return out
+        return b"".join(map(self.words.__getitem__, words))
 
 
 def encoder(path: str) -> Encoder:
