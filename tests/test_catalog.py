@@ -9,8 +9,7 @@ import pytest
 
 import __spark_entry__ as entry
 import skewed
-
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+from snapstats.catalog import ORACLE, QUERIES
 
 
 # Queries whose plan depends on how rows spread over keys.
@@ -88,4 +87,5 @@ def test_every_sql_has_a_query():
 
 
 def test_entry(spark):
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
     assert entry.entry(spark).columns[:3] == ["country", "continent", "cases"]
