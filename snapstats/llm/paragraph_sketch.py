@@ -9,8 +9,6 @@ still fail are tried larger; a difference that no sketch gives back is taken fro
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -83,7 +81,7 @@ def followers(docs: DataFrame, *, key: str, text: str) -> DataFrame:
     highest of all to the lowest range). Null keys come last; rows of one key are in the order of their texts.
     """
     rows = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    many = min(ORDER_BOUNDS, math.ceil(rows.count() / ORDER_ROWS))
+    many = min(ORDER_BOUNDS, 1 + rows.count() // ORDER_ROWS)
     bounds = sorted(set(rows.agg(F.percentile_approx("doc_id", [k / many for k in range(1, many)] or [0.5], 20 * many)).first()[0] or []))
     if bounds:
         halving = [1 << k for k in reversed(range(len(bounds).bit_length()))]

@@ -1,0 +1,375 @@
+"""Operators against brute force, on awkward documents: nulls, empty and long texts, ties, repeats, clashing names."""
+
+import base64
+import collections
+import hashlib
+import math
+import random
+import re
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+import tiktoken
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from snapstats.llm import (
+    components, decontaminate, language, licenses, minhash, packing, paragraph_sketch, sentences, substrings, token_counts, warc)
+
+ASCII_LOWER = {c: c + 32 for c in range(65, 91)}
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+
+
+def texts(df):
+    return [(r["doc_id"], r["text"]) for r in df.select("doc_id", "text").collect()]
+
+
+def rows(df, *columns):
+    return sorted((tuple(r[c] for c in columns) for r in df.select(*columns).collect()), key=repr)
+
+
+# 1
+
+def brute_hits(docs, items, window):
+    words = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").translate(ASCII_LOWER))
+    out = []
+    for doc, text in docs:
+        w, hit, found = words(text), set(), set()
+        for item, body in items:
+            i = words(body)
+            size = min(window, len(i))
+            for k in range(len(i) - size + 1 if i else 0):
+                for at in range(len(w) - size + 1):
+                    if w[at:at + size] == i[k:k + size]:
+                        hit |= set(range(at, at + size))
+                        found |= {item} - {None}
+        ids = sorted(map(str, found))
+        out.append((doc, len(w), len(hit), len(ids), hashlib.sha256(",".join(ids).encode()).hexdigest(), bool(hit) and 20 * len(hit) >= len(w)))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("block_bytes", [1 << 20, 200])
+def test_decontaminate(sc, awkward, prose, block_bytes):
+    s = prose(400, 1)
+    items = [(1, " ".join(s[20:24])), (2, "ONE, two"), (3, None), (4, "?!"), (None, s[100]), (5, s[85] + " " + s[86]), (5, "one two"), (30, "é")]
+    benchmark = sc.createDataFrame(items, "item_id bigint, text string").withColumn("key", F.lit("z"))
+    small = awkward.where("doc_id is null or doc_id <> 7")
+    names = ("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+    got = decontaminate.find(small, benchmark, window=6, block_bytes=block_bytes)
+    assert rows(got, *names) == brute_hits(texts(small), items, 6)
+    for r in got.join(small.where("doc_id = 13").select("doc_id", "text").distinct(), "doc_id").collect():
+        assert [r["text"][x["start"]:x["end"]] for x in r["spans"]] == ["one two"]
+    left = decontaminate.clean(small, benchmark, window=6)
+    assert left.columns == awkward.columns
+    assert left.count() == got.where("not contaminated").count()
+
+
+def test_decontaminate_empty(awkward, none, sc):
+    benchmark = sc.createDataFrame([(1, "a")], "item_id bigint, text string")
+    assert decontaminate.find(none, benchmark).count() == 0
+    assert decontaminate.find(awkward, benchmark.where("1 = 0")).where("n_hit > 0").count() == 0
+
+
+# 2
+
+def encoding():
+    with open(RANKS, "rb") as lines:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+def test_token_counts_follow_edits():
+    known, encode, rng = token_counts.Counter(RANKS, public_tokenizers.PATTERN), encoding().encode_ordinary, random.Random(3)
+    letters = ["a", "'", "l", " ", "\n", "ll", "9", "é", "...", "  ", "\x1c", "\xa0", "x y"]
+    for turn in range(300):
+        text = "".join(rng.choice(letters) for _ in range(rng.randrange(40))) * rng.choice([1, 1, 60])
+        doc = token_counts.Document(known, text)
+        assert doc.n_tokens == len(encode(text))
+        for _ in range(5):
+            a = rng.randrange(len(text) + 1)
+            b, new = min(len(text), a + rng.randrange(6)), "".join(rng.choice(letters) for _ in range(rng.choice([0, 3, 700 if turn % 50 == 0 else 1])))
+            doc.edit(a, b, new)
+            text = text[:a] + new + text[b:]
+            assert (doc.text, doc.n_tokens) == (text, len(encode(text)))
+        assert [x for block in doc.tree.lengths for x in block] == [len(m) for m in known.pattern.findall(text)]
+
+
+def test_token_counts(awkward, none):
+    edited = awkward.withColumn("edits", F.expr("""case when doc_id in (7, 8) then array(
+        named_struct('start', 100, 'end', 120, 'new', 'abc'), cast(null as struct<start:int,end:int,new:string>),
+        named_struct('start', 9000000, 'end', 0, 'new', ' the end')) end"""))
+    encode = encoding().encode_ordinary
+    want = []
+    for doc, text in texts(awkward):
+        text = text or ""
+        new = text[:100] + "abc" + text[120:] + " the end" if doc in (7, 8) else text
+        want.append((doc, len(encode(text)), len(encode(new))))
+    got = token_counts.count(edited, RANKS, public_tokenizers.PATTERN, edits="edits")
+    assert rows(got, "doc_id", "n_tokens", "n_tokens_edited") == sorted(want, key=repr)
+    assert max(r["n_reencoded"] for r in got.collect()) < 40
+    assert token_counts.count(none, RANKS, public_tokenizers.PATTERN).count() == 0
+
+
+# 3
+
+def brute_spans(data, length):
+    seen = collections.Counter(d[i:i + length] for d in data for i in range(len(d) - length + 1))
+    out = []
+    for d in data:
+        flags = np.zeros(len(d), bool)
+        for i in range(len(d) - length + 1):
+            if seen[d[i:i + length]] > 1:
+                flags[i:i + length] = True
+        out.append(flags)
+    return out
+
+
+@pytest.mark.parametrize("batch_bytes", [1 << 20, 300])
+def test_substrings(sc, awkward, none, prose, monkeypatch, batch_bytes):
+    monkeypatch.setattr(substrings, "BATCH_BYTES", batch_bytes)  # small: anchors are refined
+    s, rng = prose(300, 9), random.Random(4)
+    shared = "".join(s[:6])
+    made = [(100 + k, s[10 + k][:rng.randrange(40)] + shared[rng.randrange(30):len(shared) - rng.randrange(30)] + s[60 + k]) for k in range(40)]
+    made += [(200 + k, shared[:50 + 7 * k] + "Z" + shared[50 + 7 * k:]) for k in range(20)]
+    docs = awkward.unionByName(sc.createDataFrame(made, "doc_id bigint, text string"), allowMissingColumns=True)
+    all_texts = [(doc, (text or "").encode()) for doc, text in texts(docs)]
+    want = []
+    for (doc, data), gone in zip(all_texts, brute_spans([d for _, d in all_texts], 100), strict=True):
+        runs = int(gone[:1].sum() + (np.diff(gone.astype(int)) == 1).sum())
+        left = bytes(np.frombuffer(data, np.uint8)[~gone])
+        want.append((doc, len(data), int(gone.sum()), runs, hashlib.sha256(left).hexdigest()))
+    got = substrings.remove(docs, length=100)
+    assert rows(got, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == sorted(want, key=repr)
+    assert substrings.clean(docs, length=100).columns == docs.columns
+    assert substrings.remove(none).count() == 0
+
+
+def test_interval_expansion():
+    rng = random.Random(5)
+    for turn in range(150):
+        length = rng.choice([4, 8, 20])
+        data = [bytes(rng.choice(b"ab" if turn % 2 else b"abcdefgh") for _ in range(rng.randrange(60))) for _ in range(rng.randrange(1, 6))]
+        data.append(data[0][5:] + b"x" + data[0])
+        seen = collections.Counter(d[i:i + length] for d in data for i in range(len(d) - length + 1))
+        for d, found in zip(data, substrings.repeated_strings(data, length), strict=True):
+            assert found.tolist() == [seen[d[i:i + length]] > 1 and i + length <= len(d) for i in range(len(d))]
+
+
+# 4
+
+def test_warc_round_trip(sc, tmp_path):
+    rng = random.Random(1)
+    big = "".join(rng.choice("abc é\r\n") for _ in range(5000)) + "WARC/1.1\r\n\r\n\r\nWARC/1.1\r\nWARC-Type: response\r\n\r\n"
+    pages = [(1, "http://a/\r\nX: y", "<p>"), (2, None, None), (3, "u", ""), (4, "u", big), (5, "u", big), (6, "u", "WARC/1.1\r\n"), (7, "u", "x\r\n"),
+             (8, "u", "same"), (8, "u", "same"), (9, "u", "\r\n\r\n"), (None, "u", "<p>"), (None, "u", "null page")]
+    frame = sc.createDataFrame(pages, "page_id bigint, url string, html string").withColumn("record", F.lit("z")).withColumn("sha1", F.lit(1))
+    for name, least in (("all", 0), ("long", 100)):
+        warc.write(frame, f"{tmp_path}/{name}", chunk=1000, least=least)
+        table = warc.read_chunks(sc, f"{tmp_path}/{name}")
+        top = {}
+        for page, _, html in pages:
+            top[html or ""] = max(top.get(html or "", -1), -1 if page is None else page)
+        want = []
+        for page, _, html in pages:
+            data = (html or "").encode()
+            first = len(data) < least or page == top[html or ""] or top[html or ""] == -1
+            want.append((page, len(data), base64.b32encode(hashlib.sha1(data).digest()).decode(), "response" if first else "revisit",
+                         None if first else top[html or ""]))
+        assert rows(warc.records(table), "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to") == sorted(want, key=repr)
+        stored = collections.defaultdict(list)
+        for r in table.where("type <> 'revisit'").collect():
+            stored[r["record"]].append((r["number"], r["data"]))
+        payloads = sorted(b"".join(bytes(d) for _, d in sorted(x)) for x in stored.values())
+        assert payloads == sorted((h or "").encode() for (_, _, h), w in zip(pages, want, strict=True) if w[3] == "response")
+        assert max(len(r["data"]) for r in table.collect()) <= 1000
+    broken = table.withColumn("so_far", F.when(F.col("number") == 2, "x").otherwise(F.col("so_far")))
+    with pytest.raises(Exception, match="does not have its digest"):
+        warc.records(broken).count()
+    warc.write(frame.where("1 = 0"), f"{tmp_path}/none")
+    assert warc.records(warc.read_chunks(sc, f"{tmp_path}/none")).count() == 0
+
+
+# 5
+
+def test_encoder_is_the_tokenizer():
+    coder, plain, rng = packing.Encoder(WORD_BPE), Tokenizer.from_file(WORD_BPE), random.Random(1)
+    letters = [*"abIXÀéßſşİıΣς'.,!?<|>09²½ªﬁ中\xad_-$\x1d\x85\xa0́‍﻿", " ", "\n", "<|endoftext|>", "'ll", "'RE", "Straße", "<|x"]
+    for _ in range(5000):
+        text = "".join(rng.choice(letters) for _ in range(rng.randrange(12)))
+        assert np.frombuffer(coder.ids(text), "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+def test_packing(awkward, none, sc, prose):
+    s = prose(300, 8)
+    more = sc.createDataFrame([(1000 + k, " ".join(s[k % 300:k % 300 + k % 7])) for k in range(900)], "doc_id bigint, text string")
+    docs = awkward.unionByName(more, allowMissingColumns=True)
+    cut_up = packing.pieces(docs, WORD_BPE, capacity=256)
+    plain, want = Tokenizer.from_file(WORD_BPE), []
+    for doc, text in texts(docs):
+        ids = np.array(plain.encode(text or "", add_special_tokens=False).ids + [0], "<u4")
+        want += [(doc, k // 256, k, len(ids[k:k + 256]), zlib.crc32(ids[k:k + 256].tobytes())) for k in range(0, len(ids), 256)]
+    packed = packing.pack(cut_up, capacity=256, shard=100).collect()
+    names = ("doc_id", "piece", "start", "length", "ids_crc32")
+    assert sorted((tuple(r[c] for c in names) for r in packed), key=repr) == sorted(want, key=repr)
+    sequences = collections.defaultdict(list)
+    for r in packed:
+        sequences[r["sequence_id"]].append((r["offset"], r["length"]))
+    for places in sequences.values():
+        places.sort()
+        assert [o for o, _ in places] == [0, *np.cumsum([n for _, n in places])[:-1].tolist()] and sum(n for _, n in places) <= 256
+    assert len(sequences) <= 1.01 * math.ceil(sum(r["length"] for r in packed) / 256) + 1
+    assert packing.pack(packing.pieces(none, WORD_BPE)).count() == 0
+
+
+def test_crossover_keeps_every_piece_once():
+    rng = random.Random(2)
+    sizes = [rng.randint(1, 99) for _ in range(200)]
+    one = packing.grouping(sizes, sorted(range(200), key=lambda i: -sizes[i]), [], 100)
+    two = packing.grouping(sizes, list(range(200)), [], 100)
+    for _ in range(20):
+        child = packing.crossover(sizes, one, two, 100, rng)
+        assert sorted(i for g in child for i in g) == list(range(200)) and max(sum(sizes[i] for i in g) for g in child) <= 100
+        one, two = child, one
+    best = packing.evolve(sizes, [], 100, 1)[0]
+    assert len(best) <= len(packing.grouping(sizes, sorted(range(200), key=lambda i: -sizes[i]), [], 100))
+
+
+# 6
+
+def test_sentences(awkward, none):
+    docs = awkward.where("doc_id is not null").dropDuplicates(["doc_id"])
+    split = lambda t: re.findall(sentences.SENTENCE, t)
+    flat = lambda x: re.sub(r"[ \t\r\n]+", " ", x).strip(" ").lower()
+    seen, want = set(), []
+    for doc, text in sorted(texts(docs)):
+        parts = split(text or "")
+        assert "".join(parts) == (text or "")
+        gone = set()
+        for k in range(len(parts) - 2):
+            run = "\n".join(map(flat, parts[k:k + 3]))
+            if len([w for w in re.split("[ \n]+", run) if w]) >= sentences.SPAN_WORDS:
+                if run in seen:
+                    gone |= {k, k + 1, k + 2}
+                seen.add(run)
+        want.append((doc, len(parts), len(gone), None if text is None else "".join(p for k, p in enumerate(parts) if k not in gone)))
+    assert rows(sentences.remove(docs), "doc_id", "n_sentences", "n_removed", "kept_text") == sorted(want, key=repr)
+    assert sum(w[2] for w in want) > 60
+    assert sentences.remove(awkward).count() == awkward.count() and sentences.remove(none).count() == 0
+
+
+# 7
+
+def brute_components(docs, percent, size=5):
+    sets = {}
+    for doc, text in docs:
+        w = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(ASCII_LOWER))
+        sets[doc] = {tuple(w[i:i + size]) for i in range(max(1, len(w) - size + 1))} if w else set()
+    label = {d: d for d in sets}
+    for a in sets:
+        for b in sets:
+            if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]) and label[a] != label[b]:
+                low, high = sorted((label[a], label[b]))
+                label = {d: low if x == high else x for d, x in label.items()}
+    return sorted((d, len(sets[d]), label[d], label[d] == d) for d in sets)
+
+
+@pytest.mark.parametrize("group_bytes", [8 << 20, 2000])
+def test_minhash(sc, awkward, none, prose, group_bytes):
+    s, rng = prose(200, 6), random.Random(6)
+    base = " ".join(s[:25]).split()
+    made = []
+    for k in range(60):  # around the threshold, chained by common ancestors
+        words = list(base if k % 3 else made[-1][1].split() if made else base)
+        for _ in range(rng.randrange(1, 8)):
+            words[rng.randrange(len(words))] = f"w{k}"
+        made.append((300 + k, " ".join(words)))
+    docs = awkward.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(
+        sc.createDataFrame(made, "doc_id bigint, text string"), allowMissingColumns=True)
+    got = minhash.near_duplicates(docs, percent=85, group_bytes=group_bytes)
+    assert rows(got, "doc_id", "n_shingles", "component_id", "kept") == sorted(brute_components(texts(docs), 85), key=repr)
+    if group_bytes > 2000:
+        found = {r["doc_id"]: r for r in minhash.near_duplicates(awkward, percent=85).where("component_id = 5").collect()}
+        assert set(found) == {5, 6, 10, None} and not found[None]["kept"]
+        kept = minhash.clean(awkward, percent=80)
+        assert kept.columns == awkward.columns and rows(kept.where("doc_id in (5, 6, 10)"), "doc_id") == [(5,)]
+        assert minhash.near_duplicates(none).count() == 0
+
+
+def test_components(sc):
+    edges = [(k, k + 1) for k in range(40)] + [(100, k) for k in range(101, 160)] + [(7, 7), (None, 3), (200, 201), (201, 200)]
+    got = rows(components.components(sc.createDataFrame(edges, "a bigint, b bigint")), "node", "component")
+    assert got == sorted([(k, 0) for k in range(41)] + [(k, 100) for k in range(100, 160)] + [(200, 200), (201, 200)], key=repr)
+
+
+# 8
+
+def test_language(sc, awkward, none):
+    docs = sc.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    held = "pmod(crc32(cast(cast(doc_id as string) as binary)), 5) = 0"
+    model = language.fit(docs.where(f"not ({held})"))
+    assert sorted(model) == ["de", "en", "es", "fr"] and max(map(len, model.values())) <= language.DICTIONARY_BYTES
+    found = language.predict(docs.where(held), model)
+    right, n = found.agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int")), F.count("*")).first()
+    assert right > 0.95 and n > 150
+    assert found.where("rejected").count() < 0.05 * n
+    got = {r["doc_id"]: (r["lang_pred"], r["score"], r["rejected"]) for r in language.predict(awkward, model).collect()}
+    assert got[1] == got[2] == got[3] == got[4] == (language.UNKNOWN, 0.0, True) and got[12][0] != language.UNKNOWN
+    assert language.predict(awkward, model).columns == [c for c in awkward.columns if c != "score"] + ["lang_pred", "score", "rejected"]
+    assert language.fit(none) == {} and {r["lang_pred"] for r in language.predict(awkward, {}).collect()} == {language.UNKNOWN}
+    assert language.predict(none, model).count() == 0
+
+
+# 9
+
+def test_licenses(sc, awkward, none):
+    long = next(t for n, t in licenses.KNOWN if n == "ISC")
+    docs = sc.createDataFrame([
+        (1, "Copyright (c) 2020 Some One\n\n" + long.upper().replace("“", '"').replace(",", " ,").replace("\n", "\n  ")), (2, long + " But not for me."),
+        (3, "licensed under the apache LICENCE, version 2.0\nOther line\n * Released under the MIT License.\n"), (4, None), (5, "© 2020"),
+        (6, "All rights reserved.\nReleased under the MIT Licence")], "doc_id bigint, text string")
+    known = licenses.known_digests(sc)
+    assert rows(licenses.scan(docs, known), "doc_id", "license", "n_notices", "licenses") == [
+        (1, "ISC", 0, "ISC"), (2, None, 0, ""), (3, None, 2, "Apache-2.0,MIT"), (4, None, 0, ""), (5, None, 0, ""), (6, "MIT", 1, "MIT")]
+    assert rows(licenses.scan(awkward, known).where("license is not null"), "doc_id", "license") == [(16, "CC-BY-NC-4.0")]
+    assert licenses.scan(awkward, known).count() == awkward.count() and licenses.scan(none, known).count() == 0
+
+
+# 10
+
+def brute_fingerprints(docs):
+    parts = lambda t: set(re.findall(rf"[^\n]{{{paragraph_sketch.PARAGRAPH}}}[^\n.!?]*[.!?]+|[^\n]+", t))
+    docs = sorted(((d, t or "") for d, t in docs), key=lambda x: (x[0] is None, -(x[0] or 0)))
+    near = lambda a, b: len(a & b) / len(a | b) if a | b else 1.0
+    out = []
+    for n, (doc, text) in enumerate(docs):
+        follows, half = docs[(n + 1) % len(docs)][1], len(text) // 2
+        edited = text[:len(text) - half] + follows[:half]
+        out.append((doc, len(text), hashlib.sha256(edited.encode()).hexdigest(), near(parts(text), parts(edited)), near(parts(text), parts(follows))))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("order_rows", [2000, 3])
+def test_fingerprints(awkward, none, prose, sc, monkeypatch, order_rows):
+    monkeypatch.setattr(paragraph_sketch, "ORDER_ROWS", order_rows)
+    docs = awkward.where("doc_id is not null or text is null").dropDuplicates(["doc_id"])
+    got = paragraph_sketch.fingerprints(docs)
+    assert rows(got, "doc_id", "n_chars", "edited_sha256", "near_edited", "near_next") == brute_fingerprints(texts(docs))
+    prints = {r["doc_id"]: r["fingerprint"] for r in got.collect()}
+    assert prints[5] == prints[6] != prints[10]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Pandas|InArrow", plan)
+    assert paragraph_sketch.fingerprints(awkward).count() == awkward.count() and paragraph_sketch.fingerprints(none).count() == 0
+
+
+def test_peeling_gives_back_the_difference(sc):
+    rng = random.Random(3)
+    many = [([rng.randrange(1 << 60) for _ in range(n)], [rng.randrange(1 << 60) for _ in range(m)], [rng.randrange(1 << 60) for _ in range(9)])
+            for n, m in ((0, 0), (1, 0), (3, 4), (0, 6), (9, 9), (60, 50))]
+    frame = sc.createDataFrame([(a + c, b + c, a + b) for a, b, c in many], "one array<bigint>, two array<bigint>, want array<bigint>")
+    base = paragraph_sketch.peeled(paragraph_sketch.minus(paragraph_sketch.sketch("one"), paragraph_sketch.sketch("two")))
+    for r in frame.selectExpr("want", f"{base} as small", f"{paragraph_sketch.difference('one', 'two')} as found").collect():
+        assert sorted(r["found"]) == sorted(r["want"])
+        assert r["small"] is None and len(r["want"]) > 9 or sorted(r["small"]) == sorted(r["want"])
