@@ -27,9 +27,11 @@ def run_steps(spark: SparkSession, landing: str, out: str, as_of, step: str = "a
 
     Steps hand data on through the files they wrote, so each can also run alone and a
     lost executor never forces an earlier step to run again. A failed core step stops
-    the run; ``skip`` leaves out 'store' or 'load'. Returns status, manifests, load
-    results and step records; the records are also written to ``out/run_log``, and step
-    records and validation results to ``log_table`` and ``quality_table`` if named.
+    the run; a step of which only some data sets went wrong is 'partial', and so is then the
+    run; ``skip`` leaves out 'store' or 'load'. Loading reconciles every table with the manifest.
+    Returns status, manifests, load results, reconciliation and step records; the records are
+    also written to ``out/run_log``, and step records and validation results to ``log_table``
+    and ``quality_table`` if named. What could not be read is under ``out/rejects``.
     """
     run_id = execution_id or f"manual_{uuid.uuid4().hex[:12]}"
     wanted = STEPS if step == "all" else (step,)
@@ -40,7 +42,7 @@ def run_steps(spark: SparkSession, landing: str, out: str, as_of, step: str = "a
         "extract": lambda: _extract(spark, landing, out, as_of, run_id, include_history, days, datasets, lines),
         "transform": lambda: _transform(spark, out, as_of, run_id, quality_table),
         "store": lambda: _store(spark, out, run_id),
-        "load": lambda: _load(spark, out, run_id, prefix),
+        "load": lambda: _load(spark, out, as_of, run_id, prefix),
     }
     for name in wanted:
         started = dt.datetime.now(dt.timezone.utc)
@@ -49,8 +51,12 @@ def run_steps(spark: SparkSession, landing: str, out: str, as_of, step: str = "a
             record["status"] = "skipped"
         else:
             try:
-                outcome, record["records_processed"] = jobs[name]()
-                result[name] = outcome
+                outcome, record["records_processed"], problems = jobs[name]()
+                result.update(outcome)
+                if problems:
+                    whole = record["records_processed"] == 0
+                    record.update(status="failed" if whole else "partial", error_message="; ".join(problems))
+                    result["status"] = "partial"
             except Exception as problem:
                 record.update(status="failed", error_message=str(problem).splitlines()[0])
                 if name in CORE_STEPS:
@@ -78,46 +84,64 @@ def _stage(spark: SparkSession, out: str, stage: str, run_id: str) -> dict[str,
 
 
 def _keep(spark: SparkSession, bundle: dict[str, DataFrame], out: str, stage: str, run_id: str):
-    manifest = writers.write_bundle(bundle, f"{out}/{stage}", "parquet", run_id)
+    manifest = writers.write_bundle(bundle, f"{out}/{stage}", "parquet", run_id, strict=False)
     writers.manifest_frame(spark, manifest).coalesce(1).write.mode("overwrite").json(
         f"{out}/manifests/{stage}/run={run_id}")
-    return manifest, sum(m["record_count"] for m in manifest)
+    return manifest, sum(m["record_count"] for m in manifest), _failures(manifest)
+
+
+def _failures(manifest: list[dict]) -> list[str]:
+    return [f"{m['data_type']}: {m['error']}" for m in manifest if m["status"] == "failed"]
 
 
 def _extract(spark, landing, out, as_of, run_id, include_history, days, datasets, lines):
     bundle = readers.read_all(
         spark, landing, as_of, include_history=include_history, days=days, datasets=datasets, lines=lines)
-    manifest, records = _keep(spark, bundle, out, "raw", run_id)
+    manifest, records, problems = _keep(spark, bundle, out, "raw", run_id)
     for entry in manifest:
         if entry["record_count"] < FEW_RECORDS:
             log.warning("data set %s has %d records", entry["data_type"], entry["record_count"])
     if not any(m["status"] == "written" for m in manifest):
-        raise ValueError("no data sets were extracted")
-    return manifest, records
+        raise ValueError("; ".join(["no data sets were extracted", *problems]))
+    rejected = {
+        m["data_type"]: readers.read_rejects(spark, f"{landing}/{m['data_type']}", m["data_type"], lines)
+        for m in manifest if m["status"] != "failed"}
+    refused = writers.write_bundle(rejected, f"{out}/rejects", "json", run_id, strict=False)
+    for entry in refused:
+        if entry["record_count"]:
+            log.warning("data set %s: %d records could not be read", entry["data_type"], entry["record_count"])
+    return {"extract": manifest, "rejects": refused}, records, problems + _failures(refused)
 
 
 def _transform(spark, out, as_of, run_id, quality_table):
-    data, _ = transforms.transform_all(_stage(spark, out, "raw", run_id), as_of, validate=False)
-    manifest, records = _keep(spark, data, out, "processed", run_id)
+    raw = _stage(spark, out, "raw", run_id)
+    data, _ = transforms.transform_all(raw, as_of, validate=False)
+    manifest, records, problems = _keep(spark, data, out, "processed", run_id)
     # Validation reads the stored result: one computation, and exactly what was kept.
     for dataset, df in _stage(spark, out, "processed", run_id).items():
         row = quality.validate(df, dataset, as_of)
         row.coalesce(1).write.mode("append").json(f"{out}/quality/run={run_id}")
         if quality_table:
-            writers.write_quality(row, quality_table, as_of)
-    return manifest, records
+            expected = {m["data_type"]: m["record_count"] for m in manifest}
+            writers.write_quality(row, quality_table, as_of, expected)
+    return {"transform": manifest, "removed": transforms.removed_counts(raw, manifest)}, records, problems
 
 
 def _store(spark, out, run_id):
     stored = _stage(spark, out, "processed", run_id)
     manifest = writers.write_bundle(stored, f"{out}/store", "parquet", run_id, strict=False)
-    return manifest, sum(m["record_count"] for m in manifest)
+    return {"store": manifest}, sum(m["record_count"] for m in manifest), _failures(manifest)
 
 
-def _load(spark, out, run_id, prefix):
+def _load(spark, out, as_of, run_id, prefix):
+    """Load what was processed, then compare each loaded table with the manifest."""
     manifest = _manifest(spark, out, "processed", run_id)
     loaded = writers.load_tables(writers.read_bundle(spark, manifest), prefix, "append")
-    return loaded, sum(m["record_count"] for m in manifest if loaded.get(f"{prefix}{m['data_type']}"))
+    good = [m for m in manifest if m["status"] == "written" and loaded.get(f"{prefix}{m['data_type']}", "absent") is None]
+    checked = [r.asDict() for r in reconcile(spark, good, prefix, as_of).collect()] if good else []      # one row per table
+    problems = [f"{name}: {why}" for name, why in loaded.items() if why]
+    problems += [f"{r['table_name']}: {r['errors']}" for r in checked if not r["is_valid"]]
+    return {"load": loaded, "reconcile": checked}, sum(m["record_count"] for m in good), problems
 
 
 def reconcile(spark: SparkSession, manifest: list[dict], prefix: str, stamp) -> DataFrame:
@@ -147,6 +171,6 @@ def run_summary(manifest: DataFrame, log: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("datasets"), F.coalesce(F.sum("record_count"), F.lit(0)).alias("total_records"))
     steps = lambda state: log.filter(F.col("status") == state).agg(F.count(F.lit(1))).scalar()
     return stored.withColumns({
-        "steps_succeeded": steps("success"), "steps_failed": steps("failed"),
+        "steps_succeeded": steps("success"), "steps_partial": steps("partial"), "steps_failed": steps("failed"),
         "duration_seconds": log.agg(F.coalesce(F.sum("duration_seconds"), F.lit(0))).scalar(),
     })

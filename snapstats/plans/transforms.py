@@ -14,7 +14,7 @@ log = logging.getLogger(__name__)
 
 
 def dedup_order(df: DataFrame, dataset: str) -> list[str]:
-    """What "last row" means: newest extraction, then the position in its landing file.
+    """What "last row" means: newest extraction, then file name and position in the landing.
 
     Rows without a recorded position are ordered by update time and then by every other
     sortable column, which makes the choice the same on each run.
@@ -101,6 +101,12 @@ def transform_all(bundle: dict[str, DataFrame], as_of=None, strict: bool = False
     return data, results
 
 
+def removed_counts(raw: dict[str, DataFrame], manifest: list[dict]) -> dict[str, int]:
+    """Rows each data set lost on its way (duplicates, and regions without a name), from stored counts."""
+    kept = {m["data_type"]: m["record_count"] for m in manifest if m["status"] != "failed"}
+    return {dataset: df.count() - kept[dataset] for dataset, df in raw.items() if dataset in kept}
+
+
 def simple_transform(df: DataFrame, dataset: str, as_of=None) -> DataFrame:
     """Short path: time conversion, two rates, processing time, numeric clean-up."""
     df = clean.epoch_ms_to_ts(df)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import re
+from functools import lru_cache
 
 from pyspark.sql import types as T
 
@@ -111,38 +111,75 @@ EXPECTED_STATES = (
 MINIMUM_RECORDS = {"countries": 190, "continents": 6, "states": 50, "global": 1}
 
 # ---------------------------------------------------------------------------
-# Warehouse tables. Column order matters; types follow from the
-# names by ``warehouse_type``.
+# Columns and types of the warehouse tables, in their order.
 # ---------------------------------------------------------------------------
 
-_WIDE = "cases deaths recovered active critical today_cases today_deaths today_recovered"
-_TESTS = "cases_per_one_million deaths_per_one_million tests tests_per_one_million population"
-_PER_PEOPLE = "one_case_per_people one_death_per_people one_test_per_people"
-_PER_MILLION = "active_per_one_million recovered_per_one_million critical_per_one_million"
-_LINEAGE = "updated extraction_date data_source data_type processed_at data_freshness_hours"
-_RATES = "mortality_rate recovery_rate active_rate"
-_DERIVED = f"{_RATES} cases_per_million deaths_per_million"
-
-WAREHOUSE_COLUMNS = {
-    "global": f"{_WIDE} {_TESTS} {_PER_PEOPLE} {_PER_MILLION} affected_countries "
-              f"{_LINEAGE} {_RATES} region_type region_name",
-    "countries": "country country_iso2 country_iso3 country_id country_lat country_long country_flag "
-                 f"{_WIDE} {_TESTS} continent {_PER_PEOPLE} {_PER_MILLION} "
-                 f"{_LINEAGE} {_DERIVED} region_type region_name",
-    "continents": f"continent {_WIDE} {_TESTS} {_PER_MILLION} countries "
-                  f"{_LINEAGE} {_DERIVED} region_type region_name",
-    "states": "state cases deaths recovered active today_cases today_deaths today_recovered "
-              f"{_TESTS} {_LINEAGE} {_DERIVED} region_type country region_name",
-    "vaccines": "country timeline extraction_date data_source data_type processed_at data_category",
-    "historical": "date metric value country extraction_date data_source data_type processed_at "
-                  "year month day_of_week week_of_year daily_change daily_change_pct "
-                  "value_7day_avg daily_change_7day_avg",
-    "data_quality": "table_name validation_timestamp record_count expected_count count_match is_valid "
-                    "quality_score errors warnings null_percentages duplicate_percentage "
-                    "memory_usage_mb extraction_date",
-    "pipeline_log": "execution_id execution_date task_name status start_time end_time "
-                    "duration_seconds records_processed error_message created_at",
+WAREHOUSE_TABLES = {
+    "global": (
+        "cases BIGINT, deaths BIGINT, recovered BIGINT, active BIGINT, critical BIGINT, today_cases BIGINT, "
+        "today_deaths BIGINT, today_recovered BIGINT, cases_per_one_million DECIMAL(10,2), "
+        "deaths_per_one_million DECIMAL(10,2), tests BIGINT, tests_per_one_million DECIMAL(10,2), population BIGINT, "
+        "one_case_per_people DECIMAL(10,2), one_death_per_people DECIMAL(10,2), one_test_per_people DECIMAL(10,2), "
+        "active_per_one_million DECIMAL(10,2), recovered_per_one_million DECIMAL(10,2), "
+        "critical_per_one_million DECIMAL(10,2), affected_countries INT, updated TIMESTAMP, "
+        "extraction_date TIMESTAMP, data_source STRING, data_type STRING, processed_at TIMESTAMP, "
+        "data_freshness_hours DECIMAL(10,2), mortality_rate DECIMAL(10,6), recovery_rate DECIMAL(10,6), "
+        "active_rate DECIMAL(10,6), region_type STRING, region_name STRING"),
+    "countries": (
+        "country STRING, country_iso2 STRING, country_iso3 STRING, country_id INT, country_lat DECIMAL(10,6), "
+        "country_long DECIMAL(10,6), country_flag STRING, cases BIGINT, deaths BIGINT, recovered BIGINT, "
+        "active BIGINT, critical BIGINT, today_cases BIGINT, today_deaths BIGINT, today_recovered BIGINT, "
+        "cases_per_one_million DECIMAL(10,2), deaths_per_one_million DECIMAL(10,2), tests BIGINT, "
+        "tests_per_one_million DECIMAL(10,2), population BIGINT, continent STRING, "
+        "one_case_per_people DECIMAL(10,2), one_death_per_people DECIMAL(10,2), one_test_per_people DECIMAL(10,2), "
+        "active_per_one_million DECIMAL(10,2), recovered_per_one_million DECIMAL(10,2), "
+        "critical_per_one_million DECIMAL(10,2), updated TIMESTAMP, extraction_date TIMESTAMP, data_source STRING, "
+        "data_type STRING, processed_at TIMESTAMP, data_freshness_hours DECIMAL(10,2), mortality_rate DECIMAL(10,6), "
+        "recovery_rate DECIMAL(10,6), active_rate DECIMAL(10,6), cases_per_million DECIMAL(10,2), "
+        "deaths_per_million DECIMAL(10,2), region_type STRING, region_name STRING"),
+    "continents": (
+        "continent STRING, cases BIGINT, deaths BIGINT, recovered BIGINT, active BIGINT, critical BIGINT, "
+        "today_cases BIGINT, today_deaths BIGINT, today_recovered BIGINT, cases_per_one_million DECIMAL(10,2), "
+        "deaths_per_one_million DECIMAL(10,2), tests BIGINT, tests_per_one_million DECIMAL(10,2), population BIGINT, "
+        "active_per_one_million DECIMAL(10,2), recovered_per_one_million DECIMAL(10,2), "
+        "critical_per_one_million DECIMAL(10,2), countries STRING, updated TIMESTAMP, extraction_date TIMESTAMP, "
+        "data_source STRING, data_type STRING, processed_at TIMESTAMP, data_freshness_hours DECIMAL(10,2), "
+        "mortality_rate DECIMAL(10,6), recovery_rate DECIMAL(10,6), active_rate DECIMAL(10,6), "
+        "cases_per_million DECIMAL(10,2), deaths_per_million DECIMAL(10,2), region_type STRING, region_name STRING"),
+    "states": (
+        "state STRING, cases BIGINT, deaths BIGINT, recovered BIGINT, active BIGINT, today_cases BIGINT, "
+        "today_deaths BIGINT, today_recovered BIGINT, cases_per_one_million DECIMAL(10,2), "
+        "deaths_per_one_million DECIMAL(10,2), tests BIGINT, tests_per_one_million DECIMAL(10,2), population BIGINT, "
+        "updated TIMESTAMP, extraction_date TIMESTAMP, data_source STRING, data_type STRING, processed_at TIMESTAMP, "
+        "data_freshness_hours DECIMAL(10,2), mortality_rate DECIMAL(10,6), recovery_rate DECIMAL(10,6), "
+        "active_rate DECIMAL(10,6), cases_per_million DECIMAL(10,2), deaths_per_million DECIMAL(10,2), "
+        "region_type STRING, country STRING, region_name STRING"),
+    "vaccines": (
+        "country STRING, timeline STRING, extraction_date TIMESTAMP, data_source STRING, data_type STRING, "
+        "processed_at TIMESTAMP, data_category STRING"),
+    "historical": (
+        "date DATE, metric STRING, value BIGINT, country STRING, extraction_date TIMESTAMP, data_source STRING, "
+        "data_type STRING, processed_at TIMESTAMP, year INT, month INT, day_of_week INT, week_of_year INT, "
+        "daily_change BIGINT, daily_change_pct DECIMAL(10,6), value_7day_avg DECIMAL(15,2), "
+        "daily_change_7day_avg DECIMAL(15,2)"),
+    "data_quality": (
+        "table_name STRING, validation_timestamp TIMESTAMP, record_count BIGINT, expected_count BIGINT, "
+        "count_match BOOLEAN, is_valid BOOLEAN, quality_score DECIMAL(5,2), errors STRING, warnings STRING, "
+        "null_percentages STRING, duplicate_percentage DECIMAL(10,6), memory_usage_mb DECIMAL(10,2), "
+        "extraction_date TIMESTAMP"),
+    "pipeline_log": (
+        "execution_id STRING, execution_date TIMESTAMP, task_name STRING, status STRING, start_time TIMESTAMP, "
+        "end_time TIMESTAMP, duration_seconds INT, records_processed BIGINT, error_message STRING, "
+        "created_at TIMESTAMP"),
+}
+
+# Longest text of a column; columns not named hold 100 characters.
+TEXT_LENGTHS = {
+    "country_iso2": 2, "country_iso3": 3, "country_flag": 500, "continent": 50, "data_source": 50, "data_type": 50,
+    "region_type": 50, "data_category": 50, "metric": 50, "status": 50, "countries": 2000, "timeline": 10000, "errors": 2000,
+    "warnings": 2000, "null_percentages": 2000, "error_message": 2000,
 }
+TEXT_LENGTH = 100
 
 # The day column each warehouse table is partitioned by.
 PARTITION_SOURCE = {
@@ -163,32 +200,11 @@ CLUSTER_COLUMNS = {
 PARTITION_COLUMN = "snapshot_date"
 SEQUENCE_COLUMN = "ingest_seq"      # position of a row in its landing file
 
-# First match wins.
-_TYPE_RULES = (
-    (r"^date$", "DATE"),
-    (r"^(updated|extraction_date|processed_at|validation_timestamp|execution_date|start_time|end_time|created_at)$",
-     "TIMESTAMP"),
-    (r"^(count_match|is_valid)$", "BOOLEAN"),
-    (r"^(country_id|affected_countries|year|month|day_of_week|week_of_year|duration_seconds)$", "INT"),
-    (r"^quality_score$", "DECIMAL(5,2)"),
-    (r"_7day_avg$", "DECIMAL(15,2)"),
-    (r"^(country_lat|country_long|daily_change_pct|duplicate_percentage)$|_rate$", "DECIMAL(10,6)"),
-    (r"_per_(one_)?million$|_per_people$|_hours$|_mb$", "DECIMAL(10,2)"),
-    (r"^(cases|deaths|recovered|active|critical|tests|population|value|daily_change|record_count"
-     r"|expected_count|records_processed|today_\w+)$", "BIGINT"),
-    (r"", "STRING"),
-)
-
-
-def warehouse_type(column: str) -> str:
-    """Spark SQL type of a warehouse column, derived from its name."""
-    return next(kind for pattern, kind in _TYPE_RULES if re.search(pattern, column))
-
 
+@lru_cache
 def warehouse_schema(table: str) -> T.StructType:
     """Fixed schema of a warehouse table, in column order."""
-    columns = WAREHOUSE_COLUMNS[table].split()
-    return T.StructType.fromDDL(", ".join(f"`{c}` {warehouse_type(c)}" for c in columns))
+    return T.StructType.fromDDL(WAREHOUSE_TABLES[table])
 
 
 def raw_schema(dataset: str) -> T.StructType:
@@ -199,7 +215,7 @@ def raw_schema(dataset: str) -> T.StructType:
 def warehouse_name(column: str, table: str) -> str:
     """Warehouse spelling of a standardised column (``todaycases`` -> ``today_cases``)."""
     squeezed = column.replace("_", "")
-    for candidate in WAREHOUSE_COLUMNS[table].split():
+    for candidate in warehouse_schema(table).names:
         if candidate.replace("_", "") == squeezed:
             return candidate
     return column

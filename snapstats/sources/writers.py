@@ -9,6 +9,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -83,16 +84,16 @@ def write_bundle(bundle: dict[str, DataFrame], directory: str, fmt: str = "parqu
         entry = {"data_type": name, "uri": uri, "file_format": fmt, "record_count": 0,
                  "column_count": len(df.columns), "status": "written", "error": None}
         try:
-            if is_empty(df):
+            write_dataset(df, uri, fmt, mode="overwrite")      # one run of the plan; what it made is counted in the files
+            entry["record_count"] = readers.read_dataset(
+                df.sparkSession, uri, fmt, _stored(df, fmt), multiline=True).count()
+            if not entry["record_count"]:
                 entry["status"] = "empty"
-            else:
-                write_dataset(df, uri, fmt, mode="overwrite")
-                entry["record_count"] = readers.read_dataset(
-                    df.sparkSession, uri, fmt, _stored(df, fmt), multiline=True).count()
+                _remove(df.sparkSession, uri)
         except Exception as problem:
             if strict:
                 raise
-            entry["status"], entry["error"] = "failed", str(problem).splitlines()[0]
+            entry["status"], entry["error"] = "failed", _reason(problem)
         return entry
 
     with ThreadPoolExecutor(PARALLEL_WRITES) as pool:      # small data sets share the cluster
@@ -145,28 +146,70 @@ def coerce_string_sink(df: DataFrame) -> DataFrame:
 
 
 def conform_to_warehouse(df: DataFrame, dataset: str) -> DataFrame:
-    """Exact warehouse columns, order and types; absent columns are null, nested ones JSON text."""
+    """Exact warehouse columns, order and types; absent columns are null, nested ones JSON text.
+
+    Values that do not fit their type become null; ``misfits`` counts them.
+    """
+    columns = [
+        (F.lit(None).cast(f.dataType) if given is None else _fitted(df, given, f)).alias(f.name)
+        for f, given in _warehouse_columns(df, dataset)
+    ]
+    return df.select(*columns)
+
+
+def _warehouse_columns(df: DataFrame, dataset: str) -> list[tuple[T.StructField, str | None]]:
+    """Every warehouse column with the name of the column that fills it."""
     have = {S.warehouse_name(c, dataset): c for c in df.columns}
-    columns: list[Column] = []
-    for field in S.warehouse_schema(dataset).fields:
-        if field.name not in have:
-            columns.append(F.lit(None).cast(field.dataType).alias(field.name))
+    return [(f, have.get(f.name)) for f in S.warehouse_schema(dataset).fields]
+
+
+def _plain(df: DataFrame, name: str) -> Column:
+    nested = isinstance(df.schema[name].dataType, (T.StructType, T.MapType, T.ArrayType))
+    return F.to_json(F.col(f"`{name}`")) if nested else F.col(f"`{name}`")
+
+
+def _fitted(df: DataFrame, name: str, field: T.StructField) -> Column:
+    c = _plain(df, name)
+    return c if df.schema[name].dataType == field.dataType else c.try_cast(field.dataType)
+
+
+def misfits(df: DataFrame, dataset: str) -> DataFrame:
+    """Per warehouse column with any: values lost to its type, and texts longer than it holds.
+
+    Columns: column_name, not_castable, too_long. One pass over the rows.
+    """
+    tests, names = [], []
+    for field, given in _warehouse_columns(df, dataset):
+        if given is None:
             continue
-        source = df.schema[have[field.name]]
-        c = F.col(f"`{source.name}`")
-        if isinstance(source.dataType, (T.StructType, T.MapType, T.ArrayType)):
-            c = F.to_json(c)
-        columns.append((c if source.dataType == field.dataType else c.try_cast(field.dataType)).alias(field.name))
-    return df.select(*columns)
+        plain, fitted = _plain(df, given), _fitted(df, given, field)
+        text = isinstance(field.dataType, T.StringType)
+        limit = S.TEXT_LENGTHS.get(field.name, S.TEXT_LENGTH)
+        tests.append(F.struct(
+            F.lit(field.name).alias("column_name"),
+            F.count_if(plain.isNotNull() & fitted.isNull()).alias("not_castable"),
+            F.count_if((F.length(fitted) > limit) if text else F.lit(False)).alias("too_long")))
+        names.append(field.name)
+    if not tests:
+        return df.sparkSession.createDataFrame([], "column_name STRING, not_castable BIGINT, too_long BIGINT")
+    return df.agg(F.array(*tests).alias("found")).select(F.explode("found").alias("f")).select("f.*").filter(
+        "not_castable > 0 OR too_long > 0")
 
 
 # --- tables -----------------------------------------------------------------
 
 
-def create_tables(spark: SparkSession, tables=tuple(S.WAREHOUSE_COLUMNS), prefix: str = "",
-                  replace: bool = True) -> dict[str, bool]:
-    """Create warehouse tables, day-partitioned Parquet; ``replace`` drops them first."""
-    created = {}
+def _reason(problem: Exception) -> str:
+    return (str(problem).splitlines() or [type(problem).__name__])[0]
+
+
+def create_tables(spark: SparkSession, tables=tuple(S.WAREHOUSE_TABLES), prefix: str = "",
+                  replace: bool = True) -> dict[str, str | None]:
+    """Create warehouse tables, day-partitioned Parquet; ``replace`` drops them first.
+
+    Returns, per table, null or why it could not be created.
+    """
+    created: dict[str, str | None] = {}
     for table in tables:
         name = f"{prefix}{table}"
         try:
@@ -176,9 +219,9 @@ def create_tables(spark: SparkSession, tables=tuple(S.WAREHOUSE_COLUMNS), prefix
             spark.sql(
                 f"CREATE TABLE IF NOT EXISTS {name} ({fields}, `{S.PARTITION_COLUMN}` date) "
                 f"USING parquet PARTITIONED BY (`{S.PARTITION_COLUMN}`)")
-            created[name] = True
-        except Exception:
-            created[name] = False
+            created[name] = None
+        except Exception as problem:
+            created[name] = _reason(problem)
     return created
 
 
@@ -211,21 +254,25 @@ def clustered(df: DataFrame, dataset: str) -> DataFrame:
     return rows.sortWithinPartitions(S.PARTITION_COLUMN, *S.CLUSTER_COLUMNS.get(dataset, ()))
 
 
-def load_tables(bundle: dict[str, DataFrame], prefix: str = "", if_exists: str = "append") -> dict[str, bool]:
-    """Load every non-empty data set into ``prefix + name``, conformed; name -> success."""
-    results = {}
+def load_tables(bundle: dict[str, DataFrame], prefix: str = "", if_exists: str = "append") -> dict[str, str | None]:
+    """Load every non-empty data set into ``prefix + name``, conformed.
+
+    Returns, per table, null or why it could not be loaded; the others are loaded anyway. Give it
+    stored data sets: then looking whether one is empty costs next to nothing.
+    """
+    results: dict[str, str | None] = {}
     for dataset, df in bundle.items():
         if is_empty(df):
             continue
         name = f"{prefix}{dataset}"
         try:
-            if dataset in S.WAREHOUSE_COLUMNS:
+            if dataset in S.WAREHOUSE_TABLES:
                 load_table(clustered(df, dataset), name, if_exists, (S.PARTITION_COLUMN,))
             else:
                 load_table(df, name, if_exists)
-            results[name] = True
-        except Exception:
-            results[name] = False
+            results[name] = None
+        except Exception as problem:
+            results[name] = _reason(problem)
     return results
 
 
@@ -264,22 +311,41 @@ def run_sql(spark: SparkSession, sql: str, params: dict | None = None, **tables:
 
 def upsert_table(spark: SparkSession, path: str, new: DataFrame, keys, order,
                  partition: str = S.PARTITION_COLUMN) -> list:
-    """Merge ``new`` into partitioned Parquet: only partitions ``new`` touches are rewritten.
-
-    The batch and the merged rows are checkpointed in the shared folder first: the batch so
-    that the touched partitions and the merge see the same rows, the result so that a lost
-    executor cannot lead back to partitions that are already replaced. Rows that repeat one
-    key must carry the same partition value. Returns the touched partitions.
+    """Merge ``new`` into partitioned Parquet; a key is stored once, wherever it was before.
+
+    Partitions are rewritten that ``new`` touches or that hold a key of ``new`` (for the latter only
+    the key columns of the table are read); a partition that all its keys have left is removed. The batch
+    and the merged rows are checkpointed in the shared folder first: the batch so that the
+    touched partitions and the merge see the same rows, the result so that a lost executor
+    cannot lead back to partitions that are already replaced. Null keys and null partitions
+    count as values. Returns the touched partitions.
     """
     ensure_checkpoint_dir(spark)
     new = new.checkpoint()
-    touched = [r[0] for r in new.select(partition).distinct().collect()]     # one value per day
-    existing = spark.read.parquet(path).filter(F.col(partition).isin(touched))
-    merged = dedup.upsert_latest(existing, new, keys, order).select(*existing.columns).checkpoint()
+    stored = spark.read.parquet(path)
+    fresh = new.select(*[F.col(k).alias(f"__{k}") for k in keys]).distinct()
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys])
+    homes = stored.join(fresh, same, "left_semi").select(partition)
+    touched = [r[0] for r in new.select(partition).unionByName(homes).distinct().collect()]     # one value per day
+    days = [d for d in touched if d is not None]
+    in_touched = F.col(partition).isin(days) if days else F.lit(False)
+    if None in touched:
+        in_touched = in_touched | F.col(partition).isNull()
+    merged = dedup.upsert_latest(stored.filter(in_touched), new, keys, order).select(*stored.columns).checkpoint()
     merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+    left = {r[0] for r in merged.select(partition).distinct().collect()}
+    for value in touched:
+        if value not in left:
+            _remove(spark, f"{path}/{partition}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}")
     return touched
 
 
+def _remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever file system it lies."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def drop_expired(spark: SparkSession, table: str, days: int, as_of, column: str = S.PARTITION_COLUMN) -> list[str]:
     """Drop day partitions older than ``days`` days from a catalog table."""
     oldest = dt.date.fromisoformat(str(as_of)[:10]) - dt.timedelta(days=days)
@@ -309,17 +375,24 @@ def storage_info(inventory: DataFrame) -> DataFrame:
     )
 
 
-def write_quality(results: DataFrame, table: str, as_of=None) -> None:
+def write_quality(results: DataFrame, table: str, as_of=None, expected: dict[str, int] | None = None) -> None:
     """Append validation results to the data quality table."""
-    load_table(with_snapshot_date(quality_rows(results, as_of), "data_quality"), table, "append",
+    load_table(with_snapshot_date(quality_rows(results, as_of, expected), "data_quality"), table, "append",
                (S.PARTITION_COLUMN,))
 
 
-def quality_rows(results: DataFrame, as_of=None) -> DataFrame:
-    """Validation results in the shape of the data quality table."""
+def quality_rows(results: DataFrame, as_of=None, expected: dict[str, int] | None = None) -> DataFrame:
+    """Validation results in the shape of the data quality table.
+
+    ``expected`` has the number of rows each data set should have, as a manifest tells it; where
+    it is unknown, the expected count and whether it matches are null.
+    """
+    known = F.lit(None).cast("bigint")
+    for dataset, count in (expected or {}).items():
+        known = F.when(F.col("dataset") == dataset, F.lit(count).cast("bigint")).otherwise(known)
     shaped = results.select(
         F.col("dataset").alias("table_name"), "validation_timestamp", "record_count",
-        F.col("record_count").alias("expected_count"), F.lit(True).alias("count_match"), "is_valid",
+        known.alias("expected_count"), (known == F.col("record_count")).alias("count_match"), "is_valid",
         "quality_score", F.to_json("errors").alias("errors"), F.to_json("warnings").alias("warnings"),
         F.to_json("null_percentages").alias("null_percentages"), "duplicate_percentage",
         F.col("estimated_mb").alias("memory_usage_mb"),

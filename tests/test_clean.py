@@ -156,18 +156,16 @@ def test_nested_datasets_pass_the_full_path(spark):
     assert len(out) == 1 and out[0]["timeline"] == {"1/1/21": 5, "1/2/21": 7}
 
 
-def test_warehouse_types():
-    kinds = {c: S.warehouse_type(c) for c in (
-        "cases", "today_cases", "tests_per_one_million", "one_case_per_people", "mortality_rate", "country_lat",
-        "data_freshness_hours", "value_7day_avg", "quality_score", "date", "updated", "is_valid", "country", "week_of_year",
-        "critical_per_one_million", "deaths_per_million", "daily_change", "daily_change_pct")}
-    assert kinds == {
-        "cases": "BIGINT", "today_cases": "BIGINT", "tests_per_one_million": "DECIMAL(10,2)",
-        "one_case_per_people": "DECIMAL(10,2)", "mortality_rate": "DECIMAL(10,6)", "country_lat": "DECIMAL(10,6)",
-        "data_freshness_hours": "DECIMAL(10,2)", "value_7day_avg": "DECIMAL(15,2)", "quality_score": "DECIMAL(5,2)",
-        "date": "DATE", "updated": "TIMESTAMP", "is_valid": "BOOLEAN", "country": "STRING", "week_of_year": "INT",
-        "critical_per_one_million": "DECIMAL(10,2)", "deaths_per_million": "DECIMAL(10,2)", "daily_change": "BIGINT",
-        "daily_change_pct": "DECIMAL(10,6)"}
+def test_warehouse_types(spark):
+    kinds = {f.name: f.dataType.simpleString() for t in S.WAREHOUSE_TABLES for f in S.warehouse_schema(t).fields}
+    wanted = {
+        "cases": "bigint", "today_cases": "bigint", "tests_per_one_million": "decimal(10,2)",
+        "one_case_per_people": "decimal(10,2)", "mortality_rate": "decimal(10,6)", "country_lat": "decimal(10,6)",
+        "data_freshness_hours": "decimal(10,2)", "value_7day_avg": "decimal(15,2)", "quality_score": "decimal(5,2)",
+        "date": "date", "updated": "timestamp", "is_valid": "boolean", "country": "string", "week_of_year": "int",
+        "critical_per_one_million": "decimal(10,2)", "deaths_per_million": "decimal(10,2)", "daily_change": "bigint",
+        "daily_change_pct": "decimal(10,6)"}
+    assert {c: kinds[c] for c in wanted} == wanted
 
 
 def test_no_lineage_clock_default(spark):

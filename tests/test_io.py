@@ -141,11 +141,11 @@ def test_conform(spark, landing):
 
 
 def test_tables(spark, landing):
-    assert set(writers.create_tables(spark, prefix="t_").values()) == {True}
+    assert set(writers.create_tables(spark, prefix="t_").values()) == {None}
     assert {"t_countries", "t_pipeline_log"} <= {t.name for t in spark.catalog.listTables()}
     raw = readers.read_all(spark, landing, NOW)
     data, results = transforms.transform_all(raw, NOW)
-    assert writers.load_tables({**data, "nothing": raw["states"].limit(0)}, "t_") == {f"t_{k}": True for k in data}
+    assert writers.load_tables({**data, "nothing": raw["states"].limit(0)}, "t_") == {f"t_{k}": None for k in data}
     assert spark.table("t_historical").count() == 5
     assert spark.table("t_continents").count() == 2
     info = writers.table_info(spark, "t_countries").first()

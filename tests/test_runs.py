@@ -24,7 +24,7 @@ def test_full_run(spark, landing, tmp_path):
     assert result["status"] == "success"
     assert [(s["task_name"], s["status"]) for s in result["steps"]] == [
         ("extract", "success"), ("transform", "success"), ("store", "success"), ("load", "success")]
-    assert result["load"] == {f"r_{d}": True for d in ("global", "countries", "continents", "states", "vaccines", "historical")}
+    assert result["load"] == {f"r_{d}": None for d in ("global", "countries", "continents", "states", "vaccines", "historical")}
     counts = {m["data_type"]: m["record_count"] for m in result["transform"]}
     assert counts == {"global": 1, "countries": 3, "continents": 2, "states": 2, "vaccines": 1, "historical": 5}
     # A second run appends; each run still reconciles by its own extraction.
@@ -33,6 +33,9 @@ def test_full_run(spark, landing, tmp_path):
     for stamp, run in ((NOW, result), ("2024-05-02 06:00:00", later)):
         checked = runs.reconcile(spark, run["transform"], "r_", stamp).collect()
         assert len(checked) == 6 and all(r["is_valid"] for r in checked)
+        assert len(run["reconcile"]) == 6 and all(r["is_valid"] for r in run["reconcile"])
+    assert {r["expected_count"] for r in spark.table("r_quality").collect()} >= {1, 2, 3, 5}
+    assert set(result["removed"]) == set(counts) and result["removed"]["countries"] >= 0
     assert spark.read.json(f"{out}/quality/run=one").count() == 6
     assert spark.table("r_log").count() == 4
     assert {r["table_name"] for r in spark.table("r_quality").collect()} == set(counts)
@@ -69,16 +72,98 @@ def test_stream_takes_each_file_once(spark, tmp_path):
     drop("b.json", [L.country("Chile", 2)])
     ingest.ingest_available_now(spark, landing, "countries", out, marks, NOW)
     ingest.ingest_available_now(spark, landing, "countries", out, marks, NOW)
-    rows = spark.read.parquet(out).select("country", "batch_id", "snapshot_date").orderBy("country").collect()
-    assert [(r["country"], r["batch_id"], r["snapshot_date"]) for r in rows] == [
-        ("Chile", 1, dt.date(2024, 5, 1)), ("Peru", 0, dt.date(2024, 5, 1))]
+    rows = spark.read.parquet(f"{out}/data").select("country", "cases", "snapshot_date").orderBy("country").collect()
+    assert [tuple(r) for r in rows] == [("Chile", 1000, dt.date(2024, 5, 1)), ("Peru", 7, dt.date(2024, 5, 1))]
+    # Another delivery of the same extraction: still one row, the last one.
+    drop("c.json", [L.country("Peru", 1, cases=9)])
+    ingest.ingest_available_now(spark, landing, "countries", out, marks, NOW)
+    assert {r["country"]: r["cases"] for r in spark.read.parquet(f"{out}/data").collect()} == {"Chile": 1000, "Peru": 9}
 
 
 def test_stream_of_histories_matches_batch(spark, landing, tmp_path):
     out = f"{tmp_path}/out"
-    ingest.ingest_available_now(spark, f"{landing}/historical", "historical", out, f"{tmp_path}/marks", NOW)
-    streamed = spark.read.parquet(out)
+    streamed = ingest.ingest_available_now(spark, f"{landing}/historical", "historical", out, f"{tmp_path}/marks", NOW)
     batch = readers.read_series(spark, f"{landing}/historical", "historical", NOW)
     key = lambda df: sorted((r["metric"], str(r["date"]), r["value"]) for r in df.collect())
     assert key(streamed) == key(batch)
     assert {"daily_change", "value_7day_avg", "week_of_year"} <= set(streamed.columns)
+
+
+def test_batches_do_not_change_the_answer(spark, tmp_path):
+    """One file at a time, two, all at once, and the batch path agree, value by value."""
+    folder = tmp_path / "historical"
+    folder.mkdir()
+    for day in range(1, 5):
+        for name, base in (("a", 10), ("b", 5)):
+            (folder / f"{name}{day}.json").write_text(json.dumps({"cases": {f"4/{day}/24": base * day * day}, "deaths": {f"4/{day}/24": day}}))
+    (folder / "c.json").write_text(json.dumps({"cases": {"4/2/24": 90, "4/3/24": "2.5x", "4/4/24": 2.5}}))
+    (folder / "d.json").write_text('{"cases": {')
+    from snapstats.plans import transforms
+
+    columns = ("date", "metric", "value", "daily_change", "value_7day_avg", "daily_change_7day_avg")
+    key = lambda df: sorted(tuple(str(r[c]) for c in columns) for r in df.collect())
+    batch = transforms.transform(readers.read_series(spark, str(folder), "historical", NOW), "historical", NOW)
+    want = key(batch)
+    assert ("2024-04-02", "cases", "90", "85", "47.5", "85.0") in [(a, b, c, d, e, f) for a, b, c, d, e, f in want]
+    rejects = sorted((r["file"], r["reason"], r["record"]) for r in readers.read_rejects(spark, str(folder), "historical").collect())
+    assert rejects == [("c.json", "unreadable value", "cases 4/3/24 2.5x"), ("c.json", "unreadable value", "cases 4/4/24 2.5"),
+                       ("d.json", "malformed document", '{"cases": {')]
+    for files in (1, 2, 1000):
+        out = f"{tmp_path}/out{files}"
+        got = ingest.ingest_available_now(spark, str(folder), "historical", out, f"{tmp_path}/marks{files}", NOW, max_files=files)
+        assert key(got) == want
+        kept = spark.read.schema(readers.REJECTS).parquet(f"{out}/rejects").collect()
+        assert sorted((r["file"], r["reason"], r["record"]) for r in kept) == rejects
+
+
+def test_broken_snapshots_are_listed_not_read(spark, tmp_path):
+    folder = tmp_path / "countries"
+    folder.mkdir()
+    (folder / "a.json").write_text(json.dumps([L.country("Peru", 1, cases=5)]))
+    (folder / "b.json").write_text('[{"country": "Chile", ')
+    (folder / "c.json").write_text(json.dumps(L.country("Cuba", 2, deaths="many")))
+    rows = readers.read_snapshot(spark, str(folder), "countries", NOW)
+    assert sorted((r["country"], r["cases"], r["deaths"]) for r in rows.collect()) == [("Cuba", 1000, None), ("Peru", 5, 20)]
+    found = sorted((r["file"], r["reason"]) for r in readers.read_rejects(spark, str(folder), "countries").collect())
+    assert found == [("b.json", "malformed document"), ("c.json", "unreadable field")]
+    got = ingest.ingest_available_now(spark, str(folder), "countries", f"{tmp_path}/out", f"{tmp_path}/marks", NOW)
+    assert sorted(r["country"] for r in got.collect()) == ["Cuba", "Peru"]
+
+
+def test_newer_file_wins_whatever_its_size(spark, tmp_path):
+    from snapstats.plans import transforms
+
+    for number, (old, new) in enumerate(((1, 31), (31, 1))):
+        folder = tmp_path / f"countries{number}"
+        folder.mkdir()
+        for name, rows, cases in (("c_20240501.json", old, 1), ("c_20240502.json", new, 2)):
+            (folder / name).write_text(json.dumps([L.country(f"Land {k}", k) for k in range(rows - 1)] + [L.country("Peru", 1, cases=cases)]))
+        kept = transforms.transform(readers.read_snapshot(spark, str(folder), "countries", NOW), "countries", NOW)
+        assert [r["cases"] for r in kept.filter("country = 'Peru'").collect()] == [2]
+        history = tmp_path / f"historical{number}"
+        history.mkdir()
+        for name, days, value in (("h_20240501.json", old, 100), ("h_20240502.json", new, 90)):
+            (history / name).write_text(json.dumps({"cases": {f"3/{d + 1}/24": value for d in range(days)}}))
+        kept = transforms.transform(readers.read_series(spark, str(history), "historical", NOW), "historical", NOW)
+        assert [r["value"] for r in kept.filter("date = DATE '2024-03-01'").collect()] == [90]
+
+
+def test_one_table_that_fails_is_reported(spark, landing, tmp_path):
+    spark.sql("CREATE TABLE IF NOT EXISTS bad_states (x INT) USING parquet")
+    result = runs.run_steps(spark, landing, str(tmp_path), NOW, prefix="bad_", execution_id="bad", include_history=False)
+    assert result["status"] == "partial"
+    assert result["load"]["bad_states"] and result["load"]["bad_countries"] is None
+    step = result["steps"][-1]
+    assert step["status"] == "partial" and "bad_states" in step["error_message"]
+    assert {r["table_name"] for r in result["reconcile"]} == {f"bad_{d}" for d in ("global", "countries", "continents", "vaccines")}
+
+
+def test_upsert_keeps_the_null_day_and_moves_keys(spark, tmp_path):
+    old = spark.sql("""SELECT * FROM VALUES ('keep', CAST(NULL AS DATE), 1), ('a', DATE '2024-05-01', 2), ('b', DATE '2024-05-02', 3),
+                       ('c', DATE '2024-05-03', 4) AS t(id, snapshot_date, n)""")
+    path = writers.write_dataset(old, f"{tmp_path}/t", partition_by=("snapshot_date",))
+    new = spark.sql("SELECT * FROM VALUES ('a', DATE '2024-05-03', 20), ('d', CAST(NULL AS DATE), 5) AS t(id, snapshot_date, n)")
+    touched = writers.upsert_table(spark, path, new, ["id"], [])
+    assert set(touched) == {None, dt.date(2024, 5, 1), dt.date(2024, 5, 3)}
+    rows = sorted((r["id"], str(r["snapshot_date"]), r["n"]) for r in spark.read.parquet(path).collect())
+    assert rows == [("a", "2024-05-03", 20), ("b", "2024-05-02", 3), ("c", "2024-05-03", 4), ("d", "None", 5), ("keep", "None", 1)]
