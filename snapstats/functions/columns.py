@@ -101,15 +101,21 @@ def grade(value: Column, bands: list[tuple[str, Column]], otherwise: str) -> Col
     return out.otherwise(F.lit(otherwise))
 
 
+def strip(column: Column | str) -> Column:
+    """Without white space of any kind at both ends."""
+    space = r"[\s\p{Z}\x1c-\x1f\x85]+"
+    return F.regexp_replace(as_col(column), rf"^{space}|{space}$", "")
+
+
 def title_case(column: Column | str) -> Column:
-    """Trim, then upper-case the first letter after any non-letter.
+    """Trim all white space, then upper-case the first letter after any non-letter.
 
     ``initcap`` alone only looks at white space ("Guinea-bissau"), so the text is
     cut into runs of cased letters and other characters first.
     """
     cased = r"\p{Lu}\p{Ll}\p{Lt}"
     pieces = F.regexp_extract_all(
-        F.lower(F.trim(as_col(column))), F.lit(f"([{cased}]+|[^{cased}]+)"), F.lit(1)
+        F.lower(strip(column)), F.lit(f"([{cased}]+|[^{cased}]+)"), F.lit(1)
     )
     return F.array_join(F.transform(pieces, lambda piece: F.initcap(piece)), "")
 

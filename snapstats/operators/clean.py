@@ -211,12 +211,14 @@ def map_values(df: DataFrame, column: str, mapping: dict | DataFrame) -> DataFra
     """Replace exact matches in ``column``.
 
     A dict becomes a literal map. A two-column DataFrame (from, to) is joined, with
-    frequent values spread over several tasks.
+    frequent values spread over several tasks; a value with two targets is an error.
     """
     if isinstance(mapping, dict):
         return df.withColumn(column, C.mapped(column, mapping))
     old, new = mapping.columns
-    table = mapping.select(F.col(old).alias(column), F.col(new).alias("__to")).dropDuplicates([column])
+    target = F.when(F.min(new).eqNullSafe(F.max(new)), F.min(new)).otherwise(
+        F.raise_error(F.concat(F.lit("two targets for "), F.first(old).cast("string"))))
+    table = mapping.groupBy(F.col(old).alias(column)).agg(target.alias("__to"))
     joined = joins.join_unique(df, table, column)
     return joined.withColumn(column, F.coalesce("__to", column)).select(*df.columns)
 

@@ -81,9 +81,17 @@ def dedup_rows(df: DataFrame) -> DataFrame:
 
 
 def duplicate_stats(df: DataFrame, keys=None) -> DataFrame:
-    """One row: rows, surplus rows beyond the first of each key, their share."""
+    """One row: rows, surplus rows beyond the first of each key, their share.
+
+    Without keys whole rows are compared, by two hashes of them (96 bits): only these are shuffled.
+    """
     rows = comparable(df.select(*keys) if keys else df)
-    per_key = rows.groupBy(*[F.col(f"`{c}`") for c in rows.columns]).agg(F.count(F.lit(1)).alias("n"))
+    columns = [F.col(f"`{c}`") for c in rows.columns]
+    if not keys:
+        text = F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
+        rows = rows.select(F.xxhash64(*columns).alias("one"), F.crc32(text.cast("binary")).alias("two"))
+        columns = ["one", "two"]
+    per_key = rows.groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))
     surplus = F.coalesce(F.sum(F.col("n") - 1), F.lit(0))
     total = F.coalesce(F.sum("n"), F.lit(0))
     return per_key.agg(total.alias("row_count"), surplus.alias("duplicate_count")).withColumn(

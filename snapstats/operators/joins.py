@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F
 
 from snapstats.functions import columns as C
 
-HOT_SHARE = 0.01      # keys above this share of the rows are spread; at most 1 / HOT_SHARE of them
-SALTS = 64
+HOT_SHARE = 0.01      # keys above this share of the rows are joined apart; at most 2 / HOT_SHARE of them
 TRACKED = 2000        # keys a sketch keeps; its error is about 3.5 / TRACKED of the rows
 SKETCH_GROUPS = 64
 
@@ -34,20 +33,14 @@ def join_unique(left: DataFrame, right: DataFrame, key: str, how: str = "left",
     """Join to a side that has one row per key.
 
     The right side is an aggregate as a rule, so it needs no shuffle of its own and AQE
-    would not split a skewed partition of the left. Instead rows of hot (and null) keys
-    are spread over ``SALTS`` sub-keys, and the few matching right rows are repeated for
-    each. The result does not depend on the salt.
+    would not split a skewed partition of the left. Instead rows of hot and null keys stay where
+    they are, whatever their share: at most ``2 / HOT_SHARE`` rows of the right side match
+    them, and these are sent to every task. All other keys are joined by shuffling.
+    ``hot=[]`` says that no key of the left is frequent, and saves the pass that looks for them.
     """
+    if hot is not None and not hot:
+        return left.join(right, key, how)
     hot = hot_keys(left, key) if hot is None else hot
-    salt = "__salt"
-    hashed = [F.col(f"`{f.name}`") for f in left.schema.fields if not _has_map(f.dataType)]
-    spread = F.pmod(F.xxhash64(*hashed) + F.spark_partition_id(), F.lit(SALTS)).cast("int")
     is_hot = F.col(key).isin(hot) if hot else F.lit(False)
-    salted = left.withColumn(salt, F.when(is_hot | F.col(key).isNull(), spread).otherwise(F.lit(0)))
-    every = F.sequence(F.lit(0), F.lit(SALTS - 1))
-    repeated = right.withColumn(salt, F.explode(F.when(is_hot, every).otherwise(F.array(F.lit(0)))))
-    return salted.join(repeated, [key, salt], how).drop(salt)
-
-
-def _has_map(kind: T.DataType) -> bool:
-    return "map<" in kind.simpleString()
+    apart = left.filter(is_hot | F.col(key).isNull()).join(F.broadcast(right.filter(is_hot)), key, how)
+    return left.filter(F.col(key).isNotNull() & ~is_hot).join(right, key, how).unionByName(apart)

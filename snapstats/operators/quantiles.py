@@ -19,7 +19,8 @@ from snapstats.functions import columns as C
 POINTS = 400                  # equally spaced quantiles kept of each group of tasks
 GROUPS = 128                  # groups of tasks whose sketches are merged together
 SLACK = 2.0 / POINTS          # half the width of a bracket, as a share of the rows
-GROUP_LIMIT = 1_000_000       # most distinct values ordered in one group
+GROUP_LIMIT = 1_000_000       # values inside the brackets of a column that are ordered in one group
+MANY = 10                     # probabilities answered together; two ranks each
 
 Spans = dict[int, list[tuple[float, float]]]
 
@@ -34,6 +35,10 @@ def quantiles(df: DataFrame, columns, probabilities, exact: bool = True) -> dict
         return {}
     values = df.select(*[_present(df, c).alias(f"c{i}") for i, c in enumerate(columns)])
     asked = _around(probabilities, SLACK) if exact else probabilities
+    if exact and len(probabilities) > MANY:      # narrowing must shrink what is left each time
+        first = quantiles(df, columns, probabilities[:MANY])
+        rest = quantiles(df, columns, probabilities[MANY:])
+        return {c: first[c] + rest[c] for c in columns}
     counts, near = sketch(values, {f"c{i}": asked for i in range(len(columns))})
     if not exact:
         return {c: near[f"c{i}"] or [None] * len(probabilities) for i, c in enumerate(columns)}
@@ -130,11 +135,9 @@ def _at_ranks(values: DataFrame, ranks, counts, spans: Spans, slack: float) -> d
     if not ranks:
         return {}
     inside = {i: n * min(1.0, 2 * slack) * len(spans[i]) for i, n in counts.items()}
+    closer = min(slack, 1 / (8 * max(map(len, ranks.values()))))      # each round leaves at most a quarter
     while max(inside.values()) > GROUP_LIMIT:
-        before = max(inside.values())
-        spans, inside = _narrow(values, ranks, spans, slack)
-        if max(inside.values()) >= before:
-            break
+        spans, inside = _narrow(values, ranks, spans, closer)
 
     running = Window.partitionBy("i").orderBy("cell", "v").rowsBetween(Window.unboundedPreceding, 0)
     ordered = (

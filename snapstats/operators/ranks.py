@@ -9,8 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from snapstats.functions import columns as C
 from snapstats.operators import quantiles
 
-MAX_BUCKETS = 4096
-BUCKET_ROWS = 100_000
+POINTS = 4096      # cut points a sketch offers per column; they reach the driver
 
 
 def _bucket(value: Column, bounds: list[float]) -> Column:
@@ -22,18 +21,20 @@ def _bucket(value: Column, bounds: list[float]) -> Column:
     return full * step + F.coalesce(F.size(F.filter(chunk, lambda b: b < value)), F.lit(0))
 
 
-def range_bounds(df: DataFrame, columns) -> dict[str, list[float]]:
-    """Cut points that split each column into ranges of about ``BUCKET_ROWS`` rows.
+def range_bounds(df: DataFrame, columns) -> tuple[dict[str, int], dict[str, list[float]]]:
+    """(values present, cut points) per column, from one pass of sketches.
 
-    Small sets need none. At most ``MAX_BUCKETS`` numbers per column reach the driver.
+    There is a range for every hundred of the square root of the values, and one more: ranges and
+    the rows in each grow together with the table.
     """
-    buckets = min(MAX_BUCKETS, df.count() // BUCKET_ROWS)
-    if buckets < 2:
-        return {c: [] for c in columns}
     values = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(columns)])
-    shares = [i / buckets for i in range(1, buckets)]
-    _, cuts = quantiles.sketch(values, {f"c{i}": shares for i in range(len(columns))}, points=buckets)
-    return {c: sorted(set(cuts[f"c{i}"])) for i, c in enumerate(columns)}
+    shares = [i / POINTS for i in range(1, POINTS)]
+    counts, cuts = quantiles.sketch(values, {f"c{i}": shares for i in range(len(columns))}, points=POINTS)
+    bounds = {}
+    for i, c in enumerate(columns):
+        step = max(1, POINTS // (2 + math.isqrt(counts[f"c{i}"]) // 100))
+        bounds[c] = sorted(set(cuts[f"c{i}"][step - 1::step]))
+    return {c: counts[f"c{i}"] for i, c in enumerate(columns)}, bounds
 
 
 def value_ranks(df: DataFrame, column: str, bounds: list[float] | None = None) -> DataFrame:
@@ -44,18 +45,15 @@ def value_ranks(df: DataFrame, column: str, bounds: list[float] | None = None) -
     ranges (one row per range) are added.
     """
     if bounds is None:
-        bounds = range_bounds(df, [column])[column]
+        bounds = range_bounds(df, [column])[1][column]
     counts = (
         df.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("value"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
     before = Window.unboundedPreceding, -1
-    if not bounds:      # few rows: one range
-        ahead = F.sum("n").over(Window.orderBy(F.desc("value")).rowsBetween(*before))
-        return counts.select("value", (F.coalesce(ahead, F.lit(0)) + 1).alias("rank"))
     counts = counts.withColumn("bucket", _bucket(F.col("value").cast("double"), bounds))
     totals = counts.groupBy("bucket").agg(F.sum("n").alias("in_bucket"))
-    higher = Window.orderBy(F.desc("bucket")).rowsBetween(*before)      # at most MAX_BUCKETS rows
+    higher = Window.orderBy(F.desc("bucket")).rowsBetween(*before)      # one row per range
     offsets = totals.select("bucket", F.coalesce(F.sum("in_bucket").over(higher), F.lit(0)).alias("above"))
     greater = F.sum("n").over(Window.partitionBy("bucket").orderBy(F.desc("value")).rowsBetween(*before))
     return (
@@ -70,14 +68,13 @@ def with_ranks(df: DataFrame, columns, names: dict[str, str] | None = None) -> D
     The join back is on the ranked value; a value that many rows share is one row on
     the other side, so AQE can split the hot side.
     """
-    bounds = range_bounds(df, columns)
-    present = df.agg(*[F.count(c).alias(c) for c in columns])
+    present, bounds = range_bounds(df, columns)
     out = df
     for c in columns:
         name = (names or {}).get(c, f"{c}_rank")
         ranks = value_ranks(df, c, bounds[c]).select(F.col("value").alias("__value"), F.col("rank").alias(name))
         out = out.join(ranks, F.col(c) == F.col("__value"), "left").drop("__value")
-        out = out.withColumn(name, F.coalesce(name, present.select(F.col(c) + 1).scalar()))
+        out = out.withColumn(name, F.coalesce(F.col(name), F.lit(present[c] + 1)))
     return out
 
 

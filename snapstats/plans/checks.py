@@ -137,7 +137,7 @@ def historical_vs_current(countries: DataFrame, history: DataFrame, as_of, min_c
     """Current totals beside the latest series values, with absolute differences."""
     current = countries.filter(F.col("cases") > min_cases).select(
         "country", F.col("cases").alias("current_cases"), F.col("deaths").alias("current_deaths"))
-    return joins.join_unique(current, latest_metrics(history, as_of), "country", "inner").withColumns({
+    return joins.join_unique(current, latest_metrics(history, as_of), "country", "inner", hot=[]).withColumns({
         "cases_diff": F.abs(F.col("current_cases") - F.col("hist_cases")),
         "deaths_diff": F.abs(F.col("current_deaths") - F.col("hist_deaths")),
     })
@@ -184,15 +184,29 @@ def q_summary(checks: DataFrame) -> DataFrame:
         "overall_quality", C.grade(failed, bands, "POOR"))
 
 
-def all_checks(countries: DataFrame, history: DataFrame | None, as_of, min_records: int = 190, **limits) -> DataFrame:
-    """Every check of this module that the given tables allow, as one set of check rows."""
+def _as_check(rows: DataFrame, name: str, count: Column) -> DataFrame:
+    return rows.select("table_name", F.lit(name).alias("check_type"), count.cast("bigint").alias("count"), "status")
+
+
+def all_checks(countries: DataFrame, history: DataFrame | None, as_of, min_records: int = 190,
+               tables: dict[str, DataFrame] | None = None, history_limits: dict[str, dict] | None = None, **limits) -> DataFrame:
+    """Every check of this module that the given tables allow, as one set of check rows.
+
+    ``tables`` adds the minimum counts and the age (in hours) of each of them; ``history_limits`` has
+    arguments for the history checks by function name, ``limits`` those of the row checks.
+    """
+    given = history_limits or {}
     parts = [
         row_checks(countries, row_check_tests(as_of, **limits), min_records=min_records),
         q_duplicate_countries(countries),
     ]
     if history is not None:
-        parts += [q_date_gaps(history), q_completeness_major(countries, history),
-                  q_historical_vs_current(countries, history, as_of)]
+        parts += [q_date_gaps(history, **given.get("q_date_gaps", {})),
+                  q_completeness_major(countries, history, **given.get("q_completeness_major", {})),
+                  q_historical_vs_current(countries, history, as_of, **given.get("q_historical_vs_current", {}))]
         if "daily_change" in history.columns:
-            parts.append(q_large_negative_changes(history))
+            parts.append(q_large_negative_changes(history, **given.get("q_large_negative_changes", {})))
+    if tables:
+        parts += [_as_check(q_min_record_counts(tables), "minimum_record_count", F.col("record_count")),
+                  _as_check(q_recent_data(tables, as_of), "recent_data", F.floor("hours_since_extraction"))]
     return reduce(DataFrame.unionByName, parts)

@@ -33,9 +33,11 @@ def _check(name: str, severity: str, observed: Column, threshold: Column, failed
         C.status(failed).alias("status"), detail.alias("detail"))
 
 
-def _counted(name: str, severity: str, count: Column, what: str) -> Column:
-    """Check that fails when a count is above zero."""
+def _counted(name: str, severity: str, count: Column, what: str, names: Column | None = None) -> Column:
+    """Check that fails when a count is above zero; ``names`` tells what was counted."""
     detail = F.concat(F.lit("found "), count.cast("string"), F.lit(f" {what}"))
+    if names is not None:
+        detail = F.concat_ws(": ", detail, names)
     return _check(name, severity, count, F.lit(0), count > 0, detail)
 
 
@@ -139,6 +141,17 @@ def unknown_values(df: DataFrame, column: str, allowed) -> DataFrame:
     return df.filter(F.col(column).isNull() | ~F.col(column).isin(list(allowed))).groupBy(column).count()
 
 
+NAMED_VALUES = 20      # values a warning names; ``unknown_values`` has them all
+
+
+def _named_values(df: DataFrame, column: str, allowed) -> Column:
+    """The most frequent values outside ``allowed`` as text, each with its rows."""
+    most = unknown_values(df, column, allowed).orderBy(F.desc("count"), column).limit(NAMED_VALUES)
+    named = F.concat(F.coalesce(F.col(column).cast("string"), F.lit("null")), F.lit(" ("), F.col("count").cast("string"), F.lit(")"))
+    return most.agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(
+        (-F.col("count")).alias("n"), named.alias("name")))), lambda x: x["name"]), ", ")).scalar()
+
+
 def _profile(df: DataFrame, dataset: str) -> DataFrame:
     """One row with every measure of the data set."""
     nulls = F.map_from_arrays(
@@ -148,6 +161,8 @@ def _profile(df: DataFrame, dataset: str) -> DataFrame:
                  estimated_bytes(df).alias("bytes"),
                  *[m.alias(f"m_{k}") for k, m in _measures(df, dataset).items()])
     row = row.withColumn("duplicate_count", duplicates)
+    if "unknown_metric" in _measures(df, dataset):
+        row = row.withColumn("unknown_names", _named_values(df, "metric", S.METRICS))
     if dataset == "countries" and "country" in df.columns:
         row = row.withColumn(
             "duplicate_countries", dedup.duplicate_stats(df, ["country"]).select("duplicate_count").scalar())
@@ -189,7 +204,7 @@ def _checks(df: DataFrame, dataset: str, as_of, min_records: int, max_null_share
         if key in ("first_day", "last_day"):
             continue
         severity, what = texts.get(key, ("warning", key.replace("_", " ")))
-        out.append(_counted(key, severity, F.col(f"m_{key}"), what))
+        out.append(_counted(key, severity, F.col(f"m_{key}"), what, F.col("unknown_names") if key == "unknown_metric" else None))
     if dataset == "countries" and "country" in have:
         out.append(_counted("duplicate_countries", "warning", F.col("duplicate_countries"), "duplicate countries"))
     if "first_day" in measures:
@@ -241,6 +256,30 @@ def validate(df: DataFrame, dataset: str, as_of=None, min_records: int = MIN_REC
                       F.col("duplicate_percentage"), max_null_share).alias("quality_score"))
 
 
+VALIDATION_SCHEMA = (
+    "dataset STRING, validation_timestamp TIMESTAMP, record_count BIGINT, column_count INT, is_valid BOOLEAN, "
+    "errors ARRAY<STRING>, warnings ARRAY<STRING>, null_percentages MAP<STRING, DOUBLE>, duplicate_percentage DOUBLE, "
+    "data_types MAP<STRING, STRING>, estimated_mb DOUBLE, quality_score DOUBLE"
+)
+
+
+def validated(df: DataFrame, dataset: str, as_of=None, **limits) -> DataFrame:
+    """The row of ``validate``, computed now; if that fails, a row that says so, with score 0."""
+    spark = df.sparkSession
+    try:
+        row = [tuple(r) for r in validate(df, dataset, as_of, **limits).collect()]      # one row
+    except Exception as problem:
+        reason = (str(problem).splitlines() or [type(problem).__name__])[0]
+        failed = spark.range(1).select(
+            F.lit(dataset).alias("dataset"), clean.clock(as_of).alias("validation_timestamp"), F.lit(None).cast("bigint").alias("record_count"),
+            F.lit(len(df.columns)).alias("column_count"), F.lit(False).alias("is_valid"),
+            F.array(F.lit(f"validation failed: {reason}")).alias("errors"))
+        for field in T.StructType.fromDDL(VALIDATION_SCHEMA).fields[6:]:
+            failed = failed.withColumn(field.name, F.lit(None).cast(field.dataType))
+        return failed.withColumn("warnings", F.array().cast("array<string>")).withColumn("quality_score", F.lit(0.0))
+    return spark.createDataFrame(row, VALIDATION_SCHEMA)
+
+
 def profile(df: DataFrame, exact: bool = True) -> DataFrame:
     """Column profile: type, missing values and, for numbers, outlier counts and bounds."""
     types = F.create_map(*[F.lit(x) for pair in df.dtypes for x in pair])
@@ -257,7 +296,8 @@ def rule_violations(df: DataFrame, dataset: str, tolerance: float = ACTIVE_TOLER
     have = set(df.columns)
     rules: dict[str, Column] = {}
     if dataset in ("global", "countries"):
-        cases, deaths, recovered, active = map(F.col, ("cases", "deaths", "recovered", "active"))
+        number = lambda c: F.col(c) if c not in have or C.is_number(df.schema[c].dataType) else F.col(c).try_cast("double")
+        cases, deaths, recovered, active = map(number, ("cases", "deaths", "recovered", "active"))
         if {"cases", "deaths", "recovered"} <= have:
             rules["cases_below_outcomes"] = cases < deaths + recovered
             if "active" in have:

@@ -119,7 +119,7 @@ def _transform(spark, out, as_of, run_id, quality_table):
     manifest, records, problems = _keep(spark, data, out, "processed", run_id)
     # Validation reads the stored result: one computation, and exactly what was kept.
     for dataset, df in _stage(spark, out, "processed", run_id).items():
-        row = quality.validate(df, dataset, as_of)
+        row = quality.validated(df, dataset, as_of)
         row.coalesce(1).write.mode("append").json(f"{out}/quality/run={run_id}")
         if quality_table:
             expected = {m["data_type"]: m["record_count"] for m in manifest}

@@ -54,10 +54,8 @@ def test_quantiles_of_nothing(spark):
     assert quantiles.quantiles(empty, [], (0.5,)) == {}
 
 
-@pytest.mark.parametrize("bucket_rows", [100_000, 60])
-def test_ranks_match_window(numbers, monkeypatch, bucket_rows):
+def test_ranks_match_window(numbers):
     df, _ = numbers
-    monkeypatch.setattr(ranks, "BUCKET_ROWS", bucket_rows)
     df = df.withColumn("rare", F.when(~F.isnan("rare"), F.col("rare")))
     got = ranks.with_ranks(df, ["hot", "rare", "small"])
     want = df.select("*", *[F.rank().over(Window.orderBy(F.desc_nulls_last(c))).alias(f"w_{c}") for c in ("hot", "rare", "small")])
