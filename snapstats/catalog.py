@@ -9,8 +9,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from snapstats import bind
 from snapstats.functions import columns as C
@@ -442,17 +443,20 @@ def upsert_latest(spark, sf):
     return merged.select("l_orderkey", "l_linenumber", "l_partkey", "l_returnflag")
 
 
-@query("""SELECT CAST(CAST(date_trunc('quarter', o_orderdate) AS DATE) AS VARCHAR) AS snapshot_date, o_orderkey, o_orderstatus,
-  CASE WHEN o_orderstatus = 'P' THEN -o_totalprice ELSE o_totalprice END AS o_totalprice FROM orders""")
+@query("""SELECT CAST(CAST(CASE WHEN o_orderkey % 10 = 0 THEN NULL WHEN o_orderstatus = 'P' AND o_orderkey % 3 = 0
+      THEN date_trunc('quarter', o_orderdate) + INTERVAL 3 MONTH ELSE date_trunc('quarter', o_orderdate) END AS DATE) AS VARCHAR) AS snapshot_date,
+  o_orderkey, o_orderstatus, CASE WHEN o_orderstatus = 'P' THEN -o_totalprice ELSE o_totalprice END AS o_totalprice FROM orders""")
 def upsert_partitions(spark, sf):
-    """Pending orders change in a stored, partitioned table."""
+    """Pending orders change in a stored, partitioned table; some have no day, some move to another."""
     work = scratch(spark)
     ensure_checkpoint_dir(spark, f"{work}/checkpoint")
+    quarter = F.date_trunc("quarter", "o_orderdate").cast("date")
     orders = bind.table(spark, sf, "orders").select(
-        F.date_trunc("quarter", "o_orderdate").cast("date").alias("snapshot_date"), "o_orderkey", "o_orderstatus", "o_totalprice")
+        F.when(F.col("o_orderkey") % 10 != 0, quarter).alias("snapshot_date"), "o_orderkey", "o_orderstatus", "o_totalprice")
     path = writers.write_dataset(orders, f"{work}/orders", partition_by=("snapshot_date",))
-    changed = orders.filter("o_orderstatus = 'P'").withColumn("o_totalprice", -F.col("o_totalprice"))
-    writers.upsert_table(spark, path, changed, ["snapshot_date", "o_orderkey"], [])
+    moved = F.when(F.col("o_orderkey") % 3 == 0, F.add_months("snapshot_date", 3)).otherwise(F.col("snapshot_date"))
+    changed = orders.filter("o_orderstatus = 'P'").withColumns({"o_totalprice": -F.col("o_totalprice"), "snapshot_date": moved})
+    writers.upsert_table(spark, path, changed, ["o_orderkey"], [])
     return spark.read.parquet(path).select("snapshot_date", "o_orderkey", "o_orderstatus", "o_totalprice")
 
 
@@ -568,8 +572,7 @@ def q_negative_cases(spark, sf):
     rows = bind.table(spark, sf, "customer").select(
         F.col("c_name").alias("country"), F.col("c_acctbal").alias("cases"),
         (F.col("c_nationkey") - 2).alias("deaths"), F.lit(0).alias("recovered"))
-    test = {"negative_cases": (C.any_negative("cases", "deaths", "recovered"), 0)}
-    return checks.row_checks(rows, test, "customer")
+    return checks.q_negative_cases(rows, bind.SNAPSHOT_AS_OF, "customer")
 
 
 @query(_check_sql(SNAPSHOT, "countries", "data_freshness", 0,
@@ -1117,20 +1120,6 @@ def reconcile_load(spark, sf):
     return writers.reconcile_load(stored, expected).select("table_name", "expected_count", "actual_count", "count_match")
 
 
-@query(ORACLE["transform_countries"])
-def full_run(spark, sf):
-    """Regions written as landing documents, then extracted and transformed by a whole run."""
-    work = scratch(spark)
-    payload = bind.snapshot(spark, sf).withColumn("updated", F.unix_millis(F.col("updated").cast("timestamp")))
-    writers.write_dataset(payload.drop("extraction_date", "data_source", "data_type"), f"{work}/landing/countries", "json")
-    result = runs.run_steps(spark, f"{work}/landing", f"{work}/out", bind.SNAPSHOT_AS_OF, skip=("store", "load"),
-                            include_history=False, datasets=("countries",), lines=True)
-    written, = result["transform"]
-    return readers.read_dataset(spark, written["uri"]).select(
-        "country", "region_type", "cases", "deaths", "recovered", "active", "population", "mortality_rate",
-        "recovery_rate", "active_rate", "cases_per_million", "deaths_per_million", "processed_at")
-
-
 _ROUND_TRIP = "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS o_orderdate, o_orderpriority FROM orders"
 
 
@@ -1172,3 +1161,223 @@ def stream_available_now(spark, sf):
 
     ingest.write_batches(stream, f"{work}/out", f"{work}/checkpoint", step).awaitTermination()
     return spark.read.parquet(f"{work}/out").groupBy("date", "metric", "country").agg(F.sum("value").alias("value"))
+
+
+# --- landing documents ---------------------------------------------------------------
+#
+# These queries write landing files, tables or streams while they are built: that is what they show.
+
+
+def _timeline_entry(value: Column) -> Column:
+    return F.struct(F.date_format("date", "M/d/yy").alias("key"), value.alias("value"))
+
+
+@query(f"""WITH {CHANGES} SELECT country, metric, CAST(date AS VARCHAR) AS date, value, daily_change,
+  round(avg(value) OVER w, 6) AS value_7day_avg, round(avg(daily_change) OVER w, 6) AS daily_change_7day_avg
+  FROM changes WHERE metric IN ('cases', 'deaths', 'recovered') WINDOW w AS (PARTITION BY country, metric ORDER BY date ROWS 6 PRECEDING)""")
+def stream_history(spark, sf):
+    """Histories whose days are spread over four files, taken one file at a time."""
+    work = scratch(spark)
+    ensure_checkpoint_dir(spark, f"{work}/checkpoint")
+    days = bind.history(spark, sf).withColumn("part", F.dayofmonth("date") % 4)
+    pick = lambda m: F.map_from_entries(F.collect_list(F.when(F.col("metric") == m, _timeline_entry(F.col("value")))))
+    documents = days.groupBy("part", "country").agg(*[pick(m).alias(m) for m in ("cases", "deaths", "recovered")])
+    for part in range(4):
+        documents.filter(F.col("part") == part).select("country", F.struct("cases", "deaths", "recovered").alias("timeline")).coalesce(
+            1).write.mode("append").json(f"{work}/landing")
+    stored = ingest.ingest_available_now(spark, f"{work}/landing", "country_historical", f"{work}/out", f"{work}/marks",
+                                         bind.HISTORY_AS_OF, lines=True, max_files=1)
+    return rounded(stored.select("country", "metric", "date", "value", "daily_change", "value_7day_avg", "daily_change_7day_avg"),
+                   "value_7day_avg", "daily_change_7day_avg")
+
+
+def _broken_landing(spark, sf) -> str:
+    """Country histories as JSON lines: a fifth of the documents cut off, deaths of the third of a month no number."""
+    folder = f"{scratch(spark)}/landing"
+    days = bind.history(spark, sf).filter(F.col("metric").isin("cases", "deaths"))
+    value = F.when((F.col("metric") == "deaths") & (F.dayofmonth("date") == 3), "x").otherwise(F.col("value").cast("string"))
+    pick = lambda m: F.map_from_entries(F.collect_list(F.when(F.col("metric") == m, _timeline_entry(value))))
+    documents = days.groupBy("country").agg(pick("cases").alias("cases"), pick("deaths").alias("deaths"))
+    text = F.to_json(F.struct("country", F.struct("cases", "deaths").alias("timeline")))
+    broken = F.substring("country", 10, 9).cast("int") % 5 == 0
+    documents.select(F.when(broken, F.substring(text, 1, 40)).otherwise(text).alias("value")).write.text(folder)
+    return folder
+
+
+_BROKEN = "CAST(substr(country, 10, 9) AS INT) % 5 = 0"
+
+
+@query(f"""WITH {HISTORY} SELECT 'malformed document' AS reason, '{{"country":"' || country || '"' AS record
+    FROM (SELECT DISTINCT country FROM history WHERE metric IN ('cases', 'deaths') AND {_BROKEN})
+  UNION ALL SELECT 'unreadable value', country || ' deaths ' || strftime(date, '%-m/%-d/%y') || ' x' FROM history
+    WHERE metric = 'deaths' AND day(date) = 3 AND NOT ({_BROKEN})""")
+def read_rejects(spark, sf):
+    found = readers.read_rejects(spark, _broken_landing(spark, sf), "country_historical", lines=True)
+    return found.select("reason", F.when(F.col("reason") == "malformed document", F.substring("record", 1, 31)).otherwise(
+        F.col("record")).alias("record"))
+
+
+@query(f"""WITH {HISTORY} SELECT CAST(date AS VARCHAR) AS date, metric, value, country FROM history
+  WHERE metric IN ('cases', 'deaths') AND NOT ({_BROKEN}) AND NOT (metric = 'deaths' AND day(date) = 3)""")
+def country_history_with_rejects(spark, sf):
+    return readers.read_series(spark, _broken_landing(spark, sf), "country_historical", bind.HISTORY_AS_OF, lines=True).select(
+        "date", "metric", "value", "country")
+
+
+def _write_landing(spark, sf) -> str:
+    """All six data sets as JSON lines: regions, their sums, and the histories."""
+    folder = f"{scratch(spark)}/landing"
+    regions = bind.snapshot(spark, sf).withColumn("updated", F.unix_millis(F.col("updated").cast("timestamp")))
+    sums = [F.sum(c).alias(c) for c in ("cases", "deaths", "recovered", "active", "tests", "population")]
+    writers.write_dataset(regions.drop("extraction_date", "data_source", "data_type"), f"{folder}/countries", "json")
+    writers.write_dataset(regions.agg(*sums, F.count(F.lit(1)).alias("affectedCountries")), f"{folder}/global", "json")
+    writers.write_dataset(regions.groupBy("continent").agg(*sums), f"{folder}/continents", "json")
+    suppliers = bind.table(spark, sf, "supplier")
+    writers.write_dataset(suppliers.groupBy(F.concat(F.lit("State "), F.col("s_nationkey")).alias("state")).agg(
+        F.count(F.lit(1)).alias("cases"), F.count_if(F.col("s_acctbal") < 0).alias("deaths")), f"{folder}/states", "json")
+    writers.write_dataset(timelines(spark, sf).select("country", F.col("timeline.cases").alias("timeline")), f"{folder}/vaccines", "json")
+    days = bind.global_history(spark, sf)
+    pick = lambda m: F.map_from_entries(F.collect_list(F.when(F.col("metric") == m, _timeline_entry(F.col("value")))))
+    writers.write_dataset(days.agg(*[pick(m).alias(m) for m in ("cases", "deaths", "recovered")]), f"{folder}/historical", "json")
+    return folder
+
+
+_BUNDLE = f"""WITH {SNAPSHOT}, {HISTORY.strip().replace("history AS", "days AS", 1).replace("'Customer#' || lpad(CAST(user_id AS VARCHAR), 9, '0')", "'Global'")},
+  bundle AS (
+    SELECT 'global' AS dataset, 'all' AS name, CAST(sum(cases) AS BIGINT) AS cases, CAST(sum(deaths) AS BIGINT) AS deaths FROM snapshot
+    UNION ALL SELECT 'countries', country, cases, deaths FROM snapshot
+    UNION ALL SELECT 'continents', continent, CAST(sum(cases) AS BIGINT), CAST(sum(deaths) AS BIGINT) FROM snapshot GROUP BY continent
+    UNION ALL SELECT 'states', 'State ' || s_nationkey, count(*), count(*) FILTER (s_acctbal < 0) FROM supplier GROUP BY s_nationkey
+    UNION ALL SELECT 'historical', CAST(date AS VARCHAR) || metric, value, 0 FROM days WHERE metric IN ('cases', 'deaths', 'recovered'))"""
+
+
+@query(_BUNDLE + " SELECT * FROM bundle")
+def read_bundle(spark, sf):
+    """Every data set written as landing documents and read back."""
+    data = readers.read_all(spark, _write_landing(spark, sf), bind.SNAPSHOT_AS_OF, days="all", lines=True)
+    name = {"global": F.lit("all"), "countries": F.col("country"), "continents": F.col("continent"), "states": F.col("state")}
+    parts = [data[d].select(F.lit(d).alias("dataset"), n.alias("name"), "cases", "deaths") for d, n in name.items()]
+    parts.append(data["historical"].select(F.lit("historical").alias("dataset"), F.concat(F.col("date").cast("string"), "metric").alias("name"),
+                                           F.col("value").alias("cases"), F.lit(0).alias("deaths")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+_RUNS: dict[tuple[str, str], dict] = {}
+
+
+def _full_run(spark, sf) -> dict:
+    """A whole run over all six data sets, once a session; its tables are dropped again."""
+    known = (spark.sparkContext.applicationId, sf)
+    if known in _RUNS:
+        return _RUNS[known]
+    prefix = f"r{uuid.uuid4().hex[:12]}_"
+    result = runs.run_steps(spark, _write_landing(spark, sf), f"{scratch(spark)}/out", bind.SNAPSHOT_AS_OF, prefix=prefix, days="all", lines=True)
+    result["info"] = [writers.table_info(spark, name).first() for name, why in result.get("load", {}).items() if why is None]
+    for name in result.get("load", {}):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    _RUNS[known] = result | {"prefix": prefix}
+    return _RUNS[known]
+
+
+@query(ORACLE["transform_countries"])
+def full_run(spark, sf):
+    """Regions after a whole run: extracted, transformed, stored, loaded and reconciled."""
+    written, = [m for m in _full_run(spark, sf)["transform"] if m["data_type"] == "countries"]
+    return readers.read_dataset(spark, written["uri"]).select(
+        "country", "region_type", "cases", "deaths", "recovered", "active", "population", "mortality_rate",
+        "recovery_rate", "active_rate", "cases_per_million", "deaths_per_million", "processed_at")
+
+
+_RUN_COUNTS = _BUNDLE + """, numbers AS (SELECT dataset, count(*) AS n FROM bundle GROUP BY dataset
+    UNION ALL SELECT 'vaccines', count(DISTINCT user_id) FROM events)"""
+
+
+@query(_RUN_COUNTS + " SELECT dataset AS table_name, n AS expected_count, n AS actual_count, true AS count_match FROM numbers")
+def run_reconcile(spark, sf):
+    """What a run's load step finds when it compares each table with the manifest."""
+    result = _full_run(spark, sf)
+    return spark.createDataFrame(
+        [(r["table_name"].removeprefix(result["prefix"]), r["expected_count"], r["actual_count"], r["count_match"]) for r in result["reconcile"]],
+        "table_name STRING, expected_count BIGINT, actual_count BIGINT, count_match BOOLEAN")
+
+
+@query(_RUN_COUNTS + """ SELECT 'load' AS step, dataset, n AS record_count FROM numbers UNION ALL SELECT 'removed', dataset, 0 FROM numbers
+  UNION ALL SELECT 'rejected', dataset, 0 FROM numbers
+  UNION ALL SELECT task, 'success', (SELECT CAST(sum(n) AS BIGINT) FROM numbers) FROM (SELECT unnest(['extract', 'transform', 'store', 'load']) AS task)""")
+def run_books(spark, sf):
+    """The bookkeeping of a run: rows of its tables, rows removed and rejected, and its steps."""
+    result = _full_run(spark, sf)
+    rows = [("load", r["table_name"].removeprefix(result["prefix"]), r["record_count"]) for r in result["info"]]
+    rows += [("removed", dataset, n) for dataset, n in result["removed"].items()]
+    rows += [("rejected", m["data_type"], m["record_count"]) for m in result["rejects"]]
+    rows += [(s["task_name"], s["status"], s["records_processed"]) for s in result["steps"]]
+    return spark.createDataFrame(rows, "step STRING, dataset STRING, record_count BIGINT")
+
+
+@query("""SELECT c_name AS country, CASE WHEN c_custkey % 2 = 0 THEN c_custkey * 10 ELSE c_custkey END AS cases FROM customer""")
+def dedup_across_files(spark, sf):
+    """An older file of all regions and a newer, smaller one of half of them."""
+    folder = scratch(spark)
+    regions = bind.table(spark, sf, "customer")
+    for name, part, times in (("c_20240501", regions, 1), ("c_20240502", regions.filter("c_custkey % 2 = 0"), 10)):
+        part.select(F.to_json(F.struct(F.col("c_name").alias("country"), (F.col("c_custkey") * times).alias("cases"))).alias("value")).coalesce(
+            1).write.text(f"{folder}/{name}")
+    rows = readers.read_snapshot(spark, [f"{folder}/c_20240501", f"{folder}/c_20240502"], "countries", bind.SNAPSHOT_AS_OF, lines=True)
+    return dedup.dedup(rows, "countries", transforms.dedup_order(rows, "countries")).select("country", "cases")
+
+
+# --- what does not fit ------------------------------------------------------------------
+
+
+@query("""SELECT 'cases_per_one_million' AS column_name, count(*) FILTER (o_totalprice * 1000 >= 99999999.995) AS not_castable, 0 AS too_long FROM orders
+  UNION ALL SELECT 'country', 0, count(*) FROM orders UNION ALL SELECT 'population', count(*) FILTER (o_custkey % 2 = 0), 0 FROM orders""")
+def conform_misfits(spark, sf):
+    rows = bind.table(spark, sf, "orders").select(
+        F.repeat("o_orderpriority", 60).alias("country"), (F.col("o_totalprice") * 1000).alias("cases_per_one_million"),
+        F.when(F.col("o_custkey") % 2 == 0, "many").otherwise("5").alias("population"))
+    return writers.misfits(rows, "countries")
+
+
+@query("SELECT c_custkey, c_mktsegment[1:1] || lower(c_mktsegment[2:]) AS place FROM customer")
+def title_case_blanks(spark, sf):
+    """Names between tabs, line breaks and no-break spaces."""
+    padded = F.concat(F.lit("\t \u00a0"), F.lower("c_mktsegment"), F.lit("\u2003\r\n"))
+    return bind.table(spark, sf, "customer").select("c_custkey", C.title_case(padded).alias("place"))
+
+
+@query("""WITH n AS (SELECT event_type, count(*) AS n FROM events WHERE event_type NOT IN ('view', 'click', 'purchase') GROUP BY event_type)
+  SELECT 'unknown_metric: found ' || sum(n) || ' rows with an unknown metric: ' ||
+    string_agg(event_type || ' (' || n || ')', ', ' ORDER BY n DESC, event_type) AS warning FROM n""")
+def unknown_metrics(spark, sf):
+    rows = bind.table(spark, sf, "events").select(
+        F.col("ts").cast("date").alias("date"), C.mapped("event_type", bind.EVENT_METRICS).alias("metric"), F.lit(1).alias("value"),
+        F.col("user_id").cast("string").alias("country"))
+    found = quality.validate(rows, "historical", bind.HISTORY_AS_OF).select(F.explode("warnings").alias("warning"))
+    return found.filter(F.col("warning").startswith("unknown_metric"))
+
+
+@query("SELECT 'countries' AS dataset, false AS is_valid, 0.0 AS quality_score, 'validation failed' AS error, CAST(NULL AS BIGINT) AS record_count")
+def failed_validation(spark, sf):
+    """A data set that cannot be read to its end is a validation result, not the end of the run."""
+    rows = bind.snapshot(spark, sf).withColumn("cases", F.when(F.col("cases") >= 0, F.raise_error(F.lit("unreadable"))).cast("bigint"))
+    row = quality.validated(rows, "countries", bind.SNAPSHOT_AS_OF)
+    return row.select("dataset", "is_valid", "quality_score", F.substring(F.col("errors")[0], 1, 17).alias("error"), "record_count")
+
+
+_HISTORY_CHECKS = ("q_date_gaps", "q_large_negative_changes", "q_completeness_major", "q_historical_vs_current")
+
+
+@query(" UNION ALL ".join(f"SELECT * FROM ({ORACLE[name]})" for name in _HISTORY_CHECKS) + f"""
+  UNION ALL (WITH {SNAPSHOT} SELECT 'countries', 'minimum_record_count', count(*), CASE WHEN count(*) < 190 THEN 'FAIL' ELSE 'PASS' END FROM snapshot)
+  UNION ALL (WITH {SNAPSHOT} SELECT 'countries', 'recent_data', date_diff('hour', max(extraction_date), {NOW_H}),
+    CASE WHEN date_diff('hour', max(extraction_date), {NOW_H}) <= 24 THEN 'PASS' ELSE 'FAIL' END FROM snapshot)""")
+def all_checks(spark, sf):
+    """History checks, minimum counts and ages among all check rows."""
+    countries = bind.rated_snapshot(spark, sf)
+    rows = checks.all_checks(
+        countries, series.with_daily_change(bind.history(spark, sf)), bind.HISTORY_AS_OF, tables={"countries": countries},
+        history_limits={"q_completeness_major": {"min_cases": 5}, "q_historical_vs_current": {"min_cases": 5},
+                        "q_large_negative_changes": {"limit": -1}})
+    names = [name.removeprefix("q_") for name in _HISTORY_CHECKS[:2]] + [
+        "completeness_major_countries", "historical_vs_current", "minimum_record_count", "recent_data"]
+    return rows.filter(F.col("check_type").isin(names))

@@ -197,7 +197,7 @@ def all_checks(countries: DataFrame, history: DataFrame | None, as_of, min_recor
     """
     given = history_limits or {}
     parts = [
-        row_checks(countries, row_check_tests(as_of, **limits), min_records=min_records),
+        row_checks(countries, row_check_tests(as_of, **limits), min_records=None if tables else min_records),
         q_duplicate_countries(countries),
     ]
     if history is not None:

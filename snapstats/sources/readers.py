@@ -18,7 +18,7 @@ from snapstats.operators.series import last_days
 FORMATS = ("parquet", "csv", "json")
 # Columns that only live between a landing file and its rows: text of a record that could not be
 # read whole, and the place it was read from.
-CORRUPT, FILE, BLOCK = "__corrupt", "__file", "__block"
+CORRUPT, PATH, BLOCK = "__corrupt", "__path", "__block"
 REJECTS = "file STRING, dataset STRING, reason STRING, record STRING"
 
 
@@ -42,11 +42,11 @@ def landing(reader, path, dataset: str, lines: bool = False) -> DataFrame:
         reader.schema(f"{schema}, {CORRUPT} STRING").option("multiLine", not lines).option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT).json(path)
     )
-    return raw.select("*", F.col("_metadata.file_name").alias(FILE), F.col("_metadata.file_block_start").alias(BLOCK))
+    return raw.select("*", F.col("_metadata.file_path").alias(PATH), F.col("_metadata.file_block_start").alias(BLOCK))
 
 
 def _payload(raw: DataFrame) -> list[str]:
-    return [c for c in raw.columns if c not in (CORRUPT, FILE, BLOCK)]
+    return [c for c in raw.columns if c not in (CORRUPT, PATH, BLOCK)]
 
 
 def _any_read(raw: DataFrame) -> Column:
@@ -58,23 +58,24 @@ def accepted(raw: DataFrame) -> DataFrame:
     if CORRUPT not in raw.columns:
         return raw
     good = raw.filter(F.col(CORRUPT).isNull() | _any_read(raw))
-    place = F.struct(F.col(FILE).alias("file"), F.col(BLOCK).alias("block"), F.monotonically_increasing_id().alias("row"))
-    return good.withColumn(S.SEQUENCE_COLUMN, place).drop(CORRUPT, FILE, BLOCK)
+    place = F.struct(F.col(PATH).alias("file"), F.col(BLOCK).alias("block"), F.monotonically_increasing_id().alias("row"))
+    return good.withColumn(S.SEQUENCE_COLUMN, place).drop(CORRUPT, PATH, BLOCK)
 
 
 def rejected(raw: DataFrame, dataset: str) -> DataFrame:
     """What ``accepted`` left out, and what it kept in part: file, data set, reason, text."""
+    name = F.substring_index(PATH, "/", -1).alias("file")
     whole = raw.filter(F.col(CORRUPT).isNotNull()).select(
-        F.col(FILE).alias("file"), F.lit(dataset).alias("dataset"),
+        name, F.lit(dataset).alias("dataset"),
         F.when(_any_read(raw), "unreadable field").otherwise("malformed document").alias("reason"),
         F.col(CORRUPT).alias("record"))
     maps = _maps(raw, dataset)
     if not maps:
         return whole
     keep = ("country",) if "country" in raw.columns else ()
-    values = explode_maps(raw, maps, keep=(FILE, *keep)).filter(F.col("value").isNotNull() & F.col("value").try_cast("bigint").isNull())
+    values = explode_maps(raw, maps, keep=(PATH, *keep)).filter(F.col("value").isNotNull() & F.col("value").try_cast("bigint").isNull())
     return whole.unionByName(values.select(
-        F.col(FILE).alias("file"), F.lit(dataset).alias("dataset"), F.lit("unreadable value").alias("reason"),
+        name, F.lit(dataset).alias("dataset"), F.lit("unreadable value").alias("reason"),
         F.concat_ws(" ", *keep, "metric", "date", "value").alias("record")))
 
 
@@ -98,7 +99,7 @@ def read_rejects(spark: SparkSession, path, dataset: str, lines: bool = False) -
 def from_payload(raw: DataFrame, dataset: str, as_of=None, source: str = "api") -> DataFrame:
     """Lineage, time conversion and flattening of payload rows (batch or stream).
 
-    Countries and histories keep their place in the landing (file name, then position), since
+    Countries and histories keep their place in the landing (path of the file, then position), since
     the last of several rows of one key is the one that counts.
     """
     raw = accepted(raw)
