@@ -29,10 +29,12 @@ def find(docs: DataFrame, *, key: str = "doc_id", text: str = "text", span: int
     rows = with_row(docs, key, text).select("row", split(F.col("text")).alias("s"))
     flat = F.transform("s", lambda x: F.lower(F.trim(F.regexp_replace(x, r"[ \t\r\n]+", " "))))
     rows = rows.select("row", flat.alias("s")).where(F.size("s") >= span)
-    runs = rows.select("row", F.explode(F.transform(
+    words = F.transform("s", lambda x: F.when(x == "", 0).otherwise(F.length(x) - F.length(F.replace(x, F.lit(" "))) + 1))
+    runs = rows.select("row", "s", words.alias("w")).select("row", F.explode(F.transform(
         F.sequence(F.lit(1), F.size("s") - (span - 1)),
-        lambda n: F.struct(n.alias("at"), F.array_join(F.slice("s", n, span), "\n").alias("run")))).alias("x")) \
-        .where(F.size(F.filter(F.split("x.run", "[ \n]+"), lambda w: w != "")) >= span_words) \
+        lambda n: F.struct(n.alias("at"), F.array_join(F.slice("s", n, span), "\n").alias("run"),
+                           F.aggregate(F.slice("w", n, span), F.lit(0), lambda a, b: a + b).alias("words")))).alias("x")) \
+        .where(F.col("x.words") >= span_words) \
         .select("row", "x.at", F.xxhash64("x.run").alias("one"), F.crc32(F.col("x.run").cast("binary")).alias("two"))
     first = runs.groupBy("one", "two").agg(F.count("*").alias("n"), F.min(F.struct("row", "at")).alias("first")) \
         .where("n > 1").select("one", "two", "first")
