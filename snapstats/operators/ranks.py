@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from snapstats.functions import columns as C
 from snapstats.operators import quantiles
 
-POINTS = 4096      # cut points a sketch offers per column; they reach the driver
+POINTS = 256      # cut points a sketch offers per column; they reach the driver
 
 
 def _bucket(value: Column, bounds: list[float]) -> Column:
