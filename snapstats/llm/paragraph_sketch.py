@@ -34,17 +34,19 @@ def check(key: str) -> str:
     return f"(({key} % 1000003) * 999983 + ({key} div 1000003)) % 2147483647"
 
 
-def cell(key: str, place: str, third: int) -> str:
-    """Whether the digest falls into the cell of this place."""
-    return f"(shiftright({key}, cast(10 * ({place} div {third}) as int)) & {third - 1}) = {place} % {third}"
+def places(key: str, third: int) -> list[str]:
+    """The digest's cell in each third of the sketch."""
+    return [f"cast(shiftright({key}, {10 * n}) & {third - 1} as int) + {n * third}" for n in range(3)]
 
 
 def sketch(keys: str, third: int = THIRD) -> str:
-    """The cells of an array of digests."""
-    return f"""transform(sequence(0, {3 * third - 1}), place -> aggregate(
-        filter({keys}, x -> {cell('x', 'place', third)}),
-        named_struct('n', 0L, 'key', 0L, 'check', 0L),
-        (s, x) -> named_struct('n', s.n + 1L, 'key', s.key ^ x, 'check', s.check ^ ({check('x')}))))"""
+    """The cells of an array of digests; places and checks are computed once for each."""
+    a, b, c = places("x", third)
+    known = f"transform({keys}, x -> named_struct('key', x, 'check', {check('x')}, 'a', {a}, 'b', {b}, 'c', {c}))"
+    thirds = [f"""transform(sequence({n * third}, {(n + 1) * third - 1}), place -> aggregate(
+        filter(known, x -> x.{name} = place), named_struct('n', 0L, 'key', 0L, 'check', 0L),
+        (s, x) -> named_struct('n', s.n + 1L, 'key', s.key ^ x.key, 'check', s.check ^ x.check)))""" for n, name in enumerate("abc")]
+    return f"transform(array({known}), known -> concat({', '.join(thirds)}))[0]"
 
 
 def minus(one: str, two: str) -> str:
@@ -53,10 +55,12 @@ def minus(one: str, two: str) -> str:
 
 def peeled(cells: str, third: int = THIRD) -> str:
     """Digests recovered from a difference, an array; null if some are left."""
-    step = f"""coalesce(get(transform(slice(filter(s.cells,
-            (c, place) -> abs(c.n) = 1 and c.check = {check('c.key')} and {cell('c.key', 'place', third)}), 1, 1),
+    a, b, c = places("c.key", third)
+    step = f"""coalesce(get(transform(transform(slice(filter(s.cells,
+            (c, place) -> abs(c.n) = 1 and c.check = {check('c.key')} and place in ({a}, {b}, {c})), 1, 1),
+        c -> named_struct('n', c.n, 'key', c.key, 'check', c.check, 'a', {a}, 'b', {b}, 'c', {c})),
         p -> named_struct(
-            'cells', transform(s.cells, (c, place) -> if({cell('p.key', 'place', third)},
+            'cells', transform(s.cells, (c, place) -> if(place = p.a or place = p.b or place = p.c,
                 named_struct('n', c.n - p.n, 'key', c.key ^ p.key, 'check', c.check ^ p.check), c)),
             'found', concat(s.found, array(p.key)))), 0), s)"""
     return f"""aggregate(sequence(1, {3 * third}), named_struct('cells', {cells}, 'found', cast(array() as array<bigint>)),
@@ -118,8 +122,7 @@ def fingerprints(docs: DataFrame, *, key: str = "doc_id", text: str = "text") ->
                            *(F.expr(DIGESTS.format(text=c)).alias(k) for c, k in (("text", "own"), ("edited", "new"), ("following", "next")))))
     small = read.withColumn("row", F.monotonically_increasing_id()) \
         .withColumns({f"{k}_cells": F.expr(sketch(k)) for k in ("own", "new", "next")}) \
-        .selectExpr("*", f"size({peeled(minus('own_cells', 'new_cells'))}) as d_new", f"size({peeled(minus('own_cells', 'next_cells'))}) as d_next",
-                    f"{printed('own_cells')} as fingerprint", f"{printed('new_cells')} as edited_fingerprint") \
+        .selectExpr("*", f"size({peeled(minus('own_cells', 'new_cells'))}) as d_new", f"size({peeled(minus('own_cells', 'next_cells'))}) as d_next") \
         .drop("own_cells", "new_cells", "next_cells")
     small = cut(small.withColumns({c: F.expr(f"if({c} < 0, null, {c})") for c in ("d_new", "d_next")}))
     # What the fingerprint's own size can't give back: a row for each of as many sketches as there are digests for.
@@ -135,5 +138,6 @@ def fingerprints(docs: DataFrame, *, key: str = "doc_id", text: str = "text") ->
         .groupBy("row").agg(F.sum("l_new").alias("l_new"), F.sum("l_next").alias("l_next"))
     near = "if(size(own) + size({k}) = 0, 1D, (size(own) + size({k}) - coalesce(l_{k}, d_{k})) / (size(own) + size({k}) + coalesce(l_{k}, d_{k})))"
     return small.join(larger, "row", "left").select(
-        "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
+        "doc_id", "n_chars", "edited_sha256",  # printed cells are longer than digests: only the latter are moved
+        F.expr(printed(sketch("own"))).alias("fingerprint"), F.expr(printed(sketch("new"))).alias("edited_fingerprint"),
         F.expr(near.format(k="new")).alias("near_edited"), F.expr(near.format(k="next")).alias("near_next"))
