@@ -26,7 +26,8 @@ from pyspark.sql import functions as F
 from snapstats.llm.common import beside, cut, kind_of, map_rows, runs
 
 LENGTH = 400
-GRAM = 32
+#: Bytes of a gram: common lines shorter than it do not bring contents together that share no string.
+GRAM = 128
 #: Bytes in a batch, and of an anchor's contents before it is refined.
 BATCH_BYTES = 1 << 20
 #: Text scanned at once; neighbouring pieces overlap by a string less one byte.
@@ -241,11 +242,12 @@ def find(docs: DataFrame, *, key: str = "doc_id", text: str = "text", length: in
     parts = map_rows(rows, f"{row}, start bigint, strings int, place int, anchor bigint, content binary", cut_up)
     counted = parts.groupBy("anchor", "content").agg(
         F.count("*").alias("n"), F.min(F.struct("row", "start", "strings", "place")).alias("at"))
-    mixed = counted.groupBy("anchor").agg(F.count("*").alias("contents"), F.min("n").alias("least"),
+    again = counted.groupBy("anchor").agg(F.count("*").alias("contents"), F.min("n").alias("least"),
                                           F.sum(F.col("at.strings") + (length - 1)).alias("bytes")) \
-        .where("contents > 1 and least = 1").select("anchor", "bytes")
+        .where("contents > 1 or least > 1")
+    counted = cut(counted.join(again, "anchor"))  # anchors seen more than once
     whole = counted.where("n > 1").select("content", F.lit(0).alias("low"), F.col("at.strings").alias("high"))
-    wanted = counted.join(mixed, "anchor").select(
+    wanted = counted.where("contents > 1 and least = 1").select(
         "at.row", F.struct("anchor", "content", "n", "at.start", "at.strings", "at.place", "bytes").alias("x")) \
         .groupBy("row").agg(F.collect_list("x").alias("wanted"))
 
