@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import uuid
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snapstats.llm.common import blank_words, cut, map_rows
+from snapstats.llm.common import blank_words, cut, ensure_checkpoint_dir, map_rows
 from snapstats.llm.components import components
 
 SHINGLE = 5
@@ -187,9 +188,25 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
 
 
 def clean(docs: DataFrame, *, key: str = "doc_id", text: str = "text", percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` that ``near_duplicates`` keeps, as they are: one document of each group."""
-    kept = near_duplicates(docs, key=key, text=text, percent=percent).where("kept").select("doc_id", "text_hash").distinct()
-    return docs.join(kept, docs[key].eqNullSafe(kept["doc_id"]) & (F.xxhash64(docs[text].cast("string")) == kept["text_hash"]), "left_semi")
+    """The rows of ``docs`` that ``near_duplicates`` would keep if every row had an id of its own: one of each group.
+
+    Repeated rows, and rows without doc_id, are documents like others. The row of the smallest doc_id stays, of rows
+    alike in that any one of them, a row without doc_id only where no other is in the group. Rows without words are
+    linked with nothing and stay.
+    """
+    row = "row_id"
+    while row in docs.columns:
+        row += "_"
+    # Numbers of rows hold only for one run over the rows, so they are stored before they are used.
+    ensure_checkpoint_dir(docs.sparkSession)
+    numbered = docs.withColumn(row, F.monotonically_increasing_id())
+    path = f"{docs.sparkSession.sparkContext.getCheckpointDir()}/rows-{uuid.uuid4()}"
+    numbered.write.parquet(path)
+    numbered = docs.sparkSession.read.schema(numbered.schema).parquet(path)
+    found = near_duplicates(numbered, key=row, text=text, percent=percent).select(F.col("doc_id").alias(row), "component_id")
+    kept = found.join(numbered.select(row, F.col(key).alias("key")), row).groupBy("component_id").agg(
+        F.min(F.struct(F.col("key").isNull().alias("none"), "key", row)).alias("first")).select(f"first.{row}")
+    return numbered.join(kept, row, "left_semi").select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def confirmed(rows: DataFrame, hashed: DataFrame, clusters: DataFrame, *, percent: int, size: int, group_bytes: int) -> DataFrame:

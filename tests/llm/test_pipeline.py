@@ -65,3 +65,40 @@ def test_stages_return_the_columns_of_documents(sc, folder):
         assert corpus_pipeline.STAGES[-1][1](sc, frame, folder).columns[:3] == ["doc_id", "piece", "start"]
     left = corpus_pipeline.STAGES[2][1](sc, docs, folder).collect()
     assert all(r["n_chars"] is None if r["text"] is None else r["n_chars"] == len(r["text"]) for r in left)
+
+
+def test_pipeline_with_repeated_rows_and_null_ids(sc, prose, tmp_path):
+    """Of every group one row, whole, whether ids are repeated, shared by different texts, or missing."""
+    s, rng = prose(500, 31), random.Random(8)
+    german = ["".join(rng.choice("äöüßkzwgmchb") for _ in range(rng.randint(3, 9))) for _ in range(200)]
+    body = lambda k: " ".join(s[10 * k:10 * k + 10])
+    docs = [(k, body(k), "en") for k in range(20)]
+    docs += [(3, body(3), "en"), (3, body(3), "en"), (4, body(30), "en")]                # repeated rows; one id with another text
+    docs += [(None, body(21), "en"), (None, body(21), "en"), (None, body(22), "en")]      # without id, equal texts
+    docs += [(None, body(22) + " one more end", "en"), (None, body(5), "en")]             # without id, near copies
+    docs += [(4, body(7), "en"), (900, body(7) + " one more end", "en")]                  # another text of 4 is the smallest of its group
+    docs += [(100 + k, " ".join(rng.choice(german) for _ in range(80)), "de") for k in range(20)]
+    frame = sc.createDataFrame([(d, t, x, f"s{n}", len(t)) for n, (d, t, x) in enumerate(docs)],
+                               "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    frame.repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    sc.createDataFrame([(1, "none of these words")], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert all(len(t.encode()) >= 400 for _, t, _ in docs)
+    model = language.fit(frame)
+    compressors = language._compressors(model)
+    known = [(d, t) for d, t, _ in docs if (x := language.classify(model, compressors, t))[0] != "und" and x[1] >= 4 * language.MARGIN]
+    assert len(known) == len(docs)
+    order = sorted(known, key=lambda x: (x[0] is None, x[0] or 0, len(x[1])))
+    kept = {n for n, _, _, is_kept in brute_components([(n, t) for n, (_, t) in enumerate(order)], 80) if is_kept}
+    rows = lambda out: sorted(((r["doc_id"], r["text"]) for r in out.collect()), key=repr)
+    near = corpus_pipeline.STAGES[1][1](sc, frame, str(tmp_path))
+    # Of near copies of one id, or without one, either may stay.
+    plain = lambda found: sorted(((d, t.removesuffix(" one more end")) for d, t in found), key=repr)
+    want = [order[n] for n in sorted(kept)]
+    assert plain(rows(near)) == plain(want) and len(want) == 20 + 1 + 2 + 20
+    sources = [r["source"] for r in near.collect()]
+    assert len(set(sources)) == len(sources)
+    encoder, packed = Tokenizer.from_file(public_tokenizers.path(corpus_pipeline.TOKENIZER)), corpus_pipeline.run(sc, str(tmp_path)).collect()
+    sizes = lambda found: sorted(len(encoder.encode(t, add_special_tokens=False).ids) + 1 for _, t in found)
+    either = len(encoder.encode(" one more end", add_special_tokens=False).ids)
+    lengths = sorted(r["length"] for r in packed)
+    assert len(lengths) == len(want) and sum(lengths) in (sum(sizes(want)), sum(sizes(want)) + either)
