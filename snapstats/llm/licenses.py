@@ -1,12 +1,16 @@
 """License scans by canonical digest: a text's wording, without its dress, is looked up among known licences.
 
-The canonical form folds case, equivalent spellings, quotation marks and dashes, drops copyright lines and
-punctuation, and has single blanks. The digest of a whole text, and of each of its paragraphs, is joined to the
-digests of known texts. That table is small and fixed, so documents are not shuffled for the lookup.
+The canonical form folds case, equivalent spellings, quotation marks and dashes, drops lines that name an owner, a
+leading title and punctuation, and has single blanks. The digests of a whole text and of its lines are joined to the
+digests of known texts, those of its paragraphs to the paragraphs of known texts, which must follow each other whole.
+That table is small and fixed, so documents are not shuffled for the lookup.
 """
 
 from __future__ import annotations
 
+import re
+from importlib import resources
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,15 +60,32 @@ SPELLINGS = [("licence", "license"), ("licenced", "licensed"), ("sub license", "
              ("merchantibility", "merchantability"), ("copyright holder", "copyright owner"), ("per cent", "percent"),
              ("acknowledgement", "acknowledgment"), ("organisation", "organization"), ("favour", "favor"), ("https", "http")]
 
-# A line that names an owner. Both regular expressions read alike in Java and in RE2.
+# What the SQL takes for a line that names an owner; the operator asks for more (OWNER), as this drops wording, too.
+# This regular expression and MARKS read alike in Java and in RE2.
 COPYRIGHT = r"(?i)(^|\n)[ \t#*/;]*(copyright|\(c\)|©|all rights reserved)[^\n]*"
 MARKS = r"[^a-z0-9\x{80}-\x{10FFFF}]+"
 DASHES = "[‐-―‘-‟]"
 
 
+# A line that names an owner: copyright with a mark, a year, a blank to fill in, or a name, which begins with a capital and
+# is no word of the licences themselves (in capitals throughout, wording and names look alike); a mark with a year; a line of reserved rights.
+WORDING = r"(?i:and|are|as|but|by|claims?|disclaimers?|for|grants?|holders?|if|in|infringement|interests?|is|laws?|licen[cs]e[ds]?|licen[cs]ing|" \
+          r"may|messages?|must|notices?|of|on|or|owners?|ownership|permission|protection|rights?|shall|statements?|subsists|terms|that|the|" \
+          r"this|to|treaty|treaties|under|which|will|with)"
+OWNER = r"(?m)^[ \t#*/;]*(?:(?i:copyright)[ \t,:]*(?:(?i:\(c\)|©|&copy;)|[0-9]{4}|[\[<{])|" \
+        rf"[Cc]opyright[ \t,:]+(?:by[ \t]+|[Tt]he[ \t]+)?(?!{WORDING}\b)\p{{Lu}}|" \
+        r"(?i:\(c\))[ \t]*(?:(?i:copyright)[ \t]*)?[0-9]{4}|©|(?i:all rights reserved))[^\n]*"
+# A title above the wording; a text that is a title only keeps it.
+TITLE = r"(?i)\A[\s#*/;=-]*(?:the[ \t]+)?(?:(?:modified|new|revised|simplified)[ \t]+)?" \
+        r"(?:(?:MIT|ISC|(?:BSD[ \t]+)?[23]-Clause|BSD)(?:[ \t]+BSD)?(?:[ \t]+[23]-Clause)?)(?:[ \t]*/[ \t]*X11)?[ \t]+licen[cs]e" \
+        r"(?:[ \t]*\([A-Za-z0-9 -]+\))?[ \t\r#*/;=:-]*\n(?=[\s\S]*[\p{L}0-9])"
+BLANK = r"\n[ \t\r#*/;]*\n"
+
+
 def canonical(text) -> F.Column:
     """The wording of a text in one form; null for a null text, empty when no words are left."""
-    out = F.regexp_replace(F.lower(F.regexp_replace(text, COPYRIGHT, "\n")), DASHES, " ")
+    out = F.regexp_replace(F.regexp_replace(text, OWNER, ""), TITLE, "")
+    out = F.regexp_replace(F.lower(out), DASHES, " ")
     out = F.concat(F.lit(" "), F.regexp_replace(out, MARKS, "  "), F.lit(" "))  # every word has blanks of its own
     for one, other in SPELLINGS:
         out = F.replace(out, F.lit(f" {one.replace(' ', '  ')} "), F.lit(f" {other.replace(' ', '  ')} "))
@@ -77,29 +98,66 @@ def digest(text) -> F.Column:
     return F.when(form != "", F.sha2(form, 256))
 
 
+def known_texts() -> list[tuple[str, str]]:
+    """``KNOWN`` and the full texts beside this module: (license, text). Texts with terms of use behind them count without these, too."""
+    out = list(KNOWN)
+    for file in sorted(resources.files("snapstats.llm").joinpath("known").iterdir(), key=lambda f: f.name):
+        name, text = file.name.removesuffix(".txt").split("~")[0], file.read_text("utf-8")
+        out.append((name, text))
+        if (end := re.search("END OF TERMS AND CONDITIONS", text)) is not None:
+            out += [(name, text[:end.start()]), (name, text[:end.end()])]
+        if name.startswith("BSD"):  # the conditions without numbers
+            out.append((name, re.sub(r"(?m)^\d\. ", "* ", text)))
+    return out
+
+
+def paragraphs(text) -> F.Column:
+    """(digest, several): the paragraphs of a text that have words, and whether they are of several lines."""
+    parts = F.transform(F.split(F.regexp_replace(text, OWNER, ""), BLANK),
+                        lambda x: F.struct(digest(x).alias("digest"), F.trim(x, F.lit(" \t\r\n")).contains("\n").alias("several")))
+    return F.filter(parts, lambda x: x["digest"].isNotNull())
+
+
 def known_digests(spark: SparkSession, known: list[tuple[str, str]] | None = None) -> DataFrame:
-    """(digest, license): the table of known texts; repeated texts of one licence are one row."""
-    table = spark.createDataFrame(KNOWN if known is None else known, "license string, text string")
-    return table.select(digest(F.col("text")).alias("digest"), "license").where("digest is not null").distinct()
+    """(digest, license, paragraphs): the table of known texts with the digests of their paragraphs; repeated texts of one licence are one row."""
+    table = spark.createDataFrame(known_texts() if known is None else known, "license string, text string")
+    parts = F.transform(paragraphs(F.regexp_replace(F.regexp_replace("text", OWNER, ""), TITLE, "")), lambda x: x["digest"])
+    return table.select(digest(F.col("text")).alias("digest"), "license", parts.alias("paragraphs")).where("digest is not null").distinct()
+
+
+def lookup(known: DataFrame) -> DataFrame:
+    """(digest, part, names, passage, n, number): whole known texts with all their licences, and the paragraphs of each."""
+    whole = known.groupBy("digest").agg(F.sort_array(F.collect_set("license")).alias("names"))
+    parts = known.select("license", F.array_join("paragraphs", ",").alias("passage"), F.size("paragraphs").alias("n"), F.posexplode("paragraphs").alias("number", "digest"))
+    parts = parts.select("digest", F.lit(True).alias("part"), F.array("license").alias("names"), F.sha2("passage", 256).alias("passage"), "n", "number").distinct()
+    return whole.select("digest", F.lit(False).alias("part"), "names", F.lit(None).cast("string").alias("passage"), F.lit(0).alias("n"),
+                        F.lit(0).alias("number")).unionByName(parts)
 
 
 def scan(docs: DataFrame, known: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, digest (of the whole text), license (of the whole text), n_notices and
-    licenses (sorted ids of the whole text and of all lines that are known texts themselves, comma-joined).
+    licenses (sorted ids of the whole text and of all lines, and paragraphs one after the other, that are known
+    texts themselves, comma-joined).
 
     A null text, or one without words, has no digest and matches nothing. A digest known for several licences
     names all of them; ``license`` is the first by name. Rows are judged one by one; other columns are not read.
     """
-    names = known.groupBy("digest").agg(F.sort_array(F.collect_set("license")).alias("names"))
     rows = docs.select(F.col(key).alias("doc_id"), F.col(text).cast("string").alias("text")).withColumn("row", F.monotonically_increasing_id())
+    unit = lambda part, at, digest, several: F.struct(
+        F.lit(part).alias("part"), F.lit(at).cast("int").alias("at"), digest.alias("digest"), several.alias("several"))
+    lines = F.filter(F.split(F.coalesce("text", F.lit("")), "\n"), lambda x: F.length(x) > 0)
+    inner = F.when(F.col("text").rlike(BLANK), paragraphs(F.col("text")))  # one paragraph is the whole text
     units = rows.select("row", "doc_id", F.explode(F.concat(
-        F.array(F.struct(F.lit(True).alias("whole"), digest(F.col("text")).alias("digest"))),
-        F.transform(F.filter(F.split(F.coalesce("text", F.lit("")), "\n"), lambda x: (F.length(x) > 0)),
-                    lambda x: F.struct(F.lit(False).alias("whole"), digest(x).alias("digest"))))).alias("x")) \
-        .select("row", "doc_id", "x.whole", "x.digest")
-    found = units.join(names, "digest", "left")
-    return found.where("whole or names is not null").groupBy("row").agg(
+        F.array(unit(False, -1, digest(F.col("text")), F.lit(True))),
+        F.transform(lines, lambda x: unit(False, 0, digest(x), F.lit(False))),
+        F.coalesce(F.transform(inner, lambda x, n: unit(True, n, x["digest"], x["several"])), F.array().cast(
+            "array<struct<part:boolean,at:int,digest:string,several:boolean>>")))).alias("x")).select("row", "doc_id", "x.*")
+    found = units.join(lookup(known), ["digest", "part"], "left").where("at < 0 or names is not null").withColumn("whole", F.col("at") < 0)
+    # All paragraphs of a known text, one after the other; a paragraph of one line has been looked up as a line.
+    found = found.groupBy("row", "part", "whole", "names", "passage", "n", (F.col("at") - F.col("number")).alias("start")).agg(
+        F.max("doc_id").alias("doc_id"), F.max("digest").alias("digest"), F.max("several").alias("several"), F.count("*").alias("met"))
+    return found.where("not part or (met = n and (n > 1 or several))").groupBy("row").agg(
         F.max("doc_id").alias("doc_id"), F.max(F.when(F.col("whole"), F.col("digest"))).alias("digest"),
         F.max(F.when(F.col("whole"), F.col("names")[0])).alias("license"),
-        F.count(F.when(~F.col("whole"), F.lit(1))).alias("n_notices"),
+        F.coalesce(F.sum(F.when(~F.col("whole") & ~F.col("part"), F.col("met"))), F.lit(0).cast("bigint")).alias("n_notices"),
         F.array_join(F.sort_array(F.array_distinct(F.flatten(F.collect_set("names")))), ",").alias("licenses")).drop("row")

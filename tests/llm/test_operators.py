@@ -373,3 +373,30 @@ def test_peeling_gives_back_the_difference(sc):
     for r in frame.selectExpr("want", f"{base} as small", f"{paragraph_sketch.difference('one', 'two')} as found").collect():
         assert sorted(r["found"]) == sorted(r["want"])
         assert r["small"] is None and len(r["want"]) > 9 or sorted(r["small"]) == sorted(r["want"])
+
+
+def test_licenses_in_their_usual_files(sc):
+    body, isc = (next(t for n, t in licenses.KNOWN if n == x and "\n" in t) for x in ("MIT", "ISC"))
+    wrapped = "ISC License\n\nCopyright (c) 2020, Some One\n\n" + isc.replace("above copyright notice", "above\ncopyright notice")
+    full = {n: t for n, t in licenses.known_texts()}
+    bullets = full["BSD-3-Clause"].replace("1. ", "* ").replace("2. ", "* ").replace("3. ", "* ")
+    docs = [
+        (1, "MIT License\n\nCopyright (c) 2020 Some One\n\n" + body, "MIT", "MIT"),
+        (2, "The MIT License (MIT)\r\n\r\nCopyright © Some One <a@b.c>\r\nAll rights reserved.\r\n\r\n" + body.replace("\n", "\r\n"), "MIT", "MIT"),
+        (3, wrapped, "ISC", "ISC"),
+        (4, wrapped.replace("copyright notice and", "notice and"), None, ""),
+        (5, "Copyright The Project Authors\n" + full["GPL-3.0"], "GPL-3.0", "GPL-3.0"),
+        (6, full["Apache-2.0"], "Apache-2.0", "Apache-2.0"),
+        (7, "# BSD 3-Clause License\n\n" + bullets, "BSD-3-Clause", "BSD-3-Clause"),
+        (8, "A tool for text.\n\n## License\n\nCopyright 2021 Some One\n\n" + body + "\n\nThanks for reading.\n", None, "MIT"),
+        (9, "A tool for text.\n\n" + body.split("\n\n")[0] + "\n\nThanks.\n\n" + "\n\n".join(body.split("\n\n")[1:]), None, ""),
+        (10, "Read this.\n\nReleased under\nthe MIT License.\n\nEnd.", None, "MIT"),
+        (11, "MIT License", None, ""),
+    ]
+    for n, name in enumerate(("CC0-1.0", "MPL-2.0", "GPL-2.0", "LGPL-2.1", "BSD-2-Clause")):
+        text = next(t for x, t in licenses.known_texts() if x == name and len(t) > 1000)
+        docs.append((20 + n, text.upper().replace("\n", "\n  "), name, name))
+    frame = sc.createDataFrame([x[:2] for x in docs], "doc_id bigint, text string")
+    got = licenses.scan(frame, licenses.known_digests(sc))
+    assert {r["doc_id"]: (r["license"], r["licenses"]) for r in got.collect()} == {d: (one, many) for d, _, one, many in docs}
+    assert got.where("digest is null").count() == 0
