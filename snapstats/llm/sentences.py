@@ -2,13 +2,23 @@
 
 Every run of ``SPAN`` consecutive sentences is hashed; a run that occurs anywhere before (in a smaller doc_id, or
 earlier in the text) is a copy, and the sentences it covers are removed. The first occurrence of a run stays.
+
+``passages`` takes runs by content instead: repeated whole sentences of ``SPAN_WORDS`` words or more are removed, however
+many sentences they are, in scripts with other marks, too.
 """
 
 from __future__ import annotations
 
+import re
+from itertools import accumulate
+
+import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from snapstats.llm.common import map_rows
+
 SPAN = 3
 #: Runs of fewer words (three sentences of one or two words) are too common to be a copied passage.
 SPAN_WORDS = 12
@@ -62,3 +72,70 @@ def remove(docs: DataFrame, *, key: str = "doc_id", text: str = "text", span: in
     return joined.select("doc_id", F.coalesce(F.size("s"), F.lit(0)).cast("bigint").alias("n_sentences"),
                          F.size("removed_at").cast("bigint").alias("n_removed"), "removed_at",
                          F.when(F.size("removed_at") == 0, F.col("text")).otherwise(kept).alias("kept_text"))
+
+
+_END = ".!?\n\u0589\u061f\u06d4\u0964\u0965\u1362\u203c\u2047-\u2049\u3002\ufe52\uff01\uff0e\uff1f\uff61"
+_SENTENCE = re.compile(rf"[^{_END}]*[{_END}]+[\"')\]\u00bb\u2019\u201d\u300d\u300f]*[ \t\r\n\u3000]*|[^{_END}]+")
+# Letters of scripts without blanks between words (Thai to Khmer, kana, Han) count as words.
+_UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+_WORD = re.compile(rf"[{_UNSPACED}]|[^\s{_UNSPACED}]*[^\W{_UNSPACED}][^\s{_UNSPACED}]*")
+
+
+def content_runs(text: str | None, words: int) -> dict[tuple[int, int], bytes]:
+    """{(at, n): digest}: from every sentence, forward and backward, the shortest run of ``words`` words or more.
+
+    Together they cover every run of sentences that has so many words: its ends are reached from its own sentences.
+    """
+    parts = _SENTENCE.findall(text or "")
+    flat = [" ".join(x.lower().split()) for x in parts]
+    total = list(accumulate((len(_WORD.findall(x)) for x in flat), initial=0))
+    out, low = {}, 0
+    for end in range(1, len(flat) + 1):
+        # ``low`` is the first sentence from which no run up to an earlier end was long enough.
+        while total[end] - total[low] >= words:
+            out[low + 1, end - low] = b""
+            low += 1
+        if low and total[end] > total[end - 1]:
+            start = low - 1
+            out[start + 1, end - start] = b""
+    return {(at, n): xxhash.xxh3_128_digest("\n".join(flat[at - 1:at - 1 + n]).encode()) for at, n in out}
+
+
+def passages(docs: DataFrame, *, key: str = "doc_id", text: str = "text", words: int = SPAN_WORDS) -> DataFrame:
+    """As ``remove``, for all repeated runs of whole sentences that have ``words`` words together.
+
+    One long sentence is a run, short ones are taken together until they have the words. Sentences end at the marks of
+    other scripts, too, so n_sentences can differ from ``remove``.
+    """
+    rows = with_row(docs, key, text)
+    kind = rows.schema["row"].dataType.simpleString()
+
+    def make_runs():
+        def work(batch: pa.RecordBatch) -> dict:
+            runs = [content_runs(x, words) for x in batch.column("text").to_pylist()]
+            return {"row": batch.column("row"), "runs": [[{"at": at, "n": n, "digest": d} for (at, n), d in x.items()] for x in runs]}
+
+        return work
+
+    runs = map_rows(rows, f"row {kind}, runs array<struct<at:int,n:int,digest:binary>>", make_runs).select("row", F.inline("runs"))
+    first = runs.groupBy("digest").agg(F.count("*").alias("times"), F.min(F.struct("row", "at")).alias("first")).where("times > 1").select("digest", "first")
+    copies = runs.join(first, "digest").where(F.struct("row", "at") != F.col("first"))
+    gone = copies.groupBy("row").agg(F.collect_set(F.struct("at", "n")).alias("gone"))
+
+    def make_left():
+        def work(batch: pa.RecordBatch) -> dict:
+            out = {"doc_id": batch.column("id"), "n_sentences": [], "n_removed": [], "removed_at": [], "kept_text": []}
+            for body, spans in zip(batch.column("text").to_pylist(), batch.column("gone").to_pylist(), strict=True):
+                parts = _SENTENCE.findall(body or "")
+                removed = sorted({k for x in spans or () for k in range(x["at"], x["at"] + x["n"])})
+                held = set(removed)
+                out["n_sentences"].append(len(parts))
+                out["n_removed"].append(len(removed))
+                out["removed_at"].append(removed)
+                out["kept_text"].append("".join(x for k, x in enumerate(parts, 1) if k not in held) if removed else body)
+            return out
+
+        return work
+
+    joined = rows.join(gone, "row", "left").select(F.col("row.id").alias("id"), "text", "gone")
+    return map_rows(joined, f"doc_id {dict(joined.dtypes)['id']}, n_sentences bigint, n_removed bigint, removed_at array<int>, kept_text string", make_left)

@@ -400,3 +400,34 @@ def test_licenses_in_their_usual_files(sc):
     got = licenses.scan(frame, licenses.known_digests(sc))
     assert {r["doc_id"]: (r["license"], r["licenses"]) for r in got.collect()} == {d: (one, many) for d, _, one, many in docs}
     assert got.where("digest is null").count() == 0
+
+
+def test_passages(sc, awkward, none, prose):
+    s = prose(60, 41)
+    one, more = " ".join(x.rstrip(".") for x in s[:8]), s[8:14]
+    inner = f"the end of this sentence. {one}. and the start of that one"       # one whole sentence, pasted between two half ones
+    assert 60 <= len(inner.split()) and len(one.split()) >= sentences.SPAN_WORDS
+    short, han = " ".join("ABCDEFGHIJKLMNOPQRST"[k] + "." for k in range(20)), "今天天气很好我们去公园散步。他们在湖边看见了许多白色的鸟。"
+    docs = [(1, f"First {inner} goes on. {s[20]}"), (2, f"{s[21]} Other words before {inner} and so on. {s[22]}"),
+            (3, f"{s[23]} {short} {s[24]}"), (4, f"{s[25]} {short} {s[26]}"), (5, "我昨天写信。" + han + "明天再说。"), (6, "这是别的事情。" + han),
+            (7, " ".join(more)), (8, f"{s[27]} {' '.join(more)} {s[28]}"), (9, "\n" + s[29] + s[30]), (10, None), (11, f"{s[31]} {more[0]} {more[1]}")]
+    frame = sc.createDataFrame(docs, "doc_id bigint, text string").withColumn("row", F.lit("z"))
+    got = {r["doc_id"]: r for r in sentences.passages(frame, words=12).collect()}
+    left = {d: r["kept_text"] for d, r in got.items()}
+    for d, t in docs:
+        if d in (1, 3, 5, 7, 9, 10):
+            assert (left[d], got[d]["n_removed"]) == (t, 0)
+    assert one not in left[2] and left[2].startswith(s[21]) and left[2].endswith(s[22]) and got[2]["n_removed"] == 1
+    assert left[4] == f"{s[25]} {s[26]}" and got[4]["n_removed"] == 20
+    assert left[6] == "这是别的事情。"
+    assert left[8] == f"{s[27]} {s[28]}" and left[11] == s[31] + " "
+    # Every repeated run of whole sentences that has the words is covered, whichever sentences hold them.
+    rng = random.Random(5)
+    for _ in range(200):
+        run = [" ".join(f"r{k}x{j}" for j in range(rng.randrange(1, 9))) + ". " for k in range(rng.randrange(1, 9))]
+        a, b = ("".join(f"{n}{k} {n}. " for k in range(rng.randrange(4))) + "".join(run) + f"{n} end {n}." for n in "ab")
+        x, y = sentences.content_runs(a, 12), sentences.content_runs(b, 12)
+        met = {k for (at, n), digest in y.items() if digest in set(x.values()) for k in range(at, at + n)}
+        first = b[:b.index(run[0])].count(".") + 1
+        assert met == (set(range(first, first + len(run))) if sum(len(r.split()) for r in run) >= 12 else set())
+    assert sentences.passages(awkward).count() == awkward.count() and sentences.passages(none).count() == 0
