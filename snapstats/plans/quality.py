@@ -141,15 +141,11 @@ def unknown_values(df: DataFrame, column: str, allowed) -> DataFrame:
     return df.filter(F.col(column).isNull() | ~F.col(column).isin(list(allowed))).groupBy(column).count()
 
 
-NAMED_VALUES = 20      # values a warning names; ``unknown_values`` has them all
-
-
 def _named_values(df: DataFrame, column: str, allowed) -> Column:
-    """The most frequent values outside ``allowed`` as text, each with its rows."""
-    most = unknown_values(df, column, allowed).orderBy(F.desc("count"), column).limit(NAMED_VALUES)
+    """All values outside ``allowed`` as text, each with its rows, the most frequent first."""
     named = F.concat(F.coalesce(F.col(column).cast("string"), F.lit("null")), F.lit(" ("), F.col("count").cast("string"), F.lit(")"))
-    return most.agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(
-        (-F.col("count")).alias("n"), named.alias("name")))), lambda x: x["name"]), ", ")).scalar()
+    return unknown_values(df, column, allowed).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(
+        (-F.col("count")).alias("n"), F.col(column).alias("value"), named.alias("name")))), lambda x: x["name"]), ", ")).scalar()
 
 
 def _profile(df: DataFrame, dataset: str) -> DataFrame:

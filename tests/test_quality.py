@@ -152,3 +152,11 @@ def test_top_n_is_taken_without_a_full_sort(spark):
     assert [(r["country"], r["mortality_pct"]) for r in out.collect()] == [("b", 10.0), ("c", 20.0)]
     assert "TakeOrderedAndProject" in out._jdf.queryExecution().executedPlan().toString()
     assert [r["country"] for r in reports.top_mortality(df, "country", 1, min_cases=5).collect()] == ["c"]
+
+
+def test_every_unknown_metric_is_named(spark):
+    rows = [("2024-05-03", f"m{k:02}", 1, "A") for k in range(25) for _ in range(1 + k // 20)] + [("2024-05-03", "cases", 1, "A")]
+    df = spark.createDataFrame(rows, "date STRING, metric STRING, value BIGINT, country STRING")
+    warning, = [w for w in quality.validate(df, "historical", NOW).first()["warnings"] if w.startswith("unknown_metric")]
+    names = [f"m{k} (2)" for k in range(20, 25)] + [f"m{k:02} (1)" for k in range(20)]
+    assert warning == "unknown_metric: found 30 rows with an unknown metric: " + ", ".join(names)
