@@ -1,8 +1,10 @@
 import datetime as dt
 import json
+import os
 
 import pytest
 
+from snapstats.catalog import QUERIES
 from snapstats.plans import runs
 from snapstats.sources import readers, writers
 from snapstats.streaming import ingest
@@ -167,3 +169,16 @@ def test_upsert_keeps_the_null_day_and_moves_keys(spark, tmp_path):
     assert set(touched) == {None, dt.date(2024, 5, 1), dt.date(2024, 5, 3)}
     rows = sorted((r["id"], str(r["snapshot_date"]), r["n"]) for r in spark.read.parquet(path).collect())
     assert rows == [("a", "2024-05-03", 20), ("b", "2024-05-02", 3), ("c", "2024-05-03", 4), ("d", "None", 5), ("keep", "None", 1)]
+
+
+def test_every_query_of_a_run_does_the_run(spark, small, tmp_path):
+    for name in os.listdir(small):
+        if name != "customer.parquet":
+            os.symlink(f"{small}/{name}", tmp_path / name)
+    customers, counts = spark.read.parquet(f"{small}/customer.parquet"), []
+    for rows in (customers, customers.filter("c_custkey % 2 = 0")):
+        rows.write.mode("overwrite").parquet(f"{tmp_path}/customer.parquet")
+        counts.append({r["table_name"]: r["actual_count"] for r in QUERIES["run_reconcile"](spark, str(tmp_path)).collect()})
+    assert 0 < counts[1]["countries"] < counts[0]["countries"]
+    books = {(r["step"], r["dataset"]): r["record_count"] for r in QUERIES["run_books"](spark, str(tmp_path)).collect()}
+    assert books["load", "countries"] == counts[1]["countries"]
