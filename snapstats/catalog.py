@@ -1313,8 +1313,8 @@ def dedup_across_files(spark, sf):
     folder = scratch(spark)
     regions = bind.table(spark, sf, "customer")
     for name, part, times in (("c_20240501", regions, 1), ("c_20240502", regions.filter("c_custkey % 2 = 0"), 10)):
-        part.select(F.to_json(F.struct(F.col("c_name").alias("country"), (F.col("c_custkey") * times).alias("cases"))).alias("value")).coalesce(
-            1).write.text(f"{folder}/{name}")
+        part.select(F.to_json(F.struct(F.col("c_name").alias("country"), (F.col("c_custkey") * times).alias("cases"))).alias("value")).write.text(
+            f"{folder}/{name}")      # the names of the folders carry the order
     rows = readers.read_snapshot(spark, [f"{folder}/c_20240501", f"{folder}/c_20240502"], "countries", bind.SNAPSHOT_AS_OF, lines=True)
     return dedup.dedup(rows, "countries", transforms.dedup_order(rows, "countries")).select("country", "cases")
 

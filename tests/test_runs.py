@@ -4,6 +4,7 @@ import os
 
 import pytest
 
+from snapstats import catalog
 from snapstats.catalog import QUERIES
 from snapstats.plans import runs
 from snapstats.sources import readers, writers
@@ -182,3 +183,12 @@ def test_every_query_of_a_run_does_the_run(spark, small, tmp_path):
     assert 0 < counts[1]["countries"] < counts[0]["countries"]
     books = {(r["step"], r["dataset"]): r["record_count"] for r in QUERIES["run_books"](spark, str(tmp_path)).collect()}
     assert books["load", "countries"] == counts[1]["countries"]
+
+
+def test_dedup_across_files_writes_from_all_tasks(spark, small, tmp_path, monkeypatch):
+    customers = spark.read.parquet(f"{small}/customer.parquet")
+    customers.repartition(4).write.parquet(f"{tmp_path}/tables/customer.parquet")
+    monkeypatch.setattr(catalog, "scratch", lambda spark: str(tmp_path / "work"))
+    got = {(r["country"], r["cases"]) for r in QUERIES["dedup_across_files"](spark, str(tmp_path / "tables")).collect()}
+    assert got == {(r["c_name"], r["c_custkey"] * (1 if r["c_custkey"] % 2 else 10)) for r in customers.collect()}
+    assert all(len(list((tmp_path / "work" / name).glob("part-*"))) > 1 for name in ("c_20240501", "c_20240502"))
