@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapstats.llm import decontaminate, language, licenses, minhash, packing, paragraph_sketch, sentences, substrings, token_counts, warc
+from snapstats.llm import (
+    decontaminate, language, lexical_search, licenses, minhash, packing, paragraph_sketch, permuterm, sentences, substrings, token_counts,
+    url_filter, warc)
 from snapstats.llm.common import ensure_checkpoint_dir, table
 
 WORD_TOKENIZER = "word_bpe_49k.json"
@@ -77,6 +79,26 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return paragraph_sketch.fingerprints(table(spark, sf_dir, "documents"))
 
 
+# The rules of the query, as (verdict, host, path).
+URL_RULES = (("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"),
+             ("block", "net", "/fr/"))
+
+
+def op11_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The verdict on every page's url, by a few rules and the vocabulary."""
+    return url_filter.judge(table(spark, sf_dir, "pages"), rules=URL_RULES).drop("terms")
+
+
+def op12_permuterm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every frequent word of the documents, its spelling variants, and the form it leads to."""
+    return permuterm.variants(table(spark, sf_dir, "documents"))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 documents that score highest for each benchmark item."""
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_token_counts": op2_token_counts,
@@ -88,6 +110,9 @@ QUERIES = {
     "op8_language": op8_language,
     "op9_licenses": op9_licenses,
     "op10_fingerprints": op10_fingerprints,
+    "op11_url_filter": op11_url_filter,
+    "op12_permuterm": op12_permuterm,
+    "op13_lexical_search": op13_lexical_search,
 }
 
 _CANONICAL = f"regexp_replace(lower(regexp_replace(text, '{licenses.COPYRIGHT}', chr(10), 'g')), '{licenses.DASHES}', ' ', 'g')"
@@ -97,6 +122,11 @@ for _one, _other in licenses.SPELLINGS:
 _CANONICAL = f"trim(regexp_replace({_CANONICAL}, ' +', ' ', 'g'))"
 _KNOWN = ", ".join("('{}', '{}')".format(a, b.replace("'", "''")) for a, b in licenses.KNOWN)
 
+_LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+_EDGE = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]"
+_RULES = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in URL_RULES)
+_TERMS = ", ".join(f"('{t}', {w})" for t, w in url_filter.TERMS.items())
+
 ORACLE = {
     "op1_decontaminate": r"""
         WITH i AS (SELECT DISTINCT CAST(item_id AS VARCHAR) AS item,
@@ -191,4 +221,50 @@ ORACLE = {
         FROM e JOIN f f0 ON f0.doc_id = e.doc_id AND f0.side = 0 JOIN f f1 ON f1.doc_id = e.doc_id AND f1.side = 1
         JOIN j j1 ON j1.doc_id = e.doc_id AND j1.side = 1 JOIN j j2 ON j2.doc_id = e.doc_id AND j2.side = 2""".replace(
             "{PARAGRAPH}", f"{{{paragraph_sketch.PARAGRAPH}}}"),
+    "op11_url_filter": rf"""
+        WITH r AS (SELECT * FROM (VALUES {_RULES}) AS t(verdict, rule_host, rule_path)), t AS (SELECT * FROM (VALUES {_TERMS}) AS t(term, weight)),
+             u AS (SELECT row_number() OVER () AS nr, page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) END AS rest,
+                          ' ' || translate(regexp_replace(coalesce(url, ''), '%[0-9A-Fa-f][0-9A-Fa-f]', ' ', 'g'), {_LOWER}) || ' ' AS plain FROM pages),
+             p AS (SELECT nr, page_id, plain, coalesce(translate(regexp_extract(rest, '^[^/?#]*'), {_LOWER}), '') AS host,
+                          coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path FROM u),
+             f AS (SELECT nr, rule_host || rule_path AS rule, verdict, row_number() OVER (PARTITION BY nr
+                          ORDER BY length(rule_host || rule_path) DESC, length(rule_host) DESC, verdict DESC) AS place
+                   FROM p JOIN r ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)),
+             w AS (SELECT nr, CAST(sum(weight) AS BIGINT) AS weight FROM p, t WHERE regexp_matches(plain, '{_EDGE}' || term || '{_EDGE}') GROUP BY nr)
+        SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN weight >= {url_filter.LEAST} THEN 'block' ELSE 'allow' END) AS verdict,
+               coalesce(weight, 0) AS weight
+        FROM p LEFT JOIN (SELECT * FROM f WHERE place = 1) USING (nr) LEFT JOIN w USING (nr)""",
+    "op12_permuterm": rf"""
+        WITH RECURSIVE bits AS (SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) AS c
+                                FROM (SELECT unnest(range(0, 256)) AS i)),
+             crc AS (SELECT list(c ORDER BY i) AS c FROM bits),
+             runs AS (SELECT doc_id, run, count(*) AS n FROM (SELECT doc_id, unnest(regexp_extract_all(translate(text, {_LOWER}), '[a-z\x{{C0}}-\x{{FF}}]+')) AS run
+                      FROM documents) GROUP BY ALL),
+             h AS (SELECT run, n, xor(4294967295, list_reduce(list_prepend(4294967295, [CAST('0x' || x AS BIGINT) FOR x IN regexp_extract_all(
+                          hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)), '..')]),
+                          lambda k, b: xor(k // 256, c[CAST(xor(k, b) % 256 AS INTEGER) + 1]))) AS h FROM runs, crc),
+             w AS (SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, CAST(h % length(run) AS INTEGER)) || substr(run, CAST(h % length(run) AS INTEGER) + 2) ELSE run END AS word,
+                          CAST(sum(n) AS BIGINT) AS n FROM h GROUP BY 1),
+             v AS (SELECT word, n FROM w WHERE length(word) >= 6 AND n >= 5),
+             d AS (SELECT DISTINCT word, n, length(word) AS size, pos, substr(word, 1, pos - 1) || substr(word, pos + 1) AS less
+                   FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS pos FROM v)),
+             e AS (SELECT a.word, b.word AS near, b.n AS near_n FROM d a JOIN d b ON a.less = b.less AND a.pos = b.pos AND a.size = b.size AND a.word <> b.word
+                   UNION SELECT d.word, v.word, v.n FROM d JOIN v ON d.less = v.word
+                   UNION SELECT v.word, d.word, d.n FROM d JOIN v ON d.less = v.word),
+             g AS (SELECT word, count(*) AS n_near, max(near_n) AS top_n FROM e GROUP BY word),
+             f AS (SELECT e.word, min(near) AS top, any_value(top_n) AS top_n, any_value(n_near) AS n_near FROM e JOIN g ON e.word = g.word AND e.near_n = g.top_n GROUP BY e.word),
+             o AS (SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN top_n >= 5 * n THEN top END AS form, CASE WHEN top_n >= 5 * n THEN top_n END AS form_n
+                   FROM v LEFT JOIN f USING (word)),
+             s AS (SELECT word, word AS root, 0 AS step FROM o UNION ALL SELECT s.word, o.form, step + 1 FROM s JOIN o ON s.root = o.word WHERE o.form IS NOT NULL)
+        SELECT o.word, n, n_near, form, form_n, root FROM o JOIN (SELECT word, arg_max(root, step) AS root FROM s GROUP BY word) USING (word)""",
+    "op13_lexical_search": rf"""
+        WITH d AS (SELECT doc_id, row_number() OVER () AS nr, regexp_extract_all(translate(text, {_LOWER}), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents),
+             c AS (SELECT CAST(count(*) AS BIGINT) AS docs, CAST(sum(len(t)) AS BIGINT) AS terms FROM d WHERE len(t) > 0),
+             i AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, {_LOWER}), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+             q AS (SELECT nr, term, CAST(count(*) AS BIGINT) AS tf FROM (SELECT nr, unnest(t) AS term FROM d) WHERE term IN (SELECT term FROM i) GROUP BY ALL),
+             w AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS weight FROM q, c GROUP BY term, docs),
+             s AS (SELECT item_id, nr, CAST(sum(weight * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * CAST(len(t) AS BIGINT) * docs) // terms)))) AS BIGINT) AS score
+                   FROM q JOIN w USING (term) JOIN i USING (term) JOIN d USING (nr), c GROUP BY item_id, nr),
+             r AS (SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s JOIN d USING (nr) WHERE score > 0)
+        SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM r WHERE rank <= 50""",
 }

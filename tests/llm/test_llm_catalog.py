@@ -29,4 +29,4 @@ def test_query_equals_sql(spark, small, tables, name):
 
 def test_entry_has_them_all():
     assert {*QUERIES, "pipeline"} <= set(entry.queries())
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))

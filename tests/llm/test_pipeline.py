@@ -10,7 +10,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from snapstats.llm import language
-from test_operators import brute_components, brute_hits, brute_spans
+from test_llm_operators import brute_components, brute_hits, brute_spans
 
 
 @pytest.fixture(scope="module")
