@@ -124,6 +124,7 @@ _KNOWN = ", ".join("('{}', '{}')".format(a, b.replace("'", "''")) for a, b in li
 
 _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 _EDGE = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]"
+_SENTENCE, _WORD, _ = sentences.patterns("\\x{{{:X}}}")
 _RULES = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in URL_RULES)
 _TERMS = ", ".join(f"('{t}', {w})" for t, w in url_filter.TERMS.items())
 
@@ -162,15 +163,16 @@ ORACLE = {
                CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
                CASE WHEN page_id = top THEN NULL ELSE top END AS refers_to
         FROM t""",
-    "op6_sentences": f"""
-        WITH d AS (SELECT doc_id, text, coalesce(regexp_extract_all(text, '{sentences.SENTENCE}'), []) AS s FROM documents),
-             f AS (SELECT doc_id, [lower(trim(regexp_replace(x, '[ \\t\\r\\n]+', ' ', 'g'), ' ')) FOR x IN s] AS s FROM d),
-             r AS (SELECT doc_id, pos, array_to_string(s[pos:pos + 2], chr(10)) AS run
-                   FROM (SELECT doc_id, s, unnest(range(1, len(s) - 1)) AS pos FROM f)),
-             w AS (SELECT * FROM r WHERE len([x FOR x IN regexp_split_to_array(run, '[ \\n]+') IF x <> '']) >= {sentences.SPAN_WORDS}),
-             c AS (SELECT *, row_number() OVER (PARTITION BY run ORDER BY doc_id, pos) AS n FROM w),
-             g AS (SELECT doc_id, list_sort(list(DISTINCT gone)) AS gone
-                   FROM (SELECT doc_id, unnest(range(pos, pos + 3)) AS gone FROM c WHERE n > 1) GROUP BY doc_id)
+    "op6_sentences": rf"""
+        WITH d AS (SELECT doc_id, text, coalesce(regexp_extract_all(text, '{_SENTENCE}'), []) AS s FROM documents),
+             f AS (SELECT doc_id, [trim(regexp_replace(lower(x), '[ \t\n\v\f\r]+', ' ', 'g'), ' ') FOR x IN s] AS s FROM d),
+             u AS (SELECT doc_id, pos, len(regexp_extract_all(x, '{_WORD}')) AS n FROM (SELECT doc_id, unnest(s) AS x, generate_subscripts(s, 1) AS pos FROM f)),
+             c AS (SELECT *, sum(n) OVER (PARTITION BY doc_id ORDER BY pos) AS upto FROM u),
+             j AS (SELECT a.doc_id, a.pos AS start, b.pos AS fin FROM c a JOIN c b ON a.doc_id = b.doc_id AND b.pos >= a.pos AND b.upto - a.upto + a.n >= {sentences.WORDS}),
+             r AS (SELECT doc_id, start, min(fin) AS fin FROM j GROUP BY doc_id, start
+                   UNION SELECT doc_id, max(start), fin FROM j GROUP BY doc_id, fin),
+             k AS (SELECT doc_id, start, fin, row_number() OVER (PARTITION BY array_to_string(s[start:fin], chr(10)) ORDER BY doc_id, start) AS nth FROM r JOIN f USING (doc_id)),
+             g AS (SELECT doc_id, list(DISTINCT gone) AS gone FROM (SELECT doc_id, unnest(range(start, fin + 1)) AS gone FROM k WHERE nth > 1) GROUP BY doc_id)
         SELECT doc_id, CAST(len(s) AS BIGINT) AS n_sentences, CAST(coalesce(len(gone), 0) AS BIGINT) AS n_removed,
                CASE WHEN gone IS NULL THEN text
                     ELSE array_to_string([s[n] FOR n IN range(1, len(s) + 1) IF NOT list_contains(gone, n)], '') END AS kept_text

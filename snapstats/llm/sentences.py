@@ -1,10 +1,9 @@
 """Substring duplicates by sliding sentence spans.
 
-Every run of ``SPAN`` consecutive sentences is hashed; a run that occurs anywhere before (in a smaller doc_id, or
-earlier in the text) is a copy, and the sentences it covers are removed. The first occurrence of a run stays.
-
-``passages`` takes runs by content instead: repeated whole sentences of ``SPAN_WORDS`` words or more are removed, however
-many sentences they are, in scripts with other marks, too.
+A span is a run of consecutive sentences with ``WORDS`` words or more together, one long sentence or several short ones. From every
+sentence the shortest span forward and the shortest one backward are hashed; together they cover every longer span. A span that occurs
+anywhere before (in a smaller doc_id, or earlier in the text) is a copy, and the sentences it covers are removed.
+The first occurrence of a span makes no sentence go.
 """
 
 from __future__ import annotations
@@ -19,120 +18,98 @@ from pyspark.sql import functions as F
 
 from snapstats.llm.common import map_rows
 
-SPAN = 3
-#: Runs of fewer words (three sentences of one or two words) are too common to be a copied passage.
-SPAN_WORDS = 12
-# A sentence ends behind its last mark or line break and the white space there; the rest of a text is one, too.
-SENTENCE = r"[^.!?\n]*[.!?\n]+[ \t\r\n]*|[^.!?\n]+"
-
+#: Shorter spans are stock sentences of a source (headings, notices, closing lines) rather than copied passages.
+WORDS = 20
+# Marks that end sentences, and scripts without blanks between words (Thai to Khmer, kana, Han), as code points in hex;
+# every letter of these scripts counts as a word.
+ENDS = "21 2E 3F A 589 61F 6D4 964 965 1362 203C 2047-2049 3002 FE52 FF01 FF0E FF1F FF61"
+CLOSERS = "22 27 29 5D BB 2019 201D 300D 300F"
+UNSPACED = "E00-EFF 1000-109F 1780-17FF 3005-3007 3040-30FF 3400-4DBF 4E00-9FFF F900-FAFF 20000-3FFFF"
 
-def split(text) -> F.Column:
-    """Sentences of a text with their marks and the white space behind; joined they are the text."""
-    return F.regexp_extract_all(text, F.lit(SENTENCE), F.lit(0))
 
+def _class(points: str, form: str) -> str:
+    """Content of a character class; ``form`` prints one code point."""
+    return "".join("-".join(form.format(int(x, 16)) for x in part.split("-")) for part in points.split())
 
-def find(docs: DataFrame, *, key: str = "doc_id", text: str = "text", span: int = SPAN, span_words: int = SPAN_WORDS) -> DataFrame:
-    """(row, at): the first sentences of all runs that are copies of an earlier one.
 
-    ``row`` is the id and a hash of the text. Runs are compared without case and runs of white space.
-    """
-    rows = with_row(docs, key, text).select("row", split(F.col("text")).alias("s"))
-    flat = F.transform("s", lambda x: F.lower(F.trim(F.regexp_replace(x, r"[ \t\r\n]+", " "))))
-    rows = rows.select("row", flat.alias("s")).where(F.size("s") >= span)
-    words = F.transform("s", lambda x: F.when(x == "", 0).otherwise(F.length(x) - F.length(F.replace(x, F.lit(" "))) + 1))
-    runs = rows.select("row", "s", words.alias("w")).select("row", F.explode(F.transform(
-        F.sequence(F.lit(1), F.size("s") - (span - 1)),
-        lambda n: F.struct(n.alias("at"), F.array_join(F.slice("s", n, span), "\n").alias("run"),
-                           F.aggregate(F.slice("w", n, span), F.lit(0), lambda a, b: a + b).alias("words")))).alias("x")) \
-        .where(F.col("x.words") >= span_words) \
-        .select("row", "x.at", F.xxhash64("x.run").alias("one"), F.crc32(F.col("x.run").cast("binary")).alias("two"))
-    first = runs.groupBy("one", "two").agg(F.count("*").alias("n"), F.min(F.struct("row", "at")).alias("first")) \
-        .where("n > 1").select("one", "two", "first")
-    return runs.join(first, ["one", "two"]).where(F.struct("row", "at") != F.col("first")).select("row", "at")
-
-
-def with_row(docs: DataFrame, key: str, text: str) -> DataFrame:
-    value = F.col(text).cast("string")
-    return docs.select(F.struct(F.col(key).alias("id"), F.xxhash64(value).alias("hash")).alias("row"), value.alias("text"))
+def patterns(form: str) -> tuple[str, str, str]:
+    """(a sentence with its marks and the blanks behind, a word, a letter that is a word) for a pattern language that prints code points so."""
+    ends, closers, unspaced = (_class(x, form) for x in (ENDS, CLOSERS, UNSPACED))
+    blanks = _class("9-D 20", form)
+    return (rf"[^{ends}]*[{ends}]+[{closers}]*[{blanks}{_class('3000', form)}]*|[^{ends}]+",
+            f"[{unspaced}]|[^{blanks}{unspaced}]+", f"[{unspaced}]")
 
 
-def remove(docs: DataFrame, *, key: str = "doc_id", text: str = "text", span: int = SPAN, span_words: int = SPAN_WORDS) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_sentences, n_removed, removed_at (sentence numbers from 1), kept_text.
+_SENTENCE, _WORD, _ALONE = map(re.compile, patterns("\\U{:08X}"))
 
-    Texts of fewer than ``span`` sentences lose nothing. A null text has no sentences and stays null. Rows alike in
-    id and text are one place, so they do not make each other copies. Other columns are not read.
-    """
-    gone = find(docs, key=key, text=text, span=span, span_words=span_words) \
-        .groupBy("row").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list(
-            F.sequence(F.col("at"), F.col("at") + (span - 1)))))).alias("gone"))
-    joined = with_row(docs, key, text).join(gone, "row", "left") \
-        .select(F.col("row.id").alias("doc_id"), "text", split(F.col("text")).alias("s"),
-                F.coalesce("gone", F.expr("cast(array() as array<int>)")).alias("removed_at"))
-    kept = F.array_join(F.filter("s", lambda x, n: ~F.array_contains("removed_at", n + 1)), "")
-    return joined.select("doc_id", F.coalesce(F.size("s"), F.lit(0)).cast("bigint").alias("n_sentences"),
-                         F.size("removed_at").cast("bigint").alias("n_removed"), "removed_at",
-                         F.when(F.size("removed_at") == 0, F.col("text")).otherwise(kept).alias("kept_text"))
 
+def split(text: str | None) -> list[str]:
+    """Sentences of a text with their marks and the blanks behind; joined they are the text."""
+    return _SENTENCE.findall(text or "")
 
-_END = ".!?\n\u0589\u061f\u06d4\u0964\u0965\u1362\u203c\u2047-\u2049\u3002\ufe52\uff01\uff0e\uff1f\uff61"
-_SENTENCE = re.compile(rf"[^{_END}]*[{_END}]+[\"')\]\u00bb\u2019\u201d\u300d\u300f]*[ \t\r\n\u3000]*|[^{_END}]+")
-# Letters of scripts without blanks between words (Thai to Khmer, kana, Han) count as words.
-_UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
-_WORD = re.compile(rf"[{_UNSPACED}]|[^\s{_UNSPACED}]*[^\W{_UNSPACED}][^\s{_UNSPACED}]*")
 
+def flat(sentence: str) -> tuple[str, int]:
+    """(the sentence in lower case with single blanks, its words)."""
+    words = sentence.lower().encode().split()
+    out = b" ".join(words).decode()
+    return out, len(_WORD.findall(out)) if _ALONE.search(out) else len(words)
 
-def content_runs(text: str | None, words: int) -> dict[tuple[int, int], bytes]:
-    """{(at, n): digest}: from every sentence, forward and backward, the shortest run of ``words`` words or more.
 
-    Together they cover every run of sentences that has so many words: its ends are reached from its own sentences.
-    """
-    parts = _SENTENCE.findall(text or "")
-    flat = [" ".join(x.lower().split()) for x in parts]
-    total = list(accumulate((len(_WORD.findall(x)) for x in flat), initial=0))
-    out, low = {}, 0
-    for end in range(1, len(flat) + 1):
-        # ``low`` is the first sentence from which no run up to an earlier end was long enough.
+def spans(parts: list[tuple[str, int]], words: int) -> list[tuple[int, int]]:
+    """(first sentence from 1, how many) of the shortest spans forward from and backward to each sentence; ``parts`` as of ``flat``."""
+    total = list(accumulate((n for _, n in parts), initial=0))
+    out, low = set(), 0
+    for end in range(1, len(parts) + 1):
+        # ``low`` is the first sentence from which no span up to an earlier end was long enough.
         while total[end] - total[low] >= words:
-            out[low + 1, end - low] = b""
+            out.add((low + 1, end - low))
             low += 1
-        if low and total[end] > total[end - 1]:
-            start = low - 1
-            out[start + 1, end - start] = b""
-    return {(at, n): xxhash.xxh3_128_digest("\n".join(flat[at - 1:at - 1 + n]).encode()) for at, n in out}
+        if low:
+            out.add((low, end - low + 1))
+    return sorted(out)
+
 
+def _digests(text: str | None, words: int) -> list[dict]:
+    parts = [flat(x) for x in split(text)]
+    return [{"at": at, "n": n, "digest": xxhash.xxh3_128_digest("\n".join(x for x, _ in parts[at - 1:at - 1 + n]).encode())}
+            for at, n in spans(parts, words)]
 
-def passages(docs: DataFrame, *, key: str = "doc_id", text: str = "text", words: int = SPAN_WORDS) -> DataFrame:
-    """As ``remove``, for all repeated runs of whole sentences that have ``words`` words together.
 
-    One long sentence is a run, short ones are taken together until they have the words. Sentences end at the marks of
-    other scripts, too, so n_sentences can differ from ``remove``.
+def remove(docs: DataFrame, *, key: str = "doc_id", text: str = "text", words: int = WORDS) -> DataFrame:
+    """One row per row of ``docs``: doc_id, n_sentences, n_removed, removed_at (sentence numbers from 1), kept_text.
+
+    Spans are compared without case and kinds of blanks. A null text has no sentences and stays null; an empty text, or one of fewer
+    words, loses nothing; a text of any length is read whole. The first occurrence is the one of the smallest id (none before all),
+    then of the smallest hash of the text, then the earliest place, so there are no ties. Rows alike in id and text are one place:
+    they do not make each other copies, and all keep or lose the same. Other columns are not read, whatever their names.
     """
-    rows = with_row(docs, key, text)
+    value = F.col(text).cast("string")
+    rows = docs.select(F.struct(F.col(key).alias("id"), F.xxhash64(value).alias("hash")).alias("row"), value.alias("text"))
     kind = rows.schema["row"].dataType.simpleString()
 
-    def make_runs():
+    def make_spans():
         def work(batch: pa.RecordBatch) -> dict:
-            runs = [content_runs(x, words) for x in batch.column("text").to_pylist()]
-            return {"row": batch.column("row"), "runs": [[{"at": at, "n": n, "digest": d} for (at, n), d in x.items()] for x in runs]}
+            return {"row": batch.column("row"), "spans": [_digests(x, words) for x in batch.column("text").to_pylist()]}
 
         return work
 
-    runs = map_rows(rows, f"row {kind}, runs array<struct<at:int,n:int,digest:binary>>", make_runs).select("row", F.inline("runs"))
-    first = runs.groupBy("digest").agg(F.count("*").alias("times"), F.min(F.struct("row", "at")).alias("first")).where("times > 1").select("digest", "first")
-    copies = runs.join(first, "digest").where(F.struct("row", "at") != F.col("first"))
+    found = map_rows(rows, f"row {kind}, spans array<struct<at:int,n:int,digest:binary>>", make_spans).select("row", F.inline("spans"))
+    # A span is one row a task here, however many texts have it; the join has one row of it on this side, so a hot one can be split.
+    first = found.groupBy("digest").agg(F.count("*").alias("times"), F.min(F.struct("row", "at")).alias("first")) \
+        .where("times > 1").select("digest", "first")
+    copies = found.join(first, "digest").where(F.struct("row", "at") != F.col("first"))
     gone = copies.groupBy("row").agg(F.collect_set(F.struct("at", "n")).alias("gone"))
 
     def make_left():
         def work(batch: pa.RecordBatch) -> dict:
             out = {"doc_id": batch.column("id"), "n_sentences": [], "n_removed": [], "removed_at": [], "kept_text": []}
-            for body, spans in zip(batch.column("text").to_pylist(), batch.column("gone").to_pylist(), strict=True):
-                parts = _SENTENCE.findall(body or "")
-                removed = sorted({k for x in spans or () for k in range(x["at"], x["at"] + x["n"])})
-                held = set(removed)
+            for body, covered in zip(batch.column("text").to_pylist(), batch.column("gone").to_pylist(), strict=True):
+                parts = split(body)
+                removed = {k for x in covered or () for k in range(x["at"], x["at"] + x["n"])}
                 out["n_sentences"].append(len(parts))
                 out["n_removed"].append(len(removed))
-                out["removed_at"].append(removed)
-                out["kept_text"].append("".join(x for k, x in enumerate(parts, 1) if k not in held) if removed else body)
+                out["removed_at"].append(sorted(removed))
+                out["kept_text"].append("".join(x for k, x in enumerate(parts, 1) if k not in removed) if removed else body)
             return out
 
         return work
