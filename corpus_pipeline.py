@@ -12,32 +12,53 @@ from snapstats.llm import decontaminate, language, minhash, packing, substrings
 from snapstats.llm.common import ensure_checkpoint_dir, ready, table
 
 TOKENIZER = "word_bpe_49k.json"
+#: Repeated strings of so many bytes go, but for their first places: shorter than nearly all passages of 50 words.
+REPEATED_BYTES = 256
+
+# Each stage hands on the rows it keeps with all columns of documents. Rows that repeat are rows of their own, columns that a stage
+# does not name are handed through, texts are read whole, and an empty table stays empty.
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language the classifier names by more than a narrow margin; a missing label is filled in."""
+    """Documents whose language the classifier names by more than a narrow margin; a missing label is filled in.
+
+    Null and empty texts, texts without a letter, ties and margins below 1 % are rejected. Without any label all rows are.
+    """
     model = language.fit(docs, key="doc_id", text="text", lang="lang")
     found = language.predict(docs, model).where("not rejected")
     return found.select(*(F.coalesce("lang", "lang_pred").alias(c) if c == "lang" else F.col(f"`{c}`") for c in docs.columns))
 
 
 def near_unique(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of a similarity of 0.8 or more."""
+    """One document of each group of a similarity of 0.8 or more: the one with the smallest id.
+
+    Rows that repeat, share an id or have none are told apart. Null and empty texts are in no group and stay.
+    """
     return minhash.clean(docs, percent=80)
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document, without strings of 400 bytes that also start elsewhere."""
-    return substrings.clean(docs)
+    """Every document, without strings of 256 bytes that also start before: in a smaller id, or earlier in the text.
+
+    Each repeated string stays at its first place, so no content is lost to the corpus. Ties of ids go by the hash of the
+    text; a null id is the smallest. Null and empty texts stay as they are; no row goes; n_chars is counted anew.
+    """
+    return substrings.clean(docs, length=REPEATED_BYTES, keep_first=True)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of which less than a twentieth are passages of the benchmark."""
+    """Documents of which less than a twentieth are passages of the benchmark.
+
+    Null and empty texts, and those without a word, are not contaminated; all rows stay with an empty benchmark.
+    """
     return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents, and their places in sequences of 2048 tokens."""
+    """Pieces of the documents, and their places in sequences of 2048 tokens.
+
+    A null text is empty; an empty one is a piece of its end mark alone.
+    """
     return packing.pack(packing.pieces(docs, public_tokenizers.path(TOKENIZER)))
 
 
