@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snapstats.llm.common import map_rows
+from snapstats.llm.common import cut, map_rows
 
 #: Shorter spans are stock sentences of a source (headings, notices, closing lines) rather than copied passages.
 WORDS = 20
@@ -94,9 +94,10 @@ def remove(docs: DataFrame, *, key: str = "doc_id", text: str = "text", words: i
         return work
 
     found = map_rows(rows, f"row {kind}, spans array<struct<at:int,n:int,digest:binary>>", make_spans).select("row", F.inline("spans"))
-    # A span is one row a task here, however many texts have it; the join has one row of it on this side, so a hot one can be split.
-    first = found.groupBy("digest").agg(F.count("*").alias("times"), F.min(F.struct("row", "at")).alias("first")) \
-        .where("times > 1").select("digest", "first")
+    # A span is one row a task here, however many texts have it. The repeated ones are stored, so that the join below is of two
+    # exchanges of its own, of which Spark can split a hot span's: it has one row on this side.
+    first = cut(found.groupBy("digest").agg(F.count("*").alias("times"), F.min(F.struct("row", "at")).alias("first"))
+                .where("times > 1").select("digest", "first"))
     copies = found.join(first, "digest").where(F.struct("row", "at") != F.col("first"))
     gone = copies.groupBy("row").agg(F.collect_set(F.struct("at", "n")).alias("gone"))
 

@@ -292,6 +292,65 @@ def find(docs: DataFrame, *, key: str = "doc_id", text: str = "text", length: in
         .groupBy("row").agg(F.sort_array(F.collect_list("x")).alias("starts"))
 
 
+def later(docs: DataFrame, starts: DataFrame, *, key: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
+    """``row`` and ``later``: those of the places that ``find`` gives (``starts``) whose string also starts before.
+
+    Before is in a smaller row (id, then hash of the text; no id is the smallest) or at a smaller place. Only repeated text is cut
+    to segments again. Equal segments are settled by their first one; strings are compared one by one only
+    between different segments of one anchor, where their edges differ.
+    """
+    def pieces():
+        def work(batch: pa.RecordBatch) -> dict:
+            found = [(n, x["start"], data[x["start"]:x["end"] - 1 + length])
+                     for n, (data, ranges) in enumerate(zip(batch.column("data").to_pylist(), batch.column("starts").to_pylist(), strict=True))
+                     for x in ranges]
+            return {"row": batch.column("row").take(pa.array([x[0] for x in found], pa.int32())),
+                    "piece": [x[1] for x in found], "data": [x[2] for x in found]}
+
+        return work
+
+    def cut_up():
+        def work(batch: pa.RecordBatch) -> dict:
+            out: dict[str, list] = {k: [] for k in ("start", "strings", "anchor", "content")}
+            rows = []
+            for n, data in enumerate(batch.column("data").to_pylist()):
+                for start, strings, _, anchor in segments(data, length):
+                    rows.append(n)
+                    out["start"].append(start)
+                    out["strings"].append(strings)
+                    out["anchor"].append(anchor)
+                    out["content"].append(xxhash.xxh3_128_digest(data[start:start + strings + length - 1]))
+            return out | {c: batch.column(c).take(pa.array(rows, pa.int32())) for c in ("row", "piece")}
+
+        return work
+
+    def one_by_one():
+        def work(batch: pa.RecordBatch) -> dict:
+            places = [(n, at) for n, wanted in enumerate(batch.column("wanted").to_pylist())
+                      for x in wanted for at in range(x["start"], x["start"] + x["strings"])]
+            data = batch.column("data").to_pylist()
+            out = {c: batch.column(c).take(pa.array([n for n, _ in places], pa.int32())) for c in ("row", "piece")}
+            return out | {"start": [at for _, at in places], "string": [xxhash.xxh3_128_digest(data[n][at:at + length]) for n, at in places]}
+
+        return work
+
+    row = f"row struct<id:{dict(docs.dtypes)[key]},hash:bigint>, piece bigint"
+    repeated = cut(map_rows(with_row(docs, key, text).join(starts, "row").select("row", "data", "starts"), f"{row}, data binary", pieces))
+    parts = map_rows(repeated, f"{row}, start bigint, strings int, anchor bigint, content binary", cut_up)
+    place = F.struct("row", (F.col("piece") + F.col("start")).alias("at"))
+    # One row of a segment for each task, however many texts have it; stored, so that Spark can split a hot one in the join.
+    firsts = cut(parts.groupBy("anchor", "content").agg(F.min(F.struct(place.alias("place"), "piece", "start", "strings")).alias("x"))
+                 .select("anchor", "content", "x.*"))
+    again = parts.join(firsts.select("content", F.col("place").alias("first")), "content").where(place != F.col("first")) \
+        .select("row", place["at"].alias("start"), (place["at"] + F.col("strings")).alias("end"))
+    many = firsts.groupBy("anchor").agg(F.count("*").alias("contents")).where("contents > 1").select("anchor")
+    wanted = firsts.join(many, "anchor").groupBy("place.row", "piece").agg(F.collect_list(F.struct("start", "strings")).alias("wanted"))
+    strings = cut(map_rows(repeated.join(wanted, ["row", "piece"]).select("row", "piece", "data", "wanted"), f"{row}, start bigint, string binary", one_by_one))
+    least = strings.groupBy("string").agg(F.min(place).alias("first"))
+    behind = strings.join(least, "string").where(place != F.col("first")).select("row", place["at"].alias("start"), (place["at"] + 1).alias("end"))
+    return again.unionByName(behind).groupBy("row").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("later"))
+
+
 def with_row(docs: DataFrame, key: str, text: str, *more: F.Column) -> DataFrame:
     data = F.col(text).cast("string").cast("binary")
     return docs.select(F.struct(F.col(key).alias("id"), F.xxhash64(data).alias("hash")).alias("row"), data.alias("data"),
@@ -310,6 +369,23 @@ def spans(starts: list[dict] | None, length: int) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
+def copied(starts: list[dict] | None, later: list[dict] | None, length: int) -> list[tuple[int, int]]:
+    """Byte spans of strings that start in the ranges of ``later``, less those of the other (first) strings in ``starts``."""
+    if not later:
+        return []
+    size = max(x["end"] for x in starts) - 1 + length
+    first, gone = np.zeros(size, bool), np.zeros(size, bool)
+    for a, b in spans(later, length):
+        gone[a:b] = True
+    for x in starts:
+        first[x["start"]:x["end"]] = True
+    for x in later:
+        first[x["start"]:x["end"]] = False
+    for a, b in runs(first):
+        gone[a:b - 1 + length] = False
+    return runs(gone)
+
+
 def kept_bytes(data: bytes, gone: list[tuple[int, int]]) -> bytes:
     edges = [0, *(x for s in gone for x in s), len(data)]
     return b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
@@ -325,22 +401,32 @@ def remove(docs: DataFrame, **options) -> DataFrame:
     return _removed(docs, **options).drop("rest")
 
 
-def clean(docs: DataFrame, *, key: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
-    """``docs`` with what is left of the texts; n_chars, if there is such a column, is counted anew."""
-    left = _removed(docs, key=key, text=text, length=length)
+def clean(docs: DataFrame, *, key: str = "doc_id", text: str = "text", length: int = LENGTH, keep_first: bool = False) -> DataFrame:
+    """``docs`` with what is left of the texts; n_chars, if there is such a column, is counted anew.
+
+    With ``keep_first`` every repeated string stays at its first place (``later`` has the order): a byte goes if a string
+    that covers it starts anywhere before and none that covers it is the first of its kind.
+    """
+    left = _removed(docs, key=key, text=text, length=length, keep_first=keep_first)
     new = {key: F.col("doc_id"), text: F.col("kept_text"), "n_chars": F.length("kept_text").cast("bigint")}
     return left.select(*((new[c] if c in new else F.col(f"rest.`{c}`")).alias(c) for c in docs.columns))
 
 
-def _removed(docs: DataFrame, *, key: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
+def _removed(docs: DataFrame, *, key: str = "doc_id", text: str = "text", length: int = LENGTH, keep_first: bool = False) -> DataFrame:
     kind, rest = dict(docs.dtypes)[key], beside(docs, key, text)
-    joined = with_row(docs, key, text, rest).join(find(docs, key=key, text=text, length=length), "row", "left")
+    starts = find(docs, key=key, text=text, length=length)
+    if keep_first:
+        starts = cut(starts)
+        starts = starts.join(later(docs, starts, key=key, text=text, length=length), "row", "left")
+    else:
+        starts = starts.withColumn("later", F.lit(None).cast("array<struct<start:bigint,end:bigint>>"))
+    joined = with_row(docs, key, text, rest).join(starts, "row", "left")
 
     def make():
         def work(batch: pa.RecordBatch) -> dict:
             out: dict[str, list] = {k: [] for k in ("n_bytes", "n_removed", "n_spans", "kept_sha256", "spans", "kept_text")}
-            for data, starts in zip(batch.column("data").to_pylist(), batch.column("starts").to_pylist(), strict=True):
-                gone = spans(starts, length)
+            for data, starts, behind in zip(*(batch.column(c).to_pylist() for c in ("data", "starts", "later")), strict=True):
+                gone = copied(starts, behind, length) if keep_first else spans(starts, length)
                 left = kept_bytes(data or b"", gone)
                 out["n_bytes"].append(len(data or b""))
                 out["n_removed"].append(sum(b - a for a, b in gone))
@@ -352,6 +438,6 @@ def _removed(docs: DataFrame, *, key: str = "doc_id", text: str = "text", length
 
         return work
 
-    return map_rows(joined.select(F.col("row.id").alias("doc_id"), "data", "starts", "rest"),
+    return map_rows(joined.select(F.col("row.id").alias("doc_id"), "data", "starts", "later", "rest"),
                     f"doc_id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, "
                     f"spans array<struct<start:bigint,end:bigint>>, kept_text string, rest {kind_of(docs, rest)}", make)

@@ -127,6 +127,46 @@ def brute_spans(data, length):
     return out
 
 
+def brute_copies(docs, length):
+    """Bytes under a string that also starts before (rows in the order given), and under none that is the first of its kind."""
+    count = collections.Counter(d[i:i + length] for d in docs for i in range(len(d) - length + 1))
+    seen, out = set(), []
+    for d in docs:
+        gone, kept = np.zeros(len(d), bool), np.zeros(len(d), bool)
+        for i in range(len(d) - length + 1):
+            x = d[i:i + length]
+            if x in seen:
+                gone[i:i + length] = True
+            elif count[x] > 1:
+                kept[i:i + length] = True
+            seen.add(x)
+        out.append(gone & ~kept)
+    return out
+
+
+@pytest.mark.parametrize("batch_bytes", [1 << 20, 300])
+def test_first_of_repeated_strings_stays(sc, prose, monkeypatch, batch_bytes):
+    monkeypatch.setattr(substrings, "BATCH_BYTES", batch_bytes)
+    s, rng = prose(300, 19), random.Random(14)
+    shared = "".join(s[:6])
+    made = [(k, s[10 + k] + shared[rng.randrange(60):len(shared) - rng.randrange(60)] + s[60 + k]) for k in range(30)]
+    made += [(100 + k, shared[:50 + 7 * k] + "Z" + shared[50 + 7 * k:]) for k in range(20)]
+    made += [(200, "x" * 900), (201, "é€𝄞\n" * 100), (202, s[90] + "x" * 300 + s[91]), (203, ""), (204, None), (205, s[120] + s[121]), (206, s[122]),
+             (207, s[100] + s[101] + s[102] + s[103]), (208, s[101] + s[102] + s[103] + s[104]), (209, s[102] + s[103] + s[104] + s[105]), (5000, "".join(s[:80]))]
+    docs = sc.createDataFrame(made, "doc_id bigint, text string").withColumns({"later": F.lit("z"), "piece": F.lit("z")})
+    got = {r["doc_id"]: r["text"] for r in substrings.clean(docs, length=100, keep_first=True).collect()}
+    data = [(t or "").encode() for _, t in made]
+    want = {d: t and bytes(np.frombuffer(x, np.uint8)[~gone]).decode(errors="ignore")
+            for (d, t), x, gone in zip(made, data, brute_copies(data, 100), strict=True)}
+    assert got == want and got[205] == made[-6][1] and sum(len(t or "") for t in got.values()) < 0.6 * sum(map(len, data))
+    # Of 900 equal letters the first string stays.
+    assert sum((t or "").count("x" * 100) for t in got.values()) == 1
+    # Rows alike in id and text are one row; a row without id comes first.
+    twice = sc.createDataFrame([(1, shared), (1, shared), (2, shared), (None, shared)], "doc_id bigint, text string")
+    assert rows(substrings.clean(twice, length=100, keep_first=True), "doc_id", "text") == sorted([(None, shared), (1, ""), (1, ""), (2, "")], key=repr)
+    assert substrings.clean(docs.where("1 = 0"), keep_first=True).count() == 0
+
+
 @pytest.mark.parametrize("batch_bytes", [1 << 20, 300])
 def test_substrings(sc, awkward, none, prose, monkeypatch, batch_bytes):
     monkeypatch.setattr(substrings, "BATCH_BYTES", batch_bytes)  # small: anchors are refined

@@ -10,7 +10,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from snapstats.llm import language
-from test_llm_operators import brute_components, brute_hits, brute_spans
+from test_llm_operators import brute_components, brute_copies, brute_hits
 
 
 @pytest.fixture(scope="module")
@@ -39,10 +39,10 @@ def test_pipeline(sc, folder):
     assert not {202, 203, 204} & {d for d, _ in docs} and len(docs) > 100
     kept = {d for d, _, _, is_kept in brute_components(docs, 80) if is_kept}
     assert not {200, 201} & kept
-    docs = [(d, t) for d, t in docs if d in kept]
+    docs = sorted((d, t) for d, t in docs if d in kept)
     data = [t.encode() for _, t in docs]
     docs = [(d, bytes(np.frombuffer(x, np.uint8)[~gone]).decode(errors="ignore"))
-            for (d, _), x, gone in zip(docs, data, brute_spans(data, 400), strict=True)]
+            for (d, _), x, gone in zip(docs, data, brute_copies(data, corpus_pipeline.REPEATED_BYTES), strict=True)]
     items = [(r["item_id"], r["text"]) for r in sc.read.parquet(f"{folder}/benchmark.parquet").collect()]
     bad = {x[0] for x in brute_hits(docs, items, 13) if x[-1]}
     assert 205 in bad
@@ -56,6 +56,21 @@ def test_pipeline(sc, folder):
     assert sorted(tuple(r[c] for c in names) for r in got) == sorted(want)
 
 
+def test_a_repeated_passage_stays_once(sc, prose):
+    """A passage in three documents is whole in the first one afterwards, and in no other; the rest of the texts stays."""
+    s = prose(200, 51)
+    passage = " ".join(s[:6])
+    assert len(passage.encode()) >= corpus_pipeline.REPEATED_BYTES and len(passage.split()) > 50
+    docs = [(n, f"{' '.join(s[20 * n:20 * n + 8])} half a sentence {passage} and on {' '.join(s[20 * n + 8:20 * n + 16])}") for n in (3, 1, 2)] + [(4, None), (5, "")]
+    frame = sc.createDataFrame([(d, t, "en", "s", len(t or "")) for d, t in docs], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    left = {r["doc_id"]: r["text"] for r in dict(corpus_pipeline.STAGES)["without_repeats"](sc, frame, "").collect()}
+    before = dict(docs)
+    assert left[1] == before[1] and left[4] is None and left[5] == ""
+    for d in (2, 3):
+        assert len(left[d]) < len(before[d]) - len(passage) + 30 and not any(x in left[d] for x in s[1:5])
+        assert left[d].startswith(before[d][:20]) and left[d].endswith(before[d][-20:])
+
+
 def test_stages_return_the_columns_of_documents(sc, folder):
     docs = sc.read.parquet(f"{folder}/documents.parquet")
     for frame in (docs, docs.where("1 = 0")):
