@@ -34,22 +34,31 @@ _models: dict = {}
 
 
 def fit(labelled: DataFrame, *, key: str = "doc_id", text: str = "text", lang: str = "lang") -> dict[str, bytes]:
-    """Dictionaries from rows that have a text and a label: the texts with the smallest hashes of the key.
+    """Dictionaries from rows that have a text and a label: pieces of the texts with the smallest hashes of key and text.
 
-    At most ``SAMPLE_TEXTS`` texts of each language leave their task, so a frequent language is no burden.
-    Empty without labelled rows.
+    Labels are counted first, and of a frequent one only rows with hashes so small that about twice ``SAMPLE_TEXTS`` of them are left
+    go on; so no task gets more for a language, however many rows or tasks there are. A piece is ``SAMPLE_CHARS`` characters from
+    a place that the hash names, or the whole of a shorter text. Empty without labelled rows.
     """
-    rows = labelled.select(F.col(lang).alias("lang"), F.xxhash64(key, text).alias("place"),
-                           F.substring(text, 1, SAMPLE_CHARS).alias("text")) \
+    spark = labelled.sparkSession
+    rows = labelled.select(F.col(lang).alias("lang"), F.shiftrightunsigned(F.xxhash64(key, text), 2).alias("place"), F.col(text).alias("text")) \
         .where("lang is not null and text is not null")
-    first = rows.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("place", "text"))) \
-        .where(f"n <= {SAMPLE_TEXTS}")
+    limit = MODEL_BYTES // DICTIONARY_BYTES
+    counts = [(r["lang"], r["count"]) for r in rows.groupBy("lang").count().limit(limit + 1).collect()]
+    if len(counts) > limit:
+        raise ValueError("too many languages for one model")
+    if not counts:
+        return {}
+    # Of 2^62 parts of the hashes, those for twice the wanted rows; not so many rows are all taken.
+    below = spark.createDataFrame([(name, (1 << 62) // n * min(n, 2 * SAMPLE_TEXTS)) for name, n in counts], "lang string, below bigint")
+    start = F.pmod("place", F.greatest(F.length("text") - SAMPLE_CHARS + 1, F.lit(1))).cast("int")
+    piece = F.substring("text", start + 1, F.lit(SAMPLE_CHARS))
+    likely = rows.join(F.broadcast(below), "lang").where(F.expr(f"place < below or below > {(1 << 62) - (1 << 44)}")) \
+        .select("lang", "place", piece.alias("text"))
+    first = likely.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("place", "text"))).where(f"n <= {SAMPLE_TEXTS}")
     model: dict[str, bytes] = {}
-    for row in first.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("n", "text"))).alias("texts")) \
-            .toLocalIterator():
+    for row in first.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("n", "text"))).alias("texts")).toLocalIterator():
         model[row["lang"]] = letters(" ".join(x["text"] for x in row["texts"]))[:DICTIONARY_BYTES]
-        if len(model) * DICTIONARY_BYTES > MODEL_BYTES:
-            raise ValueError("too many languages for one model")
     return dict(sorted(model.items()))
 
 

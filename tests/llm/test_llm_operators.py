@@ -12,12 +12,15 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
+import zstandard
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from snapstats.llm import (
     components, decontaminate, language, licenses, minhash, packing, paragraph_sketch, sentences, substrings, token_counts, warc)
 
+from snapstats.llm.catalog import QUERIES
+
 ASCII_LOWER = {c: c + 32 for c in range(65, 91)}
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -363,8 +366,8 @@ def test_components(sc):
 
 # 8
 
-def test_language(sc, awkward, none):
-    docs = sc.read.parquet("/root/testdata/sf0.01/documents.parquet")
+def test_language(sc, awkward, none, small):
+    docs = sc.read.parquet(f"{small.replace('sf0.001', 'sf0.01')}/documents.parquet")
     held = "pmod(crc32(cast(cast(doc_id as string) as binary)), 5) = 0"
     model = language.fit(docs.where(f"not ({held})"))
     assert sorted(model) == ["de", "en", "es", "fr"] and max(map(len, model.values())) <= language.DICTIONARY_BYTES
@@ -379,6 +382,59 @@ def test_language(sc, awkward, none):
     assert language.predict(none, model).count() == 0
 
 
+def brute_language(rows, docs):
+    """{row number: (language, score)} by one compressor for each language, made anew for every block; ``rows`` are (place, text, lang)."""
+    pieces = collections.defaultdict(list)
+    for place, text, lang in rows:
+        if text is not None and lang is not None:
+            at = place % max(1, len(text) - 799)
+            pieces[lang].append((place, text[at:at + 800]))
+    plain = lambda t: re.sub(r"[\W\d_]+", " ", t.lower()).encode()
+    known = {lang: plain(" ".join(x for _, x in sorted(own)[:400]))[:1 << 16] for lang, own in sorted(pieces.items())}
+    settings = zstandard.ZstdCompressionParameters.from_level(5, min_match=3, write_content_size=False, write_dict_id=False)
+
+    def size(content, data):
+        one = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        one.precompute_compress(compression_params=settings)
+        packer = zstandard.ZstdCompressor(dict_data=one, compression_params=settings)
+        return sum(len(packer.compress(data[i:i + 4096])) for i in range(0, len(data), 4096))
+
+    out = []
+    for text in docs:
+        if not any(c.isalpha() for c in text or ""):
+            out.append(("und", 0.0))
+            continue
+        (best, lang), (second, _) = sorted((size(content, plain(text)), lang) for lang, content in known.items())[:2]
+        out.append((lang, min(1.0, 4 * (1 - best / second))))
+    return out
+
+
+def test_every_prediction_of_the_query(sc, small, tmp_path):
+    """Predictions equal brute force, and nothing held out reaches them: neither labels nor sources."""
+    table = sc.read.parquet(f"{small}/documents.parquet")
+    held = lambda doc: zlib.crc32(str(doc).encode()) % 5 == 0
+    given = table.select("doc_id", "text", "lang", F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 2).alias("place")).collect()
+    want = brute_language([(r["place"], r["text"], r["lang"]) for r in given if not held(r["doc_id"])], [r["text"] for r in given])
+    got = {r["doc_id"]: (r["held_out"], r["lang_pred"], r["score"]) for r in QUERIES["op8_language"](sc, small).collect()}
+    assert got == {r["doc_id"]: (held(r["doc_id"]), *x) for r, x in zip(given, want, strict=True)}
+    poisoned = table.withColumns({"lang": F.when(F.expr("pmod(crc32(cast(cast(doc_id as string) as binary)), 5) = 0"), "xx").otherwise(F.col("lang")),
+                                  "source": F.lit("fr")})
+    poisoned.write.parquet(f"{tmp_path}/documents.parquet")
+    assert got == {r["doc_id"]: (r["held_out"], r["lang_pred"], r["score"]) for r in QUERIES["op8_language"](sc, str(tmp_path)).collect()}
+
+
+def test_frequent_languages_are_thinned_before_they_are_ranked(sc):
+    """A sample of more rows than it needs is the same as that of all rows; texts longer than a piece give different places of theirs."""
+    many = sc.range(3000).selectExpr("id as doc_id", "concat_ws(' ', transform(sequence(1, 300), k -> concat('w', id * k % 997, 'xyz'))) as text",
+                                     "if(id % 10 = 0, 'aa', 'bb') as lang") \
+        .withColumn("place", F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 2))
+    model = language.fit(many)
+    for lang in ("aa", "bb"):
+        rows_of = sorted((r["place"], r["text"]) for r in many.where(F.col("lang") == lang).collect())[:400]
+        pieces = [t[place % max(1, len(t) - 799):][:800] for place, t in rows_of]
+        assert model[lang] == language.letters(" ".join(pieces))[:language.DICTIONARY_BYTES]
+
+
 # 9
 
 def test_licenses(sc, awkward, none):
