@@ -301,9 +301,9 @@ def later(docs: DataFrame, starts: DataFrame, *, key: str = "doc_id", text: str
     """
     def pieces():
         def work(batch: pa.RecordBatch) -> dict:
-            found = [(n, x["start"], data[x["start"]:x["end"] - 1 + length])
+            found = [(n, a, data[a:b - 1 + length])
                      for n, (data, ranges) in enumerate(zip(batch.column("data").to_pylist(), batch.column("starts").to_pylist(), strict=True))
-                     for x in ranges]
+                     for a, b in spans(ranges, 1)]
             return {"row": batch.column("row").take(pa.array([x[0] for x in found], pa.int32())),
                     "piece": [x[1] for x in found], "data": [x[2] for x in found]}
 
