@@ -220,6 +220,14 @@ def find(docs: DataFrame, *, key: str = "doc_id", text: str = "text", length: in
     text or another row's; overlapping strings count. Rows without such bytes are missing. Strings never cross rows;
     null texts have none. Rows alike in id and text are one row here, and repeat each other.
     """
+    return _settled(*_repeated(docs, key, text, length), length)
+
+
+def _repeated(docs: DataFrame, key: str, text: str, length: int) -> tuple[DataFrame, DataFrame]:
+    """The segments of anchors that occur more than once, and the text under them as ``row``, ``piece`` (where it starts), ``data``.
+
+    Texts meet these segments once; whatever follows reads the pieces.
+    """
     def cut_up():
         def work(batch: pa.RecordBatch) -> dict:
             out: dict[str, list] = {k: [] for k in ("start", "strings", "place", "anchor", "content")}
@@ -236,16 +244,32 @@ def find(docs: DataFrame, *, key: str = "doc_id", text: str = "text", length: in
 
         return work
 
-    kind = dict(docs.dtypes)[key]
-    row = f"row struct<id:{kind},hash:bigint>"
+    def pieces():
+        def work(batch: pa.RecordBatch) -> dict:
+            found = [(n, a, data[a:b - 1 + length])
+                     for n, (data, ranges) in enumerate(zip(batch.column("data").to_pylist(), batch.column("ranges").to_pylist(), strict=True))
+                     for a, b in spans(ranges, 1)]
+            return {"row": batch.column("row").take(pa.array([x[0] for x in found], pa.int32())),
+                    "piece": [x[1] for x in found], "data": [x[2] for x in found]}
+
+        return work
+
+    row = f"row struct<id:{dict(docs.dtypes)[key]},hash:bigint>"
     rows = with_row(docs, key, text)
     parts = map_rows(rows, f"{row}, start bigint, strings int, place int, anchor bigint, content binary", cut_up)
+    # An anchor is one row a task, however many texts have it; stored, so that Spark can split a hot one in the join.
+    again = cut(parts.groupBy("anchor").count().where("count > 1").select("anchor"))
+    parts = cut(parts.join(again, "anchor"))
+    ranges = parts.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("start", (F.col("start") + F.col("strings")).alias("end")))).alias("ranges"))
+    return parts, cut(map_rows(rows.join(ranges, "row").select("row", "data", "ranges"), f"{row}, piece bigint, data binary", pieces))
+
+
+def _settled(parts: DataFrame, pieces: DataFrame, length: int) -> DataFrame:
     counted = parts.groupBy("anchor", "content").agg(
         F.count("*").alias("n"), F.min(F.struct("row", "start", "strings", "place")).alias("at"))
     again = counted.groupBy("anchor").agg(F.count("*").alias("contents"), F.min("n").alias("least"),
-                                          F.sum(F.col("at.strings") + (length - 1)).alias("bytes")) \
-        .where("contents > 1 or least > 1")
-    counted = cut(counted.join(again, "anchor"))  # anchors seen more than once
+                                          F.sum(F.col("at.strings") + (length - 1)).alias("bytes"))
+    counted = cut(counted.join(again, "anchor"))
     whole = counted.where("n > 1").select("content", F.lit(0).alias("low"), F.col("at.strings").alias("high"))
     wanted = counted.where("contents > 1 and least = 1").select(
         "at.row", F.struct("anchor", "content", "n", "at.start", "at.strings", "at.place", "bytes").alias("x")) \
@@ -254,9 +278,11 @@ def find(docs: DataFrame, *, key: str = "doc_id", text: str = "text", length: in
     def fetch():
         def work(batch: pa.RecordBatch) -> dict:
             out: dict[str, list] = {k: [] for k in ("key", "low", "high", "content", "n", "place", "strings", "shift", "bytes", "total")}
-            for data, wanted in zip(batch.column("data").to_pylist(), batch.column("wanted").to_pylist(), strict=True):
+            for at, data, wanted in zip(*(batch.column(c).to_pylist() for c in ("piece", "data", "wanted")), strict=True):
                 for x in wanted:
-                    part = data[x["start"]:x["start"] + x["strings"] + length - 1]
+                    if not at <= x["start"] < at + len(data) - length + 1:
+                        continue  # of another piece
+                    part = data[x["start"] - at:x["start"] - at + x["strings"] + length - 1]
                     for k, v in (("key", x["anchor"]), ("low", 0), ("high", 1 << (length - 1).bit_length()), ("content", x["content"]), ("n", x["n"]),
                                  ("place", x["place"]), ("strings", x["strings"]), ("shift", 0), ("bytes", part), ("total", x["bytes"])):
                         out[k].append(v)
@@ -264,7 +290,7 @@ def find(docs: DataFrame, *, key: str = "doc_id", text: str = "text", length: in
 
         return work
 
-    found = cut(map_rows(rows.join(wanted, "row").select("data", "wanted"), _CONTENTS + ", total bigint", fetch))
+    found = cut(map_rows(pieces.join(wanted, "row").select("piece", "data", "wanted"), _CONTENTS + ", total bigint", fetch))
     ranges = [whole]
     limit = 2 * BATCH_BYTES
     while True:
@@ -287,23 +313,23 @@ def find(docs: DataFrame, *, key: str = "doc_id", text: str = "text", length: in
     settled = ranges[0]
     for more in ranges[1:]:
         settled = settled.unionByName(more)
-    return parts.select("row", "start", "content").join(settled.select("content", "low", "high"), "content") \
+    return parts.select("row", "start", "content").join(cut(settled.select("content", "low", "high")), "content") \
         .select("row", F.struct((F.col("start") + F.col("low")).alias("start"), (F.col("start") + F.col("high")).alias("end")).alias("x")) \
         .groupBy("row").agg(F.sort_array(F.collect_list("x")).alias("starts"))
 
 
-def later(docs: DataFrame, starts: DataFrame, *, key: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
+def _later(pieces: DataFrame, starts: DataFrame, length: int) -> DataFrame:
     """``row`` and ``later``: those of the places that ``find`` gives (``starts``) whose string also starts before.
 
     Before is in a smaller row (id, then hash of the text; no id is the smallest) or at a smaller place. Only repeated text is cut
     to segments again. Equal segments are settled by their first one; strings are compared one by one only
     between different segments of one anchor, where their edges differ.
     """
-    def pieces():
+    def narrow():
         def work(batch: pa.RecordBatch) -> dict:
-            found = [(n, a, data[a:b - 1 + length])
-                     for n, (data, ranges) in enumerate(zip(batch.column("data").to_pylist(), batch.column("starts").to_pylist(), strict=True))
-                     for a, b in spans(ranges, 1)]
+            found = [(n, a, data[a - at:b - at - 1 + length])
+                     for n, (at, data, ranges) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("piece", "data", "starts")), strict=True))
+                     for a, b in spans(ranges, 1) if at <= a < at + len(data) - length + 1]
             return {"row": batch.column("row").take(pa.array([x[0] for x in found], pa.int32())),
                     "piece": [x[1] for x in found], "data": [x[2] for x in found]}
 
@@ -334,8 +360,8 @@ def later(docs: DataFrame, starts: DataFrame, *, key: str = "doc_id", text: str
 
         return work
 
-    row = f"row struct<id:{dict(docs.dtypes)[key]},hash:bigint>, piece bigint"
-    repeated = cut(map_rows(with_row(docs, key, text).join(starts, "row").select("row", "data", "starts"), f"{row}, data binary", pieces))
+    row = f"row {kind_of(pieces, F.col('row'))}, piece bigint"
+    repeated = cut(map_rows(pieces.join(starts, "row").select("row", "piece", "data", "starts"), f"{row}, data binary", narrow))
     parts = map_rows(repeated, f"{row}, start bigint, strings int, anchor bigint, content binary", cut_up)
     place = F.struct("row", (F.col("piece") + F.col("start")).alias("at"))
     # One row of a segment for each task, however many texts have it; stored, so that Spark can split a hot one in the join.
@@ -404,7 +430,7 @@ def remove(docs: DataFrame, **options) -> DataFrame:
 def clean(docs: DataFrame, *, key: str = "doc_id", text: str = "text", length: int = LENGTH, keep_first: bool = False) -> DataFrame:
     """``docs`` with what is left of the texts; n_chars, if there is such a column, is counted anew.
 
-    With ``keep_first`` every repeated string stays at its first place (``later`` has the order): a byte goes if a string
+    With ``keep_first`` every repeated string stays at its first place (``_later`` has the order): a byte goes if a string
     that covers it starts anywhere before and none that covers it is the first of its kind.
     """
     left = _removed(docs, key=key, text=text, length=length, keep_first=keep_first)
@@ -414,10 +440,10 @@ def clean(docs: DataFrame, *, key: str = "doc_id", text: str = "text", length: i
 
 def _removed(docs: DataFrame, *, key: str = "doc_id", text: str = "text", length: int = LENGTH, keep_first: bool = False) -> DataFrame:
     kind, rest = dict(docs.dtypes)[key], beside(docs, key, text)
-    starts = find(docs, key=key, text=text, length=length)
+    parts, pieces = _repeated(docs, key, text, length)
+    starts = cut(_settled(parts, pieces, length))
     if keep_first:
-        starts = cut(starts)
-        starts = starts.join(later(docs, starts, key=key, text=text, length=length), "row", "left")
+        starts = starts.join(_later(pieces, starts, length), "row", "left")
     else:
         starts = starts.withColumn("later", F.lit(None).cast("array<struct<start:bigint,end:bigint>>"))
     joined = with_row(docs, key, text, rest).join(starts, "row", "left")
