@@ -29,7 +29,7 @@ LENGTH = 400
 #: Bytes of a gram: common lines shorter than it do not bring contents together that share no string.
 GRAM = 128
 #: Bytes in a batch, and of an anchor's contents before it is refined.
-BATCH_BYTES = 1 << 20
+BATCH_BYTES = 1 << 19
 #: Text scanned at once; neighbouring pieces overlap by a string less one byte.
 PIECE = 1 << 22
 
