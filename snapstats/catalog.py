@@ -13,7 +13,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from snapstats import bind
+from snapstats import bind, schemas as S
 from snapstats.functions import columns as C
 from snapstats.operators import clean, dedup, quantiles, ranks, series
 from snapstats.plans import checks, completeness, quality, reports, runs, transforms
@@ -1307,6 +1307,55 @@ def run_books(spark, sf):
     return spark.createDataFrame(rows, "step STRING, dataset STRING, record_count BIGINT")
 
 
+@query(f"""WITH {SNAPSHOT}, loaded AS (SELECT 'countries' AS dataset, cases, deaths FROM snapshot
+    UNION ALL SELECT 'continents', CAST(sum(cases) AS BIGINT), CAST(sum(deaths) AS BIGINT) FROM snapshot GROUP BY continent)
+  SELECT run, dataset, count(*) AS row_count, CAST(sum(cases) AS BIGINT) AS cases, CAST(sum(deaths) AS BIGINT) AS deaths
+  FROM loaded, (SELECT unnest(['cut off', 'once', 'twice']) AS run) GROUP BY run, dataset""")
+def load_again(spark, sf):
+    """Loads of a run that are repeated, of another run, and of one that was cut off: each table has each run once."""
+    ensure_checkpoint_dir(spark, scratch(spark))
+    regions = bind.snapshot(spark, sf)
+    bundle = {"countries": regions, "continents": regions.groupBy("continent").agg(
+        F.sum("cases").alias("cases"), F.sum("deaths").alias("deaths"), F.max("extraction_date").alias("extraction_date"))}
+    prefix = f"r{uuid.uuid4().hex[:12]}_"
+    for run, parts in (("twice", bundle), ("once", bundle), ("cut off", {"countries": regions.limit(5)}), ("twice", bundle), ("cut off", bundle)):
+        failed = {k: v for k, v in writers.load_tables(parts, prefix, run_id=run).items() if v}
+        if failed:
+            raise RuntimeError(str(failed))
+    tables = [spark.table(f"{prefix}{d}").select(F.lit(d).alias("dataset"), S.RUN_COLUMN, "cases", "deaths") for d in bundle]
+    out = reduce(DataFrame.unionByName, tables).groupBy(F.col(S.RUN_COLUMN).alias("run"), "dataset").agg(
+        F.count(F.lit(1)).alias("row_count"), F.sum("cases").alias("cases"), F.sum("deaths").alias("deaths")).checkpoint()
+    for d in bundle:
+        spark.sql(f"DROP TABLE {prefix}{d}")
+    return out
+
+
+_CHANGED = """WITH ends AS (SELECT o_orderpriority, min(o_orderkey) AS a, max(o_orderkey) AS b FROM orders GROUP BY o_orderpriority),
+  changed AS (SELECT o_orderkey, CASE WHEN o_orderpriority = '2-HIGH' AND o_orderkey = a THEN (SELECT o_custkey FROM orders x WHERE x.o_orderkey = b)
+      WHEN o_orderpriority = '2-HIGH' AND o_orderkey = b THEN (SELECT o_custkey FROM orders x WHERE x.o_orderkey = a) ELSE o_custkey END AS o_custkey,
+    CASE WHEN o_orderpriority = '1-URGENT' AND o_orderkey = a THEN o_totalprice + 0.01 ELSE o_totalprice END AS o_totalprice,
+    o_orderpriority FROM orders JOIN ends USING (o_orderpriority)),
+  given AS (SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority FROM orders)"""
+
+
+@query(_CHANGED + """, odd AS (SELECT DISTINCT o_orderpriority FROM ((SELECT * FROM given EXCEPT ALL SELECT * FROM changed) UNION ALL
+      (SELECT * FROM changed EXCEPT ALL SELECT * FROM given)))
+  SELECT o_orderpriority, count(*) AS expected_count, count(*) AS actual_count, true AS count_match,
+    o_orderpriority NOT IN (SELECT o_orderpriority FROM odd) AS content_match FROM orders GROUP BY o_orderpriority""")
+def reconcile_digest(spark, sf):
+    """At equal counts: one cell changed in the urgent orders, two customers swapped in the high ones."""
+    orders = bind.table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority")
+    ends = orders.groupBy("o_orderpriority").agg(F.min_by("o_custkey", "o_orderkey").alias("a_cust"), F.min("o_orderkey").alias("a"),
+                                                 F.max_by("o_custkey", "o_orderkey").alias("b_cust"), F.max("o_orderkey").alias("b"))
+    high, urgent = (F.col("o_orderpriority") == p for p in ("2-HIGH", "1-URGENT"))
+    stored = orders.join(ends, "o_orderpriority").select(
+        "o_orderpriority", "o_orderkey",
+        F.when(high & (F.col("o_orderkey") == F.col("a")), F.col("b_cust")).when(high & (F.col("o_orderkey") == F.col("b")), F.col("a_cust"))
+        .otherwise(F.col("o_custkey")).alias("o_custkey"),
+        F.when(urgent & (F.col("o_orderkey") == F.col("a")), F.col("o_totalprice") + 0.01).otherwise(F.col("o_totalprice")).alias("o_totalprice"))
+    return writers.reconcile_content(stored, orders, ["o_orderpriority"]).drop("expected_digest", "actual_digest")
+
+
 @query("""SELECT c_name AS country, CASE WHEN c_custkey % 2 = 0 THEN c_custkey * 10 ELSE c_custkey END AS cases FROM customer""")
 def dedup_across_files(spark, sf):
     """An older file of all regions and a newer, smaller one of half of them."""

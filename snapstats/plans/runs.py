@@ -28,7 +28,8 @@ def run_steps(spark: SparkSession, landing: str, out: str, as_of, step: str = "a
     Steps hand data on through the files they wrote, so each can also run alone and a
     lost executor never forces an earlier step to run again. A failed core step stops
     the run; a step of which only some data sets went wrong is 'partial', and so is then the
-    run; ``skip`` leaves out 'store' or 'load'. Loading reconciles every table with the manifest.
+    run; ``skip`` leaves out 'store' or 'load'. Loading puts the run's rows in place of those the same run has loaded
+    before, so a step may be repeated under its ``execution_id``, and reconciles every table with the manifest.
     Returns status, manifests, load results, reconciliation and step records; the records are
     also written to ``out/run_log``, and step records and validation results to ``log_table``
     and ``quality_table`` if named. What could not be read is under ``out/rejects``.
@@ -134,21 +135,21 @@ def _store(spark, out, run_id):
 
 
 def _load(spark, out, as_of, run_id, prefix):
-    """Load what was processed, then compare each loaded table with the manifest."""
+    """Load what was processed as this run's rows, then compare each loaded table with the manifest."""
     manifest = _manifest(spark, out, "processed", run_id)
-    loaded = writers.load_tables(writers.read_bundle(spark, manifest), prefix, "append")
+    loaded = writers.load_tables(writers.read_bundle(spark, manifest), prefix, "append", run_id)
     good = [m for m in manifest if m["status"] == "written" and loaded.get(f"{prefix}{m['data_type']}", "absent") is None]
-    checked = [r.asDict() for r in reconcile(spark, good, prefix, as_of).collect()] if good else []      # one row per table
+    checked = [r.asDict() for r in reconcile(spark, good, prefix, as_of, run_id).collect()] if good else []      # one row per table
     problems = [f"{name}: {why}" for name, why in loaded.items() if why]
     problems += [f"{r['table_name']}: {r['errors']}" for r in checked if not r["is_valid"]]
     return {"load": loaded, "reconcile": checked}, sum(m["record_count"] for m in good), problems
 
 
-def reconcile(spark: SparkSession, manifest: list[dict], prefix: str, stamp) -> DataFrame:
+def reconcile(spark: SparkSession, manifest: list[dict], prefix: str, stamp, run_id: str | None = None) -> DataFrame:
     """Rows of this run's extraction found in each table against the manifest's counts.
 
-    Only rows with this run's ``extraction_date`` count, so appending to a table that
-    already holds earlier runs still reconciles.
+    Only rows with this run's ``extraction_date`` count, and only those it loaded if ``run_id`` is given, so appending
+    to a table that already holds earlier runs still reconciles.
     """
     at = F.lit(str(stamp)).cast("timestamp")
     written = [m for m in manifest if m["status"] == "written"]
@@ -158,6 +159,8 @@ def reconcile(spark: SparkSession, manifest: list[dict], prefix: str, stamp) ->
         rows = spark.table(table).filter(F.col("extraction_date") == at)
         if m["data_type"] not in S.PARTITION_SOURCE:      # partitioned by extraction day: prune
             rows = rows.filter(F.col(S.PARTITION_COLUMN) == at.cast("date"))
+        if run_id is not None:
+            rows = rows.filter(F.col(S.RUN_COLUMN) == run_id)
         rows = rows.select(F.lit(table).alias("table_name"))
         actual = rows if actual is None else actual.unionByName(rows)
     expected = spark.createDataFrame(

@@ -198,6 +198,7 @@ CLUSTER_COLUMNS = {
     "pipeline_log": ("task_name", "status"),
 }
 PARTITION_COLUMN = "snapshot_date"
+RUN_COLUMN = "load_run"             # partition beside the day: which run loaded a row
 SEQUENCE_COLUMN = "ingest_seq"      # position of a row in its landing file
 
 

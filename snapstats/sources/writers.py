@@ -10,6 +10,7 @@ import datetime as dt
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -205,7 +206,7 @@ def _reason(problem: Exception) -> str:
 
 def create_tables(spark: SparkSession, tables=tuple(S.WAREHOUSE_TABLES), prefix: str = "",
                   replace: bool = True) -> dict[str, str | None]:
-    """Create warehouse tables, day-partitioned Parquet; ``replace`` drops them first.
+    """Create warehouse tables, Parquet partitioned by day and run; ``replace`` drops them first.
 
     Returns, per table, null or why it could not be created.
     """
@@ -215,22 +216,30 @@ def create_tables(spark: SparkSession, tables=tuple(S.WAREHOUSE_TABLES), prefix:
         try:
             if replace:
                 spark.sql(f"DROP TABLE IF EXISTS {name}")
-            fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in S.warehouse_schema(table).fields)
-            spark.sql(
-                f"CREATE TABLE IF NOT EXISTS {name} ({fields}, `{S.PARTITION_COLUMN}` date) "
-                f"USING parquet PARTITIONED BY (`{S.PARTITION_COLUMN}`)")
+            _create(spark, name, T.StructType([
+                *S.warehouse_schema(table).fields, T.StructField(S.PARTITION_COLUMN, T.DateType()), T.StructField(S.RUN_COLUMN, T.StringType())]),
+                (S.PARTITION_COLUMN, S.RUN_COLUMN))
             created[name] = None
         except Exception as problem:
             created[name] = _reason(problem)
     return created
 
 
+def _create(spark: SparkSession, name: str, schema: T.StructType, partition_by) -> None:
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    keys = ", ".join(f"`{c}`" for c in partition_by)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({fields}) USING parquet PARTITIONED BY ({keys})")
+
+
 def load_table(df: DataFrame, name: str, if_exists: str = "append", partition_by=()) -> None:
     """Append to, replace, or create (failing if present) a catalog table."""
     mode = _MODES[if_exists]
     spark = df.sparkSession
     if mode == "append" and spark.catalog.tableExists(name):
-        df.select(*spark.table(name).columns).write.mode("append").insertInto(name)
+        columns = spark.table(name).columns
+        if S.RUN_COLUMN in columns and S.RUN_COLUMN not in df.columns:
+            df = df.withColumn(S.RUN_COLUMN, F.lit(None).cast("string"))      # loaded outside of any run
+        df.select(*columns).write.mode("append").insertInto(name)
         return
     writer = df.write.mode(mode).format("parquet")
     if partition_by:
@@ -238,6 +247,53 @@ def load_table(df: DataFrame, name: str, if_exists: str = "append", partition_by
     writer.saveAsTable(name)
 
 
+def load_run(df: DataFrame, name: str, run_id: str, partition_by=()) -> None:
+    """Put the rows of a run in a table, in place of whatever the same run has loaded before.
+
+    The run is a partition beside ``partition_by`` (at most a day). Its files are staged and then replace exactly the partitions
+    of this run; days it no longer has are dropped. So a load may be repeated, or be cut off and repeated, and the table holds the run
+    once; other runs are not touched. Without rows, the run's partitions go. The table is created if it is missing.
+    """
+    spark = df.sparkSession
+    keys = (*partition_by, S.RUN_COLUMN)
+    rows = df.withColumn(S.RUN_COLUMN, F.lit(run_id))
+    _create(spark, name, rows.select(*[c for c in rows.columns if c not in keys], *keys).schema, keys)
+    stored = spark.table(name)
+    if S.RUN_COLUMN not in stored.columns:
+        raise ValueError(f"{name} has no column {S.RUN_COLUMN}: it cannot tell runs apart")
+    rows = rows.select(*[F.col(f"`{f.name}`").cast(f.dataType) for f in stored.schema.fields])
+    place, = [r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'").collect()]
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(place)
+
+    fresh = [{c: r[c] for c in keys} for r in rows.select(*[F.col(c).cast("string") for c in keys]).distinct().collect()]      # one a day
+    days = {tuple(values[c] for c in partition_by) for values in fresh}
+    for values in _partitions(spark, f"{name} PARTITION ({_spec({S.RUN_COLUMN: run_id})})"):
+        if tuple(values[c] for c in partition_by) not in days:
+            spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({_spec({**values, S.RUN_COLUMN: run_id})})")
+    if fresh:
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS " + " ".join(f"PARTITION ({_spec(values)})" for values in fresh))
+    spark.catalog.refreshTable(name)
+
+
+_NO_VALUE = "__HIVE_DEFAULT_PARTITION__"      # fixed value: the folder of a null partition
+
+
+def _partitions(spark: SparkSession, name: str) -> list[dict[str, str | None]]:
+    """Partitions of a catalog table, a few a day, as column and text (escaped as in folder names)."""
+    listed = (dict(part.split("=", 1) for part in r[0].split("/")) for r in spark.sql(f"SHOW PARTITIONS {name}").collect())
+    return [{c: None if v == _NO_VALUE else v for c, v in values.items()} for values in listed]
+
+
+def _spec(values: dict[str, str | None]) -> str:
+    return ", ".join(f"`{c}` = {_quoted(v)}" for c, v in values.items())
+
+
+def _quoted(value: str | None) -> str:
+    if value is None:
+        return "null"
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def load_jdbc(df: DataFrame, url: str, table: str, if_exists: str = "append", **options: str) -> None:
     """Load into a database over JDBC in batches, one connection per partition."""
     (df.write.format("jdbc").mode(_MODES[if_exists])
@@ -254,26 +310,63 @@ def clustered(df: DataFrame, dataset: str) -> DataFrame:
     return rows.sortWithinPartitions(S.PARTITION_COLUMN, *S.CLUSTER_COLUMNS.get(dataset, ()))
 
 
-def load_tables(bundle: dict[str, DataFrame], prefix: str = "", if_exists: str = "append") -> dict[str, str | None]:
-    """Load every non-empty data set into ``prefix + name``, conformed.
+def load_tables(bundle: dict[str, DataFrame], prefix: str = "", if_exists: str = "append",
+                run_id: str | None = None) -> dict[str, str | None]:
+    """Load every data set into ``prefix + name``, conformed, several side by side.
 
     Returns, per table, null or why it could not be loaded; the others are loaded anyway. Give it
-    stored data sets: then looking whether one is empty costs next to nothing.
+    stored data sets: then looking whether one is empty costs next to nothing; empty ones are left out. With ``run_id``
+    rows are appended as those of that run, so that the load may be repeated (``load_run``).
     """
-    results: dict[str, str | None] = {}
-    for dataset, df in bundle.items():
-        if is_empty(df):
-            continue
+    def load_one(item: tuple[str, DataFrame]) -> tuple[str, str | None] | None:
+        dataset, df = item
         name = f"{prefix}{dataset}"
+        days = (S.PARTITION_COLUMN,) if dataset in S.WAREHOUSE_TABLES else ()
         try:
-            if dataset in S.WAREHOUSE_TABLES:
-                load_table(clustered(df, dataset), name, if_exists, (S.PARTITION_COLUMN,))
+            repeated = run_id is not None and if_exists == "append"
+            if is_empty(df) and not (repeated and df.sparkSession.catalog.tableExists(name)):
+                return None
+            rows = clustered(df, dataset) if days else df
+            if repeated:
+                load_run(rows, name, run_id, days)
             else:
-                load_table(df, name, if_exists)
-            results[name] = None
+                load_table(rows, name, if_exists, days)
+            return name, None
         except Exception as problem:
-            results[name] = _reason(problem)
-    return results
+            return name, _reason(problem)
+
+    with ThreadPoolExecutor(PARALLEL_WRITES) as pool:
+        return dict(x for x in pool.map(load_one, bundle.items()) if x)
+
+
+def content_digest(df: DataFrame, by=()) -> DataFrame:
+    """``by``, record_count and digest: the sum of a hash of each row, whatever the order of rows and files.
+
+    A null is told from an absent neighbour, so values that change places in a row or between rows change the sum.
+    """
+    rows = dedup.comparable(df)
+    cells = [x for c in rows.columns for x in (F.col(f"`{c}`"), F.col(f"`{c}`").isNull())]
+    return rows.groupBy(*by).agg(F.count(F.lit(1)).alias("record_count"),
+                                 F.coalesce(F.sum(F.xxhash64(*cells).cast("decimal(28,0)")), F.lit(0)).alias("digest"))
+
+
+def reconcile_content(actual: DataFrame, expected: DataFrame, by=()) -> DataFrame:
+    """Per group of ``by``: expected_count, actual_count, count_match and content_match, from two sums over each side.
+
+    Columns of both sides are compared by name in the order and types of ``expected``. One changed cell, a swap between rows or a row
+    in place of another shows, though counts agree. Only a row of sums per group and task is shuffled.
+    """
+    typed = actual.select(*[F.col(f"`{f.name}`").cast(f.dataType) for f in expected.schema.fields])
+    both = content_digest(expected, by).withColumn("side", F.lit("expected")).unionByName(
+        content_digest(typed, by).withColumn("side", F.lit("actual")))
+    of = lambda side, c: F.coalesce(F.max(F.when(F.col("side") == side, F.col(c))), F.lit(0))
+    return both.groupBy(*by).agg(
+        of("expected", "record_count").alias("expected_count"), of("actual", "record_count").alias("actual_count"),
+        of("expected", "digest").alias("expected_digest"), of("actual", "digest").alias("actual_digest"),
+    ).withColumns({
+        "count_match": F.col("expected_count") == F.col("actual_count"),
+        "content_match": (F.col("expected_count") == F.col("actual_count")) & (F.col("expected_digest") == F.col("actual_digest")),
+    })
 
 
 def reconcile_load(actual: DataFrame, expected: DataFrame, key: str = "table_name") -> DataFrame:
@@ -350,12 +443,13 @@ def drop_expired(spark: SparkSession, table: str, days: int, as_of, column: str
     """Drop day partitions older than ``days`` days from a catalog table."""
     oldest = dt.date.fromisoformat(str(as_of)[:10]) - dt.timedelta(days=days)
     expired = []
-    for row in spark.sql(f"SHOW PARTITIONS {table}").collect():       # one row per day
-        value = row[0].partition("=")[2]
-        if value[:4].isdigit() and dt.date.fromisoformat(value) < oldest:
-            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({column} = DATE '{value}')")
-            expired.append(value)
-    return expired
+    for values in _partitions(spark, table):
+        day = values[column]
+        if day and day[:4].isdigit() and dt.date.fromisoformat(day) < oldest:
+            whole = {c: v if v is None else unquote(v) for c, v in values.items()}
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({_spec(whole)})")
+            expired.append(day)
+    return sorted(set(expired))
 
 
 def file_inventory(spark: SparkSession, path: str) -> DataFrame:

@@ -192,3 +192,56 @@ def test_dedup_across_files_writes_from_all_tasks(spark, small, tmp_path, monkey
     got = {(r["country"], r["cases"]) for r in QUERIES["dedup_across_files"](spark, str(tmp_path / "tables")).collect()}
     assert got == {(r["c_name"], r["c_custkey"] * (1 if r["c_custkey"] % 2 else 10)) for r in customers.collect()}
     assert all(len(list((tmp_path / "work" / name).glob("part-*"))) > 1 for name in ("c_20240501", "c_20240502"))
+
+
+def test_a_load_may_be_repeated(spark, tmp_path):
+    """The rows of a run replace those of the same run, on days it still has and days it has no more."""
+    def rows(*given):
+        return spark.createDataFrame([(k, None if d is None else dt.date(2024, 5, d), n) for k, d, n in given], "id string, snapshot_date date, n int")
+
+    def held(name="again"):
+        return sorted((r["id"], str(r["snapshot_date"]), r["n"], r["load_run"]) for r in spark.table(name).collect())
+
+    day = ("snapshot_date",)
+    writers.load_run(rows(("a", 1, 1), ("b", 2, 2), ("c", None, 3)), "again", "it's \\ x/1:00", day)
+    first = held()
+    assert first == [(k, d, n, "it's \\ x/1:00") for k, d, n in (("a", "2024-05-01", 1), ("b", "2024-05-02", 2), ("c", "None", 3))]
+    writers.load_run(rows(("a", 1, 9), ("d", 4, 4)), "again", "two", day)
+    writers.load_run(rows(("a", 1, 1), ("b", 2, 2), ("c", None, 3)), "again", "it's \\ x/1:00", day)
+    other = [("a", "2024-05-01", 9, "two"), ("d", "2024-05-04", 4, "two")]
+    assert held() == sorted(first + other)
+    writers.load_run(rows(("a", 3, 7)), "again", "it's \\ x/1:00", day)
+    assert held() == sorted([("a", "2024-05-03", 7, "it's \\ x/1:00")] + other)
+    writers.load_run(rows(), "again", "it's \\ x/1:00", day)
+    assert held() == other
+    assert writers.drop_expired(spark, "again", 2, "2024-05-04") == ["2024-05-01"]
+    writers.load_table(rows(("e", 4, 5)), "again")
+    assert held() == [("d", "2024-05-04", 4, "two"), ("e", "2024-05-04", 5, None)]
+    spark.sql("CREATE TABLE plainly (id string, n int) USING parquet")
+    with pytest.raises(ValueError, match="load_run"):
+        writers.load_run(rows(("a", 1, 1)), "plainly", "x")
+
+
+def test_a_load_step_may_be_repeated(spark, landing, tmp_path):
+    """Loading again under the same execution id changes nothing; a load that was cut off is made whole."""
+    out, data = str(tmp_path), ("global", "countries", "continents", "states", "vaccines")
+    runs.run_steps(spark, landing, out, NOW, skip=("load",), execution_id="x1", include_history=False)
+    one = writers.read_bundle(spark, runs._manifest(spark, out, "processed", "x1"))["countries"]
+    writers.load_tables({"countries": one.limit(1)}, "la_", run_id="x1")      # cut off within its first table
+    counts = []
+    for _ in range(2):
+        result = runs.run_steps(spark, landing, out, NOW, step="load", execution_id="x1", prefix="la_")
+        assert result["status"] == "success" and all(r["is_valid"] for r in result["reconcile"])
+        counts.append({d: spark.table(f"la_{d}").count() for d in data})
+    assert counts[0] == counts[1] and counts[0]["countries"] == 3
+
+
+def test_digests_see_what_counts_do_not(spark):
+    given = spark.sql("SELECT * FROM VALUES (1, 'a', CAST(NULL AS STRING), map('x', 1)), (2, CAST(NULL AS STRING), 'a', map('y', 2)), (3, 'c', 'd', NULL) AS t(g, p, q, m)")
+    same = given.repartition(3).select("m", "q", "p", "g")
+    assert all(r["content_match"] for r in writers.reconcile_content(same, given, ["g"]).collect())
+    for change in ("if(g = 1, q, p) AS p, if(g = 1, p, q) AS q, m", "p, if(g = 3, 'e', q) AS q, m", "p, q, if(g = 2, map('y', 3), m) AS m"):
+        row, = writers.reconcile_content(spark.sql(f"SELECT g, {change} FROM {{given}}", given=given), given).collect()
+        assert (row["count_match"], row["content_match"]) == (True, False)
+    missing = writers.reconcile_content(given.filter("g < 3"), given, ["g"]).filter("NOT count_match").collect()
+    assert [(r["g"], r["expected_count"], r["actual_count"]) for r in missing] == [(3, 1, 0)]
