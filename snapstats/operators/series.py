@@ -29,16 +29,18 @@ def _filled(value: str, keys, order) -> Column:
 
 
 def with_daily_change(df: DataFrame, keys=SERIES, order: str = "date", value: str = "value",
-                      on_zero: str = "null") -> DataFrame:
-    """Difference and relative change to the previous row of the series."""
+                      on_zero: str = "null", base: str | None = None) -> DataFrame:
+    """Difference and relative change to the previous row of the series.
+
+    ``base`` names a column that holds the value carried forward over nulls, where there is one.
+    """
     window = _window(keys, order)
-    carried = "__carried"
-    return (
-        df.withColumn("daily_change", F.col(value) - F.lag(value, 1).over(window))
-        .withColumn(carried, _filled(value, keys, order))
-        .withColumn("daily_change_pct", C.growth(F.col(carried), F.lag(carried, 1).over(window), on_zero))
-        .drop(carried)
-    )
+    carried = base or "__carried"
+    rows = df if base else df.withColumn(carried, _filled(value, keys, order))
+    return rows.withColumns({
+        "daily_change": F.col(value) - F.lag(value, 1).over(window),
+        "daily_change_pct": C.growth(F.col(carried), F.lag(carried, 1).over(window), on_zero),
+    }).drop("__carried")
 
 
 def with_rolling(df: DataFrame, column: str, rows: int = 7, name: str | None = None,
@@ -49,14 +51,15 @@ def with_rolling(df: DataFrame, column: str, rows: int = 7, name: str | None = N
 
 
 def with_growth(df: DataFrame, lags=(1, 7, 14), keys=SERIES, order: str = "date",
-                value: str = "value", on_zero: str = "null") -> DataFrame:
-    """Relative change to the value 1, 7, 14 ... rows back."""
+                value: str = "value", on_zero: str = "null", base: str | None = None) -> DataFrame:
+    """Relative change to the value 1, 7, 14 ... rows back; ``base`` as in ``with_daily_change``."""
     window = _window(keys, order)
-    carried = "__carried"
-    return df.withColumn(carried, _filled(value, keys, order)).withColumns({
+    carried = base or "__carried"
+    rows = df if base else df.withColumn(carried, _filled(value, keys, order))
+    return rows.withColumns({
         f"growth_rate_{k}day": C.growth(F.col(carried), F.lag(carried, k).over(window), on_zero)
         for k in lags
-    }).drop(carried)
+    }).drop("__carried")
 
 
 def with_doubling_time(df: DataFrame, rate: str = "growth_rate_1day") -> DataFrame:

@@ -56,6 +56,12 @@ def transform_series(df: DataFrame, on_zero: str = "null") -> DataFrame:
     return series.with_rolling(df, "daily_change")
 
 
+def transform_points(df: DataFrame, as_of=None) -> DataFrame:
+    """A history's rows without the windows: cleaned, one per point, positions in the landing kept."""
+    df = clean.with_region(common_transform(df, "historical", as_of), "historical")
+    return clean.with_calendar(df.withColumn("date", df["date"].cast("date")))
+
+
 def transform(df: DataFrame, dataset: str, as_of=None, exact: bool = True, order=None,
               unique_after_mapping: bool = False) -> DataFrame:
     """Full path of one data set.

@@ -4,7 +4,7 @@ The daily schedule becomes ``availableNow``: a run takes every landing file that
 not been processed yet, then stops; the checkpoint keeps one run from repeating another.
 Micro-batches only parse, type and append rows. What looks beyond a row - medians, duplicates,
 changes, means - runs over the stored rows afterwards, so the answer does not depend on how
-files fall into batches.
+files fall into batches. Histories look back only as far as their windows do (``tail``).
 """
 
 from __future__ import annotations
@@ -15,9 +15,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from snapstats import schemas as S
-from snapstats.operators import series
 from snapstats.plans import transforms
 from snapstats.sources import readers, writers
+from snapstats.streaming import tail
 
 BATCH_COLUMN = "batch_id"
 MAX_FILES = 1000      # files a micro-batch takes; a limit on its size, not on the result
@@ -74,8 +74,8 @@ def ingest_available_now(spark: SparkSession, landing: str, dataset: str, out: s
 def publish(spark: SparkSession, dataset: str, out: str, as_of) -> DataFrame:
     """Transform what batches not yet published touch: their extractions, or their series.
 
-    A snapshot's extraction is transformed from all its rows; a history's touched series from all
-    their rows, so that windows look back as far as they need.
+    A snapshot's extraction is transformed from all its rows. Of a history only the new rows are read; their windows look
+    back into the stored tails of the series (``tail``).
     """
     marks, data = f"{out}/published", f"{out}/data"
     done = spark.read.schema(f"{BATCH_COLUMN} INT").json(marks) if _exists(spark, marks) else None
@@ -83,13 +83,11 @@ def publish(spark: SparkSession, dataset: str, out: str, as_of) -> DataFrame:
     new = rows if done is None else rows.join(done, BATCH_COLUMN, "left_anti")
     fresh = [r[0] for r in new.select(BATCH_COLUMN).distinct().collect()]      # one value per batch
     if fresh:
-        stored = rows.drop(BATCH_COLUMN)
         if dataset in S.SERIES_DATASETS:
-            touched = new.select(*series.SERIES).distinct()
-            wanted = stored.alias("s").join(touched.alias("t"), [
-                F.col(f"s.{c}").eqNullSafe(F.col(f"t.{c}")) for c in series.SERIES], "left_semi")
-            _merge(spark, transforms.transform(wanted, dataset, as_of), dataset, data)
+            points = transforms.transform_points(new.drop(BATCH_COLUMN), as_of)
+            tail.advance(spark, points, out, [c for c in ("extraction_date", S.SEQUENCE_COLUMN) if c in points.columns])
         else:
+            stored = rows.drop(BATCH_COLUMN)
             for row in new.select("extraction_date").distinct().collect():      # one per run
                 one = stored.filter(F.col("extraction_date").eqNullSafe(F.lit(row[0])))
                 done_rows = transforms.transform(one, dataset, as_of).withColumn(
@@ -97,16 +95,7 @@ def publish(spark: SparkSession, dataset: str, out: str, as_of) -> DataFrame:
                 done_rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
                     S.PARTITION_COLUMN, "extraction").parquet(data)
         spark.createDataFrame([(b,) for b in fresh], f"{BATCH_COLUMN} INT").coalesce(1).write.mode("append").json(marks)
-    return spark.read.parquet(data)
-
-
-def _merge(spark: SparkSession, rows: DataFrame, dataset: str, data: str) -> None:
-    """Put the rows in place of those of the same points."""
-    rows = writers.with_snapshot_date(rows, "historical")
-    if _exists(spark, data):
-        writers.upsert_table(spark, data, rows, ["date", "country", "metric"], ["extraction_date"])
-    else:
-        writers.write_dataset(rows, data, partition_by=(S.PARTITION_COLUMN,))
+    return tail.stored(spark, out).drop(S.SEQUENCE_COLUMN)
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
