@@ -1163,6 +1163,36 @@ def stream_available_now(spark, sf):
     return spark.read.parquet(f"{work}/out").groupBy("date", "metric", "country").agg(F.sum("value").alias("value"))
 
 
+# --- bucketed tables ---------------------------------------------------------------
+
+BUCKETS = 8
+
+
+@query(ORACLE["daily_change"])
+def bucketed_daily_change(spark, sf):
+    """Windows over a created table that is partitioned by day and bucketed by series."""
+    prefix = f"b{uuid.uuid4().hex}_"
+    failed = {k: v for k, v in writers.create_tables(spark, ("historical",), prefix, buckets=BUCKETS).items() if v}
+    failed |= {k: v for k, v in writers.load_tables({"historical": bind.history(spark, sf)}, prefix).items() if v}
+    if failed:
+        raise ValueError(str(failed))
+    return series.with_daily_change(spark.table(f"{prefix}historical")).select(
+        "country", "metric", "date", "value", "daily_change", "daily_change_pct")
+
+
+@query("""SELECT c_custkey, c_name, count(o_orderkey) AS order_count, round(sum(o_totalprice), 2) AS total_price,
+  CAST(max(CAST(o_orderdate AS DATE)) AS VARCHAR) AS last_order FROM customer LEFT JOIN orders ON c_custkey = o_custkey GROUP BY ALL""")
+def bucketed_join(spark, sf):
+    """Orders joined to customers and counted by customer, both stored in buckets of the customer's key."""
+    prefix = f"b{uuid.uuid4().hex}_"
+    customers = writers.store_bucketed(bind.table(spark, sf, "customer"), f"{prefix}customer", ["c_custkey"], BUCKETS)
+    orders = writers.store_bucketed(bind.table(spark, sf, "orders"), f"{prefix}orders", ["o_custkey"], BUCKETS)
+    joined = customers.join(orders, F.col("c_custkey") == F.col("o_custkey"), "left")
+    return joined.groupBy("c_custkey", "c_name").agg(
+        F.count("o_orderkey").alias("order_count"), F.round(F.sum("o_totalprice"), 2).alias("total_price"),
+        F.max(F.col("o_orderdate").cast("date")).alias("last_order"))
+
+
 # --- landing documents ---------------------------------------------------------------
 #
 # These queries write landing files, tables or streams while they are built: that is what they show.

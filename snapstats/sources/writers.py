@@ -7,6 +7,7 @@ accumulators, so a retried task cannot inflate them.
 from __future__ import annotations
 
 import datetime as dt
+import re
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
@@ -205,9 +206,11 @@ def _reason(problem: Exception) -> str:
 
 
 def create_tables(spark: SparkSession, tables=tuple(S.WAREHOUSE_TABLES), prefix: str = "",
-                  replace: bool = True) -> dict[str, str | None]:
+                  replace: bool = True, buckets: int | None = None) -> dict[str, str | None]:
     """Create warehouse tables, Parquet partitioned by day and run; ``replace`` drops them first.
 
+    With ``buckets`` the rows of a day are cut into so many by the table's key and sorted by it: windows and joins over this key then
+    read the table without a shuffle. Take about one bucket for each 128 MB of a day. Such tables are filled by ``load_table``.
     Returns, per table, null or why it could not be created.
     """
     created: dict[str, str | None] = {}
@@ -218,17 +221,42 @@ def create_tables(spark: SparkSession, tables=tuple(S.WAREHOUSE_TABLES), prefix:
                 spark.sql(f"DROP TABLE IF EXISTS {name}")
             _create(spark, name, T.StructType([
                 *S.warehouse_schema(table).fields, T.StructField(S.PARTITION_COLUMN, T.DateType()), T.StructField(S.RUN_COLUMN, T.StringType())]),
-                (S.PARTITION_COLUMN, S.RUN_COLUMN))
+                (S.PARTITION_COLUMN, S.RUN_COLUMN), S.CLUSTER_COLUMNS.get(table, ()) if buckets else (), buckets)
             created[name] = None
         except Exception as problem:
             created[name] = _reason(problem)
     return created
 
 
-def _create(spark: SparkSession, name: str, schema: T.StructType, partition_by) -> None:
+def _create(spark: SparkSession, name: str, schema: T.StructType, partition_by=(), bucket_by=(), buckets: int | None = None,
+            sort_by=()) -> None:
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    keys = ", ".join(f"`{c}`" for c in partition_by)
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({fields}) USING parquet PARTITIONED BY ({keys})")
+    listed = lambda columns: ", ".join(f"`{c}`" for c in columns)
+    parts = f" PARTITIONED BY ({listed(partition_by)})" if partition_by else ""
+    if bucket_by:
+        parts += f" CLUSTERED BY ({listed(bucket_by)}) SORTED BY ({listed([*bucket_by, *sort_by])}) INTO {buckets} BUCKETS"
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({fields}) USING parquet{parts}")
+
+
+def bucketing(spark: SparkSession, name: str) -> tuple[int, list[str]]:
+    """(buckets, columns in the order they are hashed) of a catalog table; (0, []) without."""
+    if not any(c.isBucket for c in spark.catalog.listColumns(name)):
+        return 0, []
+    told = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}      # the table's columns
+    return int(told["Num Buckets"]), re.findall("`([^`]+)`", told["Bucket Columns"])
+
+
+def store_bucketed(df: DataFrame, name: str, keys, buckets: int, order=()) -> DataFrame:
+    """Store rows in a new catalog table, cut by ``keys`` into buckets and sorted by keys and ``order``; returns the table.
+
+    Windows by these keys, and joins of two tables with as many buckets of the same keys, need no shuffle of what is stored. There is
+    one file per bucket, so that windows need no sort either. Null keys share a bucket. A bucket is one task: for keys that may
+    hold a large share of the rows, join with ``joins.join_unique`` instead.
+    """
+    spark = df.sparkSession
+    _create(spark, name, df.schema, bucket_by=keys, buckets=buckets, sort_by=order)
+    df.repartition(buckets, *keys).write.mode("overwrite").insertInto(name)
+    return spark.table(name)
 
 
 def load_table(df: DataFrame, name: str, if_exists: str = "append", partition_by=()) -> None:
@@ -239,6 +267,10 @@ def load_table(df: DataFrame, name: str, if_exists: str = "append", partition_by
         columns = spark.table(name).columns
         if S.RUN_COLUMN in columns and S.RUN_COLUMN not in df.columns:
             df = df.withColumn(S.RUN_COLUMN, F.lit(None).cast("string"))      # loaded outside of any run
+        buckets, keys = bucketing(spark, name)
+        if buckets:      # one file for each bucket of a day; a hot key is spread over its days
+            days = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+            df = df.repartition(F.pmod(F.hash(*keys), F.lit(buckets)), *days)
         df.select(*columns).write.mode("append").insertInto(name)
         return
     writer = df.write.mode(mode).format("parquet")
@@ -261,6 +293,8 @@ def load_run(df: DataFrame, name: str, run_id: str, partition_by=()) -> None:
     stored = spark.table(name)
     if S.RUN_COLUMN not in stored.columns:
         raise ValueError(f"{name} has no column {S.RUN_COLUMN}: it cannot tell runs apart")
+    if bucketing(spark, name)[0]:
+        raise ValueError(f"{name} has buckets, which files put beside them would break: use load_table")
     rows = rows.select(*[F.col(f"`{f.name}`").cast(f.dataType) for f in stored.schema.fields])
     place, = [r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'").collect()]
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(place)
