@@ -18,7 +18,7 @@ from snapstats.functions import columns as C
 from snapstats.operators import clean, dedup, quantiles, ranks, series
 from snapstats.plans import checks, completeness, quality, reports, runs, transforms
 from snapstats.session import ensure_checkpoint_dir
-from snapstats.sources import readers, writers
+from snapstats.sources import intervals, readers, writers
 from snapstats.streaming import ingest, tail
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -532,6 +532,27 @@ def snapshot_as_of(spark, sf):
                                  order=["snapshot_date", "o_orderkey"])
 
 
+ASKED_DAYS = ("1995-01-01", "1995-01-20", "1997-06-30", "1999-12-31", "2001-08-01", "2010-01-01")
+
+
+@query(f"""WITH asked AS (SELECT unnest([{', '.join(f"DATE '{d}'" for d in ASKED_DAYS)}]) AS day)
+  SELECT CAST(day AS VARCHAR) AS asked, o_custkey, o_orderkey, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS snapshot_date
+  FROM asked JOIN orders ON CAST(o_orderdate AS DATE) <= day
+  QUALIFY row_number() OVER (PARTITION BY day, o_custkey ORDER BY CAST(o_orderdate AS DATE) DESC, o_orderkey DESC) = 1""")
+def snapshot_as_of_intervals(spark, sf):
+    """Newest order of each customer as of the first, some middle, the last and a later day, from three appends, one of them late."""
+    work = scratch(spark)
+    ensure_checkpoint_dir(spark, f"{work}/checkpoint")
+    rows = bind.table(spark, sf, "orders").select(
+        "o_custkey", "o_orderkey", F.col("o_orderdate").cast("date").alias("snapshot_date"))
+    late, early = F.col("o_orderkey") % 10 == 3, F.year("snapshot_date") < 2000
+    for part in (early & ~late, ~early & ~late, late):
+        intervals.append(spark, rows.filter(part), f"{work}/orders", "o_custkey", ["o_orderkey"])
+    return reduce(DataFrame.unionByName, [
+        intervals.snapshot_as_of(spark, f"{work}/orders", d).select(F.lit(d).alias("asked"), "o_custkey", "o_orderkey", "snapshot_date")
+        for d in ASKED_DAYS])
+
+
 @query("""SELECT event_id, user_id FROM events WHERE CAST(ts AS DATE) >= DATE '2024-01-31' - INTERVAL 7 DAY""")
 def retention(spark, sf):
     return series.apply_retention(bind.table(spark, sf, "events"), "ts", 7, "2024-01-31").select("event_id", "user_id")
@@ -1451,6 +1472,39 @@ def unknown_metrics(spark, sf):
     return found.filter(F.col("warning").startswith("unknown_metric"))
 
 
+@query("""WITH found AS (
+    SELECT 'customer' AS dataset, count(*) AS n, 5 AS k, count(*) FILTER (c_name IS NULL) AS unreadable FROM customer
+    UNION ALL SELECT 'orders', count(*), 6, count(*) FILTER (o_totalprice > 1000 AND o_orderstatus = 'P') FROM orders
+    UNION ALL SELECT 'supplier', count(*), 4, count(*) FILTER (s_acctbal > 1e9) FROM supplier
+    UNION ALL SELECT 'events', count(*), 6, count(*) FILTER (event_type = 'purchase') FROM events)
+  SELECT dataset, CASE WHEN unreadable = 0 THEN n END AS record_count, k AS column_count, unreadable = 0 AND n > 0 AS is_valid,
+    unreadable = 0 AND n BETWEEN 1 AND 99 AS few, unreadable > 0 AS failed, CASE WHEN unreadable > 0 THEN 0.0 END AS failed_score FROM found""")
+def validations(spark, sf):
+    """Whole tables validated side by side; those with a value that cannot be read give a failed result, the others theirs."""
+    bad = lambda test: F.when(~test, F.lit(0)).otherwise(F.raise_error(F.lit("unreadable")).cast("int")) == 0
+    spoilt = {
+        "customer": F.col("c_name").isNull(), "orders": (F.col("o_totalprice") > 1000) & (F.col("o_orderstatus") == "P"),
+        "supplier": F.col("s_acctbal") > 1e9, "events": F.col("event_type") == "purchase"}
+    found = reduce(DataFrame.unionByName, [
+        quality.validated(bind.table(spark, sf, name).filter(bad(test)), name, bind.SNAPSHOT_AS_OF, min_records=100, max_null_share=1.0)
+        for name, test in spoilt.items()])
+    failed = F.coalesce(F.startswith(F.get("errors", F.lit(0)), F.lit("validation failed")), F.lit(False))
+    few = F.exists("warnings", lambda w: F.startswith(w, F.lit("min_rows")))      # a warning, no error
+    return found.select("dataset", "record_count", "column_count", "is_valid", few.alias("few"), failed.alias("failed"),
+                        F.when(failed, F.col("quality_score")).alias("failed_score"))
+
+
+@query(f"""WITH {HISTORY}, kept AS (SELECT country, date, metric, CAST(value AS BIGINT) AS value FROM history WHERE metric IN ('cases', 'deaths', 'recovered'))
+  SELECT country, metric, CAST(date AS VARCHAR) AS date, value FROM kept""")
+def dedup_nested_rows(spark, sf):
+    """Documents with nested maps, delivered twice: every entry of those that stay, so a wrong or second document shows."""
+    documents = timelines(spark, sf)
+    unique = dedup.dedup_rows(documents.unionByName(documents))
+    entries = reduce(DataFrame.unionByName, [
+        unique.select("country", F.lit(m).alias("metric"), F.explode(f"timeline.{m}").alias("key", "value")) for m in ("cases", "deaths", "recovered")])
+    return entries.select("country", "metric", F.to_date("key", S.SERIES_DATE_FORMAT).alias("date"), F.col("value").cast("bigint"))
+
+
 @query("SELECT 'countries' AS dataset, false AS is_valid, 0.0 AS quality_score, 'validation failed' AS error, CAST(NULL AS BIGINT) AS record_count")
 def failed_validation(spark, sf):
     """A data set that cannot be read to its end is a validation result, not the end of the run."""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, functions as F
 
 from snapstats.functions import columns as C
@@ -44,3 +46,11 @@ def join_unique(left: DataFrame, right: DataFrame, key: str, how: str = "left",
     is_hot = F.col(key).isin(hot) if hot else F.lit(False)
     apart = left.filter(is_hot | F.col(key).isNull()).join(F.broadcast(right.filter(is_hot)), key, how)
     return left.filter(F.col(key).isNotNull() & ~is_hot).join(right, key, how).unionByName(apart)
+
+
+def matched(left: DataFrame, right: DataFrame, keys, how: str = "inner") -> DataFrame:
+    """``left`` with what ``right`` has beside the keys and ``left`` has not; null keys match each other."""
+    beside = [c for c in right.columns if c not in left.columns]
+    named = right.select(*[F.col(k).alias(f"__right_{k}") for k in keys], *beside)
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__right_{k}")) for k in keys])
+    return left.join(named, same, how).drop(*[f"__right_{k}" for k in keys])

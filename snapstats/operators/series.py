@@ -95,17 +95,21 @@ def last_days(df: DataFrame, n: int | str, column: str = "date") -> DataFrame:
     return df.filter(F.col(column).cast("date") > F.date_sub(newest, int(n)))
 
 
+def asked_day(as_of, yesterday: bool = False, two_days_ago: bool = False) -> Column:
+    """The wanted day; both flags together mean yesterday."""
+    return F.date_sub(F.lit(str(as_of)).cast("date"), 1 if yesterday else 2 if two_days_ago else 0)
+
+
 def snapshot_as_of(df: DataFrame, as_of, yesterday: bool = False, two_days_ago: bool = False,
                    day: str = "snapshot_date", key: str | None = None, value: str | None = None,
                    order=None, within: int | None = None) -> DataFrame:
     """Latest snapshot per region no newer than the wanted day.
 
-    Both flags together mean yesterday. ``day`` is the partition column: newer partitions
+    Flags as in ``asked_day``. ``day`` is the partition column: newer partitions
     are pruned, and with ``within`` also those more than that many days older, so that
     only a few partitions of a long table are read. ``value`` restricts to one region.
     """
-    back = 1 if yesterday else 2 if two_days_ago else 0
-    asked = F.date_sub(F.lit(str(as_of)).cast("date"), back)
+    asked = asked_day(as_of, yesterday, two_days_ago)
     wanted = df.filter(F.col(day) <= asked)
     if within is not None:
         wanted = wanted.filter(F.col(day) >= F.date_sub(asked, within))

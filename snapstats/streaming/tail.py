@@ -8,12 +8,11 @@ or restated reaches back into ``data``, to the rows before the first point it to
 from __future__ import annotations
 
 import datetime as dt
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from snapstats import schemas as S
-from snapstats.operators import dedup, series
+from snapstats.operators import dedup, joins, series
 from snapstats.session import ensure_checkpoint_dir
 
 ROWS = 14               # rows of a tail: the longest lag; a mean of 7 changes needs 7
@@ -58,13 +57,13 @@ def advance(spark: SparkSession, new: DataFrame, out: str, version, keys=series.
     last = computed.select(*points, value, CARRIED, _FIRST, newest.alias("__n")).filter(F.col("__n") <= ROWS).drop("__n")
     last = last.withColumn(_BUCKET, _bucket(keys))
     if known:
-        last = _matched(tail, starts, keys, "left_anti").unionByName(last).checkpoint()      # read before it is replaced
+        last = joins.matched(tail, starts, keys, "left_anti").unionByName(last).checkpoint()      # read before it is replaced
     _replace(last, f"{out}/tail", _BUCKET, known)
 
 
 def _with_past(spark, new: DataFrame, tail: DataFrame, starts: DataFrame, out: str, version, keys, order) -> DataFrame:
     """New points, the rows before them that their windows see, and the stored points that follow a late one."""
-    ends = _matched(tail, starts, keys).withColumn(_LAST, F.max(order).over(Window.partitionBy(*keys)))
+    ends = joins.matched(tail, starts, keys).withColumn(_LAST, F.max(order).over(Window.partitionBy(*keys)))
     context = ends.filter(F.col(_LAST) < F.col(_START)).drop(_START, _LAST, _BUCKET).withColumn(_CONTEXT, F.lit(True))
     late = ends.filter(F.col(_LAST) >= F.col(_START)).groupBy(*keys).agg(F.min(_START).alias(_START), F.min(_FIRST).alias(_FIRST))
     reach = late.agg(F.min(_START), F.min(_FIRST)).first()
@@ -90,13 +89,13 @@ def _since(spark, data: str, late: DataFrame, reach, keys, order) -> DataFrame:
     look = FIRST_LOOK
     while True:
         since = max(begin, first - dt.timedelta(days=look))
-        rows = _matched(spark.read.parquet(data).filter(F.col(S.PARTITION_COLUMN) >= F.lit(since)), late, keys)
+        rows = joins.matched(spark.read.parquet(data).filter(F.col(S.PARTITION_COLUMN) >= F.lit(since)), late, keys)
         if since == begin:
             return rows
         longer = late.filter(F.col(_FIRST) < F.lit(since)).select(*keys)
         found = rows.filter(F.col(order) < F.col(_START)).groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(
             F.col("__n") >= ROWS)
-        if _matched(longer, found, keys, "left_anti").isEmpty():
+        if joins.matched(longer, found, keys, "left_anti").isEmpty():
             return rows
         look *= 2
 
@@ -119,7 +118,7 @@ def _write_points(spark, fresh: DataFrame, data: str, points, order, known: bool
     if known:
         days = [r[0] for r in fresh.select(day).distinct().collect()]      # one value a day
         there = spark.read.parquet(data).filter(F.col(day).isin(days))
-        others = _matched(there, fresh.select(*points), points, "left_anti")
+        others = joins.matched(there, fresh.select(*points), points, "left_anti")
         if not others.isEmpty():
             fresh = fresh.unionByName(others, allowMissingColumns=True).checkpoint()      # read before it is replaced
     _replace(fresh.hint("rebalance", day), data, day, known)
@@ -135,15 +134,6 @@ def _bucket(keys) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int")
 
 
-def _matched(left: DataFrame, right: DataFrame, keys, how: str = "inner") -> DataFrame:
-    """``left`` with what ``right`` has beside the keys; nulls match."""
-    named = right.withColumnsRenamed({k: f"__right_{k}" for k in keys})
-    extra = [c for c in named.columns if not c.startswith("__right_")]
-    named = named.drop(*[c for c in extra if c in left.columns])
-    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__right_{k}")) for k in keys])
-    return left.join(named, same, how).drop(*[f"__right_{k}" for k in keys])
-
-
 def _complete(spark: SparkSession, folder: str) -> bool:
     mark = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/_SUCCESS")
     return mark.getFileSystem(spark._jsc.hadoopConfiguration()).exists(mark)
