@@ -1381,6 +1381,13 @@ def run_books(spark, sf):
     return spark.createDataFrame(rows, "step STRING, dataset STRING, record_count BIGINT")
 
 
+@query(_RUN_COUNTS + """ SELECT count(*) AS datasets, CAST(sum(n) AS BIGINT) AS total_records, 1 AS steps_succeeded, 0 AS steps_partial, 0 AS steps_failed FROM numbers""")
+def single_step_summary(spark, sf):
+    """The summary of a run of which only the first step was asked for."""
+    result = runs.run_steps(spark, _write_landing(spark, sf), f"{scratch(spark)}/out", bind.SNAPSHOT_AS_OF, step="extract", days="all", lines=True)
+    return runs.run_summary(writers.manifest_frame(spark, result["extract"]), writers.run_log(spark, result["steps"])).drop("duration_seconds")
+
+
 @query(f"""WITH {SNAPSHOT}, loaded AS (SELECT 'countries' AS dataset, cases, deaths FROM snapshot
     UNION ALL SELECT 'continents', CAST(sum(cases) AS BIGINT), CAST(sum(deaths) AS BIGINT) FROM snapshot GROUP BY continent)
   SELECT run, dataset, count(*) AS row_count, CAST(sum(cases) AS BIGINT) AS cases, CAST(sum(deaths) AS BIGINT) AS deaths
@@ -1513,6 +1520,56 @@ def failed_validation(spark, sf):
     return row.select("dataset", "is_valid", "quality_score", F.substring(F.col("errors")[0], 1, 17).alias("error"), "record_count")
 
 
+@query("""WITH facts AS (
+    SELECT count(*) FILTER (trunc(o_totalprice) - 100000 < 0) AS low, count(*) FILTER (o_orderkey % 7 - 1 < 0) AS recovered FROM orders),
+  codes AS (SELECT count(*) FILTER (length(c_mktsegment[1:c_custkey % 4]) <> 2) AS two, count(*) FILTER (length(c_name[1:3]) <> 3) AS three FROM customer)
+  SELECT x.dataset, x.check_name, x.severity, CAST(x.observed AS DOUBLE) AS observed, CASE WHEN x.observed > 0 THEN 'FAIL' ELSE 'PASS' END AS status
+  FROM facts, codes, LATERAL (VALUES ('global', 'numeric_cases', 'error', 0), ('global', 'numeric_deaths', 'error', 1), ('global', 'numeric_recovered', 'error', 0),
+    ('global', 'negative_cases', 'warning', low), ('global', 'negative_recovered', 'warning', recovered),
+    ('countries', 'length_country_iso2', 'warning', two), ('countries', 'length_country_iso3', 'warning', three)) AS x(dataset, check_name, severity, observed)""")
+def check_types_and_codes(spark, sf):
+    """Columns that should be numbers, negative counts, and lengths of codes; with failures of each kind."""
+    totals = bind.table(spark, sf, "orders").select(
+        (F.col("o_totalprice").cast("bigint") - 100000).alias("cases"), F.col("o_orderstatus").alias("deaths"),
+        (F.col("o_orderkey") % 7 - 1).alias("recovered"))
+    codes = bind.table(spark, sf, "customer").select(
+        F.col("c_name").alias("country"), F.expr("substring(c_mktsegment, 1, int(c_custkey % 4))").alias("country_iso2"),
+        F.substring("c_name", 1, 3).alias("country_iso3"))
+    found = quality.check_results(totals, "global", bind.SNAPSHOT_AS_OF).unionByName(quality.check_results(codes, "countries", bind.SNAPSHOT_AS_OF))
+    return found.filter(F.col("check_name").rlike("^(numeric|negative|length)_")).select("dataset", "check_name", "severity", "observed", "status")
+
+
+@query("""SELECT 'customer' AS dataset, CAST(sum(24 + coalesce(strlen(c_name), 0) + coalesce(strlen(c_mktsegment), 0)) AS BIGINT) AS bytes FROM customer
+  UNION ALL SELECT 'documents', CAST(sum(16 + coalesce(strlen(text), 0) + coalesce(strlen(lang), 0) + coalesce(strlen(source), 0)) AS BIGINT) FROM documents""")
+def size_estimate(spark, sf):
+    """Size in memory of whole tables: 8 bytes a number, the encoded length of a text."""
+    sized = [(n, bind.table(spark, sf, n)) for n in ("customer", "documents")]
+    return reduce(DataFrame.unionByName, [df.agg(quality.estimated_bytes(df).alias("bytes")).select(F.lit(n).alias("dataset"), "bytes") for n, df in sized])
+
+
+@query(f"""WITH {HISTORY} SELECT country, CAST(date AS VARCHAR) AS date, value AS doses, 'vaccination' AS data_category FROM history
+  WHERE metric = 'recovered'""")
+def vaccines_category(spark, sf):
+    rows = readers.vaccines_long(timelines(spark, sf).select("country", F.col("timeline.recovered").alias("timeline")))
+    return clean.with_region(rows, "vaccines").select("country", "date", "doses", "data_category")
+
+
+@query("""WITH counted AS (SELECT 'customer' AS table_name, count(*) AS record_count, count(*) AS expected_count FROM customer
+    UNION ALL SELECT 'orders', count(*), (SELECT count(DISTINCT l_orderkey) + 1 FROM lineitem) FROM orders)
+  SELECT *, 2 AS loads, expected_count = record_count AS count_match, true AS is_valid FROM counted""")
+def quality_table(spark, sf):
+    """Validation results of whole tables in the data quality table, appended by two runs, beside the counts a manifest expects."""
+    name = f"q{uuid.uuid4().hex}"
+    tables = {n: bind.table(spark, sf, n) for n in ("customer", "orders")}
+    expected = {"customer": tables["customer"].count(),
+                "orders": bind.table(spark, sf, "lineitem").select("l_orderkey").distinct().count() + 1}
+    results = reduce(DataFrame.unionByName, [quality.validated(df, n, bind.SNAPSHOT_AS_OF, max_null_share=1.0) for n, df in tables.items()])
+    for day in ("2001-08-02 12:00:00", "2001-08-03 12:00:00"):
+        writers.write_quality(results, name, day, expected)
+    return spark.table(name).groupBy("table_name", "record_count", "expected_count", "count_match", "is_valid").agg(
+        F.count(F.lit(1)).alias("loads"))
+
+
 _HISTORY_CHECKS = ("q_date_gaps", "q_large_negative_changes", "q_completeness_major", "q_historical_vs_current")
 
 
