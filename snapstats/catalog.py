@@ -1547,6 +1547,16 @@ def size_estimate(spark, sf):
     return reduce(DataFrame.unionByName, [df.agg(quality.estimated_bytes(df).alias("bytes")).select(F.lit(n).alias("dataset"), "bytes") for n, df in sized])
 
 
+@query("""SELECT CAST(sum(strlen(text) + 1) AS BIGINT) AS total_size_bytes FROM (
+    SELECT c_name || ',' || c_mktsegment AS text FROM customer UNION ALL SELECT o_orderstatus || ',' || o_orderkey FROM orders)""")
+def file_sizes(spark, sf):
+    """Bytes of all files under a folder of two tables stored as plain lines."""
+    folder = f"{scratch(spark)}/files"
+    for name, columns in (("customer", ("c_name", "c_mktsegment")), ("orders", ("o_orderstatus", "o_orderkey"))):
+        bind.table(spark, sf, name).select(F.concat_ws(",", *columns).alias("value")).write.text(f"{folder}/{name}")
+    return writers.storage_info(writers.file_inventory(spark, folder)).select("total_size_bytes")
+
+
 @query(f"""WITH {HISTORY} SELECT country, CAST(date AS VARCHAR) AS date, value AS doses, 'vaccination' AS data_category FROM history
   WHERE metric = 'recovered'""")
 def vaccines_category(spark, sf):
