@@ -2,63 +2,48 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from snapstats.functions import columns as C
-from snapstats.operators import quantiles
+from snapstats.session import ensure_checkpoint_dir
+
+# Columns of the counted values: the ranked column a value is of, its range, and the rows that hold it.
+_COLUMN, _RANGE, _COUNT = "__column", "__range", "__n"
 
-POINTS = 256      # cut points a sketch offers per column; they reach the driver
 
+def counted_ranges(df: DataFrame, columns) -> tuple[DataFrame, dict[str, str]]:
+    """Distinct values of all columns with their counts and ranges, and the name of each column's values.
 
-def _bucket(value: Column, bounds: list[float]) -> Column:
-    """Number of bounds below ``value``, found in two steps of about sqrt(n) tests."""
-    step = math.isqrt(len(bounds)) + 1
-    chunks = [bounds[i:i + step] for i in range(0, len(bounds), step)]
-    full = F.size(F.filter(C.numbers(c[-1] for c in chunks), lambda b: b < value))
-    chunk = F.try_element_at(F.array(*map(C.numbers, chunks)), full + 1)
-    return full * step + F.coalesce(F.size(F.filter(chunk, lambda b: b < value)), F.lit(0))
+    All columns are counted in one pass, so a hot value is one row, and cut into as many ranges as there are shuffle partitions,
+    by a sample of the distinct values; a range holds about as many values as another, wherever they lie. The result is
+    checkpointed in the shared folder: ranges come from a sample, and a lost executor must not see them cut anew.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    kinds = list(dict.fromkeys(df.schema[c].dataType for c in columns))
+    place = {c: f"__v{kinds.index(df.schema[c].dataType)}" for c in columns}      # values of one type share a column
+    values = [f"__v{i}" for i in range(len(kinds))]
+    held = lambda c, v, kind: (F.col(f"`{c}`") if place[c] == v else F.lit(None).cast(kind)).alias(v)
+    tagged = F.array(*[F.struct(F.lit(c).alias(_COLUMN), *[held(c, v, k) for v, k in zip(values, kinds)]) for c in columns])
+    counted = (
+        df.select(F.explode(tagged).alias("t")).select("t.*").dropna("all", subset=values)
+        .groupBy(_COLUMN, *values).agg(F.count(F.lit(1)).alias(_COUNT))
+    )
+    cut = counted.repartitionByRange(_COLUMN, *map(F.desc, values)).withColumn(_RANGE, F.spark_partition_id())
+    return cut.checkpoint(), place
 
 
-def range_bounds(df: DataFrame, columns) -> tuple[dict[str, int], dict[str, list[float]]]:
-    """(values present, cut points) per column, from one pass of sketches.
+def value_ranks(cut: DataFrame, values: list[str]) -> DataFrame:
+    """Rank (descending, ties share) of every counted value, as a prefix sum.
 
-    There is a range for every hundred of the square root of the values, and one more: ranges and
-    the rows in each grow together with the table.
-    """
-    values = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(columns)])
-    shares = [i / POINTS for i in range(1, POINTS)]
-    counts, cuts = quantiles.sketch(values, {f"c{i}": shares for i in range(len(columns))}, points=POINTS)
-    bounds = {}
-    for i, c in enumerate(columns):
-        step = max(1, POINTS // (2 + math.isqrt(counts[f"c{i}"]) // 100))
-        bounds[c] = sorted(set(cuts[f"c{i}"][step - 1::step]))
-    return {c: counts[f"c{i}"] for i, c in enumerate(columns)}, bounds
-
-
-def value_ranks(df: DataFrame, column: str, bounds: list[float] | None = None) -> DataFrame:
-    """Rank (descending, ties share) of every distinct value: columns ``value``, ``rank``.
-
-    Rows are first counted per value, so a hot value is one row. Values are cut into
-    ranges; within a range a window sums the counts, and the totals of the higher
-    ranges (one row per range) are added.
+    Within a range a window sums the counts; one total of each range is added up over the ranges above.
     """
-    if bounds is None:
-        bounds = range_bounds(df, [column])[1][column]
-    counts = (
-        df.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("value"))
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
     before = Window.unboundedPreceding, -1
-    counts = counts.withColumn("bucket", _bucket(F.col("value").cast("double"), bounds))
-    totals = counts.groupBy("bucket").agg(F.sum("n").alias("in_bucket"))
-    higher = Window.orderBy(F.desc("bucket")).rowsBetween(*before)      # one row per range
-    offsets = totals.select("bucket", F.coalesce(F.sum("in_bucket").over(higher), F.lit(0)).alias("above"))
-    greater = F.sum("n").over(Window.partitionBy("bucket").orderBy(F.desc("value")).rowsBetween(*before))
+    inside = Window.partitionBy(_COLUMN, _RANGE).orderBy(*map(F.desc, values)).rowsBetween(*before)
+    totals = cut.groupBy(_COLUMN, _RANGE).agg(F.sum(_COUNT).alias("total"))
+    higher = Window.partitionBy(_COLUMN).orderBy(_RANGE).rowsBetween(*before)      # one row per range
+    above = totals.select(_COLUMN, _RANGE, F.coalesce(F.sum("total").over(higher), F.lit(0)).alias("above"))
     return (
-        counts.withColumn("greater", F.coalesce(greater, F.lit(0))).join(offsets, "bucket")
-        .select("value", (F.col("above") + F.col("greater") + 1).alias("rank"))
+        cut.withColumn("greater", F.coalesce(F.sum(_COUNT).over(inside), F.lit(0))).join(above, [_COLUMN, _RANGE])
+        .withColumn("rank", F.col("above") + F.col("greater") + 1)
     )
 
 
@@ -68,13 +53,16 @@ def with_ranks(df: DataFrame, columns, names: dict[str, str] | None = None) -> D
     The join back is on the ranked value; a value that many rows share is one row on
     the other side, so AQE can split the hot side.
     """
-    present, bounds = range_bounds(df, columns)
+    cut, place = counted_ranges(df, columns)
+    ranked = value_ranks(cut, sorted(set(place.values())))
     out = df
     for c in columns:
         name = (names or {}).get(c, f"{c}_rank")
-        ranks = value_ranks(df, c, bounds[c]).select(F.col("value").alias("__value"), F.col("rank").alias(name))
-        out = out.join(ranks, F.col(c) == F.col("__value"), "left").drop("__value")
-        out = out.withColumn(name, F.coalesce(F.col(name), F.lit(present[c] + 1)))
+        mine = F.col(_COLUMN) == c
+        ranks = ranked.filter(mine).select(F.col(place[c]).alias("__value"), F.col("rank").alias(name))
+        last = cut.filter(mine).agg(F.coalesce(F.sum(_COUNT), F.lit(0)) + 1).scalar()
+        out = out.join(ranks, F.col(f"`{c}`") == F.col("__value"), "left").drop("__value")
+        out = out.withColumn(name, F.coalesce(F.col(name), last))
     return out
 
 

@@ -64,6 +64,26 @@ def test_ranks_match_window(numbers):
     assert both.filter("hot_rank <> w_hot OR rare_rank <> w_rare OR small_rank <> w_small").count() == 0
 
 
+def test_ranks_of_crowded_values_and_several_types(spark):
+    """Nine tenths of the values lie in a millionth of the span; types, nulls and an empty table."""
+    df = spark.range(20000).select(
+        "id", F.when(F.col("id") % 10 == 0, F.col("id") * 1e6).otherwise(1 + F.col("id") / 1e7).alias("crowded"),
+        F.when(F.col("id") % 7 != 0, (F.col("id") % 5).cast("string")).alias("word"), (F.lit(1 << 60) + F.col("id") % 3).alias("big"),
+        F.lit(None).cast("date").alias("none"))
+    columns = ("crowded", "word", "big", "none")
+    got = ranks.with_ranks(df, columns)
+    want = df.select("id", *[F.rank().over(Window.orderBy(F.desc_nulls_last(c))).cast("bigint").alias(f"{c}_rank") for c in columns])
+    assert got.select(want.columns).exceptAll(want).count() == 0 and got.count() == 20000
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")      # small ranges would be one
+    try:
+        cut, _ = ranks.counted_ranges(df, ["crowded"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    held = [r["count"] for r in cut.groupBy("__range").count().collect()]
+    assert len(held) > 1 and max(held) < 2 * 20000 / len(held)      # ranges are even, though the values are not
+    assert ranks.with_ranks(df.limit(0), columns).collect() == []
+
+
 def test_top_ranked_matches_window(numbers):
     df, _ = numbers
     df = df.withColumn("rare", F.when(~F.isnan("rare"), F.col("rare")))
