@@ -18,7 +18,7 @@ from snapstats.functions import columns as C
 from snapstats.operators import clean, dedup, quantiles, ranks, series
 from snapstats.plans import checks, completeness, quality, reports, runs, transforms
 from snapstats.session import ensure_checkpoint_dir
-from snapstats.sources import intervals, readers, writers
+from snapstats.sources import homes, intervals, readers, writers
 from snapstats.streaming import ingest, tail
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -460,6 +460,38 @@ def upsert_partitions(spark, sf):
     return spark.read.parquet(path).select("snapshot_date", "o_orderkey", "o_orderstatus", "o_totalprice")
 
 
+def _order_batches(spark, sf) -> tuple[DataFrame, list[DataFrame]]:
+    """Orders by quarter, without a seventh of them, and three batches: changed and moved, added, left without a day."""
+    quarter = F.date_trunc("quarter", "o_orderdate").cast("date")
+    orders = bind.table(spark, sf, "orders").select(
+        F.when(F.col("o_orderkey") % 10 != 0, quarter).alias("snapshot_date"), "o_orderkey", "o_orderstatus", "o_totalprice")
+    key = F.col("o_orderkey")
+    moved = F.when(key % 3 == 0, F.add_months("snapshot_date", 3)).otherwise(F.col("snapshot_date"))
+    changed = orders.filter((F.col("o_orderstatus") == "P") & (key % 7 != 0)).withColumns(
+        {"o_totalprice": -F.col("o_totalprice"), "snapshot_date": moved})
+    dayless = orders.filter(key % 11 == 0).withColumns(
+        {"o_totalprice": 2 * F.col("o_totalprice"), "snapshot_date": F.lit(None).cast("date")})
+    return orders.filter(key % 7 != 0), [changed, orders.filter(key % 7 == 0), dayless]
+
+
+@query("""SELECT CASE WHEN o_orderkey % 11 = 0 OR o_orderkey % 10 = 0 THEN NULL
+      WHEN o_orderstatus = 'P' AND o_orderkey % 7 <> 0 AND o_orderkey % 3 = 0
+      THEN CAST(CAST(date_trunc('quarter', o_orderdate) + INTERVAL 3 MONTH AS DATE) AS VARCHAR)
+      ELSE CAST(CAST(date_trunc('quarter', o_orderdate) AS DATE) AS VARCHAR) END AS snapshot_date, o_orderkey, o_orderstatus,
+    CASE WHEN o_orderkey % 11 = 0 THEN 2 * o_totalprice WHEN o_orderstatus = 'P' AND o_orderkey % 7 <> 0 THEN -o_totalprice
+      ELSE o_totalprice END AS o_totalprice FROM orders""")
+def upsert_indexed(spark, sf):
+    """Three batches, one after the other, into a stored table whose keys' days are kept beside it."""
+    work = scratch(spark)
+    ensure_checkpoint_dir(spark, f"{work}/checkpoint")
+    stored, batches = _order_batches(spark, sf)
+    path = writers.write_dataset(stored, f"{work}/orders", partition_by=("snapshot_date",))
+    homes.build(spark.read.parquet(path), f"{work}/homes", ["o_orderkey"])
+    for batch in batches:
+        homes.upsert(spark, path, f"{work}/homes", batch, ["o_orderkey"], [])
+    return spark.read.parquet(path).select("snapshot_date", "o_orderkey", "o_orderstatus", "o_totalprice")
+
+
 # --- series ------------------------------------------------------------------------
 
 
