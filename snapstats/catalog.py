@@ -18,7 +18,7 @@ from snapstats.functions import columns as C
 from snapstats.operators import clean, dedup, quantiles, ranks, series
 from snapstats.plans import checks, completeness, quality, reports, runs, transforms
 from snapstats.session import ensure_checkpoint_dir
-from snapstats.sources import homes, intervals, readers, writers
+from snapstats.sources import drift, homes, intervals, readers, writers
 from snapstats.streaming import ingest, tail
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -1298,6 +1298,43 @@ def stream_tail(spark, sf):
         "value_7day_avg", "daily_change_7day_avg")
 
 
+def _drifting_landing(spark, sf) -> str:
+    """Customers as payloads of states: some with a field more, some with deaths renamed, some with cases as words."""
+    folder = f"{scratch(spark)}/landing"
+    key = F.col("c_custkey")
+    every = lambda n, c: F.when(key % n == 0, c)
+    payload = F.to_json(F.struct(
+        F.col("c_name").alias("state"), key.alias("updated"), key.alias("cases"), F.when(key % 3 != 0, key).alias("deaths"),
+        every(3, key).alias("deathCount"), key.alias("recovered"), F.col("c_acctbal").alias("casesPerOneMillion"),
+        F.col("c_nationkey").alias("population"), every(4, F.col("c_mktsegment")).alias("segment")))
+    worded = F.regexp_replace(payload, '"cases":([0-9]+)', '"cases":"some $1"')
+    bind.table(spark, sf, "customer").select(F.when(key % 5 == 0, worded).otherwise(payload).alias("value")).write.text(folder)
+    return folder
+
+
+@query("""WITH found AS (
+    SELECT 'deathCount' AS field, 'unknown' AS status, 'bigint' AS type, count(*) AS documents FROM customer WHERE c_custkey % 3 = 0
+    UNION ALL SELECT 'deaths', 'missing', NULL, count(*) FROM customer WHERE c_custkey % 3 = 0
+    UNION ALL SELECT 'segment', 'unknown', 'string', count(*) FROM customer WHERE c_custkey % 4 = 0
+    UNION ALL SELECT 'cases', 'retyped', 'string', count(*) FROM customer WHERE c_custkey % 5 = 0
+    UNION ALL SELECT 'deathsPerOneMillion', 'missing', NULL, count(*) FROM customer)
+  SELECT 'states' AS dataset, * FROM found WHERE documents > 0""")
+def payload_drift(spark, sf):
+    return drift.drift(drift.documents(spark.read, _drifting_landing(spark, sf), lines=True), "states")
+
+
+@query("""SELECT c_name AS state, CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE c_custkey END AS cases,
+    CASE WHEN c_custkey % 3 = 0 THEN c_custkey END AS death_count, CASE WHEN c_custkey % 4 = 0 THEN c_mktsegment END AS segment,
+    CASE WHEN c_custkey % 5 = 0 THEN 'some ' || c_custkey END AS cases_as_came FROM customer""")
+def payload_extras(spark, sf):
+    """States with what their schema does not name or cannot read."""
+    rows = drift.with_extras(drift.documents(spark.read, _drifting_landing(spark, sf), lines=True), "states")
+    extra = lambda name, kind: F.try_variant_get(F.try_element_at("extras", F.lit(name)), "$", kind)
+    return readers.from_payload(rows, "states", bind.SNAPSHOT_AS_OF).select(
+        "state", "cases", extra("deathCount", "bigint").alias("death_count"), extra("segment", "string").alias("segment"),
+        extra("cases", "string").alias("cases_as_came"))
+
+
 def _broken_landing(spark, sf) -> str:
     """Country histories as JSON lines: a fifth of the documents cut off, deaths of the third of a month no number."""
     folder = f"{scratch(spark)}/landing"
