@@ -6,7 +6,8 @@ of the table but the partitions it rewrites.
 
 The side table always names at least the places where a key is: places of a batch are added before the table changes, places that keys
 have left are taken out after. A place too many costs the rewriting of one partition; a place too few would leave a key twice. So an
-upsert that was cut off may be repeated.
+upsert that was cut off between its steps may be repeated. A driver lost while folders are being replaced may leave one missing:
+``build`` makes the side table anew.
 """
 
 from __future__ import annotations
@@ -34,10 +35,8 @@ def build(table: DataFrame, homes: str, keys, partition: str = S.PARTITION_COLUM
 
 def find(spark: SparkSession, homes: str, batch: DataFrame, keys, partition: str = S.PARTITION_COLUMN) -> DataFrame:
     """Places (keys and partition) of those keys of a batch that are stored; other folders of the side table are not read."""
-    stored, folders = _read(spark, homes, batch, keys, partition)
-    wanted = batch.select(*keys).distinct()
-    hit = [r[0] for r in wanted.select(_bucket(keys, folders)).distinct().collect()]      # as many as there are folders
-    return stored.filter(F.col(_BUCKET).isin(hit)).join(_aside(wanted, keys), _same(keys), "left_semi").select(*keys, partition)
+    side, wanted, _ = _opened(spark, homes, batch, keys, partition)
+    return side.join(_aside(wanted, keys), _same(keys), "left_semi")
 
 
 def upsert(spark: SparkSession, path: str, homes: str, new: DataFrame, keys, order, partition: str = S.PARTITION_COLUMN) -> list:
@@ -49,41 +48,40 @@ def upsert(spark: SparkSession, path: str, homes: str, new: DataFrame, keys, ord
     ensure_checkpoint_dir(spark)
     types = spark.read.parquet(path).schema      # a key of another type would fall into another folder
     new = new.withColumns({k: F.col(f"`{k}`").cast(types[k].dataType) for k in keys}).checkpoint()
-    _, folders = _read(spark, homes, new, keys, partition)
-    old = find(spark, homes, new, keys, partition).checkpoint()
-    fresh = new.select(*keys, partition).distinct()
-    _replace(spark, homes, old.unionByName(fresh).distinct(), new, keys, partition, folders)
-    touched = [r[0] for r in old.unionByName(fresh).select(partition).distinct().collect()]      # one value per day
+    side, wanted, folders = _opened(spark, homes, new, keys, partition)
+    side = side.checkpoint()      # its folders are replaced below
+    of_batch = _aside(wanted, keys)
+    old, others = (side.join(of_batch, _same(keys), how) for how in ("left_semi", "left_anti"))
+    noted = old.unionByName(new.select(*keys, partition)).distinct()
+    _replace(others.unionByName(noted), homes, keys, folders)
+    touched = [r[0] for r in noted.select(partition).distinct().collect()]      # one value per day
     merged = writers.merge_partitions(spark, path, new, touched, keys, order, partition)
-    now = merged.join(_aside(new.select(*keys).distinct(), keys), _same(keys), "left_semi").select(*keys, partition)
-    if not _left(old, fresh, now, [*keys, partition]):
-        return touched
-    _replace(spark, homes, now, new, keys, partition, folders)
+    now = merged.join(of_batch, _same(keys), "left_semi").select(*keys, partition)
+    if _left(noted, now):
+        _replace(others.unionByName(now), homes, keys, folders)
     return touched
 
 
-def _left(old: DataFrame, fresh: DataFrame, now: DataFrame, columns) -> bool:
+def _left(noted: DataFrame, now: DataFrame) -> bool:
     """Whether some place that was noted before the merge holds its key no more."""
-    noted = old.unionByName(fresh).distinct()
-    return bool(noted.join(_aside(now, columns), _same(columns), "left_anti").limit(1).count())
+    return bool(noted.join(_aside(now, now.columns), _same(now.columns), "left_anti").limit(1).count())
 
 
-def _replace(spark: SparkSession, homes: str, places: DataFrame, batch: DataFrame, keys, partition: str, folders: int) -> None:
-    """Put ``places`` in for whatever the side table has of the batch's keys; only their folders are written."""
-    stored, _ = _read(spark, homes, batch, keys, partition)
-    wanted = batch.select(*keys).distinct()
-    hit = [r[0] for r in wanted.select(_bucket(keys, folders)).distinct().collect()]
-    others = stored.filter(F.col(_BUCKET).isin(hit)).join(_aside(wanted, keys), _same(keys), "left_anti").select(*keys, partition)
-    kept = _placed(others.unionByName(places), keys, folders).checkpoint()      # it replaces what it was read from
-    kept.repartition(_BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(_OF, _BUCKET).parquet(homes)
+def _replace(places: DataFrame, homes: str, keys, folders: int) -> None:
+    """Write the folders that ``places`` fall into; no other is touched."""
+    (_placed(places, keys, folders).repartition(_BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(_OF, _BUCKET).parquet(homes))
 
 
-def _read(spark: SparkSession, homes: str, batch: DataFrame, keys, partition: str) -> tuple[DataFrame, int]:
-    """The side table and the number of its folders. Of an empty table it has no folder yet."""
+def _opened(spark: SparkSession, homes: str, batch: DataFrame, keys, partition: str) -> tuple[DataFrame, DataFrame, int]:
+    """Places in the folders that a batch's keys fall into, these keys, and the number of folders (an empty table has none yet)."""
     types = ", ".join(f"`{c}` {batch.schema[c].dataType.simpleString()}" for c in (*keys, partition))
     stored = spark.read.schema(f"{types}, {_OF} INT, {_BUCKET} INT").parquet(homes)
     first = stored.select(_OF).first()
-    return stored, first[0] if first else FOLDERS
+    folders = first[0] if first else FOLDERS
+    wanted = batch.select(*keys).distinct()
+    hit = [r[0] for r in wanted.select(_bucket(keys, folders)).distinct().collect()]      # as many as there are folders
+    return stored.filter(F.col(_BUCKET).isin(hit)).select(*keys, partition), wanted, folders
 
 
 def _placed(places: DataFrame, keys, folders: int) -> DataFrame:
