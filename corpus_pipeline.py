@@ -40,10 +40,11 @@ def near_unique(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, without strings of 256 bytes that also start before: in a smaller id, or earlier in the text.
 
-    Each repeated string stays at its first place, so no content is lost to the corpus. Ties of ids go by the hash of the
-    text; a null id is the smallest. Null and empty texts stay as they are; no row goes; n_chars is counted anew.
+    Each repeated passage stays at its first place, so no content is lost to the corpus; one that brings fewer than 256 bytes besides
+    what starts before holds back no copy (it may be a copy with a blank beside it), and only these bytes stay. Ties of ids go by the hash
+    of the text; a null id is the smallest. Null and empty texts stay as they are; no row goes; n_chars is counted anew.
     """
-    return substrings.clean(docs, length=REPEATED_BYTES, keep_first=True)
+    return substrings.clean(docs, length=REPEATED_BYTES, keep_first=True, own=REPEATED_BYTES)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -71,6 +71,19 @@ def test_a_repeated_passage_stays_once(sc, prose):
         assert left[d].startswith(before[d][:20]) and left[d].endswith(before[d][-20:])
 
 
+def test_a_passage_between_like_words_stays_once(sc, prose):
+    """Copies that have the same blanks around them, unlike the first place, go as well: their edges are strings of their own."""
+    s = prose(200, 52)
+    passage = " ".join(s[:8])
+    assert len(passage.encode()) >= corpus_pipeline.REPEATED_BYTES
+    docs = [(1, f"{s[20]}\n{passage}\n{s[21]}")] + [(n, f"{s[20 * n]} {passage} {s[20 * n + 1]}") for n in (2, 3, 4)] + [(5, "x" * 900)]
+    frame = sc.createDataFrame([(d, t, "en", "s", len(t)) for d, t in docs], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    left = {r["doc_id"]: r["text"] for r in dict(corpus_pipeline.STAGES)["without_repeats"](sc, frame, "").collect()}
+    assert left[1] == dict(docs)[1] and left[5] == "x" * corpus_pipeline.REPEATED_BYTES
+    for d in (2, 3, 4):
+        assert not any(x in left[d] for x in s[:8]) and left[d].startswith(s[20 * d][:-1]) and left[d].endswith(s[20 * d + 1][1:])
+
+
 def test_stages_return_the_columns_of_documents(sc, folder):
     docs = sc.read.parquet(f"{folder}/documents.parquet")
     for frame in (docs, docs.where("1 = 0")):
