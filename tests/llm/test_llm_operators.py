@@ -488,6 +488,20 @@ def test_peeling_gives_back_the_difference(sc):
         assert r["small"] is None and len(r["want"]) > 9 or sorted(r["small"]) == sorted(r["want"])
 
 
+def test_licenses_find_words_once(sc):
+    """Whole texts and their lines share one search for words; spellings meet line breaks in whole texts only."""
+    docs = sc.createDataFrame([(1, "Licensed under the Apache Licence,\r\nVersion 2.0."), (2, "Copyright 2001 Foo\nReleased — under\nthe MIT  licence"), (3, "per\ncent"),
+                               (4, "percent"), (5, "Licensed under CC0\n1.0.\n\n Licensed under CC0 1.0"), (6, "...\n"), (7, None)], "doc_id bigint, text string")
+    known = licenses.known_digests(sc)
+    found = licenses.scan(docs, sc.createDataFrame(known.collect(), known.schema))
+    got = {r["doc_id"]: r for r in found.collect()}
+    assert {d: (r["license"], r["n_notices"], r["licenses"]) for d, r in got.items()} == {
+        1: ("Apache-2.0", 0, "Apache-2.0"), 2: ("MIT", 0, "MIT"), 3: (None, 0, ""), 4: (None, 0, ""), 5: (None, 1, "CC0-1.0"), 6: (None, 0, ""), 7: (None, 0, "")}
+    assert got[3]["digest"] == got[4]["digest"] == hashlib.sha256(b"percent").hexdigest() and got[6]["digest"] is got[7]["digest"] is None
+    # Once for texts and lines, once for texts with a title, once for paragraphs.
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("lower(") == 3
+
+
 def test_licenses_in_their_usual_files(sc):
     body, isc = (next(t for n, t in licenses.KNOWN if n == x and "\n" in t) for x in ("MIT", "ISC"))
     wrapped = "ISC License\n\nCopyright (c) 2020, Some One\n\n" + isc.replace("above copyright notice", "above\ncopyright notice")
