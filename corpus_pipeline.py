@@ -14,6 +14,8 @@ from snapstats.llm.common import ensure_checkpoint_dir, ready, table
 TOKENIZER = "word_bpe_49k.json"
 #: Repeated strings of so many bytes go, but for their first places: shorter than nearly all passages of 50 words.
 REPEATED_BYTES = 256
+#: Fewer new bytes beside a copy are an edge of it, not a passage that has to stay in one piece.
+OWN_BYTES = 64
 
 # Each stage hands on the rows it keeps with all columns of documents. Rows that repeat are rows of their own, columns that a stage
 # does not name are handed through, texts are read whole, and an empty table stays empty.
@@ -40,11 +42,11 @@ def near_unique(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, without strings of 256 bytes that also start before: in a smaller id, or earlier in the text.
 
-    Each repeated passage stays at its first place, so no content is lost to the corpus; one that brings fewer than 256 bytes besides
+    Each repeated passage stays at its first place, so no content is lost to the corpus; one that brings fewer than 64 bytes besides
     what starts before holds back no copy (it may be a copy with a blank beside it), and only these bytes stay. Ties of ids go by the hash
     of the text; a null id is the smallest. Null and empty texts stay as they are; no row goes; n_chars is counted anew.
     """
-    return substrings.clean(docs, length=REPEATED_BYTES, keep_first=True, own=REPEATED_BYTES)
+    return substrings.clean(docs, length=REPEATED_BYTES, keep_first=True, own=OWN_BYTES)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
