@@ -60,9 +60,9 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents, and their places in sequences of 2048 tokens.
 
-    A null text is empty; an empty one is a piece of its end mark alone.
+    A null text is empty; an empty one is a piece of its end mark alone. Workers forget a task's words: they stay for later work.
     """
-    return packing.pack(packing.pieces(docs, public_tokenizers.path(TOKENIZER)))
+    return packing.pack(packing.pieces(docs, public_tokenizers.path(TOKENIZER), remember=False))
 
 
 def _stage(work):

@@ -197,11 +197,12 @@ def clean(docs: DataFrame, *, key: str = "doc_id", text: str = "text", percent:
     row = "row_id"
     while row in docs.columns:
         row += "_"
-    # Numbers of rows hold only for one run over the rows, so they are stored before they are used.
+    # Numbers of rows hold only for one run over the rows, so they are stored before they are used, as small as they get: whoever
+    # reads the result reads them, so they are on disk beside whatever comes next.
     ensure_checkpoint_dir(docs.sparkSession)
     numbered = docs.withColumn(row, F.monotonically_increasing_id())
     path = f"{docs.sparkSession.sparkContext.getCheckpointDir()}/rows-{uuid.uuid4()}"
-    numbered.write.parquet(path)
+    numbered.write.parquet(path, compression="zstd")
     numbered = docs.sparkSession.read.schema(numbered.schema).parquet(path)
     found = near_duplicates(numbered, key=row, text=text, percent=percent).select(F.col("doc_id").alias(row), "component_id")
     kept = found.join(numbered.select(row, F.col(key).alias("key")), row).groupBy("component_id").agg(

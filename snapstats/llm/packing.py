@@ -103,9 +103,18 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
+def forget(path: str) -> None:
+    """Drop the words that this Python worker's encoder remembers; the tokenizer itself stays."""
+    encoder(path).words.clear()
+    encoder(path).parts.clear()
+
+
 def pieces(docs: DataFrame, tokenizer: str, *, key: str = "doc_id", text: str = "text",
-           capacity: int = CAPACITY, end: int = 0) -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32 of every document's ids and the end id; a null text is empty."""
+           capacity: int = CAPACITY, end: int = 0, remember: bool = True) -> DataFrame:
+    """doc_id, piece, start, length, ids_crc32 of every document's ids and the end id; a null text is empty.
+
+    Without ``remember`` words are remembered within a task only, and idle Python workers hold none of them.
+    """
     kind = dict(docs.dtypes)[key]
 
     def make():
@@ -128,7 +137,8 @@ def pieces(docs: DataFrame, tokenizer: str, *, key: str = "doc_id", text: str =
         return work
 
     return map_rows(docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text")),
-                    f"doc_id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint", make)
+                    f"doc_id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint", make,
+                    (lambda: None) if remember else (lambda: forget(tokenizer)))
 
 
 class Bins:

@@ -1,15 +1,19 @@
 """The pipeline against a plain chain of its stages' rules."""
 
 import random
+import shutil
 import zlib
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
+import pyarrow.parquet as pq
 import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from snapstats.llm import language
+from snapstats.llm import language, minhash, packing
+from snapstats.llm.common import map_rows
 from test_llm_operators import brute_components, brute_copies, brute_hits
 
 
@@ -130,3 +134,34 @@ def test_pipeline_with_repeated_rows_and_null_ids(sc, prose, tmp_path):
     either = len(encoder.encode(" one more end", add_special_tokens=False).ids)
     lengths = sorted(r["length"] for r in packed)
     assert len(lengths) == len(want) and sum(lengths) in (sum(sizes(want)), sum(sizes(want)) + either)
+
+
+def test_workers_forget_the_words_of_packed(sc, folder, tmp_path, monkeypatch):
+    """Python workers stay for later stages, so what they remembered would be memory taken from those."""
+    def words(path):
+        def make():
+            return lambda batch: {"n": [len(packing._encoders[path].words) if path in packing._encoders else 0] * batch.num_rows}
+
+        return sum(r["n"] for r in map_rows(sc.range(64).repartition(16), "n bigint", make).collect())
+
+    docs = sc.read.parquet(f"{folder}/documents.parquet")
+    names = [shutil.copy(public_tokenizers.path(corpus_pipeline.TOKENIZER), f"{tmp_path}/{n}.json") for n in range(2)]
+    plain = packing.pieces(docs, names[0]).collect()
+    assert words(names[0]) > 0  # workers are used again
+    monkeypatch.setattr(public_tokenizers, "path", lambda name: names[1])
+    got = dict(corpus_pipeline.STAGES)["packed"](sc, docs, folder).collect()
+    assert words(names[1]) == 0
+    columns = ("doc_id", "piece", "start", "length", "ids_crc32")
+    assert sorted(tuple(r[c] for c in columns) for r in got) == sorted(tuple(r[c] for c in columns) for r in plain)
+
+
+def test_numbered_rows_are_stored_small(sc, folder):
+    """They are on disk as long as the next stage reads the result, so they count beside its own files."""
+    top = Path(sc.sparkContext.getCheckpointDir().removeprefix("file:"))
+    before = {*top.glob("rows-*")}
+    docs = sc.read.parquet(f"{folder}/documents.parquet")
+    assert minhash.clean(docs).count() > 0
+    (stored,) = {*top.glob("rows-*")} - before
+    files = [pq.ParquetFile(f).metadata for f in stored.glob("*.parquet")]
+    assert sum(m.num_rows for m in files) == docs.count()
+    assert {m.row_group(0).column(1).compression for m in files if m.num_row_groups} == {"ZSTD"}
