@@ -13,6 +13,10 @@ def _state(edges: DataFrame) -> tuple:
     return row["n"], row["sum"]
 
 
+def _either(u: str, v: str, other_u: str, other_v: str) -> F.Column:
+    return F.explode(F.array(F.struct(F.col(u).alias("u"), F.col(v).alias("v")), F.struct(F.col(other_u).alias("u"), F.col(other_v).alias("v")))).alias("x")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of the edges (a, b): the smallest id reachable from it.
 
@@ -23,14 +27,12 @@ def components(edges: DataFrame) -> DataFrame:
     pair = cut(pair)
     before = _state(pair)
     while True:
-        both = pair.unionByName(pair.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        # One scan gives both directions of an edge, and one join both edges that a row leads to: no branches of a union.
+        least = pair.select(_either("u", "v", "v", "u")).select("x.*").groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        large = pair.select(F.col("v").alias("u"), F.col("u").alias("v")).join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = large.where("u <> v").distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u")
-        pair = cut(least.select("u", F.col("m").alias("v"))
-                   .unionByName(small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))).distinct())
+        pair = cut(large.join(least, "u").select(_either("u", "m", "v", "m")).select("x.*").where("u <> v").distinct())
         after = _state(pair)
         if after == before:
             break

@@ -147,6 +147,16 @@ def links(sets: list[np.ndarray], side: list[int], percent: int) -> list[tuple[i
     return forest.links
 
 
+def stars(found: list[tuple[int, int]], ids: list) -> list[tuple[int, int]]:
+    """Places of the same components as the links', each tied to the place of its smallest id; as many edges as a forest has."""
+    ends = sorted({x for link in found for x in link}, key=ids.__getitem__)
+    at = {place: n for n, place in enumerate(ends)}
+    forest = Forest(len(ends))
+    for a, b in found:
+        forest.link(at[a], at[b])
+    return [(ends[n], ends[root]) for n in range(len(ends)) if (root := forest.root(n)) != n]
+
+
 def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text", percent: int = 85,
                     size: int = SHINGLE, group_bytes: int = GROUP_BYTES) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id, kept, text_hash.
@@ -211,7 +221,10 @@ def clean(docs: DataFrame, *, key: str = "doc_id", text: str = "text", percent:
 
 
 def confirmed(rows: DataFrame, hashed: DataFrame, clusters: DataFrame, *, percent: int, size: int, group_bytes: int) -> DataFrame:
-    """Links (a, b) of a spanning forest of every cluster, found on whole sets."""
+    """Edges (a, b) of a spanning forest of what is linked in every cluster, found on whole sets.
+
+    A task gives what it finds linked as stars around the smallest id, so that clusters of one task are components as they are.
+    """
     sizes = hashed.where("key is not null").groupBy("key").agg(F.max("n").alias("n"))
     members = clusters.join(sizes, clusters["node"] == sizes["key"]).select("component", "node", "n")
     groups = members.groupBy("component").agg(F.ceil(F.sum("n") * 8 / group_bytes).cast("int").alias("groups"))
@@ -236,8 +249,9 @@ def confirmed(rows: DataFrame, hashed: DataFrame, clusters: DataFrame, *, percen
         values = [np.frombuffer(x, np.uint64) for x in group.column("values").to_pylist()]
         side = [int(x != low) for x in group.column("own").to_pylist()]
         found = links(values, side if low != high else [0] * len(side), percent)
-        return pa.table({"a": node.take(pa.array([x for x, _ in found], pa.int64())),
-                         "b": node.take(pa.array([x for _, x in found], pa.int64()))})
+        ends = stars(found, node.to_pylist())
+        return pa.table({"a": node.take(pa.array([x for x, _ in ends], pa.int64())),
+                         "b": node.take(pa.array([x for _, x in ends], pa.int64()))})
 
     return met.select("component", "low", "high", "own", "node", "values").groupBy("component", "low", "high") \
         .applyInArrow(compare, f"a {kind}, b {kind}")

@@ -20,6 +20,7 @@ from snapstats.llm import (
     components, decontaminate, language, licenses, minhash, packing, paragraph_sketch, sentences, substrings, token_counts, warc)
 
 from snapstats.llm.catalog import QUERIES
+from snapstats.llm.common import cut
 
 ASCII_LOWER = {c: c + 32 for c in range(65, 91)}
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -190,6 +191,19 @@ def test_substrings(sc, awkward, none, prose, monkeypatch, batch_bytes):
     assert substrings.remove(none).count() == 0
 
 
+def test_refined_anchors_take_few_stored_steps(sc, prose, monkeypatch):
+    # Every stored step costs files and task records in proportion to the partitions: quarters take half as many as halves.
+    made, stored = " ".join(prose(12, 21)), []
+    docs = sc.createDataFrame([(k, made[:200 + 5 * k] + f"<{k}>" + made[200 + 5 * k:]) for k in range(40)], "doc_id bigint, text string")
+    monkeypatch.setattr(substrings, "BATCH_BYTES", 300)
+    monkeypatch.setattr(substrings, "cut", lambda df: stored.append(1) or cut(df))
+    got = rows(substrings.remove(docs, length=256), "doc_id", "n_removed")
+    data = [t.encode() for _, t in texts(docs)]
+    want = [(doc, int(gone.sum())) for (doc, _), gone in zip(texts(docs), brute_spans(data, 256), strict=True)]
+    assert got == sorted(want, key=repr) and sum(n for _, n in got) > 0
+    assert 10 <= len(stored) <= 14  # 6, and 2 for each of at most 4 rounds
+
+
 def test_interval_expansion():
     rng = random.Random(5)
     for turn in range(150):
@@ -364,6 +378,30 @@ def test_components(sc):
     assert got == sorted([(k, 0) for k in range(41)] + [(k, 100) for k in range(100, 160)] + [(200, 200), (201, 200)], key=repr)
 
 
+def test_confirmed_links_come_as_stars(sc, prose, monkeypatch):
+    # A chain of near copies in one task: its component is there after one round, and another would bring nothing.
+    words, made, stored = " ".join(prose(30, 8)).split(), [], []
+    for k in range(30):
+        words = [*words[:5 * k], f"new{k}", *words[5 * k + 1:]]
+        made.append((1000 - k, " ".join(words)))
+    docs = sc.createDataFrame(made, "doc_id bigint, text string")
+    once = components.components
+
+    def counted(edges):
+        stored.append(0)
+        return once(edges)
+
+    def step(df):
+        stored[-1] += 1
+        return cut(df)
+
+    monkeypatch.setattr(minhash, "components", counted)
+    monkeypatch.setattr(components, "cut", step)
+    got = rows(minhash.near_duplicates(docs, percent=85), "doc_id", "component_id")
+    assert got == sorted(((d, c) for d, _, c, _ in brute_components(made, 85)), key=repr) and {c for _, c in got} == {971}
+    assert len(stored) == 2 and stored[1] == 2
+
+
 # 8
 
 def test_language(sc, awkward, none, small):
