@@ -33,7 +33,7 @@ ISLANDS, EPOCHS, POPULATION, GENERATIONS = 2, 2, 4, 6
 #: allowed is four times as large, so that every sequence is final on the fifth level at the latest.
 WELL_FILLED = 0.995
 #: Words, and parts of words, whose ids are remembered in a Python worker, and the longest such word.
-CACHE_WORDS, CACHE_PARTS, CACHE_CHARS = 600_000, 400_000, 64
+CACHE_WORDS, CACHE_PARTS, CACHE_CHARS = 900_000, 400_000, 64
 
 # White space that Python splits at, but for which the tokenizer's rule is not relied on.
 _ODD_SPACE = re.compile(r"[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
@@ -42,6 +42,8 @@ _PLAIN_SPACE = re.compile("[ \t\n\r]+")
 _LATIN = re.compile("[!-~\xa1-\u012f\u0131-\u017f]+")
 # Fixed value: the tokenizer's own rule for parts of a word.
 _PARTS = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"
+# Marks after a word's last letter or number are one part, whatever they are.
+_MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 # The byte-level alphabet: a printable character stands for its own byte, the others for the rest in order.
 _PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _ALPHABET = dict(zip([b for b in range(256) if b not in _PRINTABLE], range(256, 512)))
@@ -76,6 +78,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.pattern = Tokenizer.from_file(path), regex.compile(_PARTS)
+        self.model = self.tokenizer.model
         self.words, self.parts = _Known(self._word, CACHE_WORDS), _Known(self._part, CACHE_PARTS)
 
     def _plain(self, word: str) -> bytes:
@@ -83,10 +86,14 @@ class Encoder:
 
     def _part(self, part: str) -> bytes:
         letters = part if part.isascii() else part.encode().decode("latin-1").translate(_ALPHABET)
-        return b"".join([x.id.to_bytes(4, "little") for x in self.tokenizer.model.tokenize(letters)])
+        return b"".join([x.id.to_bytes(4, "little") for x in self.model.tokenize(letters)])
 
     def _word(self, word: str) -> bytes:
         if _LATIN.fullmatch(word) and "<|" not in word:  # special tokens begin so
+            letters = word.rstrip(_MARKS)
+            if letters.isalpha():  # two parts at most: no rule for what follows an apostrophe applies
+                known = self.parts[letters.lower()]
+                return known + self.parts[word[len(letters):]] if len(letters) < len(word) else known
             return b"".join(map(self.parts.__getitem__, self.pattern.findall(word.lower())))
         return self._plain(word)
 

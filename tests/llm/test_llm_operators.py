@@ -259,6 +259,24 @@ def test_encoder_is_the_tokenizer():
         assert np.frombuffer(coder.ids(text), "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_words_and_their_marks_are_not_searched_for_parts(monkeypatch):
+    coder, plain, rng = packing.Encoder(WORD_BPE), Tokenizer.from_file(WORD_BPE), random.Random(2)
+
+    class Unused:
+        def findall(self, word):
+            raise AssertionError(word)
+
+    monkeypatch.setattr(coder, "pattern", Unused())
+    letters = [c for n in range(0x180) if (c := chr(n)).isalpha() and n != 0x130]
+    marks = [chr(n) for n in range(33, 127) if not chr(n).isalnum()]
+    words = [*letters, *("a" + m for m in marks), "don''", "THONSH!!", "X'", "\u00aa\u00ba\u00b5.$$$"]
+    words += ["".join(rng.choices(letters, k=rng.randrange(1, 9))) + "".join(rng.choices(marks, k=rng.randrange(4))) for _ in range(3000)]
+    for word in words:
+        assert np.frombuffer(coder.ids(word), "<u4").tolist() == plain.encode(word, add_special_tokens=False).ids, repr(word)
+    with pytest.raises(AssertionError):  # what follows an apostrophe has rules of its own
+        coder.ids("don't")
+
+
 def test_packing(awkward, none, sc, prose):
     s = prose(300, 8)
     more = sc.createDataFrame([(1000 + k, " ".join(s[k % 300:k % 300 + k % 7])) for k in range(900)], "doc_id bigint, text string")
