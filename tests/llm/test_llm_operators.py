@@ -10,8 +10,10 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
+import xxhash
 import zstandard
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -191,6 +193,38 @@ def test_substrings(sc, awkward, none, prose, monkeypatch, batch_bytes):
     assert substrings.remove(none).count() == 0
 
 
+def test_repeated_places_are_gathered_as_ranges(sc, prose):
+    """A copy between other words is compared place by place, but it is one range of its row, not one for each of its places."""
+    s = prose(200, 53)
+    passage, length = " ".join(s[:12]), 100
+    docs = {n: f"{s[20 * n]} {passage} {s[20 * n + 1]}{' ' + passage if n == 3 else ''}" for n in (1, 2, 3, 4)}
+    frame = sc.createDataFrame([*docs.items()], "doc_id bigint, text string")
+    parts, pieces = substrings._repeated(frame, "doc_id", "text", length)
+    starts = cut(substrings._settled(parts, pieces, length))
+    got = {r["row"]["id"]: [(x["start"], x["end"]) for x in r["later"]] for r in substrings._later(pieces, starts, length).collect()}
+    seen, want = set(), {}
+    for d, text in docs.items():
+        for at in range(len(text) - length + 1):
+            if text[at:at + length] in seen:
+                want.setdefault(d, set()).add(at)
+            seen.add(text[at:at + length])
+    assert {d: {at for a, b in ranges for at in range(a, b)} for d, ranges in got.items()} == want
+    assert all(b < a for ranges in got.values() for (_, b), (a, _) in zip(ranges, ranges[1:]))
+    assert {d: len(x) for d, x in got.items()} == {2: 1, 3: 2, 4: 1}
+
+
+def test_strings_of_long_pieces_come_in_bounded_batches(prose, monkeypatch):
+    monkeypatch.setattr(substrings, "PLACES", 500)
+    texts, length = [" ".join(prose(n, n)).encode() for n in (60, 3, 40)], 100
+    wanted = [[{"start": a, "strings": min(64, len(t) - length + 1 - a)} for a in range(0, len(t) - length + 1, 64)] for t in texts]
+    batch = pa.RecordBatch.from_pylist([{"row": {"id": n, "hash": 7}, "piece": 10 * n, "data": t, "wanted": w}
+                                        for n, (t, w) in enumerate(zip(texts, wanted, strict=True))])
+    made = [pa.table(x).to_pylist() for x in substrings._strings(length)(batch)]
+    assert max(map(len, made)) < 500 + 64 and len(made) > 5
+    assert [(r["row"]["id"], r["piece"], r["start"], r["string"]) for part in made for r in part] == \
+        [(n, 10 * n, at, xxhash.xxh3_128_digest(t[at:at + length])) for n, t in enumerate(texts) for at in range(len(t) - length + 1)]
+
+
 def test_refined_anchors_take_few_stored_steps(sc, prose, monkeypatch):
     # Every stored step costs files and task records in proportion to the partitions: quarters take half as many as halves.
     made, stored = " ".join(prose(12, 21)), []
